@@ -82,7 +82,7 @@ def parse_date(c: str | Column, fmt: str | None = None) -> Column:
 
 
 def float_to_nullable_long(c: str | Column) -> Column:
-    """Float -> nullable integer; NaN -> null."""
+    """Float -> nullable integer, truncating toward zero like ``int()``; NaN -> null."""
     col = _col(c)
     return F.when(F.isnan(col), F.lit(None)).otherwise(col).cast("long")
 

@@ -69,8 +69,8 @@ def drop_rows_containing(df: DataFrame, needle: str, columns: Sequence[str] | No
 
 
 def non_blank(c: str | Column) -> Column:
-    """F9 predicate: line is not empty after stripping."""
-    return F.trim(_col(c)) != F.lit("")
+    """F9 predicate: the line has a non-whitespace character (Python ``strip``)."""
+    return F.coalesce(_col(c).rlike(r"\S"), F.lit(False))
 
 
 def drop_any_null(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

@@ -246,6 +246,7 @@ def q_schema_violations(spark, sf):
 
 
 @query("quarantine_split", """
+SELECT * FROM (
 SELECT c_custkey,
        list_filter([
          CASE WHEN NOT regexp_full_match(c_name, '^Customer#[0-9]{9}$') THEN 'c_name.pattern' END,
@@ -261,7 +262,7 @@ SELECT c_custkey,
          CASE WHEN NOT (c_nationkey BETWEEN 0 AND 19) THEN 1 END,
          CASE WHEN c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY') THEN 1 END
        ], lambda x: x IS NOT NULL)) AS n_violations
-FROM customer
+FROM customer) WHERE n_violations > 0
 """)
 def q_quarantine_split(spark, sf):
     _, rejected = Q.split_valid(table(spark, sf, "customer"), _customer_rules())
@@ -347,3 +348,636 @@ def q_constraint_checks(spark, sf):
                                      foreign_keys=[("o_custkey", cust, "c_custkey")])
     dup_cust = Q.constraint_violations(o, primary_key=["o_custkey"])
     return checks.unionByName(dup_cust)
+
+
+# --- BOOK: preamble CSV, links, text normalisation ---------------------------------------
+
+HEADER_PATTERNS = ("license", "@")
+
+
+@query("header_discovery", r"""
+WITH lines AS (
+  SELECT doc_id AS file, unnest(range(len(string_split(text, chr(10))))) AS pos,
+         unnest(string_split(text, chr(10))) AS line
+  FROM documents),
+heads AS (
+  SELECT file, coalesce(min(pos) FILTER (WHERE contains(line, 'license')),
+                        min(pos) FILTER (WHERE contains(line, '@'))) AS header_pos
+  FROM lines GROUP BY file)
+SELECT l.file, l.pos, l.line, l.pos = h.header_pos AS is_header
+FROM lines l JOIN heads h ON l.file = h.file
+WHERE h.header_pos IS NULL OR (l.pos >= h.header_pos AND regexp_matches(l.line, '\S'))
+""")
+def q_header_discovery(spark, sf):
+    lines = PR.lines_from_texts(table(spark, sf, "documents"), "doc_id", "text") \
+        .withColumn("pos", F.col("pos").cast("long"))
+    return PR.strip_preamble(lines, HEADER_PATTERNS)
+
+
+_ANCHOR_SQL = L.ANCHOR_RE.replace("'", "''")
+
+
+@query("anchor_link", f"""
+SELECT page_id, url, hrefs[list_position(texts, 'de')] AS href FROM (
+  SELECT page_id, url,
+         regexp_extract_all(html, '{_ANCHOR_SQL}', 1) AS hrefs,
+         regexp_extract_all(html, '{_ANCHOR_SQL}', 2) AS texts
+  FROM pages)
+WHERE coalesce(list_position(texts, 'de'), 0) > 0
+""")
+def q_anchor_link(spark, sf):
+    return L.download_links(table(spark, sf, "pages"), text="de")
+
+
+@query("url_rewrite", """
+SELECT page_id, url,
+       CASE WHEN contains(url, 'example.com') AND NOT contains(url, 'ref=')
+            THEN split_part(url, '?', 1) || '/export?format=csv' ELSE url END AS export_url
+FROM pages
+""")
+def q_url_rewrite(spark, sf):
+    pages = table(spark, sf, "pages")
+    return pages.select("page_id", "url", L.export_link("url", host="example.com", exclude="ref=",
+                                                        cut="?").alias("export_url"))
+
+
+@query("slug_year", r"""
+SELECT page_id, coalesce(nullif(regexp_extract(html, '\d{4}(?:-\d{4})?', 0), ''), 'unknown') AS year
+FROM pages
+""")
+def q_slug_year(spark, sf):
+    return table(spark, sf, "pages").select("page_id", S.year_or_unknown("html").alias("year"))
+
+
+@query("skip_existing", """
+SELECT page_id, url FROM pages p
+WHERE NOT EXISTS (SELECT 1 FROM pages q WHERE q.url LIKE 'https%' AND q.url = p.url)
+""")
+def q_skip_existing(spark, sf):
+    pages = table(spark, sf, "pages")
+    landed = pages.filter(F.col("url").startswith("https")).select("url")
+    return L.not_yet_landed(pages.select("page_id", "url"), landed, "url")
+
+
+@query("author_reverse", """
+WITH a AS (
+  SELECT c_custkey,
+         CASE WHEN c_nationkey = 24 THEN c_name
+              WHEN c_nationkey < 5 THEN c_mktsegment || ', ' || c_name || ', ' || CAST(c_nationkey AS VARCHAR)
+              ELSE c_mktsegment || ', ' || c_name END AS author
+  FROM customer)
+SELECT c_custkey, author,
+       CASE WHEN contains(author, ', ') THEN array_to_string(list_reverse(string_split(author, ', ')), ' ')
+            ELSE author END AS author_display
+FROM a
+""")
+def q_author_reverse(spark, sf):
+    c = table(spark, sf, "customer")
+    author = (F.when(F.col("c_nationkey") == 24, F.col("c_name"))
+              .when(F.col("c_nationkey") < 5, F.concat_ws(", ", "c_mktsegment", "c_name",
+                                                          F.col("c_nationkey").cast("string")))
+              .otherwise(F.concat_ws(", ", "c_mktsegment", "c_name")))
+    return c.select("c_custkey", author.alias("author")).withColumn(
+        "author_display", S.reverse_name("author"))
+
+
+def _year_text():
+    y = F.year("o_orderdate")
+    return (F.when(F.col("o_orderstatus") == "F",
+                   F.concat((y - 1).cast("string"), F.lit("-"), y.cast("string")))
+            .when(F.col("o_orderstatus") == "O", F.concat(y.cast("string"), F.lit(".0")))
+            .otherwise(y.cast("string")))
+
+
+_YEAR_TEXT_SQL = """CASE WHEN o_orderstatus = 'F' THEN CAST(year(o_orderdate) - 1 AS VARCHAR) || '-' || CAST(year(o_orderdate) AS VARCHAR)
+            WHEN o_orderstatus = 'O' THEN CAST(year(o_orderdate) AS VARCHAR) || '.0'
+            ELSE CAST(year(o_orderdate) AS VARCHAR) END"""
+
+
+@query("year_token", r"""
+WITH d AS (
+  SELECT o_orderkey,
+         CASE WHEN o_orderstatus = 'P' THEN '   '
+              ELSE o_orderpriority || ' ' || CAST(year(o_orderdate) AS VARCHAR)
+                   || CASE WHEN o_orderstatus = 'F' THEN '  ' ELSE '' END END AS date_text
+  FROM orders)
+SELECT o_orderkey, date_text, nullif(regexp_extract(date_text, '(\S+)\s*$', 1), '') AS year
+FROM d
+""")
+def q_year_token(spark, sf):
+    o = table(spark, sf, "orders")
+    text = (F.when(F.col("o_orderstatus") == "P", F.lit("   "))
+            .otherwise(F.concat(F.col("o_orderpriority"), F.lit(" "), F.year("o_orderdate").cast("string"),
+                                F.when(F.col("o_orderstatus") == "F", F.lit("  ")).otherwise(F.lit("")))))
+    return o.select("o_orderkey", text.alias("date_text")).withColumn("year", S.last_token("date_text"))
+
+
+@query("year_normalize", f"""
+WITH d AS (SELECT o_orderkey, {_YEAR_TEXT_SQL} AS year_text,
+                  CASE WHEN o_orderstatus = 'P' THEN CAST('NaN' AS DOUBLE)
+                       ELSE CAST(year(o_orderdate) AS DOUBLE) END AS year_float
+           FROM orders)
+SELECT o_orderkey, year_text,
+       CASE WHEN contains(year_text, '-') THEN CAST(TRY_CAST(trim(split_part(year_text, '-', 2)) AS INTEGER) AS VARCHAR)
+            WHEN contains(year_text, '.0') THEN replace(year_text, '.0', '')
+            ELSE year_text END AS year,
+       CASE WHEN isnan(year_float) THEN NULL ELSE CAST(CAST(year_float AS BIGINT) AS VARCHAR) END AS year_from_float
+FROM d
+""")
+def q_year_normalize(spark, sf):
+    o = table(spark, sf, "orders")
+    yf = F.when(F.col("o_orderstatus") == "P", F.lit(float("nan"))).otherwise(
+        F.year("o_orderdate").cast("double"))
+    return o.select("o_orderkey", _year_text().alias("year_text"), yf.alias("yf")).select(
+        "o_orderkey", "year_text", S.normalize_year("year_text").alias("year"),
+        S.nan_to_null_text("yf").alias("year_from_float"))
+
+
+@query("status_normalize", """
+WITH d AS (SELECT o_orderkey, trim(lower(coalesce(nullif(o_orderpriority, '3-MEDIUM'), ''))) AS s FROM orders)
+SELECT o_orderkey, CASE WHEN contains(s, 'urgent') OR contains(s, 'high') THEN 'expedited' ELSE s END AS status
+FROM d
+""")
+def q_status_normalize(spark, sf):
+    o = table(spark, sf, "orders")
+    s = S.norm_lower_trim(F.nullif(F.col("o_orderpriority"), F.lit("3-MEDIUM")))
+    return o.select("o_orderkey", S.contains_any_label(s, ["urgent", "high"], "expedited").alias("status"))
+
+
+@query("value_replace", """
+SELECT p_partkey, CASE p_type WHEN 'ECONOMY' THEN 'Economy' WHEN 'PROMO' THEN 'Promotion'
+                              WHEN 'SMALL' THEN 'Small' ELSE p_type END AS p_type
+FROM part
+""")
+def q_value_replace(spark, sf):
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", S.replace_values(
+        "p_type", {"ECONOMY": "Economy", "PROMO": "Promotion", "SMALL": "Small"}).alias("p_type"))
+
+
+@query("unknown_fill", """
+SELECT p_partkey, trim(coalesce(nullif(p_brand, 'Brand#1'), 'Unknown')) AS brand FROM part
+""")
+def q_unknown_fill(spark, sf):
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", S.unknown_fill(F.nullif(F.col("p_brand"), F.lit("Brand#1"))).alias("brand"))
+
+
+@query("map_fallback", """
+SELECT c_custkey, CASE c_mktsegment WHEN 'MACHINERY' THEN 'MACH' WHEN 'BUILDING' THEN 'BLDG'
+                                   WHEN 'HOUSEHOLD' THEN 'HH' ELSE c_mktsegment END AS segment_code
+FROM customer
+""")
+def q_map_fallback(spark, sf):
+    c = table(spark, sf, "customer")
+    return c.select("c_custkey", J.lookup_or_keep(
+        "c_mktsegment", {"MACHINERY": "MACH", "BUILDING": "BLDG", "HOUSEHOLD": "HH"}).alias("segment_code"))
+
+
+@query("map_default", """
+SELECT DISTINCT lower(p_type) AS status,
+       CASE lower(p_type) WHEN 'economy' THEN 'Low-cost parts' WHEN 'promo' THEN 'Promotional parts'
+            ELSE 'Description for ' || lower(p_type) END AS description
+FROM part
+""")
+def q_map_default(spark, sf):
+    statuses = A.distinct_values(table(spark, sf, "part").select(F.lower("p_type").alias("status")), "status")
+    return statuses.withColumn("description", J.lookup_or_template(
+        "status", {"economy": "Low-cost parts", "promo": "Promotional parts"}, "Description for "))
+
+
+# --- projections and filters -------------------------------------------------------------
+
+@query("schema_project", """
+SELECT c_custkey, c_name, CAST(NULL AS VARCHAR) AS c_phone, c_acctbal, CAST(NULL AS VARCHAR) AS c_comment
+FROM customer
+""")
+def q_schema_project(spark, sf):
+    c = P.select_except(table(spark, sf, "customer"), "c_nationkey")
+    fixed = P.project_to(c, [("c_custkey", "bigint"), ("c_name", "string"), ("c_phone", "string"),
+                             ("c_acctbal", "double"), ("c_comment", "string")])
+    return P.select_present(fixed, ["c_custkey", "c_name", "c_phone", "c_acctbal", "c_comment", "c_address"])
+
+
+@query("rename_harmonize", """
+SELECT s_suppkey AS supplier_id, s_name AS name, s_nationkey, s_acctbal FROM supplier
+""")
+def q_rename_harmonize(spark, sf):
+    return P.rename_columns(table(spark, sf, "supplier"),
+                            {"s_suppkey": "supplier_id", "s_name": "name", "Type of Ban": "Ban Status"})
+
+
+@query("line_total", """
+SELECT l_orderkey, l_linenumber, product, quantity, price, quantity * price AS total FROM (
+  SELECT l_orderkey, l_linenumber, nullif(l_returnflag, 'N') AS product,
+         nullif(l_quantity, 1.0) AS quantity, l_extendedprice AS price FROM lineitem)
+WHERE product IS NOT NULL AND quantity IS NOT NULL
+""")
+def q_line_total(spark, sf):
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.nullif(F.col("l_returnflag"), F.lit("N")).alias("product"),
+        F.nullif(F.col("l_quantity"), F.lit(1.0)).alias("quantity"), F.col("l_extendedprice").alias("price"))
+    return P.with_derived(FL.drop_any_null(li), {"total": F.col("quantity") * F.col("price")})
+
+
+@query("exclude_list_nullsafe", """
+SELECT c_custkey, country, code FROM (
+  SELECT c_custkey, nullif(c_mktsegment, 'MACHINERY') AS country, nullif(c_nationkey, 0) AS code FROM customer)
+WHERE NOT coalesce(country IN ('AUTOMOBILE', 'BUILDING'), false) AND code IS NOT NULL
+""")
+def q_exclude_list_nullsafe(spark, sf):
+    c = table(spark, sf, "customer").select(
+        "c_custkey", F.nullif(F.col("c_mktsegment"), F.lit("MACHINERY")).alias("country"),
+        F.nullif(F.col("c_nationkey"), F.lit(0)).alias("code"))
+    return FL.not_null(FL.exclude_values(c, "country", ["AUTOMOBILE", "BUILDING"]), "code")
+
+
+@query("include_list", """
+SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+""")
+def q_include_list(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    return FL.include_values(o, "o_orderpriority", ["1-URGENT", "2-HIGH"])
+
+
+@query("range_filter", """
+SELECT o_orderkey, o_orderdate FROM orders
+WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1997-12-31'
+""")
+def q_range_filter(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    return FL.in_range(o, "o_orderdate", F.lit("1996-01-01").cast("timestamp_ntz"),
+                       F.lit("1997-12-31").cast("timestamp_ntz"))
+
+
+@query("any_cell_contains", """
+SELECT * FROM part WHERE NOT (
+  coalesce(contains(lower(CAST(p_partkey AS VARCHAR)), 'red'), false)
+  OR coalesce(contains(lower(p_name), 'red'), false)
+  OR coalesce(contains(lower(p_brand), 'red'), false)
+  OR coalesce(contains(lower(p_type), 'red'), false)
+  OR coalesce(contains(lower(CAST(p_size AS VARCHAR)), 'red'), false)
+  OR coalesce(contains(lower(CAST(p_retailprice AS VARCHAR)), 'red'), false))
+""")
+def q_any_cell_contains(spark, sf):
+    return FL.drop_rows_containing(table(spark, sf, "part"), "RED")
+
+
+@query("drop_all_null", """
+SELECT c_custkey, title, author FROM (
+  SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS title,
+         CAST(nullif(c_nationkey, 3) AS VARCHAR) AS author FROM customer)
+WHERE title IS NOT NULL OR author IS NOT NULL
+""")
+def q_drop_all_null(spark, sf):
+    c = table(spark, sf, "customer").select(
+        "c_custkey", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("title"),
+        F.nullif(F.col("c_nationkey"), F.lit(3)).cast("string").alias("author"))
+    return FL.drop_all_null(c, ["title", "author"])
+
+
+@query("latest_snapshot", """
+SELECT *, CAST(ts AS DATE) AS snap_date FROM events
+WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)
+""")
+def q_latest_snapshot(spark, sf):
+    from quarry.sources.files import latest_rows
+
+    ev = table(spark, sf, "events").withColumn("snap_date", F.to_date("ts"))
+    return latest_rows(ev, "snap_date")
+
+
+@query("select_preview", """
+SELECT p_partkey, p_name, p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 10
+""")
+def q_select_preview(spark, sf):
+    p = P.select_columns(table(spark, sf, "part"), ["p_partkey", "p_name", "p_retailprice"])
+    return W.sort_desc(p, "p_retailprice", ["p_partkey"]).limit(10)
+
+
+# --- aggregates, top-k, pivot, rollup ----------------------------------------------------
+
+@query("avg_by_category", """
+SELECT p_type, round(avg(p_retailprice), 6) AS p_retailprice_avg, round(avg(p_size), 6) AS p_size_avg,
+       round(avg(p_partkey), 6) AS p_partkey_avg
+FROM part WHERE p_type IS NOT NULL GROUP BY p_type
+""")
+def q_avg_by_category(spark, sf):
+    m = A.mean_by(table(spark, sf, "part"), ["p_type"], ["p_retailprice", "p_size", "p_partkey"], suffix="_avg")
+    m = m.withColumns({c: r6(c) for c in ("p_retailprice_avg", "p_size_avg", "p_partkey_avg")})
+    return W.sort_desc(m, "p_retailprice_avg", ["p_type"])
+
+
+def _flag_lines(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.select(F.concat("l_returnflag", "l_linestatus").alias("category"),
+                     F.when((F.col("l_returnflag") == "A") & (F.col("l_discount") >= 0.05), F.lit(1))
+                     .otherwise(F.lit(0)).alias("flag"))
+
+
+@query("flagged_count", """
+SELECT l_returnflag || l_linestatus AS category, count(*) AS n_flagged
+FROM lineitem WHERE l_returnflag = 'A' AND l_discount >= 0.05 GROUP BY 1
+""")
+def q_flagged_count(spark, sf):
+    return A.count_where(_flag_lines(spark, sf), ["category"], FL.is_flagged("flag"), "n_flagged")
+
+
+@query("flagged_pct", """
+SELECT l_returnflag || l_linestatus AS category,
+       round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE l_returnflag = 'A' AND l_discount >= 0.05) / count(*), 6) AS pct
+FROM lineitem GROUP BY 1
+""")
+def q_flagged_pct(spark, sf):
+    return A.flagged_share(_flag_lines(spark, sf), ["category"], "flag", "pct").withColumn("pct", r6("pct"))
+
+
+@query("distinct_by_keys", """
+SELECT p_brand, p_type, count(DISTINCT p_name) AS n_titles FROM part GROUP BY 1, 2
+""")
+def q_distinct_by_keys(spark, sf):
+    return A.distinct_count_by(table(spark, sf, "part"), ["p_brand", "p_type"], "p_name", "n_titles")
+
+
+@query("distinct_global", """
+SELECT count(DISTINCT p_name) AS n_names, count(DISTINCT p_brand) AS n_brands, count(DISTINCT p_type) AS n_types
+FROM part
+""")
+def q_distinct_global(spark, sf):
+    return A.distinct_counts(table(spark, sf, "part"), {"n_names": "p_name", "n_brands": "p_brand",
+                                                        "n_types": "p_type"})
+
+
+@query("distinct_values", """
+SELECT DISTINCT nullif(p_type, 'SMALL') AS p_type FROM part WHERE nullif(p_type, 'SMALL') IS NOT NULL
+""")
+def q_distinct_values(spark, sf):
+    p = table(spark, sf, "part").select(F.nullif(F.col("p_type"), F.lit("SMALL")).alias("p_type"))
+    return A.distinct_values(p, "p_type")
+
+
+def _part_counts(spark, sf, flags, keys, name):
+    """Counts of lineitems per part attribute set, pre-aggregated per part key before
+    the join so the join moves one row per part, not one per line."""
+    li = FL.include_values(table(spark, sf, "lineitem"), "l_returnflag", flags)
+    per_part = A.count_by(li, ["l_partkey"], "n")
+    part = table(spark, sf, "part")
+    joined = per_part.join(part, per_part["l_partkey"] == part["p_partkey"])
+    return joined.groupBy(*keys).agg(F.sum("n").alias(name))
+
+
+_TOP = """
+WITH c AS (SELECT {keys}, count(*) AS {name} FROM lineitem JOIN part ON l_partkey = p_partkey
+           WHERE l_returnflag IN ({flags}) GROUP BY {keys})
+SELECT {keys}, {name}, row_number() OVER (ORDER BY {name} DESC, {keys}) AS "rank"
+FROM c ORDER BY {name} DESC, {keys} LIMIT {n}
+"""
+
+
+@query("top5_titles", _TOP.format(keys="p_name, p_brand", name="ban_count", flags="'R', 'A'", n=5))
+def q_top5_titles(spark, sf):
+    c = _part_counts(spark, sf, ["R", "A"], ["p_name", "p_brand"], "ban_count")
+    return W.top_n(c, 5, "ban_count", ["p_name", "p_brand"], rank_col="rank") \
+        .withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("top5_authors", _TOP.format(keys="p_brand", name="n", flags="'N'", n=5))
+def q_top5_authors(spark, sf):
+    c = _part_counts(spark, sf, ["N"], ["p_brand"], "n")
+    return W.top_n(c, 5, "n", ["p_brand"], rank_col="rank").withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("top1", """
+SELECT p_type, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE l_returnflag IN ('R', 'A') GROUP BY p_type ORDER BY n DESC, p_type LIMIT 1
+""")
+def q_top1(spark, sf):
+    return W.top1_pair(_part_counts(spark, sf, ["R", "A"], ["p_type"], "n"), "p_type", "n")
+
+
+@query("latest_non_null", """
+SELECT user_id,
+       arg_max(v, ts) FILTER (WHERE v IS NOT NULL) AS v,
+       arg_max(k, ts) FILTER (WHERE k IS NOT NULL) AS k
+FROM (SELECT user_id, ts, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS v,
+             CASE WHEN event_type = 'view' THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k
+      FROM events)
+GROUP BY user_id
+""")
+def q_latest_non_null(spark, sf):
+    ev = table(spark, sf, "events").select(
+        "user_id", "ts", "event_id",
+        F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("value")).alias("v"),
+        F.when(F.col("event_type") == "view", F.lit(None))
+        .otherwise(F.get_json_object("props", "$.k").cast("long")).alias("k"))
+    return A.last_non_null(ev, ["user_id"], "ts", ["v", "k"], tiebreak=["event_id"])
+
+
+@query("latest_summary", """
+WITH last AS (
+  SELECT user_id,
+         arg_max(v, ts) FILTER (WHERE v IS NOT NULL) AS total_cases,
+         arg_max(k, ts) FILTER (WHERE k IS NOT NULL) AS total_deaths
+  FROM (SELECT user_id, ts, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS v,
+               CASE WHEN event_type = 'view' THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS k
+        FROM events)
+  GROUP BY user_id)
+SELECT user_id, round_even(total_cases, 0) AS total_cases, round_even(total_deaths, 0) AS total_deaths,
+       CAST(user_id * 1000 + 500 AS BIGINT) AS population,
+       round_even(total_cases / CAST(user_id * 1000 + 500 AS DOUBLE) * 1000000, 1) AS cases_per_million,
+       round_even(total_deaths / CAST(user_id * 1000 + 500 AS DOUBLE) * 1000000, 1) AS deaths_per_million
+FROM last
+""")
+def q_latest_summary(spark, sf):
+    from quarry.plans import covid
+
+    ev = table(spark, sf, "events").select(
+        F.col("user_id"), F.col("ts"), F.col("event_id"),
+        F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("value")).alias("total_cases"),
+        F.when(F.col("event_type") == "view", F.lit(None))
+        .otherwise(F.get_json_object("props", "$.k").cast("double")).alias("total_deaths"),
+        (F.col("user_id") * 1000 + 500).cast("double").alias("population"))
+    return covid.latest_summary(ev, key="user_id", date_col="ts", tiebreak=["event_id"],
+                                totals=("total_cases", "total_deaths"))
+
+
+PIVOT_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
+
+@query("pivot_status", "WITH p AS (SELECT p_brand, " + ", ".join(
+    f"count(DISTINCT CASE WHEN p_type = '{t}' THEN p_name END) AS \"{t}\"" for t in PIVOT_TYPES)
+    + " FROM part GROUP BY p_brand)\nSELECT *, " + " + ".join(f'"{t}"' for t in PIVOT_TYPES)
+    + " AS total, concat_ws(', ', " + ", ".join(f"'{t}: ' || CAST(\"{t}\" AS VARCHAR)" for t in PIVOT_TYPES)
+    + ") AS summary FROM p")
+def q_pivot_status(spark, sf):
+    wide = A.pivot_distinct(table(spark, sf, "part"), "p_brand", "p_type", PIVOT_TYPES, "p_name")
+    return A.with_row_summary(A.with_row_total(wide, PIVOT_TYPES), PIVOT_TYPES)
+
+
+@query("treemap_rollup", """
+WITH leaves AS (SELECT p_type, p_brand, count(DISTINCT p_name) AS leaf FROM part GROUP BY 1, 2)
+SELECT 'ALL' AS root, p_type, p_brand,
+       CAST(2 - grouping(p_type) - grouping(p_brand) AS INTEGER) AS level, CAST(sum(leaf) AS BIGINT) AS n
+FROM leaves GROUP BY ROLLUP (p_type, p_brand)
+""")
+def q_treemap_rollup(spark, sf):
+    return A.hierarchy_totals(table(spark, sf, "part"), ["p_type", "p_brand"], "p_name")
+
+
+@query("daily_series", """
+SELECT CAST(ts AS DATE) AS day, event_type, round(avg(value), 6) AS avg_value FROM events GROUP BY 1, 2
+""")
+def q_daily_series(spark, sf):
+    ev = table(spark, sf, "events").select(S.parse_date("ts").alias("day"), "event_type", "value")
+    return A.mean_by(ev, ["day", "event_type"], ["value"]).select("day", "event_type",
+                                                                   r6("value").alias("avg_value"))
+
+
+CORR_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query("corr_matrix", "WITH d AS (SELECT " + ", ".join(CORR_COLS) + " FROM lineitem WHERE "
+       + " AND ".join(f"{c} IS NOT NULL" for c in CORR_COLS) + ")\n"
+       + "\nUNION ALL ".join(
+           [f"SELECT '{c}' AS x, '{c}' AS y, CAST(1.0 AS DOUBLE) AS corr" for c in CORR_COLS]
+           + [f"SELECT '{a}', '{b}', round(corr({a}, {b}), 6) FROM d"
+              for a in CORR_COLS for b in CORR_COLS if a != b]))
+def q_corr_matrix(spark, sf):
+    return A.corr_matrix(table(spark, sf, "lineitem"), CORR_COLS).withColumn("corr", r6("corr"))
+
+
+# --- scalar casts ------------------------------------------------------------------------
+
+@query("ts_clean", """
+WITH d AS (
+  SELECT event_id,
+         CASE event_type WHEN 'click' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z'
+                         WHEN 'error' THEN ''
+                         WHEN 'view' THEN 'nan'
+                         WHEN 'signup' THEN ' ' || strftime(ts, '%Y-%m-%d %H:%M:%S') || ' '
+                         ELSE 'not a time' END AS raw
+  FROM events),
+p AS (SELECT event_id, raw,
+             TRY_CAST(nullif(nullif(nullif(replace(trim(raw), 'Z', ''), ''), 'None'), 'nan') AS TIMESTAMP) AS t
+      FROM d)
+SELECT event_id, raw, epoch_us(t) AS epoch_us FROM p
+WHERE t BETWEEN TIMESTAMP '2000-01-01' AND TIMESTAMP '2100-01-01'
+""")
+def q_ts_clean(spark, sf):
+    ev = table(spark, sf, "events")
+    raw = (F.when(F.col("event_type") == "click",
+                  F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+           .when(F.col("event_type") == "error", F.lit(""))
+           .when(F.col("event_type") == "view", F.lit("nan"))
+           .when(F.col("event_type") == "signup",
+                 F.concat(F.lit(" "), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" ")))
+           .otherwise(F.lit("not a time")))
+    parsed = ev.select("event_id", raw.alias("raw")).withColumn("t", S.parse_timestamp_utc("raw"))
+    kept = FL.in_range(parsed, "t", F.lit("2000-01-01").cast("timestamp"), F.lit("2100-01-01").cast("timestamp"))
+    return kept.select("event_id", "raw", S.timestamp_to_epoch_micros("t").alias("epoch_us"))
+
+
+@query("epoch_convert", """
+SELECT event_id, epoch_us(ts) AS epoch_us, epoch_us(ts) // 1000 AS epoch_ms,
+       epoch_us(epoch_ms(epoch_us(ts) // 1000)) AS from_ms_us,
+       epoch_us(make_timestamp(CAST((epoch_us(ts) // 1000000) * 1000000 AS BIGINT))) AS from_s_us
+FROM events
+""")
+def q_epoch_convert(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", S.timestamp_to_epoch_micros("ts").alias("epoch_us"))
+    ms = F.floor(F.col("epoch_us") / 1000).cast("long")
+    secs = F.floor(F.col("epoch_us") / 1_000_000).cast("long")
+    return ev.select("event_id", "epoch_us", ms.alias("epoch_ms"),
+                     S.timestamp_to_epoch_micros(S.epoch_to_timestamp(ms, "ms")).alias("from_ms_us"),
+                     S.timestamp_to_epoch_micros(S.epoch_to_timestamp(secs, "s")).alias("from_s_us"))
+
+
+@query("fill_defaults", """
+SELECT l_orderkey, l_linenumber, coalesce(nullif(l_quantity, 1.0), 0.0) AS quantity,
+       coalesce(nullif(l_returnflag, 'N'), 'X') AS flag
+FROM lineitem
+""")
+def q_fill_defaults(spark, sf):
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.nullif(F.col("l_quantity"), F.lit(1.0)).alias("quantity"),
+        F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"))
+    return S.fill_defaults(li, {"quantity": 0.0, "flag": "X", "absent_column": 0})
+
+
+@query("bool_cast", """
+WITH d AS (
+  SELECT event_id, event_type <> 'error' AS renting,
+         CASE event_type WHEN 'click' THEN 'true' WHEN 'view' THEN ' 1' WHEN 'error' THEN 'False'
+                         WHEN 'purchase' THEN NULL ELSE 'yes' END AS flag_text
+  FROM events)
+SELECT event_id, flag_text,
+       CASE WHEN lower(trim(flag_text)) IN ('t', 'true', 'y', 'yes', '1') THEN true
+            WHEN lower(trim(flag_text)) IN ('f', 'false', 'n', 'no', '0') THEN false
+            WHEN TRY_CAST(lower(trim(flag_text)) AS DOUBLE) IS NOT NULL THEN TRY_CAST(lower(trim(flag_text)) AS DOUBLE) <> 0
+            ELSE false END AS flag,
+       CAST(renting AS INTEGER) AS renting_int
+FROM d
+""")
+def q_bool_cast(spark, sf):
+    ev = table(spark, sf, "events")
+    text = (F.when(F.col("event_type") == "click", F.lit("true"))
+            .when(F.col("event_type") == "view", F.lit(" 1"))
+            .when(F.col("event_type") == "error", F.lit("False"))
+            .when(F.col("event_type") == "purchase", F.lit(None).cast("string"))
+            .otherwise(F.lit("yes")))
+    return ev.select("event_id", text.alias("flag_text"), S.to_bool_default_false(text).alias("flag"),
+                     S.bool_to_int(F.col("event_type") != "error").alias("renting_int"))
+
+
+@query("round_half_even", """
+SELECT l_orderkey, l_linenumber, l_quantity / 4 AS x, round_even(l_quantity / 4, 1) AS r1,
+       round_even(l_quantity / 4, 0) AS r0, CAST(trunc(l_quantity / 4) AS BIGINT) AS x_int
+FROM lineitem
+""")
+def q_round_half_even(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity") / 4).alias("x"))
+    r = S.round_columns(li.withColumns({"r1": F.col("x"), "r0": F.col("x")}), {"r1": 1, "r0": 0})
+    return r.withColumn("x_int", S.float_to_nullable_long("x"))
+
+
+# --- statistics ----------------------------------------------------------------------------
+
+@query("ols_single", """
+SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept,
+       round(regr_r2(l_extendedprice, l_quantity), 6) AS r2,
+       CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n
+FROM lineitem
+""")
+def q_ols_single(spark, sf):
+    m = M.ols_single(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice")
+    return m.select(r6("slope").alias("slope"), r6("intercept").alias("intercept"), r6("r2").alias("r2"),
+                    F.col("n").cast("long").alias("n"))
+
+
+@query("ols_metrics", """
+WITH d AS (SELECT l_quantity AS x, l_extendedprice AS y, l_orderkey % 5 = 0 AS is_test FROM lineitem),
+m AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM d WHERE NOT is_test),
+s AS (SELECT y, a + b * x AS p FROM d, m WHERE is_test)
+SELECT round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
+       round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2,
+       count(*) AS n
+FROM s
+""")
+def q_ols_metrics(spark, sf):
+    li = table(spark, sf, "lineitem").select(F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"),
+                                             (F.pmod("l_orderkey", F.lit(5)) == 0).alias("is_test"))
+    model = M.ols_single(li.filter(~F.col("is_test")), "x", "y").first()
+    scored = li.filter("is_test").select(
+        F.col("y").alias("actual"),
+        (F.lit(model["intercept"]) + F.lit(model["slope"]) * F.col("x")).alias("predicted"))
+    met = M.regression_metrics(scored)
+    return met.select(F.round("rmse", 4).alias("rmse"), r6("r2").alias("r2"), F.col("n").cast("long").alias("n"))
+
+
+@query("ols_multi")
+def q_ols_multi(spark, sf):
+    li = table(spark, sf, "lineitem")
+    feats = ["l_quantity", "l_discount", "l_tax"]
+    model = M.fit_ols(FL.drop_any_null(li.select(*feats, "l_extendedprice")), feats, "l_extendedprice")
+    return M.coefficient_table(spark, model, feats).withColumn("coefficient", r6("coefficient"))

@@ -28,7 +28,7 @@ def anchors(html: str | Column) -> Column:
 def first_link_with_text(html: str | Column, text: str = DOWNLOAD_TEXT) -> Column:
     """Href of the first anchor whose text equals ``text`` exactly; null if none."""
     hits = F.filter(anchors(html), lambda a: a["text"] == F.lit(text))
-    return F.element_at(hits, 1)["href"]
+    return F.try_element_at(hits, F.lit(1))["href"]
 
 
 def download_links(pages: DataFrame, text: str = DOWNLOAD_TEXT) -> DataFrame:

@@ -21,14 +21,18 @@ def _q(name: str) -> str:
 
 def merge_upsert(target: DataFrame, staging: DataFrame, keys: Sequence[str],
                  update_cols: Sequence[str], order_desc: Sequence[str] = (),
-                 tiebreak: Sequence[str] = (), drop_from_source: Sequence[str] = ()) -> DataFrame:
+                 tiebreak: Sequence[str] = (), drop_from_source: Sequence[str] = (),
+                 version_col: str | None = None) -> DataFrame:
     """``MERGE target USING dedup(staging) ON keys`` as a DataFrame.
 
     * the batch is deduplicated per key, newest ``order_desc`` first (W1);
     * matched target rows take ``update_cols`` from the batch, other columns stay;
     * unmatched batch rows are inserted with the target's columns;
     * keys compare with plain ``=`` (J3): a null key never matches, so such rows
-      are always inserted and target rows with null keys are kept as they are.
+      are always inserted and target rows with null keys are kept as they are;
+    * with ``version_col`` (kept on the target), a matched row is updated only if
+      the batch row is at least as new, so replaying or reordering batches
+      cannot roll a row back (H-2).
     """
     src = dedup_latest(staging, keys, order_desc, tiebreak) if order_desc else staging
     src = src.drop(*drop_from_source)
@@ -40,11 +44,16 @@ def merge_upsert(target: DataFrame, staging: DataFrame, keys: Sequence[str],
         term = F.col(_q(f"t__{k}")) == F.col(_q(f"s__{k}"))
         cond = term if cond is None else cond & term
     j = t.join(s, cond, "full")
+    take_src = F.col("__s").isNotNull()
+    if version_col:
+        tv, sv = F.col(_q(f"t__{version_col}")), F.col(_q(f"s__{version_col}"))
+        take_src = take_src & (F.col("__t").isNull() | tv.isNull() | (sv >= tv))
+        update_cols = [*update_cols, version_col]
     out = []
     for c in cols:
         tc, sc = F.col(_q(f"t__{c}")), F.col(_q(f"s__{c}"))
         if c in update_cols:
-            out.append(F.when(F.col("__s").isNotNull(), sc).otherwise(tc).alias(c))
+            out.append(F.when(take_src, sc).otherwise(tc).alias(c))
         else:
             out.append(F.when(F.col("__t").isNotNull(), tc).otherwise(sc).alias(c))
     return j.select(*out)
@@ -64,7 +73,8 @@ def insert_ignore(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> D
 def upsert_into_table(spark: SparkSession, table: str, staging: DataFrame, keys: Sequence[str],
                       update_cols: Sequence[str], partition_col: str, partition_expr,
                       order_desc: Sequence[str] = (), tiebreak: Sequence[str] = (),
-                      drop_from_source: Sequence[str] = ()) -> DataFrame:
+                      drop_from_source: Sequence[str] = (),
+                      version_col: str | None = None) -> DataFrame:
     """K11 against a catalog table partitioned by ``partition_col``.
 
     Reads only the target partitions the batch touches (their list is small: one
@@ -77,7 +87,8 @@ def upsert_into_table(spark: SparkSession, table: str, staging: DataFrame, keys:
     parts = [r[0] for r in batch.select(partition_col).distinct().collect()]
     target = spark.table(table)
     slice_ = target.filter(F.col(partition_col).isin(parts)) if parts else target.limit(0)
-    merged = merge_upsert(slice_, batch, keys, update_cols, order_desc, tiebreak, drop_from_source)
+    merged = merge_upsert(slice_, batch, keys, update_cols, order_desc, tiebreak, drop_from_source,
+                          version_col)
     merged = merged.select(*target.columns).checkpoint(eager=True)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")

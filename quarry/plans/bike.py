@@ -130,14 +130,14 @@ def station_rules(st: str = "st") -> list[Rule]:
     ]
 
 
-def flatten_stations(docs: DataFrame) -> DataFrame:
-    """X1 + X2: one row per station carrying the network fields; ``extra`` may be
-    absent (null-propagating access)."""
-    st = docs.select(F.col("network.id").alias("network_id"),
+def flatten_stations(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """X1 + X2: one row per station carrying the network fields (and ``carry``
+    columns of the document); ``extra`` may be absent (null-propagating access)."""
+    st = docs.select(*carry, F.col("network.id").alias("network_id"),
                      F.col("network.name").alias("network_name"),
                      F.explode("network.stations").alias("st"))
     return st.select(
-        "network_id", "network_name",
+        *carry, "network_id", "network_name",
         F.col("st.id").alias("station_id"), F.col("st.latitude").alias("latitude"),
         F.col("st.longitude").alias("longitude"), F.col("st.timestamp").alias("timestamp"),
         F.col("st.free_bikes").alias("free_bikes"), F.col("st.empty_slots").alias("empty_slots"),
@@ -146,8 +146,9 @@ def flatten_stations(docs: DataFrame) -> DataFrame:
         F.col("st.extra.has_ebikes").alias("has_ebikes"), F.col("st.extra.ebikes").alias("ebikes"))
 
 
-def type_silver(flat: DataFrame, snapshot_time: datetime) -> DataFrame:
-    """Typed silver rows for one snapshot run."""
+def type_silver(flat: DataFrame, snapshot_time: datetime | None = None) -> DataFrame:
+    """Typed silver rows for one snapshot run. Without a run
+    time, a ``snapshot_time`` column carried from the document is kept."""
     typed = flat.select(
         "network_id", "network_name", "station_id",
         coerce_numeric("latitude").alias("latitude"),
@@ -160,10 +161,13 @@ def type_silver(flat: DataFrame, snapshot_time: datetime) -> DataFrame:
         to_bool_default_false("returning").alias("returning"),
         to_bool_default_false("has_ebikes").alias("has_ebikes"),
         coerce_numeric("ebikes", "double").cast("long").alias("ebikes"),
+        *([] if snapshot_time is not None else [F.col("snapshot_time").cast("timestamp")]),
     )
     typed = in_range(typed, "timestamp", F.lit("2000-01-01").cast("timestamp"),
                      F.lit("2100-01-01").cast("timestamp"))
     typed = fill_defaults(typed, SILVER_DEFAULTS)
+    if snapshot_time is None:
+        return typed
     return typed.withColumn("snapshot_time", F.lit(snapshot_time).cast("timestamp"))
 
 

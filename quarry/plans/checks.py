@@ -981,3 +981,75 @@ def q_ols_multi(spark, sf):
     feats = ["l_quantity", "l_discount", "l_tax"]
     model = M.fit_ols(FL.drop_any_null(li.select(*feats, "l_extendedprice")), feats, "l_extendedprice")
     return M.coefficient_table(spark, model, feats).withColumn("coefficient", r6("coefficient"))
+
+
+# --- sinks read back, streaming ingest ---------------------------------------------------
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint location (never machine-local)."""
+    from quarry.session import shared_path
+
+    return shared_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@query("append_history", """
+SELECT *, CASE WHEN event_type IN ('view', 'click') THEN '20240101_000000' ELSE '20240102_000000' END AS run_ts
+FROM events
+""")
+def q_append_history(spark, sf):
+    from datetime import datetime
+
+    from quarry.operators.windows import union_snapshots
+    from quarry.sinks.tables import append_history
+    from quarry.sources.files import read_parquet_glob
+
+    ev = table(spark, sf, "events")
+    path = _scratch(spark, "append_history")
+    first = ev.filter(F.col("event_type").isin("view", "click"))
+    second = ev.filter(~F.col("event_type").isin("view", "click"))
+    append_history(first, path, datetime(2024, 1, 1))
+    append_history(second, path, datetime(2024, 1, 2))
+    back = read_parquet_glob(spark, path)
+    # The read-back history equals the bag union of the two runs.
+    return union_snapshots([back.filter(F.col("run_ts") == "20240101_000000"),
+                            back.filter(F.col("run_ts") != "20240101_000000")])
+
+
+@query("csv_roundtrip", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal,
+       CASE WHEN c_mktsegment IN ('MACHINERY', 'BUILDING', 'FURNITURE') THEN NULL ELSE c_mktsegment END AS c_mktsegment
+FROM customer
+""")
+def q_csv_roundtrip(spark, sf):
+    from quarry.sinks.tables import write_csv
+    from quarry.sources.files import read_csv
+
+    c = table(spark, sf, "customer")
+    seg = (F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("NA"))
+           .when(F.col("c_mktsegment") == "BUILDING", F.lit("n/a"))
+           .when(F.col("c_mktsegment") == "FURNITURE", F.lit(""))
+           .otherwise(F.col("c_mktsegment")))
+    path = _scratch(spark, "csv_roundtrip")
+    write_csv(c.withColumn("c_mktsegment", seg), path, empty_as_null=False)
+    return read_csv(spark, path, {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int",
+                                  "c_acctbal": "double", "c_mktsegment": "string"})
+
+
+@query("stream_ingest", _STATUS + f""",
+d AS (SELECT *, row_number() OVER (PARTITION BY station_id, "timestamp"
+                                   ORDER BY snapshot_time DESC, extra_uid DESC) AS rn FROM status)
+SELECT {_MASTER_COLS}, snapshot_time, CAST("timestamp" AS DATE) AS ts_date FROM d WHERE rn = 1
+""")
+def q_stream_ingest(spark, sf):
+    from quarry.streaming import snapshot_ingest as ST
+
+    base = _scratch(spark, "stream_ingest")
+    docs = ST.documents_from_status(station_status(table(spark, sf, "events")))
+    docs.write.mode("overwrite").text(f"{base}/landing")
+    name = f"stream_master_{uuid.uuid4().hex[:12]}"
+    q = ST.start(spark, f"{base}/landing", name, checkpoint=f"{base}/checkpoint", multi_line=False,
+                 table_location=f"{base}/master")
+    q.awaitTermination()
+    out = spark.table(name)
+    return out.withColumns({"timestamp": F.col("timestamp").cast("timestamp_ntz"),
+                            "snapshot_time": F.col("snapshot_time").cast("timestamp_ntz")})

@@ -21,7 +21,8 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],
     Expressed as ``max_by(row, ordering)`` so each task reduces its share of a key
     to one row before the shuffle: a key holding a third of all rows costs one
     row per task, not one task holding the whole group. Null keys form one group,
-    as in SQL. A null ordering value sorts last (DESC NULLS LAST).
+    as in SQL. A null ordering value sorts last (DESC NULLS LAST); tie-breakers
+    are compared descending too.
     """
     cols = df.columns
     order = F.struct(*[F.col(_q(c)) for c in list(order_desc) + list(tiebreak)])
@@ -36,7 +37,7 @@ def dedup_latest_window(df: DataFrame, keys: Sequence[str], order_desc: Sequence
     callers that need the row number itself."""
     w = Window.partitionBy(*[F.col(_q(k)) for k in keys]).orderBy(
         *[F.col(_q(c)).desc_nulls_last() for c in order_desc],
-        *[F.col(_q(c)).asc() for c in tiebreak])
+        *[F.col(_q(c)).desc_nulls_last() for c in tiebreak])
     return df.withColumn("row_num", F.row_number().over(w)).filter(F.col("row_num") == 1).drop("row_num")
 
 

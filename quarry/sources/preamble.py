@@ -68,27 +68,39 @@ def strip_preamble(lines: DataFrame, patterns: Sequence[str] = BOOK_HEADERS) ->
                                  (F.col("pos") == F.col("header_pos")).alias("is_header"))
 
 
-def parse_csv_lines(kept: DataFrame) -> DataFrame:
-    """Parse the kept lines of every file into rows under its own header.
+def csv_layouts(kept: DataFrame) -> dict[str, tuple[list[str], DataFrame]]:
+    """Per file: its column names and its parsed rows ``(file, pos, <columns>)``.
 
-    Distinct header lines are few (one per file layout), so they are read to the
-    driver to build each layout's schema; data lines are parsed with
-    ``from_csv``, and the layouts unioned by name. A line spanning a quoted
-    newline is not supported in this line-based path.
+    Header lines are one per file, so only (file, header) pairs reach the driver
+    to build each layout's schema; data lines are parsed with ``from_csv`` on the
+    executors. A line spanning a quoted newline is not supported in this
+    line-based path.
     """
-    headers = [r["line"] for r in kept.filter("is_header").select("line").distinct().collect()]
-    frames = []
-    for h in headers:
-        names = next(iter(_split_header(h)))
+    heads = kept.filter("is_header").select("file", "line").collect()
+    by_header: dict[str, list[str]] = {}
+    for r in heads:
+        by_header.setdefault(r["line"], []).append(r["file"])
+    data = kept.filter(~F.coalesce(F.col("is_header"), F.lit(False)))
+    out: dict[str, tuple[list[str], DataFrame]] = {}
+    for header, files in by_header.items():
+        names = next(iter(_split_header(header)))
         schema = StructType([StructField(n, StringType()) for n in names])
-        files = kept.filter(F.col("is_header") & (F.col("line") == F.lit(h))).select("file")
-        rows = (kept.filter(~F.coalesce(F.col("is_header"), F.lit(False)))
-                .join(files, "file", "left_semi")
+        rows = (data.filter(F.col("file").isin(files))
                 .select("file", "pos", F.from_csv(F.col("line"), schema.simpleString()).alias("r"))
                 .select("file", "pos", "r.*"))
-        frames.append(rows)
-    if not frames:
+        for f in files:
+            out[f] = (names, rows)
+    return out
+
+
+def parse_csv_lines(kept: DataFrame) -> DataFrame:
+    """All files' rows under their own headers, unioned by column name."""
+    layouts = {}
+    for names, rows in csv_layouts(kept).values():
+        layouts[tuple(names)] = rows
+    if not layouts:
         raise ValueError("no header line found in any file")
+    frames = list(layouts.values())
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

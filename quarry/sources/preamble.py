@@ -17,7 +17,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from quarry.operators.filters import non_blank
 
@@ -84,9 +83,9 @@ def csv_layouts(kept: DataFrame) -> dict[str, tuple[list[str], DataFrame]]:
     out: dict[str, tuple[list[str], DataFrame]] = {}
     for header, files in by_header.items():
         names = next(iter(_split_header(header)))
-        schema = StructType([StructField(n, StringType()) for n in names])
+        ddl = ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in names)
         rows = (data.filter(F.col("file").isin(files))
-                .select("file", "pos", F.from_csv(F.col("line"), schema.simpleString()).alias("r"))
+                .select("file", "pos", F.from_csv(F.col("line"), F.lit(ddl)).alias("r"))
                 .select("file", "pos", "r.*"))
         for f in files:
             out[f] = (names, rows)

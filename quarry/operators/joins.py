@@ -29,27 +29,50 @@ def _eq(a: Column, b: Column, null_safe: bool) -> Column:
     return a.eqNullSafe(b) if null_safe else a == b
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, max_keys: int = 1000,
-             rows_per_salt: int | None = None) -> DataFrame:
-    """The heaviest keys (at most ``max_keys``, each with >= ``min_rows`` rows) and a
-    salt count per key. Bounded by ``max_keys`` rows, hence safe to broadcast."""
-    per_salt = rows_per_salt or min_rows
-    return (df.groupBy(*[F.col(_q(k)).alias(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
-            .filter(F.col("__n") >= min_rows)
+def key_counts(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Rows per key in each frame (``n0, n1, ...``; null when the frame lacks the
+    key), from one shuffle of the key columns only. Null keys group together,
+    which is exactly the null-safe matching of the merge."""
+    tagged = None
+    for i, f in enumerate(frames):
+        t = f.select(*[F.col(_q(k)).alias(k) for k in keys], F.lit(i).alias("__f"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    return tagged.groupBy(*keys).agg(*[
+        F.nullif(F.count_if(F.col("__f") == i), F.lit(0)).alias(f"n{i}") for i in range(len(frames))])
+
+
+def _left_rows(upto: int) -> Column:
+    """Rows the merge of frames ``0..upto-1`` holds for a key (0 if none has it)."""
+    prod = F.lit(1).cast("long")
+    for i in range(upto):
+        prod = prod * F.coalesce(F.col(f"n{i}"), F.lit(1))
+    present = F.greatest(*[F.coalesce(F.col(f"n{i}"), F.lit(0)) for i in range(upto)]) > 0 \
+        if upto > 1 else F.col("n0").isNotNull()
+    return F.when(present, prod).otherwise(F.lit(0))
+
+
+def hot_keys(counts: DataFrame, keys: Sequence[str], upto: int, min_rows: int,
+             max_keys: int = 1000, max_salts: int = 4096) -> DataFrame:
+    """The heaviest keys of the left side of join step ``upto`` (at most
+    ``max_keys``, each with >= ``min_rows`` left rows) with a salt count each.
+    Bounded by ``max_keys`` rows, hence safe to broadcast."""
+    left = _left_rows(upto)
+    return (counts.select(*keys, left.alias("__n")).filter(F.col("__n") >= min_rows)
             .orderBy(F.col("__n").desc()).limit(max_keys)
-            .select(*keys, F.ceil(F.col("__n") / F.lit(per_salt)).cast("int").alias("__s")))
+            .select(*keys, F.least(F.ceil(F.col("__n") / F.lit(min_rows)), F.lit(max_salts))
+                    .cast("int").alias("__s")))
 
 
 def full_outer_merge(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                     null_safe: bool = True, skew_rows: int | None = None) -> DataFrame:
+                     null_safe: bool = True, hot: DataFrame | None = None) -> DataFrame:
     """Full outer equi-join on ``keys`` that keeps one copy of each key column
     (``coalesce(left.k, right.k)``); many-to-many matches yield every pair.
 
-    With ``skew_rows`` set, keys holding at least that many rows on the left are
-    salted: left rows of a hot key spread over ``s`` salts by a deterministic hash,
-    right rows of that key are replicated to all ``s`` salts. Every pair still
-    meets exactly once, and since a hot key has left rows, no right row of it can
-    be unmatched, so the result is identical to the unsalted join.
+    With ``hot`` (keys + salt count ``__s``, see ``hot_keys``), left rows of a hot
+    key spread over its salts by a hash of the row's content, and right rows of
+    that key are copied to every salt. Every pair still meets exactly once, and
+    since a hot key has left rows, no right row of it can be unmatched: the result
+    equals the unsalted join, while one key no longer lands in one task.
     """
     lk = {k: f"{k}__l" for k in keys}
     rk = {k: f"{k}__r" for k in keys}
@@ -59,22 +82,21 @@ def full_outer_merge(left: DataFrame, right: DataFrame, keys: Sequence[str],
     for k in keys:
         term = _eq(a[_q(lk[k])], b[_q(rk[k])], null_safe)
         cond = term if cond is None else cond & term
-    if skew_rows:
-        hot = F.broadcast(hot_keys(left, keys, skew_rows).withColumnsRenamed(
-            {k: f"{k}__h" for k in keys}))
+    if hot is not None:
+        h = F.broadcast(hot.withColumnsRenamed({k: f"{k}__h" for k in keys}))
         hcond_a = None
         hcond_b = None
         for k in keys:
-            ta = _eq(a[_q(lk[k])], hot[_q(f"{k}__h")], null_safe)
-            tb = _eq(b[_q(rk[k])], hot[_q(f"{k}__h")], null_safe)
+            ta = _eq(a[_q(lk[k])], h[_q(f"{k}__h")], null_safe)
+            tb = _eq(b[_q(rk[k])], h[_q(f"{k}__h")], null_safe)
             hcond_a = ta if hcond_a is None else hcond_a & ta
             hcond_b = tb if hcond_b is None else hcond_b & tb
-        row_hash = F.xxhash64(*[F.col(_q(c)) for c in a.columns], F.monotonically_increasing_id())
-        a = (a.join(hot, hcond_a, "left")
+        row_hash = F.xxhash64(*[F.col(_q(c)) for c in a.columns])
+        a = (a.join(h, hcond_a, "left")
              .withColumn("__salt_l", F.when(F.col("__s").isNull(), F.lit(0))
                          .otherwise(F.pmod(row_hash, F.col("__s").cast("long")).cast("int")))
              .drop(*[f"{k}__h" for k in keys], "__s"))
-        b = (b.join(hot, hcond_b, "left")
+        b = (b.join(h, hcond_b, "left")
              .withColumn("__salt_r", F.explode(
                  F.when(F.col("__s").isNull(), F.array(F.lit(0)))
                  .otherwise(F.sequence(F.lit(0), F.col("__s") - 1))))
@@ -88,11 +110,42 @@ def full_outer_merge(left: DataFrame, right: DataFrame, keys: Sequence[str],
         *[F.col(_q(c)) for c in rest])
 
 
+def collect_hot_keys(frames: Sequence[DataFrame], keys: Sequence[str], skew_rows: int,
+                     max_keys: int = 1000, max_salts: int = 4096) -> dict[int, DataFrame | None]:
+    """For each join step of a left-deep merge, the hot keys of its left side with
+    their salt counts, or None when no key reaches ``skew_rows``.
+
+    One job: a key-only aggregate over all inputs, then at most ``max_keys`` rows
+    reach the driver. The hot lists are rebuilt as small DataFrames, so their
+    broadcast is bounded by ``max_keys`` rows.
+    """
+    spark = frames[0].sparkSession
+    counts = key_counts(frames, keys)
+    steps = list(range(1, len(frames)))
+    lefts = [_left_rows(st).alias(f"__l{st}") for st in steps]
+    heaviest = F.greatest(*[F.col(f"__l{st}") for st in steps]) if len(steps) > 1 else F.col("__l1")
+    heavy = (counts.select(*keys, *lefts).filter(heaviest >= skew_rows)
+             .orderBy(heaviest.desc()).limit(max_keys).collect())
+    key_fields = [frames[0].schema[k] for k in keys]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields) + ", __s int"
+    out: dict[int, DataFrame | None] = {}
+    for st in steps:
+        rows_ = [(*[r[k] for k in keys], min(-(-r[f"__l{st}"] // skew_rows), max_salts))
+                 for r in heavy if r[f"__l{st}"] >= skew_rows]
+        out[st] = spark.createDataFrame(rows_, schema) if rows_ else None
+    return out
+
+
 def merge_indexes(frames: Sequence[DataFrame], keys: Sequence[str], null_safe: bool = True,
                   skew_rows: int | None = 1_000_000) -> DataFrame:
     """J1 + J2: outer-merge several frames on ``keys`` (nulls match, many-to-many),
     then fold each column that several frames share into one column where the
-    earliest frame's non-null value wins (``coalesce(f0.c, f1.c, ...)``)."""
+    earliest frame's non-null value wins (``coalesce(f0.c, f1.c, ...)``).
+
+    With ``skew_rows``, per-key counts of every input are computed once (a
+    key-only aggregate) and each join step salts the keys whose left side
+    reaches ``skew_rows`` rows; steps without hot keys stay plain joins.
+    """
     tagged = []
     owners: dict[str, list[int]] = {}
     for i, f in enumerate(frames):
@@ -101,9 +154,11 @@ def merge_indexes(frames: Sequence[DataFrame], keys: Sequence[str], null_safe: b
             owners.setdefault(c, []).append(i)
         tagged.append(f.select(*[F.col(_q(k)) for k in keys],
                                *[F.col(_q(c)).alias(f"{c}__{i}") for c in others]))
+    hot = (collect_hot_keys(frames, keys, skew_rows)
+           if (skew_rows and null_safe and len(frames) > 1) else {})
     out = tagged[0]
-    for t in tagged[1:]:
-        out = full_outer_merge(out, t, keys, null_safe, skew_rows)
+    for step, t in enumerate(tagged[1:], start=1):
+        out = full_outer_merge(out, t, keys, null_safe, hot.get(step))
     return out.select(*[F.col(_q(k)) for k in keys],
                       *[F.coalesce(*[F.col(_q(f"{c}__{i}")) for i in idx]).alias(c)
                         if len(idx) > 1 else F.col(_q(f"{c}__{idx[0]}")).alias(c)
@@ -113,15 +168,7 @@ def merge_indexes(frames: Sequence[DataFrame], keys: Sequence[str], null_safe: b
 def key_multiplicity(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Rows the merge will produce per key (product of per-frame counts, a frame
     without the key counting 1) -- the blow-up report to read before merging."""
-    counts = [f.groupBy(*[F.col(_q(k)) for k in keys]).agg(F.count(F.lit(1)).alias(f"n{i}"))
-              for i, f in enumerate(frames)]
-    out = counts[0]
-    for c in counts[1:]:
-        out = full_outer_merge(out, c, keys, True, None)
-    prod = F.lit(1)
-    for i in range(len(frames)):
-        prod = prod * F.coalesce(F.col(f"n{i}"), F.lit(1))
-    return out.withColumn("merged_rows", prod.cast("long"))
+    return key_counts(frames, keys).withColumn("merged_rows", _left_rows(len(frames)))
 
 
 def exists_in(df: DataFrame, column: str, ref: DataFrame, ref_column: str,

@@ -25,10 +25,13 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],
     are compared descending too.
     """
     cols = df.columns
+    rest = [c for c in cols if c not in keys]
     order = F.struct(*[F.col(_q(c)) for c in list(order_desc) + list(tiebreak)])
+    # Keys come from the grouping columns (not the struct) so the output keeps the
+    # aggregate's hash partitioning and a following join on the keys needs no shuffle.
     return (df.groupBy(*[F.col(_q(k)).alias(k) for k in keys])
-            .agg(F.max_by(F.struct(*[F.col(_q(c)) for c in cols]), order).alias("__w"))
-            .select(*[F.col(f"__w.{_q(c)}").alias(c) for c in cols]))
+            .agg(F.max_by(F.struct(*[F.col(_q(c)) for c in rest]), order).alias("__w"))
+            .select(*[F.col(_q(c)) if c in keys else F.col(f"__w.{_q(c)}").alias(c) for c in cols]))
 
 
 def dedup_latest_window(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],

@@ -185,7 +185,11 @@ def gold_weekly(master: DataFrame, as_of=None, days: int | None = 7,
                 threshold: float = 0.8) -> DataFrame:
     """F7 + D1 + A4 + A5: utilisation per station and Monday week over the last
     ``days`` days before ``as_of`` (``days=None`` -> whole history)."""
-    src = rolling_days(master, "timestamp", days, as_of) if days is not None else master
+    src = master
+    if days is not None:
+        src = rolling_days(src, "timestamp", days, as_of)
+        if "ts_date" in master.columns:  # partition pruning: Spark won't derive it from timestamp
+            src = rolling_days(src, "ts_date", days, as_of)
     return weekly_utilization(src, threshold)
 
 

@@ -19,9 +19,13 @@ def test_salted_full_merge_equals_plain(spark):
     right = [("hot", f"r{i}") for i in range(4)] + [(f"k{i}", f"r{i}") for i in range(10)] + [(None, "rn")]
     a = spark.createDataFrame(left, "k string, a string")
     b = spark.createDataFrame(right, "k string, b string")
-    plain = J.full_outer_merge(a, b, ["k"], null_safe=True, skew_rows=None)
-    salted = J.full_outer_merge(a, b, ["k"], null_safe=True, skew_rows=20)
+    plain = J.full_outer_merge(a, b, ["k"], null_safe=True)
+    hot = J.hot_keys(J.key_counts([a, b], ["k"]), ["k"], 1, 20)
+    assert rows(hot) == [("hot", 10)]
+    salted = J.full_outer_merge(a, b, ["k"], null_safe=True, hot=hot)
     assert rows(plain) == rows(salted)
+    three = [a, b, b.withColumnRenamed("b", "c")]
+    assert rows(J.merge_indexes(three, ["k"], skew_rows=None)) == rows(J.merge_indexes(three, ["k"], skew_rows=7))
     assert plain.count() == 200 * 4 + sum(1 for k, _ in left if k and k != "hot") + 3 + 1
 
 

@@ -1056,3 +1056,27 @@ def q_stream_ingest(spark, sf):
     out = spark.table(name)
     return out.withColumns({"timestamp": F.col("timestamp").cast("timestamp_ntz"),
                             "snapshot_time": F.col("snapshot_time").cast("timestamp_ntz")})
+
+
+@query("table_sinks", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 'replace' AS batch FROM orders
+UNION ALL
+SELECT o_orderkey, o_custkey, NULL, o_totalprice, 'append' FROM orders
+""")
+def q_table_sinks(spark, sf):
+    from quarry.sinks.tables import append_existing, clear_dataset, replace_table, write_latest_parquet
+    from quarry.sources.files import read_table
+
+    base = _scratch(spark, "table_sinks")
+    orders = table(spark, sf, "orders")
+    # K2 + K12: a 'latest' dataset that is replaced, then cleared keeping its schema.
+    write_latest_parquet(orders, f"{base}/latest")
+    clear_dataset(spark, orders, f"{base}/latest")
+    assert spark.read.parquet(f"{base}/latest").columns == orders.columns
+    # K5/K7: replace a table; K4: append into it (unknown column ignored, missing -> null).
+    name = f"sink_orders_{uuid.uuid4().hex[:12]}"
+    replace_table(orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                F.lit("replace").alias("batch")), name, location=f"{base}/table")
+    append_existing(spark, orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
+                                         F.lit("append").alias("batch")), name)
+    return read_table(spark, name)

@@ -49,11 +49,15 @@ def append_existing(spark: SparkSession, df: DataFrame, table: str) -> None:
         .write.insertInto(table, overwrite=False)
 
 
-def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """K5 / K7: replace the whole table (``if_exists='replace'`` / CTAS)."""
+def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = (),
+                  location: str | None = None) -> None:
+    """K5 / K7: replace the whole table (``if_exists='replace'`` / CTAS). With
+    ``location`` the table's files live there (a shared folder on a cluster)."""
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if location:
+        w = w.option("path", location)
     w.saveAsTable(table)
 
 

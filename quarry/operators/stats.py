@@ -1,7 +1,7 @@
 """Statistical modelling: M1-M5.
 
-OLS runs on Spark ML's normal-equation solver: X^T X and X^T y are summed by a
-tree aggregate over partitions, so only a (k+1)^2 matrix reaches the driver.
+OLS sums X^T X and X^T y in one aggregate over all partitions, so only a
+(k+1)^2 matrix reaches the driver (Spark ML's normal solver is the alternative).
 """
 
 from __future__ import annotations
@@ -28,29 +28,48 @@ def split_flag(df: DataFrame, key_cols: Sequence[str], test_fraction: float = 0.
     return df.withColumn(name, h < F.lit(int(test_fraction * 1_000_000)))
 
 
-def fit_ols(train: DataFrame, features: Sequence[str], label: str):
-    """M2: ordinary least squares with intercept (no regularisation)."""
+class OlsModel:
+    """A fitted linear model: ``intercept + sum(coef_i * x_i)``. Prediction is a
+    plain column expression, so scoring stays inside whole-stage codegen."""
+
+    def __init__(self, features: Sequence[str], coefficients: Sequence[float], intercept: float):
+        self.features = list(features)
+        self.coefficients = [float(c) for c in coefficients]
+        self.intercept = float(intercept)
+
+    def prediction(self):
+        expr = F.lit(self.intercept)
+        for f, c in zip(self.features, self.coefficients):
+            expr = expr + F.lit(c) * F.col(_q(f)).cast("double")
+        return expr
+
+
+def fit_ols(train: DataFrame, features: Sequence[str], label: str, engine: str = "normal"):
+    """M2: ordinary least squares with intercept, no regularisation, rows with a
+    null feature or label dropped.
+
+    ``engine="normal"``: one aggregate builds X^T X and X^T y ((k+1)^2 sums), the
+    driver solves the small system. ``engine="ml"``: Spark ML's normal-equation
+    solver (same result, more passes)."""
+    if engine == "normal":
+        coefs, intercept = ols_normal_equations(train, features, label)
+        return OlsModel(features, coefs, intercept)
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
-    assembled = VectorAssembler(inputCols=list(features), outputCol="__features").transform(
-        train.select(*[F.col(_q(c)).cast("double").alias(c) for c in features],
-                     F.col(_q(label)).cast("double").alias(label)))
+    clean = train.select(*[F.col(_q(c)).cast("double").alias(c) for c in features],
+                         F.col(_q(label)).cast("double").alias(label)).na.drop()
+    assembled = VectorAssembler(inputCols=list(features), outputCol="__features").transform(clean)
     lr = LinearRegression(featuresCol="__features", labelCol=label, solver="normal",
                           regParam=0.0, elasticNetParam=0.0, fitIntercept=True,
                           standardization=False)
-    return lr.fit(assembled)
+    m = lr.fit(assembled)
+    return OlsModel(features, m.coefficients.toArray().tolist(), m.intercept)
 
 
-def score(model, df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+def score(model: OlsModel, df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """M3: (actual, predicted) for each row."""
-    from pyspark.ml.feature import VectorAssembler
-
-    assembled = VectorAssembler(inputCols=list(features), outputCol="__features").transform(
-        df.select(*[F.col(_q(c)).cast("double").alias(c) for c in features],
-                  F.col(_q(label)).cast("double").alias("actual")))
-    return model.setFeaturesCol("__features").setPredictionCol("predicted").transform(
-        assembled).select("actual", "predicted")
+    return df.select(F.col(_q(label)).cast("double").alias("actual"), model.prediction().alias("predicted"))
 
 
 def regression_metrics(scored: DataFrame, actual: str = "actual",
@@ -67,10 +86,10 @@ def regression_metrics(scored: DataFrame, actual: str = "actual",
         F.col("n"))
 
 
-def coefficient_table(spark: SparkSession, model, features: Sequence[str]) -> DataFrame:
+def coefficient_table(spark: SparkSession, model: OlsModel, features: Sequence[str] | None = None) -> DataFrame:
     """M5: (feature, coefficient) rows plus the intercept; k+1 values."""
-    rows = [(f, float(c)) for f, c in zip(features, model.coefficients.toArray())]
-    rows.append(("intercept", float(model.intercept)))
+    rows = list(zip(model.features, model.coefficients))
+    rows.append(("intercept", model.intercept))
     return spark.createDataFrame(rows, "feature string, coefficient double")
 
 

@@ -16,34 +16,36 @@ def _q(name: str) -> str:
 def dedup_latest(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],
                  tiebreak: Sequence[str] = ()) -> DataFrame:
     """Keep the newest row per key (``ROW_NUMBER() OVER (PARTITION BY keys ORDER
-    BY order DESC) = 1``).
-
-    Expressed as ``max_by(row, ordering)`` so each task reduces its share of a key
-    to one row before the shuffle: a key holding a third of all rows costs one
-    row per task, not one task holding the whole group. Null keys form one group,
-    as in SQL. A null ordering value sorts last (DESC NULLS LAST); tie-breakers
-    are compared descending too.
+    BY order DESC, tiebreak DESC) = 1``).
+
+    Catalyst plans this as a *partial* WindowGroupLimit before the shuffle and a
+    final one after it: every map task forwards at most one row per key, so a key
+    holding a third of all rows costs one row per task, never one task holding
+    the whole group. The output stays hash-partitioned by the keys, so a join on
+    them (the upsert) needs no further shuffle. Null keys form one group, as in
+    SQL; a null ordering value sorts last.
     """
+    w = Window.partitionBy(*[F.col(_q(k)) for k in keys]).orderBy(
+        *[F.col(_q(c)).desc_nulls_last() for c in order_desc],
+        *[F.col(_q(c)).desc_nulls_last() for c in tiebreak])
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+
+
+def dedup_latest_agg(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],
+                     tiebreak: Sequence[str] = ()) -> DataFrame:
+    """W1 as an aggregate: ``max_by(row, (order, tiebreak))`` per key, combined
+    partially before the shuffle (a sort-based aggregate, since the row is a
+    struct). Same result as ``dedup_latest``."""
     cols = df.columns
     rest = [c for c in cols if c not in keys]
     order = F.struct(*[F.col(_q(c)) for c in list(order_desc) + list(tiebreak)])
     # Keys come from the grouping columns (not the struct) so the output keeps the
-    # aggregate's hash partitioning and a following join on the keys needs no shuffle.
+    # aggregate's hash partitioning.
     return (df.groupBy(*[F.col(_q(k)).alias(k) for k in keys])
             .agg(F.max_by(F.struct(*[F.col(_q(c)) for c in rest]), order).alias("__w"))
             .select(*[F.col(_q(c)) if c in keys else F.col(f"__w.{_q(c)}").alias(c) for c in cols]))
 
 
-def dedup_latest_window(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],
-                        tiebreak: Sequence[str] = ()) -> DataFrame:
-    """W1, literal window form. Catalyst inserts a WindowGroupLimit; kept for
-    callers that need the row number itself."""
-    w = Window.partitionBy(*[F.col(_q(k)) for k in keys]).orderBy(
-        *[F.col(_q(c)).desc_nulls_last() for c in order_desc],
-        *[F.col(_q(c)).desc_nulls_last() for c in tiebreak])
-    return df.withColumn("row_num", F.row_number().over(w)).filter(F.col("row_num") == 1).drop("row_num")
-
-
 def sort_desc(df: DataFrame, by: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """O1: sort by a measure descending, keys ascending as tie-breakers (N-11)."""
     return df.orderBy(F.col(_q(by)).desc_nulls_last(), *[F.col(_q(t)).asc() for t in tiebreak])

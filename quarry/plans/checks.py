@@ -982,8 +982,8 @@ def q_ols_metrics(spark, sf):
 def q_ols_multi(spark, sf):
     li = table(spark, sf, "lineitem")
     feats = ["l_quantity", "l_discount", "l_tax"]
-    model = M.fit_ols(FL.drop_any_null(li.select(*feats, "l_extendedprice")), feats, "l_extendedprice")
-    return M.coefficient_table(spark, model, feats).withColumn("coefficient", r6("coefficient"))
+    model = M.fit_ols(li, feats, "l_extendedprice")
+    return M.coefficient_table(spark, model).withColumn("coefficient", F.round("coefficient", 4))
 
 
 # --- sinks read back, streaming ingest ---------------------------------------------------

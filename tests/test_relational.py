@@ -104,7 +104,7 @@ def test_dedup_latest_forms_agree(spark):
                                "k string, t int, id int")
     want = [("a", 3, 2), (None, 4, 6)]
     assert rows(W.dedup_latest(df, ["k"], ["t"], ["id"])) == want
-    assert rows(W.dedup_latest_window(df, ["k"], ["t"], ["id"])) == want
+    assert rows(W.dedup_latest_agg(df, ["k"], ["t"], ["id"])) == want
 
 
 def test_top_n_rank_and_ties(spark):
@@ -160,3 +160,22 @@ def test_corr_matrix_diagonal_and_symmetry(spark):
                                "a double, b double, c double")
     got = {(r["x"], r["y"]): r["corr"] for r in A.corr_matrix(df, ["a", "b", "c"]).collect()}
     assert got[("a", "a")] == 1.0 and abs(got[("a", "b")] - got[("b", "a")]) < 1e-15
+
+
+def test_ols_engines_agree_and_regression_job(spark):
+    from quarry.operators import stats as M
+    from quarry.plans import covid
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 2))
+    y = 3.0 + 2.0 * x[:, 0] - 1.5 * x[:, 1] + rng.normal(scale=0.01, size=400)
+    data = [(f"c{i % 7}", i, float(a), float(b), float(t)) for i, ((a, b), t) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(data, "country string, date long, f1 double, f2 double, target double")
+    normal = M.fit_ols(df, ["f1", "f2"], "target")
+    ml = M.fit_ols(df, ["f1", "f2"], "target", engine="ml")
+    assert np.allclose(normal.coefficients, ml.coefficients, atol=1e-8)
+    assert abs(normal.intercept - 3.0) < 0.01
+    metrics, coefs = covid.regression(spark, df, ["f1", "f2"], "target", scale=1.0)
+    m = metrics.first()
+    assert m["r2"] > 0.99 and 40 < m["n"] < 120
+    assert {r["feature"] for r in coefs.collect()} == {"f1", "f2", "intercept"}

@@ -90,103 +90,146 @@ def _clean_numeric(df: DataFrame, column: str) -> DataFrame:
     return df.select(v.alias("v")).filter(v.isNotNull() & ~F.isnan(v))
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
-                    fetch_limit: int = 200_000, grid: int = 256,
-                    accuracy: int = 100_000) -> list[float | None]:
-    """Exact linear-interpolated quantiles (pandas / ``quantile_cont``) without
-    gathering the column anywhere.
-
-    Each pass draws an equi-depth grid with ``percentile_approx``, counts rows
-    below / at each grid value in one aggregate, and narrows every wanted rank to
-    the gap between two grid values. Once a gap holds at most ``fetch_limit`` rows
-    those rows (only) are fetched and indexed. Passes shrink the gap by roughly
-    ``accuracy``, so even 10^12 rows need two or three passes.
+def _in_gap(v, lo, hi):
+    cond = v.isNotNull() & ~F.isnan(v)
+    if lo is not None:
+        cond = cond & (v > F.lit(lo))
+    if hi is not None:
+        cond = cond & (v < F.lit(hi))
+    return cond
+
+
+def exact_quantiles_multi(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                          fetch_limit: int = 200_000, grid: int = 256,
+                          accuracy: int = 100_000) -> dict[str, list[float | None]]:
+    """Exact linear-interpolated quantiles (pandas / ``quantile_cont``) of several
+    columns, without gathering any column anywhere.
+
+    A wanted rank lives in a *gap* (lo, hi) of known size and offset. While a gap
+    holds more than ``fetch_limit`` rows, one aggregate draws an equi-depth grid
+    inside every open gap of every column (``percentile_approx``), and a second
+    counts rows below / at each grid value; each rank then either lands exactly on
+    a grid value or in a sub-gap roughly ``accuracy`` times smaller. Gaps at or
+    under ``fetch_limit`` are fetched in one tagged scan and indexed. All columns
+    share the same passes, so 10^12 rows need a handful of scans in total.
     """
-    vals = _clean_numeric(df, column)
-    n = vals.count()
-    if n == 0:
-        return [None for _ in probs]
-    ranks = sorted({r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
-    found: dict[int, float] = {}
-    # Each entry: (lo, hi, offset, ranks) -> rows with lo < v < hi; `offset` rows are <= lo.
-    pending = [(None, None, 0, ranks)]
+    cols = list(columns)
+    vals = df.select(*[F.col(_q(c)).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    vcol = [F.col(f"v{i}") for i in range(len(cols))]
+    counts = vals.agg(*[F.count_if(_in_gap(vcol[i], None, None)).alias(f"n{i}")
+                        for i in range(len(cols))]).first()
+    n = [counts[f"n{i}"] for i in range(len(cols))]
+    found: list[dict[int, float]] = [{} for _ in cols]
+    # open gap: (column index, lo, hi, offset = rows <= lo, size = rows strictly inside, ranks)
+    pending = []
+    for i in range(len(cols)):
+        if n[i]:
+            ranks = sorted({r for p in probs for r in (math.floor(p * (n[i] - 1)), math.ceil(p * (n[i] - 1)))})
+            pending.append((i, None, None, 0, n[i], ranks))
+    qs = [j / grid for j in range(1, grid)]
     while pending:
-        lo, hi, offset, want = pending.pop()
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("v") > F.lit(lo))
-        if hi is not None:
-            cond = cond & (F.col("v") < F.lit(hi))
-        part = vals.filter(cond)
-        size = part.count() if (lo is not None or hi is not None) else n
-        if size <= fetch_limit:
-            rows = [r[0] for r in part.orderBy("v").collect()]
-            for r in want:
-                found[r] = rows[r - offset]
+        small = [g for g in pending if g[4] <= fetch_limit]
+        big = [g for g in pending if g[4] > fetch_limit]
+        pending = []
+        if small:
+            tagged = []
+            for i in sorted({g[0] for g in small}):
+                tag = None
+                for j, g in enumerate(small):
+                    if g[0] != i:
+                        continue
+                    cond = _in_gap(vcol[i], g[1], g[2])
+                    tag = F.when(cond, F.lit(j)) if tag is None else tag.when(cond, F.lit(j))
+                tagged.append(F.struct(tag.alias("g"), vcol[i].alias("v")))
+            fetched = (vals.select(F.explode(F.array(*tagged)).alias("t"))
+                       .filter(F.col("t.g").isNotNull()).select("t.g", "t.v").collect())
+            by_gap: dict[int, list[float]] = {}
+            for r in fetched:
+                by_gap.setdefault(r["g"], []).append(r["v"])
+            for j, (i, _lo, _hi, off, _size, ranks) in enumerate(small):
+                values = sorted(by_gap.get(j, []))
+                for r in ranks:
+                    found[i][r] = values[r - off]
+        if not big:
+            break
+        grids = vals.agg(*[
+            F.percentile_approx(F.when(_in_gap(vcol[g[0]], g[1], g[2]), vcol[g[0]]), qs, accuracy).alias(f"g{j}")
+            for j, g in enumerate(big)]).first()
+        edges = [sorted(set(grids[f"g{j}"])) for j in range(len(big))]
+        aggs = []
+        for j, g in enumerate(big):
+            v = vcol[g[0]]
+            inside = _in_gap(v, g[1], g[2])
+            for k, e in enumerate(edges[j]):
+                aggs.append(F.count_if(inside & (v < F.lit(e))).alias(f"lt{j}_{k}"))
+                aggs.append(F.count_if(inside & (v <= F.lit(e))).alias(f"le{j}_{k}"))
+        c = vals.agg(*aggs).first()
+        for j, (i, lo, hi, off, size, ranks) in enumerate(big):
+            es = edges[j]
+            lt = [off + c[f"lt{j}_{k}"] for k in range(len(es))]
+            le = [off + c[f"le{j}_{k}"] for k in range(len(es))]
+            gaps: dict[tuple, list[int]] = {}
+            for r in ranks:
+                for k, e in enumerate(es):
+                    if lt[k] <= r < le[k]:
+                        found[i][r] = e
+                        break
+                    if r < lt[k]:
+                        a, a_off = (es[k - 1], le[k - 1]) if k else (lo, off)
+                        gaps.setdefault((a, e, a_off, lt[k] - a_off), []).append(r)
+                        break
+                else:
+                    gaps.setdefault((es[-1], hi, le[-1], off + size - le[-1]), []).append(r)
+            pending.extend((i, a, b, o, sz, rs) for (a, b, o, sz), rs in gaps.items())
+    out: dict[str, list[float | None]] = {}
+    for i, name in enumerate(cols):
+        if not n[i]:
+            out[name] = [None for _ in probs]
             continue
-        qs = [i / grid for i in range(1, grid)]
-        grid_vals = part.agg(F.percentile_approx("v", qs, accuracy).alias("g")).first()["g"]
-        edges = sorted(set(grid_vals))
-        counts = part.agg(*[
-            c for i, e in enumerate(edges)
-            for c in (F.count_if(F.col("v") < F.lit(e)).alias(f"lt{i}"),
-                      F.count_if(F.col("v") <= F.lit(e)).alias(f"le{i}"))
-        ]).first()
-        lt = [offset + counts[f"lt{i}"] for i in range(len(edges))]
-        le = [offset + counts[f"le{i}"] for i in range(len(edges))]
-        groups: dict[tuple, list[int]] = {}
-        for r in want:
-            placed = False
-            for i, e in enumerate(edges):
-                if lt[i] <= r < le[i]:
-                    found[r] = e
-                    placed = True
-                    break
-                if r < lt[i]:
-                    key = (edges[i - 1] if i else lo, e, le[i - 1] if i else offset)
-                    groups.setdefault(key, []).append(r)
-                    placed = True
-                    break
-            if not placed:
-                groups.setdefault((edges[-1], hi, le[-1]), []).append(r)
-        pending.extend((a, b, off, rs) for (a, b, off), rs in groups.items())
-    out = []
-    for p in probs:
-        pos = p * (n - 1)
-        lo_r, hi_r = math.floor(pos), math.ceil(pos)
-        frac = pos - lo_r
-        out.append(found[lo_r] + (found[hi_r] - found[lo_r]) * frac)
+        res = []
+        for p in probs:
+            pos = p * (n[i] - 1)
+            lo_r, hi_r = math.floor(pos), math.ceil(pos)
+            res.append(found[i][lo_r] + (found[i][hi_r] - found[i][lo_r]) * (pos - lo_r))
+        out[name] = res
     return out
 
 
-def describe_exact(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Q5: count, mean, sample std, min, 25/50/75 %, max per numeric column, exact.
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
+                    fetch_limit: int = 200_000, grid: int = 256,
+                    accuracy: int = 100_000) -> list[float | None]:
+    """Exact quantiles of one column (see ``exact_quantiles_multi``)."""
+    return exact_quantiles_multi(df, [column], probs, fetch_limit, grid, accuracy)[column]
 
-    Moments come from one aggregate; quantiles from ``exact_quantiles`` (a few
-    bounded passes), then are attached to the aggregate rows as literals.
-    """
+
+def _double_literal(x: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if x is None else f"CAST('{x!r}' AS DOUBLE)"
+
+
+def describe_exact(df: DataFrame, columns: Sequence[str] | None = None,
+                   fetch_limit: int = 200_000) -> DataFrame:
+    """Q5: count, mean, sample std, min, 25/50/75 %, max per numeric column, exact,
+    one row per column. Moments for all columns come from one aggregate, the
+    quartiles from ``exact_quantiles_multi`` (shared passes for all columns)."""
     if columns is None:
-        columns = [f.name for f in df.schema.fields
-                   if isinstance(f.dataType, NumericType)]
-    frames = []
-    for c in columns:
-        clean = _clean_numeric(df, c)
-        q25, q50, q75 = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-        frames.append(clean.agg(
-            F.lit(c).alias("column_name"),
-            F.count("v").alias("count"),
-            F.avg("v").alias("mean"),
-            F.stddev_samp("v").alias("std"),
-            F.min("v").alias("min"),
-            F.lit(q25).cast("double").alias("p25"),
-            F.lit(q50).cast("double").alias("p50"),
-            F.lit(q75).cast("double").alias("p75"),
-            F.max("v").alias("max"),
-        ))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+    cols = list(columns)
+    quart = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75], fetch_limit=fetch_limit)
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.col(_q(c)).cast("double")
+        clean = F.when(v.isNotNull() & ~F.isnan(v), v)
+        aggs += [F.count(clean).alias(f"c{i}"), F.avg(clean).alias(f"m{i}"),
+                 F.stddev_samp(clean).alias(f"s{i}"), F.min(clean).alias(f"lo{i}"),
+                 F.max(clean).alias(f"hi{i}")]
+    wide = df.agg(*aggs)
+    parts = []
+    for i, c in enumerate(cols):
+        q25, q50, q75 = quart[c]
+        parts.append(f"'{c}', c{i}, m{i}, s{i}, lo{i}, {_double_literal(q25)}, {_double_literal(q50)}, "
+                     f"{_double_literal(q75)}, hi{i}")
+    return wide.selectExpr(f"stack({len(cols)}, {', '.join(parts)}) as "
+                           "(column_name, count, mean, std, min, p25, p50, p75, max)")
 
 
 # --- Q6: preview ----------------------------------------------------------------------

@@ -1080,3 +1080,34 @@ def q_table_sinks(spark, sf):
     append_existing(spark, orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
                                          F.lit("append").alias("batch")), name)
     return read_table(spark, name)
+
+
+@query("silver_validation", _STATUS + """
+SELECT 'station.id' AS rule, count(*) FILTER (WHERE station_id IS NULL) AS violations FROM status
+UNION ALL SELECT 'station.latitude', count(*) FILTER (WHERE latitude < 40.4 OR latitude > 40.9) FROM status
+UNION ALL SELECT 'station.longitude', count(*) FILTER (WHERE longitude < -74.3 OR longitude > -73.7) FROM status
+UNION ALL SELECT 'station.free_bikes', count(*) FILTER (WHERE free_bikes < 0) FROM status
+UNION ALL SELECT 'station.empty_slots', count(*) FILTER (WHERE empty_slots < 0) FROM status
+UNION ALL SELECT 'silver.rows', count(*) FROM status
+UNION ALL SELECT 'silver.renting', count(*) FILTER (WHERE renting) FROM status
+UNION ALL SELECT 'silver.empty', count(*) FILTER (WHERE free_bikes = 0) FROM status
+""")
+def q_silver_validation(spark, sf):
+    """Q1 + S2 + X1/X2 + C2-C4: snapshot documents landed as JSON, read back with
+    the declared schema, validated per station, then typed into silver rows."""
+    from quarry.sources.files import read_json_documents
+    from quarry.streaming.snapshot_ingest import STREAM_SCHEMA, documents_from_status
+
+    base = _scratch(spark, "silver_validation")
+    documents_from_status(station_status(table(spark, sf, "events"))).write.text(base)
+    docs = read_json_documents(spark, base, STREAM_SCHEMA, multi_line=False)
+    stations = docs.select(F.explode("network.stations").alias("st"))
+    names = {"station.id", "station.latitude", "station.longitude", "station.free_bikes", "station.empty_slots"}
+    rules = [r for r in bike.station_rules() if r[0] in names]
+    counts = Q.violation_counts(stations, rules)
+    silver = bike.type_silver(bike.flatten_stations(docs, carry=("snapshot_time",)))
+    summary = silver.agg(F.count(F.lit(1)).alias("rows"), F.count_if("renting").alias("renting"),
+                         F.count_if(F.col("free_bikes") == 0).alias("empty"))
+    tail = summary.selectExpr("stack(3, 'silver.rows', rows, 'silver.renting', renting, "
+                              "'silver.empty', empty) as (rule, violations)")
+    return counts.unionByName(tail)

@@ -16,10 +16,13 @@ from quarry.semantics import NA_TOKENS, na_to_null
 
 
 def read_csv_text(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None,
-                  na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
+                  na_tokens: Sequence[str] = NA_TOKENS, multi_line: bool = False) -> DataFrame:
     """S1 first half: CSV with a header row, every column as text, the pandas
-    missing-value tokens mapped to null (N-5)."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    missing-value tokens mapped to null (N-5).
+
+    Files stay splittable by default; ``multi_line=True`` accepts quoted newlines
+    inside fields (as pandas does) at the cost of one task per file."""
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if columns:
         reader = reader.schema(StructType([StructField(c, StringType()) for c in columns]))
     df = reader.csv(path)
@@ -43,10 +46,10 @@ def infer_types(df: DataFrame) -> dict[str, str]:
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: dict[str, str] | None = None,
-             na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
+             na_tokens: Sequence[str] = NA_TOKENS, multi_line: bool = False) -> DataFrame:
     """``pd.read_csv`` equivalent. With ``schema`` ({column: type}) values are
     ``try_cast`` (bad -> null); without it types are inferred (one extra pass)."""
-    text = read_csv_text(spark, path, na_tokens=na_tokens)
+    text = read_csv_text(spark, path, na_tokens=na_tokens, multi_line=multi_line)
     types = schema or infer_types(text)
     return text.select(*[
         (F.col(f"`{c}`").try_cast(types[c]) if types.get(c, "string") != "string"

@@ -136,6 +136,11 @@ def test_exact_quantiles_match_numpy(spark):
     got = Q.exact_quantiles(df, "v", probs, fetch_limit=100, grid=16, accuracy=100)
     want = np.quantile(np.array(vals), probs)
     assert np.allclose(got, want, rtol=0, atol=1e-12)
+    df2 = df.withColumn("w", F.col("v") * 3 + 1).withColumn("e", F.lit(None).cast("double"))
+    multi = Q.exact_quantiles_multi(df2, ["v", "w", "e"], probs, fetch_limit=100, grid=16, accuracy=100)
+    assert np.allclose(multi["v"], want, rtol=0, atol=1e-12)
+    assert np.allclose(multi["w"], np.quantile(np.array(vals) * 3 + 1, probs), rtol=0, atol=1e-9)
+    assert multi["e"] == [None] * len(probs)
 
 
 def test_describe_exact(spark):

@@ -959,7 +959,7 @@ def q_ols_single(spark, sf):
 
 
 @query("ols_metrics", """
-WITH d AS (SELECT l_quantity AS x, l_extendedprice AS y, l_orderkey % 5 = 0 AS is_test FROM lineitem),
+WITH d AS (SELECT l_quantity AS x, l_extendedprice AS y, l_shipdate >= TIMESTAMP '2000-06-01' AS is_test FROM lineitem),
 m AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM d WHERE NOT is_test),
 s AS (SELECT y, a + b * x AS p FROM d, m WHERE is_test)
 SELECT round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
@@ -968,8 +968,10 @@ SELECT round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
 FROM s
 """)
 def q_ols_metrics(spark, sf):
-    li = table(spark, sf, "lineitem").select(F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"),
-                                             (F.pmod("l_orderkey", F.lit(5)) == 0).alias("is_test"))
+    # M1 as a time split: fit on earlier shipments, test on the latest ~20 %.
+    li = table(spark, sf, "lineitem").select(
+        F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"),
+        (F.col("l_shipdate") >= F.lit("2000-06-01").cast("timestamp_ntz")).alias("is_test"))
     model = M.ols_single(li.filter(~F.col("is_test")), "x", "y").first()
     scored = li.filter("is_test").select(
         F.col("y").alias("actual"),

@@ -1113,3 +1113,118 @@ def q_silver_validation(spark, sf):
     tail = summary.selectExpr("stack(3, 'silver.rows', rows, 'silver.renting', renting, "
                               "'silver.empty', empty) as (rule, violations)")
     return counts.unionByName(tail)
+
+
+# --- BOOK: whole index job (clean each index, merge, normalise) ---------------------------
+
+_BOOK_WINDOWS = [(None, "1997-01-01"), ("1997-01-01", "1999-01-01"), ("1999-01-01", None)]
+
+
+def _book_frames(orders: DataFrame) -> list[DataFrame]:
+    """Three yearly indexes from orders: customer = title, priority = author (written
+    'Last, First', null for 5-LOW), status = ban type; the oldest index uses the
+    old layout and a free-text date, the newer ones a Year column."""
+    title = F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"), F.lit(None)) \
+        .otherwise(F.concat(F.lit("Title "), F.col("o_custkey").cast("string")))
+    author = F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)) \
+        .otherwise(F.concat(F.lit("Priority, "), F.col("o_orderpriority")))
+    ban = (F.when(F.col("o_orderstatus") == "F", F.lit("Banned from Libraries"))
+           .when(F.col("o_orderstatus") == "O", F.lit(" banned "))
+           .otherwise(F.lit("Banned by Restriction")))
+    state = F.concat(F.lit("S"), F.pmod(F.col("o_custkey"), F.lit(7)).cast("string"))
+    district = F.when((F.col("o_orderpriority") == "4-NOT SPECIFIED") & (F.col("o_orderstatus") == "P"),
+                      F.lit("PEN America office")) \
+        .otherwise(F.concat(F.lit("D"), F.pmod(F.col("o_custkey"), F.lit(13)).cast("string")))
+    origin = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Administrator"))
+              .when(F.col("o_orderpriority") == "2-HIGH", F.lit("Formal Challenge, Administration"))
+              .otherwise(F.lit("Parent")))
+    y = F.year("o_orderdate")
+    frames = []
+    for i, (lo, hi) in enumerate(_BOOK_WINDOWS):
+        d = orders
+        if lo:
+            d = d.filter(F.col("o_orderdate") >= F.lit(lo).cast("timestamp_ntz"))
+        if hi:
+            d = d.filter(F.col("o_orderdate") < F.lit(hi).cast("timestamp_ntz"))
+        if i == 0:
+            frames.append(d.select(author.alias("Author"), title.alias("Title"), ban.alias("Type of Ban"),
+                                   state.alias("State"), district.alias("District"),
+                                   F.concat(F.date_format("o_orderdate", "MMMM"), F.lit(" "), y.cast("string"))
+                                   .alias("Date of Challenge/Removal"),
+                                   origin.alias("Initiating Action")))
+        elif i == 1:
+            frames.append(d.select(title.alias("Title"), author.alias("Author"), ban.alias("Ban Status"),
+                                   state.alias("State"), district.alias("District"),
+                                   F.concat(y.cast("string"), F.lit(".0")).alias("Year"),
+                                   origin.alias("Origin of Challenge")))
+        else:
+            frames.append(d.select(title.alias("Title"), author.alias("Author"), ban.alias("Ban Status"),
+                                   state.alias("State"), district.alias("District"),
+                                   F.concat((y - 1).cast("string"), F.lit("-"), y.cast("string")).alias("Year")))
+    return frames
+
+
+def _book_sql() -> str:
+    conds = ["o_orderdate < TIMESTAMP '1997-01-01'",
+             "o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1999-01-01'",
+             "o_orderdate >= TIMESTAMP '1999-01-01'"]
+    title = ("CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL "
+             "ELSE 'Title ' || CAST(o_custkey AS VARCHAR) END")
+    author = "CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE 'Priority, ' || o_orderpriority END"
+    ban = ("CASE o_orderstatus WHEN 'F' THEN 'Banned from Libraries' WHEN 'O' THEN ' banned ' "
+           "ELSE 'Banned by Restriction' END")
+    state = "'S' || CAST(o_custkey % 7 AS VARCHAR)"
+    district = ("CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN 'PEN America office' "
+                "ELSE 'D' || CAST(o_custkey % 13 AS VARCHAR) END")
+    origin = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'Administrator' "
+              "WHEN '2-HIGH' THEN 'Formal Challenge, Administration' ELSE 'Parent' END")
+    origin_clean = ("CASE o WHEN 'Administrator' THEN 'Administration' "
+                    "WHEN 'Formal Challenge, Administration' THEN 'Administration/Formal Challenge' "
+                    "WHEN 'Informal Challenge, Administration' THEN 'Administration/Informal Challenge' ELSE o END")
+    t3 = ("CASE WHEN contains(a, ', ') THEN array_to_string(list_reverse(string_split(a, ', ')), ' ') "
+          "ELSE a END")
+
+    def pen(cols):
+        return "NOT (" + " OR ".join(f"coalesce(contains(lower({c}), 'pen america'), false)" for c in cols) + ")"
+
+    raw0 = (f"SELECT {author} AS a, {title} AS t, {ban} AS b, {state} AS s, {district} AS d, "
+            f"strftime(o_orderdate, '%B') || ' ' || CAST(year(o_orderdate) AS VARCHAR) AS dt, {origin} AS o "
+            f"FROM orders WHERE {conds[0]}")
+    raw1 = (f"SELECT {title} AS t, {author} AS a, {ban} AS b, {state} AS s, {district} AS d, "
+            f"CAST(year(o_orderdate) AS VARCHAR) || '.0' AS y, {origin} AS o FROM orders WHERE {conds[1]}")
+    raw2 = (f"SELECT {title} AS t, {author} AS a, {ban} AS b, {state} AS s, {district} AS d, "
+            f"CAST(year(o_orderdate) - 1 AS VARCHAR) || '-' || CAST(year(o_orderdate) AS VARCHAR) AS y "
+            f"FROM orders WHERE {conds[2]}")
+    return rf"""
+WITH r0 AS ({raw0}), r1 AS ({raw1}), r2 AS ({raw2}),
+c0 AS (SELECT t, {t3} AS a, b AS b0, s AS s0, d AS d0, dt AS dt0,
+              nullif(regexp_extract(dt, '(\S+)\s*$', 1), '') AS y0, {origin_clean} AS o0
+       FROM r0 WHERE {pen(['a', 't', 'b', 's', 'd', 'dt', 'o'])} AND NOT (t IS NULL AND a IS NULL)),
+c1 AS (SELECT t, {t3} AS a, b AS b1, s AS s1, d AS d1, y AS y1, {origin_clean} AS o1
+       FROM r1 WHERE {pen(['t', 'a', 'b', 's', 'd', 'y', 'o'])} AND NOT (t IS NULL AND a IS NULL)),
+c2 AS (SELECT t, {t3} AS a, b AS b2, s AS s2, d AS d2, y AS y2
+       FROM r2 WHERE {pen(['t', 'a', 'b', 's', 'd', 'y'])} AND NOT (t IS NULL AND a IS NULL)),
+m1 AS (SELECT coalesce(c0.t, c1.t) AS t, coalesce(c0.a, c1.a) AS a, b0, s0, d0, dt0, y0, o0, b1, s1, d1, y1, o1
+       FROM c0 FULL OUTER JOIN c1 ON c0.t IS NOT DISTINCT FROM c1.t AND c0.a IS NOT DISTINCT FROM c1.a),
+m2 AS (SELECT coalesce(m1.t, c2.t) AS t, coalesce(m1.a, c2.a) AS a,
+              coalesce(b0, b1, b2) AS b, coalesce(s0, s1, s2) AS s, coalesce(d0, d1, d2) AS d,
+              dt0 AS dt, coalesce(y0, y1, y2) AS y, coalesce(o0, o1) AS o
+       FROM m1 FULL OUTER JOIN c2 ON m1.t IS NOT DISTINCT FROM c2.t AND m1.a IS NOT DISTINCT FROM c2.a),
+n AS (SELECT *, trim(lower(coalesce(b, ''))) AS bn FROM m2)
+SELECT t AS "Title", a AS "Author",
+       CASE WHEN contains(bn, 'classrooms') OR contains(bn, 'libraries')
+            THEN 'banned from libraries and classrooms' ELSE bn END AS "Ban Status",
+       s AS "State", d AS "District", dt AS "Date of Challenge/Removal",
+       CASE WHEN contains(y, '-') THEN CAST(TRY_CAST(trim(split_part(y, '-', 2)) AS INTEGER) AS VARCHAR)
+            WHEN contains(y, '.0') THEN replace(y, '.0', '') ELSE y END AS "Year",
+       o AS "Origin of Challenge"
+FROM n
+"""
+
+
+@query("book_index_merge", _book_sql())
+def q_book_index_merge(spark, sf):
+    from quarry.plans import books
+
+    frames = [books.clean_index(f) for f in _book_frames(table(spark, sf, "orders"))]
+    return books.merge(frames)

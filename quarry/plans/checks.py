@@ -1228,3 +1228,57 @@ def q_book_index_merge(spark, sf):
 
     frames = [books.clean_index(f) for f in _book_frames(table(spark, sf, "orders"))]
     return books.merge(frames)
+
+
+_MERGED = f"(\n{_book_sql()}\n) merged"
+
+
+def _book_merged(spark, sf):
+    from quarry.plans import books
+
+    return books.merge([books.clean_index(f) for f in _book_frames(table(spark, sf, "orders"))])
+
+
+@query("book_top_titles", f"""
+WITH c AS (SELECT "Title", "Author", count(*) AS "Ban Count" FROM {_MERGED}
+           WHERE "Ban Status" IN ('banned', 'banned from libraries and classrooms')
+             AND "Title" IS NOT NULL AND "Author" IS NOT NULL
+           GROUP BY 1, 2)
+SELECT *, row_number() OVER (ORDER BY "Ban Count" DESC, "Title", "Author") AS "Rank"
+FROM c ORDER BY "Ban Count" DESC, "Title", "Author" LIMIT 5
+""")
+def q_book_top_titles(spark, sf):
+    from quarry.plans import books
+
+    return books.top_titles(_book_merged(spark, sf)).withColumn("Rank", F.col("Rank").cast("long"))
+
+
+_STATUSES = ("banned", "banned from libraries and classrooms", "banned by restriction",
+             "banned pending investigation")
+
+
+@query("book_state_pivot", f"""
+WITH p AS (
+  SELECT "State", {", ".join(f'''count(DISTINCT CASE WHEN "Ban Status" = '{s}' THEN "Title" END) AS "{s}"''' for s in _STATUSES)}
+  FROM {_MERGED} WHERE "State" IS NOT NULL AND "Ban Status" IS NOT NULL GROUP BY "State")
+SELECT *, concat_ws(', ', {", ".join(f"""'{s}: ' || CAST("{s}" AS VARCHAR)""" for s in _STATUSES)}) AS "Ban Status Summary",
+       {" + ".join(f'"{s}"' for s in _STATUSES)} AS "Total Count"
+FROM p
+""")
+def q_book_state_pivot(spark, sf):
+    from quarry.plans import books
+
+    return books.by_state_pivot(_book_merged(spark, sf))
+
+
+@query("book_treemap", f"""
+WITH leaves AS (SELECT "State", "District", count(DISTINCT "Title") AS leaf FROM {_MERGED}
+                WHERE "State" IS NOT NULL AND "District" IS NOT NULL GROUP BY 1, 2)
+SELECT 'USA' AS root, "State", "District",
+       CAST(2 - grouping("State") - grouping("District") AS INTEGER) AS level, CAST(sum(leaf) AS BIGINT) AS n
+FROM leaves GROUP BY ROLLUP ("State", "District")
+""")
+def q_book_treemap(spark, sf):
+    from quarry.plans import books
+
+    return books.dashboard(_book_merged(spark, sf))["treemap"]

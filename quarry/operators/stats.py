@@ -1,7 +1,8 @@
 """Statistical modelling: M1-M5.
 
-OLS sums X^T X and X^T y in one aggregate over all partitions, so only a
-(k+1)^2 matrix reaches the driver (Spark ML's normal solver is the alternative).
+OLS takes means and centred covariances of all features in one aggregate over
+all partitions, so only a k x k matrix reaches the driver (Spark ML's normal
+solver is the alternative).
 """
 
 from __future__ import annotations
@@ -48,8 +49,8 @@ def fit_ols(train: DataFrame, features: Sequence[str], label: str, engine: str =
     """M2: ordinary least squares with intercept, no regularisation, rows with a
     null feature or label dropped.
 
-    ``engine="normal"``: one aggregate builds X^T X and X^T y ((k+1)^2 sums), the
-    driver solves the small system. ``engine="ml"``: Spark ML's normal-equation
+    ``engine="normal"``: one aggregate of means and centred covariances, the
+    driver solves the small k x k system. ``engine="ml"``: Spark ML's normal-equation
     solver (same result, more passes)."""
     if engine == "normal":
         coefs, intercept = ols_normal_equations(train, features, label)
@@ -104,25 +105,27 @@ def ols_single(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataF
 
 
 def ols_normal_equations(df: DataFrame, features: Sequence[str], label: str) -> tuple[list[float], float]:
-    """M2 fallback without Spark ML: one aggregate builds X^T X and X^T y (k+1
-    squared sums), the driver solves the small system with numpy."""
+    """M2: least squares from one aggregate. Rows with a null feature or label are
+    dropped (listwise); the aggregate returns the means and the centred
+    (co)variances ``covar_pop`` (numerically stable, merged across partitions);
+    the driver solves the k x k system ``Cov(X) beta = Cov(X, y)`` and sets
+    ``intercept = mean(y) - beta . mean(X)``."""
     import numpy as np
 
-    cols = ["__one", *features]
-    src = df.select(*[F.col(_q(c)).cast("double").alias(c) for c in features],
-                    F.col(_q(label)).cast("double").alias("__y")).na.drop().withColumn("__one", F.lit(1.0))
-    aggs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            aggs.append(F.sum(F.col(_q(a)) * F.col(_q(b))).alias(f"xx_{a}_{b}"))
-        aggs.append(F.sum(F.col(_q(a)) * F.col("__y")).alias(f"xy_{a}"))
+    k = len(features)
+    src = df.select(*[F.col(_q(c)).cast("double").alias(f"x{i}") for i, c in enumerate(features)],
+                    F.col(_q(label)).cast("double").alias("y")).na.drop()
+    aggs = [F.avg("y").alias("my")]
+    for i in range(k):
+        aggs.append(F.avg(f"x{i}").alias(f"m{i}"))
+        aggs.append(F.covar_pop(f"x{i}", "y").alias(f"cy{i}"))
+        for j in range(i, k):
+            aggs.append(F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}_{j}"))
     r = src.agg(*aggs).first()
-    k = len(cols)
-    xtx = np.zeros((k, k))
-    xty = np.zeros(k)
-    for i, a in enumerate(cols):
+    cov = np.zeros((k, k))
+    for i in range(k):
         for j in range(i, k):
-            xtx[i, j] = xtx[j, i] = r[f"xx_{a}_{cols[j]}"]
-        xty[i] = r[f"xy_{a}"]
-    beta = np.linalg.solve(xtx, xty)
-    return [float(b) for b in beta[1:]], float(beta[0])
+            cov[i, j] = cov[j, i] = r[f"c{i}_{j}"]
+    beta = np.linalg.solve(cov, np.array([r[f"cy{i}"] for i in range(k)]))
+    intercept = r["my"] - float(np.dot(beta, [r[f"m{i}"] for i in range(k)]))
+    return [float(b) for b in beta], float(intercept)

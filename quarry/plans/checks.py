@@ -980,10 +980,40 @@ def q_ols_metrics(spark, sf):
     return met.select(F.round("rmse", 4).alias("rmse"), r6("r2").alias("r2"), F.col("n").cast("long").alias("n"))
 
 
-@query("ols_multi")
+OLS_FEATURES = ("l_quantity", "l_discount", "l_tax")
+
+
+def _ols3_sql() -> str:
+    """Three-feature OLS in SQL: Cramer's rule on the covariance matrix."""
+    f = OLS_FEATURES
+    c = [[f"c{min(i, j)}{max(i, j)}" for j in range(3)] for i in range(3)]
+
+    def det(m):
+        return (f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]})"
+                f" - {m[0][1]} * ({m[1][0]} * {m[2][2]} - {m[1][2]} * {m[2][0]})"
+                f" + {m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))")
+
+    def replaced(col):
+        return [[f"cy{i}" if j == col else c[i][j] for j in range(3)] for i in range(3)]
+
+    stats = ", ".join(
+        [f"avg(l_extendedprice) AS my"]
+        + [f"avg({f[i]}) AS m{i}" for i in range(3)]
+        + [f"covar_pop({f[i]}, l_extendedprice) AS cy{i}" for i in range(3)]
+        + [f"covar_pop({f[i]}, {f[j]}) AS c{i}{j}" for i in range(3) for j in range(i, 3)])
+    notnull = " AND ".join(f"{x} IS NOT NULL" for x in (*f, "l_extendedprice"))
+    betas = ", ".join(f"{det(replaced(i))} / {det(c)} AS b{i}" for i in range(3))
+    rows = "\nUNION ALL ".join(
+        [f"SELECT '{f[i]}' AS feature, round(b{i}, 4) AS coefficient FROM b" for i in range(3)]
+        + ["SELECT 'intercept', round(my - (b0 * m0 + b1 * m1 + b2 * m2), 4) FROM b"])
+    return (f"WITH s AS (SELECT {stats} FROM lineitem WHERE {notnull}),\n"
+            f"b AS (SELECT *, {betas} FROM s)\n{rows}")
+
+
+@query("ols_multi", _ols3_sql())
 def q_ols_multi(spark, sf):
     li = table(spark, sf, "lineitem")
-    feats = ["l_quantity", "l_discount", "l_tax"]
+    feats = list(OLS_FEATURES)
     model = M.fit_ols(li, feats, "l_extendedprice")
     return M.coefficient_table(spark, model).withColumn("coefficient", F.round("coefficient", 4))
 

@@ -552,14 +552,16 @@ def q_map_default(spark, sf):
 # --- projections and filters -------------------------------------------------------------
 
 @query("schema_project", """
-SELECT c_custkey, c_name, CAST(NULL AS VARCHAR) AS c_phone, c_acctbal, CAST(NULL AS VARCHAR) AS c_comment
+SELECT c_custkey, c_name, CAST(NULL AS VARCHAR) AS c_phone, c_acctbal, CAST(NULL AS VARCHAR) AS c_comment,
+       'USA' AS country
 FROM customer
 """)
 def q_schema_project(spark, sf):
     c = P.select_except(table(spark, sf, "customer"), "c_nationkey")
     fixed = P.project_to(c, [("c_custkey", "bigint"), ("c_name", "string"), ("c_phone", "string"),
                              ("c_acctbal", "double"), ("c_comment", "string")])
-    return P.select_present(fixed, ["c_custkey", "c_name", "c_phone", "c_acctbal", "c_comment", "c_address"])
+    present = P.select_present(fixed, ["c_custkey", "c_name", "c_phone", "c_acctbal", "c_comment", "c_address"])
+    return P.with_constant(present, "country", "USA")
 
 
 @query("rename_harmonize", """

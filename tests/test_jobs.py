@@ -167,3 +167,32 @@ def test_retail_and_sales(spark, tmp_dir):
     out = sales.run(spark, p, "sales_t")
     assert out.count() == 3
     assert abs(out.filter("product = 'Widget A'").first()["total"] - 59.9) < 1e-9
+
+
+def test_bike_run_end_to_end(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw")
+    _write_docs(raw, "station_status_2024-05-06_10-00-00.json",
+                [_doc([_station("a", "2024-05-06T10:00:00Z", 0, 5), _station("b", "2024-05-06T10:00:00Z", 4, 0)])])
+    spark.sql(f"CREATE TABLE bike_master ({', '.join(f'{n} {t}' for n, t in bike.MASTER_FIELDS)}, ts_date date) "
+              f"USING parquet PARTITIONED BY (ts_date) LOCATION '{tmp_dir}/master'")
+    gold = bike.run(spark, raw, "bike_master", "bike_gold", datetime(2024, 5, 6, 10, 5), as_of="2024-05-08")
+    assert rows(gold, "station_id", "is_frequently_empty", "is_frequently_full") == [("a", True, False),
+                                                                                   ("b", False, True)]
+    # a newer snapshot of the same (station, timestamp) updates the six mutable columns only
+    raw2 = os.path.join(tmp_dir, "raw2")
+    _write_docs(raw2, "station_status_2024-05-06_11-00-00.json",
+                [_doc([_station("a", "2024-05-06T10:00:00Z", 7, 1, lat=40.8)])])
+    gold = bike.run(spark, raw2, "bike_master", "bike_gold", datetime(2024, 5, 6, 11, 5), as_of="2024-05-08")
+    master = {r["station_id"]: r for r in spark.table("bike_master").collect()}
+    assert master["a"]["free_bikes"] == 7 and master["a"]["latitude"] == 40.7
+    assert rows(gold, "station_id", "avg_free_bikes") == [("a", 7.0), ("b", 4.0)]
+
+
+def test_books_run_end_to_end(spark, tmp_dir):
+    paths = _write_books(os.path.join(tmp_dir, "in"))
+    dash = books.run(spark, paths, os.path.join(tmp_dir, "banned_books_csv"), "ban_status_t", "banned_books_t")
+    fact = spark.table("banned_books_t")
+    assert fact.count() == 3 and fact.filter("title IS NULL").count() == 0
+    assert {r["status"] for r in spark.table("ban_status_t").collect()} == {
+        books.LIBRARY_CLASSROOM_BAN, "banned"}
+    assert dash["top_state"].count() == 1

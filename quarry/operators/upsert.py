@@ -37,8 +37,18 @@ def merge_upsert(target: DataFrame, staging: DataFrame, keys: Sequence[str],
     src = dedup_latest(staging, keys, order_desc, tiebreak) if order_desc else staging
     src = src.drop(*drop_from_source)
     cols = target.columns
-    t = target.select(*[F.col(_q(c)).alias(f"t__{c}") for c in cols], F.lit(True).alias("__t"))
-    s = src.select(*[F.col(_q(c)).alias(f"s__{c}") for c in cols], F.lit(True).alias("__s"))
+    # Rows with a null key can never match, yet a join would hash them all into one
+    # shuffle partition; they bypass the join (kept / inserted) and are unioned back.
+    has_keys = None
+    for k in keys:
+        term = F.col(_q(k)).isNotNull()
+        has_keys = term if has_keys is None else has_keys & term
+    target_nulls = target.filter(~has_keys).select(*[F.col(_q(c)) for c in cols])
+    source_nulls = src.filter(~has_keys).select(*[F.col(_q(c)) for c in cols])
+    t = target.filter(has_keys).select(*[F.col(_q(c)).alias(f"t__{c}") for c in cols],
+                                       F.lit(True).alias("__t"))
+    s = src.filter(has_keys).select(*[F.col(_q(c)).alias(f"s__{c}") for c in cols],
+                                    F.lit(True).alias("__s"))
     cond = None
     for k in keys:
         term = F.col(_q(f"t__{k}")) == F.col(_q(f"s__{k}"))
@@ -56,7 +66,7 @@ def merge_upsert(target: DataFrame, staging: DataFrame, keys: Sequence[str],
             out.append(F.when(take_src, sc).otherwise(tc).alias(c))
         else:
             out.append(F.when(F.col("__t").isNotNull(), tc).otherwise(sc).alias(c))
-    return j.select(*out)
+    return j.select(*out).unionByName(target_nulls).unionByName(source_nulls)
 
 
 def insert_ignore(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -74,14 +84,16 @@ def upsert_into_table(spark: SparkSession, table: str, staging: DataFrame, keys:
                       update_cols: Sequence[str], partition_col: str, partition_expr,
                       order_desc: Sequence[str] = (), tiebreak: Sequence[str] = (),
                       drop_from_source: Sequence[str] = (),
-                      version_col: str | None = None) -> DataFrame:
+                      version_col: str | None = None,
+                      cluster_by: Sequence[str] = ()) -> DataFrame:
     """K11 against a catalog table partitioned by ``partition_col``.
 
     Reads only the target partitions the batch touches (their list is small: one
     value per day in the batch), merges, cuts the lineage with a reliable
     checkpoint in the shared checkpoint folder (so a lost executor cannot re-read
-    half-overwritten files), then dynamic-overwrites exactly those partitions.
-    Returns the merged slice.
+    half-overwritten files), then dynamic-overwrites exactly those partitions,
+    rows sorted by ``cluster_by`` inside each file (the table's clustering, so
+    row-group statistics prune later key lookups). Returns the merged slice.
     """
     batch = staging.withColumn(partition_col, partition_expr)
     parts = [r[0] for r in batch.select(partition_col).distinct().collect()]
@@ -93,7 +105,8 @@ def upsert_into_table(spark: SparkSession, table: str, staging: DataFrame, keys:
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        merged.write.mode("overwrite").insertInto(table)
+        out = merged.sortWithinPartitions(partition_col, *cluster_by) if cluster_by else merged
+        out.write.mode("overwrite").insertInto(table)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     return merged

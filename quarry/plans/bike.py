@@ -178,7 +178,8 @@ def silver_from_documents(docs: DataFrame, snapshot_time: datetime) -> DataFrame
 def merge_master(master: DataFrame, staging: DataFrame) -> DataFrame:
     """K11 + W1 + J3: newest snapshot per (station, timestamp) upserted into master."""
     return merge_upsert(master.select(*MASTER_COLUMNS), staging, MERGE_KEYS, UPDATED_COLUMNS,
-                        order_desc=("snapshot_time",), drop_from_source=("snapshot_time",))
+                        order_desc=("snapshot_time",), drop_from_source=("snapshot_time",),
+                      cluster_by=("station_id",))
 
 
 def gold_weekly(master: DataFrame, as_of=None, days: int | None = 7,
@@ -211,7 +212,8 @@ def run(spark: SparkSession, raw_path: str, master_table: str, gold_table: str,
     create_table_if_missing(spark, master_table, ddl, partition_by=("ts_date",))
     upsert_into_table(spark, master_table, staging, MERGE_KEYS, UPDATED_COLUMNS,
                       partition_col="ts_date", partition_expr=F.to_date("timestamp"),
-                      order_desc=("snapshot_time",), drop_from_source=("snapshot_time",))
+                      order_desc=("snapshot_time",), drop_from_source=("snapshot_time",),
+                      cluster_by=("station_id",))
     gold = gold_weekly(spark.table(master_table).drop("ts_date"), as_of)
     replace_table(gold, gold_table)
     return spark.table(gold_table)

@@ -1,8 +1,9 @@
 """Joins and lookups: J1-J8.
 
 Scale rules applied here:
-* broadcast only what has a proven bound (a literal map, a ``limit``-ed hot-key
-  list, or a table whose row count was checked);
+* broadcast only what has a proven bound (a literal map, a collected hot-key list
+  of at most ``max_keys`` rows); every other join strategy is left to Spark's
+  size-checked broadcast threshold or a sort-merge join;
 * many-to-many full outer merges salt hot keys, because AQE's skew-join split
   does not apply to FULL OUTER joins.
 """
@@ -19,12 +20,6 @@ def _q(name: str) -> str:
     return f"`{name}`"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast-hint ``df`` only after checking its row count; otherwise leave the
-    join strategy to Spark (sort-merge or shuffled hash)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def _eq(a: Column, b: Column, null_safe: bool) -> Column:
     return a.eqNullSafe(b) if null_safe else a == b
 

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType
+from pyspark.sql.types import NumericType
 
 
 def _q(name: str) -> str:
@@ -85,11 +85,6 @@ def column_info(df: DataFrame) -> DataFrame:
 # --- Q5: exact describe ---------------------------------------------------------------
 
 
-def _clean_numeric(df: DataFrame, column: str) -> DataFrame:
-    v = F.col(_q(column)).cast("double")
-    return df.select(v.alias("v")).filter(v.isNotNull() & ~F.isnan(v))
-
-
 def _in_gap(v, lo, hi):
     cond = v.isNotNull() & ~F.isnan(v)
     if lo is not None:
@@ -290,5 +285,3 @@ def require_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
-def is_float_type(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, (DoubleType, FloatType))

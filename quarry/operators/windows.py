@@ -79,6 +79,3 @@ def union_snapshots(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def positional_rank(order: Sequence[Column]) -> Column:
-    """W2 helper: 1-based row number over an explicit global order (bounded inputs only)."""
-    return F.row_number().over(Window.orderBy(*order))

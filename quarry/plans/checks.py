@@ -1314,3 +1314,68 @@ def q_book_treemap(spark, sf):
     from quarry.plans import books
 
     return books.dashboard(_book_merged(spark, sf))["treemap"]
+
+
+# --- retail and sales jobs -------------------------------------------------------------------
+
+def _inventory(spark, sf):
+    """Parts as an inventory export in the raw layout (camelCase names, boolean
+    out-of-stock flag, a category that is null for one brand)."""
+    p = table(spark, sf, "part")
+    return p.select(F.nullif(F.col("p_type"), F.when(F.col("p_brand") == "Brand#1", F.col("p_type")))
+                    .alias("Category"),
+                    F.col("p_size").cast("double").alias("discountPercent"),
+                    F.pmod(F.col("p_partkey"), F.lit(97)).alias("availableQuantity"),
+                    F.col("p_retailprice").alias("mrp"),
+                    (F.col("p_size") > 45).alias("outOfStock"))
+
+
+_INVENTORY_SQL = """WITH inv AS (
+  SELECT CASE WHEN p_brand = 'Brand#1' THEN NULL ELSE p_type END AS "Category",
+         CAST(p_size AS DOUBLE) AS discount_percent, p_partkey % 97 AS available_quantity,
+         p_retailprice AS mrp, CAST(p_size > 45 AS INTEGER) AS out_of_stock
+  FROM part)"""
+
+
+@query("inventory_reports", _INVENTORY_SQL + """
+SELECT "Category", 'avg_discount' AS report, round(avg(discount_percent), 6) AS value FROM inv
+WHERE "Category" IS NOT NULL GROUP BY 1
+UNION ALL SELECT "Category", 'out_of_stock', CAST(count(*) AS DOUBLE) FROM inv
+WHERE "Category" IS NOT NULL AND out_of_stock = 1 GROUP BY 1
+UNION ALL SELECT "Category", 'avg_mrp', round(avg(mrp), 6) FROM inv WHERE "Category" IS NOT NULL GROUP BY 1
+UNION ALL SELECT "Category", 'avg_stock', round(avg(available_quantity), 6) FROM inv
+WHERE "Category" IS NOT NULL GROUP BY 1
+UNION ALL SELECT "Category", 'out_of_stock_pct',
+       round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE out_of_stock = 1) / count(*), 6)
+FROM inv WHERE "Category" IS NOT NULL GROUP BY 1
+""")
+def q_inventory_reports(spark, sf):
+    from quarry.plans import retail
+
+    reps = retail.reports(retail.clean(_inventory(spark, sf)))
+    measure = {"avg_discount": "discount_percent", "out_of_stock": "n", "avg_mrp": "mrp",
+               "avg_stock": "available_quantity", "out_of_stock_pct": "pct"}
+    out = None
+    for name, df in reps.items():
+        part = df.select("Category", F.lit(name).alias("report"),
+                         r6(F.col(measure[name]).cast("double")).alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("sales_totals", """
+SELECT CAST(l_shipdate AS DATE) AS date, product, quantity, price, quantity * price AS total FROM (
+  SELECT l_shipdate, nullif(l_returnflag || l_linestatus, 'NO') AS product,
+         CAST(l_quantity AS BIGINT) AS quantity, l_extendedprice / l_quantity AS price
+  FROM lineitem)
+WHERE product IS NOT NULL
+""")
+def q_sales_totals(spark, sf):
+    from quarry.plans import sales
+
+    li = table(spark, sf, "lineitem").select(
+        F.to_date("l_shipdate").alias("date"),
+        F.nullif(F.concat("l_returnflag", "l_linestatus"), F.lit("NO")).alias("product"),
+        F.col("l_quantity").cast("long").alias("quantity"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"))
+    return sales.clean(li)

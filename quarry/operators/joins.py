@@ -65,9 +65,10 @@ def full_outer_merge(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
     With ``hot`` (keys + salt count ``__s``, see ``hot_keys``), left rows of a hot
     key spread over its salts by a hash of the row's content, and right rows of
-    that key are copied to every salt. Every pair still meets exactly once, and
-    since a hot key has left rows, no right row of it can be unmatched: the result
-    equals the unsalted join, while one key no longer lands in one task.
+    that key are copied to every salt, so every pair still meets exactly once.
+    A hot key has left rows, so each right row of it matches in at least one salt;
+    its copies in salts that hold no left row come out unmatched and are dropped.
+    The result equals the unsalted join, while one key no longer lands in one task.
     """
     lk = {k: f"{k}__l" for k in keys}
     rk = {k: f"{k}__r" for k in keys}
@@ -92,14 +93,18 @@ def full_outer_merge(left: DataFrame, right: DataFrame, keys: Sequence[str],
                          .otherwise(F.pmod(row_hash, F.col("__s").cast("long")).cast("int")))
              .drop(*[f"{k}__h" for k in keys], "__s"))
         b = (b.join(h, hcond_b, "left")
+             .withColumn("__hot_r", F.col("__s").isNotNull())
              .withColumn("__salt_r", F.explode(
                  F.when(F.col("__s").isNull(), F.array(F.lit(0)))
                  .otherwise(F.sequence(F.lit(0), F.col("__s") - 1))))
              .drop(*[f"{k}__h" for k in keys], "__s"))
         cond = cond & (a["__salt_l"] == b["__salt_r"])
     joined = a.join(b, cond, "full")
+    if hot is not None:
+        joined = joined.filter(~(F.coalesce(F.col("__hot_r"), F.lit(False)) & F.col("__salt_l").isNull()))
     rest = [c for c in joined.columns
-            if c not in lk.values() and c not in rk.values() and c not in ("__salt_l", "__salt_r")]
+            if c not in lk.values() and c not in rk.values()
+            and c not in ("__salt_l", "__salt_r", "__hot_r")]
     return joined.select(
         *[F.coalesce(F.col(_q(lk[k])), F.col(_q(rk[k]))).alias(k) for k in keys],
         *[F.col(_q(c)) for c in rest])

@@ -181,6 +181,17 @@ def q_three_way_index_merge(spark, sf):
     return J.merge_indexes(frames, ["k1", "k2"])
 
 
+@query("index_merge_salted", ORACLE["three_way_index_merge"] if "three_way_index_merge" in ORACLE else None)
+def q_index_merge_salted(spark, sf):
+    """The three-way merge with a low skew threshold, so every key with 3+ left rows
+    takes the salted path; must equal the plain merge (same oracle)."""
+    orders = table(spark, sf, "orders")
+    frames = [_order_index(orders, None, "1997-01-01"),
+              _order_index(orders, "1997-01-01", "1999-01-01"),
+              _order_index(orders, "1999-01-01", None)]
+    return J.merge_indexes(frames, ["k1", "k2"], skew_rows=3)
+
+
 @query("merge_multiplicity", "WITH " + ",".join([
     "c{i} AS (SELECT o_custkey AS k1, nullif(o_orderpriority, '5-LOW') AS k2, count(*) AS n{i} "
     "FROM orders WHERE {cond} GROUP BY 1, 2)".format(i=i, cond=c) for i, c in [

@@ -33,12 +33,27 @@ SCALE_CONF = {
 }
 
 
+# AQE can merge small shuffle partitions but never splits a large one (apart from
+# skewed join partitions), so a cluster session starts from many partitions and
+# lets AQE coalesce them to the advisory size. 16384 x 128 MB covers a 2 TB
+# shuffle stage; size bigger ones with ``shuffle_partitions_for``.
+CLUSTER_INITIAL_PARTITIONS = 16384
+ADVISORY_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions_for(shuffle_bytes: int, partition_bytes: int = ADVISORY_PARTITION_BYTES) -> int:
+    """Shuffle partitions that keep each reduce task near ``partition_bytes``."""
+    return max(1, -(-shuffle_bytes // partition_bytes))
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "quarry", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine's settings applied.
 
     On a cluster, leave ``master`` as None so spark-submit decides; tests pass
-    ``local[*]``.
+    ``local[*]`` and a small ``shuffle_partitions``. Without an explicit count the
+    session starts shuffles at ``CLUSTER_INITIAL_PARTITIONS`` and AQE coalesces
+    them to ~128 MB each.
     """
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
@@ -47,6 +62,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    else:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                                 str(CLUSTER_INITIAL_PARTITIONS))
     spark = builder.getOrCreate()
     apply_semantics(spark)
     ensure_checkpoint_dir(spark)

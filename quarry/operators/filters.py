@@ -57,10 +57,13 @@ def rolling_days(df: DataFrame, column: str, days: int, as_of=None) -> DataFrame
 
 def any_cell_contains(columns: Sequence[str], needle: str) -> Column:
     """F8 predicate: some cell, as text, contains ``needle`` case-insensitively.
-    Nulls never match."""
-    cells = F.array(*[F.lower(F.col(f"`{c}`").cast("string")) for c in columns])
+    Nulls never match. An OR of per-column tests (no lambda), so it stays inside
+    whole-stage codegen."""
     low = needle.lower()
-    return F.exists(cells, lambda x: F.coalesce(x.contains(low), F.lit(False)))
+    hit = F.lit(False)
+    for c in columns:
+        hit = hit | F.coalesce(F.lower(F.col(f"`{c}`").cast("string")).contains(low), F.lit(False))
+    return hit
 
 
 def drop_rows_containing(df: DataFrame, needle: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -29,8 +29,10 @@ def with_violations(df: DataFrame, rules: Sequence[Rule], out: str = "violations
     A rule predicate that evaluates to null counts as passed (the field is absent
     and the rule is about its value, not its presence); presence rules use isNull.
     """
-    flags = [F.when(F.coalesce(pred, F.lit(False)), F.lit(name)) for name, pred in rules]
-    return df.withColumn(out, F.filter(F.array(*flags), lambda x: x.isNotNull()))
+    empty = F.array().cast("array<string>")
+    flags = [F.when(F.coalesce(pred, F.lit(False)), F.array(F.lit(name))).otherwise(empty)
+             for name, pred in rules]
+    return df.withColumn(out, F.flatten(F.array(*flags)))
 
 
 def violation_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

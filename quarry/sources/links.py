@@ -26,9 +26,12 @@ def anchors(html: str | Column) -> Column:
 
 
 def first_link_with_text(html: str | Column, text: str = DOWNLOAD_TEXT) -> Column:
-    """Href of the first anchor whose text equals ``text`` exactly; null if none."""
-    hits = F.filter(anchors(html), lambda a: a["text"] == F.lit(text))
-    return F.try_element_at(hits, F.lit(1))["href"]
+    """Href of the first anchor whose text equals ``text`` exactly; null if none.
+    ``array_position`` finds the first matching text (no lambda, codegen'd)."""
+    h = F.col(html) if isinstance(html, str) else html
+    hrefs = F.regexp_extract_all(h, F.lit(ANCHOR_RE), 1)
+    pos = F.array_position(F.regexp_extract_all(h, F.lit(ANCHOR_RE), 2), F.lit(text))
+    return F.when(pos > 0, F.try_element_at(hrefs, pos.cast("int")))
 
 
 def download_links(pages: DataFrame, text: str = DOWNLOAD_TEXT) -> DataFrame:

@@ -175,16 +175,20 @@ def top_one(df: DataFrame, key: str, statuses: Sequence[str] = BANNED_CLASS) ->
 
 def by_state_pivot(df: DataFrame, statuses: Sequence[str] = (*BANNED_CLASS, *CHALLENGED_CLASS)) -> DataFrame:
     """J6 + A10 + A11 + T9: per state code, distinct titles per status, total and
-    a summary string (H-14: this view uses codes; the others use names)."""
+    a summary string. Status columns are in sorted order, as a pivot lays them out.
+    (H-14: the per-state views use codes; the treemap and top-k use names.)"""
     coded = df.withColumn("State", J.lookup_or_keep("State", STATE_CODES))
-    wide = A.pivot_distinct(coded, "State", "Ban Status", list(statuses), "Title")
+    statuses = sorted(statuses)
+    wide = A.pivot_distinct(coded, "State", "Ban Status", statuses, "Title")
     return A.with_row_total(A.with_row_summary(wide, list(statuses), "Ban Status Summary"),
                             list(statuses), "Total Count")
 
 
 def dashboard(df: DataFrame) -> dict[str, DataFrame]:
     """Every aggregate the two dashboard pages draw."""
-    filled = df.withColumns({"State": S.unknown_fill("State"), "District": S.unknown_fill("District")})
+    # H-14: the per-state line series is drawn after the state names were recoded.
+    filled = df.withColumns({"State": S.unknown_fill(J.lookup_or_keep("State", STATE_CODES)),
+                             "District": S.unknown_fill("District")})
     return {
         "headline": A.distinct_counts(df, {"titles": "Title", "states": "State", "districts": "District"}),
         "by_year": A.distinct_count_by(df, ["Year", "Ban Status"], "Title", "Titles"),

@@ -1296,7 +1296,7 @@ def q_book_top_titles(spark, sf):
     return books.top_titles(_book_merged(spark, sf)).withColumn("Rank", F.col("Rank").cast("long"))
 
 
-_STATUSES = ("banned", "banned from libraries and classrooms", "banned by restriction",
+_STATUSES = ("banned", "banned by restriction", "banned from libraries and classrooms",
              "banned pending investigation")
 
 

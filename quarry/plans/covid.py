@@ -50,8 +50,8 @@ def latest_summary(df: DataFrame, key: str = "country", date_col: str = "date",
     digits = {**{c: 0 for c in present[:2]}, **{f"{c.split('_', 1)[1]}_per_million": 1 for c in present[:2]}}
     out = out.withColumns({c: round_half_even(c, d) for c, d in digits.items()})
     casts = {population: F.col(population).cast("long")}
-    if len(present) > 2:
-        casts[present[2]] = F.col(present[2]).cast("long")
+    if len(present) > 2:  # rounded to 0 digits, then a nullable integer
+        casts[present[2]] = round_half_even(present[2], 0).cast("long")
     return out.withColumns(casts)
 
 

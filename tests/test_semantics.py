@@ -1,7 +1,5 @@
 """Null, NaN, rounding and tie rules N-1..N-11, and the reference's own unit tests."""
 
-import math
-
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -131,4 +129,13 @@ def test_name_reversal_t3(spark):
 def test_float_to_int_c9(spark):
     df = spark.createDataFrame([(2.0,), (float("nan"),), (None,)], "x double")
     assert [r[0] for r in df.select(S.float_to_nullable_long("x")).collect()] == [2, None, None]
-    assert math.isnan(float("nan"))
+
+
+def test_latest_summary_rounding_and_types(spark):
+    df = spark.createDataFrame([("c", "2024-01-01", 10.5, 2.5, 12.5, 4.0e6),
+                                ("c", "2024-01-02", 11.5, None, 13.5, 4.0e6)],
+                               "country string, date string, total_cases double, total_deaths double, "
+                               "total_vaccinations double, population double")
+    r = covid.latest_summary(df.withColumn("date", F.to_date("date"))).first()
+    assert (r["total_cases"], r["total_deaths"], r["total_vaccinations"], r["population"]) == (12.0, 2.0, 14, 4000000)
+    assert r["cases_per_million"] == 2.9 and r["deaths_per_million"] == 0.6

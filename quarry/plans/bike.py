@@ -194,19 +194,31 @@ def gold_weekly(master: DataFrame, as_of=None, days: int | None = 7,
 
 
 def run(spark: SparkSession, raw_path: str, master_table: str, gold_table: str,
-        snapshot_time: datetime, as_of=None, quarantine: bool = False) -> DataFrame:
-    """End-to-end run for one landed batch of snapshot documents."""
+        snapshot_time: datetime, as_of=None, quarantine: bool = False,
+        latest_only: bool = False, silver_dir: str | None = None) -> DataFrame:
+    """End-to-end run for one landed batch of snapshot documents.
+
+    ``latest_only``: ``raw_path`` is the landing folder and only its newest file
+    is processed (S3). ``silver_dir``: the typed snapshot is also written as the
+    'latest' dataset (K2) and appended to a run-stamped history (K3).
+    """
     from quarry.operators.quality import assert_valid, split_valid
     from quarry.operators.upsert import upsert_into_table
-    from quarry.sinks.tables import create_table_if_missing, replace_table
-    from quarry.sources.files import read_json_documents
+    from quarry.sinks.tables import (append_history, create_table_if_missing, replace_table,
+                                     write_latest_parquet)
+    from quarry.sources.files import latest_file, read_json_documents
 
-    docs = read_json_documents(spark, raw_path, SNAPSHOT_SCHEMA)
+    source = latest_file(spark, raw_path, ".json") if latest_only else raw_path
+    docs = read_json_documents(spark, source, SNAPSHOT_SCHEMA)
     if quarantine:
         docs, _ = split_valid(docs, document_rules())
     else:
         assert_valid(docs, document_rules())
     staging = silver_from_documents(docs, snapshot_time)
+    if silver_dir:
+        write_latest_parquet(staging, f"{silver_dir}/latest")
+        append_history(staging, f"{silver_dir}/history", snapshot_time)
+        staging = spark.read.parquet(f"{silver_dir}/latest")
     ddl = ", ".join(f"{n} {t}" for n, t in MASTER_FIELDS) + ", ts_date date"
     create_table_if_missing(spark, master_table, ddl, partition_by=("ts_date",))
     upsert_into_table(spark, master_table, staging, MERGE_KEYS, UPDATED_COLUMNS,

@@ -179,10 +179,14 @@ def test_bike_run_end_to_end(spark, tmp_dir):
     assert rows(gold, "station_id", "is_frequently_empty", "is_frequently_full") == [("a", True, False),
                                                                                    ("b", False, True)]
     # a newer snapshot of the same (station, timestamp) updates the six mutable columns only
-    raw2 = os.path.join(tmp_dir, "raw2")
-    _write_docs(raw2, "station_status_2024-05-06_11-00-00.json",
+    # the newest landed file only (S3); an older file in the folder is ignored
+    _write_docs(raw, "station_status_2024-05-06_11-00-00.json",
                 [_doc([_station("a", "2024-05-06T10:00:00Z", 7, 1, lat=40.8)])])
-    gold = bike.run(spark, raw2, "bike_master", "bike_gold", datetime(2024, 5, 6, 11, 5), as_of="2024-05-08")
+    silver = os.path.join(tmp_dir, "silver")
+    gold = bike.run(spark, raw, "bike_master", "bike_gold", datetime(2024, 5, 6, 11, 5), as_of="2024-05-08",
+                    latest_only=True, silver_dir=silver)
+    assert spark.read.parquet(os.path.join(silver, "latest")).count() == 1
+    assert spark.read.parquet(os.path.join(silver, "history")).select("run_ts").distinct().count() == 1
     master = {r["station_id"]: r for r in spark.table("bike_master").collect()}
     assert master["a"]["free_bikes"] == 7 and master["a"]["latitude"] == 40.7
     assert rows(gold, "station_id", "avg_free_bikes") == [("a", 7.0), ("b", 4.0)]

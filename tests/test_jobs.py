@@ -200,3 +200,25 @@ def test_books_run_end_to_end(spark, tmp_dir):
     assert {r["status"] for r in spark.table("ban_status_t").collect()} == {
         books.LIBRARY_CLASSROOM_BAN, "banned"}
     assert dash["top_state"].count() == 1
+
+
+def test_uid_forms_and_blank_year(spark, tmp_dir):
+    stations = [_station("a", "2024-05-01T10:00:00Z", 1, 1, uid="0123456789abcdef0123456789abcdef-123"),
+                _station("b", "2024-05-01T10:00:00Z", 1, 1, uid="66"),
+                _station("c", "2024-05-01T10:00:00Z", 1, 1, uid="short-hex-abc")]
+    _write_docs(tmp_dir, "station_status_2024-05-01_10-00-00.json", [_doc(stations)])
+    docs = spark.read.schema(bike.SNAPSHOT_SCHEMA).json(tmp_dir)
+    st_rows = docs.select(F.explode("network.stations").alias("st"))
+    tagged = Q.with_violations(st_rows, bike.station_rules()).select("st.id", "violations").collect()
+    assert {r["id"]: r["violations"] for r in tagged} == {"a": [], "b": [], "c": ["extra.uid"]}
+    idx = spark.createDataFrame([("t", "a", "  "), ("u", "b", None), ("v", "c", "May 2022")],
+                                "Title string, Author string, `Date of Challenge/Removal` string")
+    years = {r["Title"]: r["Year"] for r in books.clean_index(idx).collect()}
+    assert years == {"t": None, "u": None, "v": "2022"}
+
+
+def test_null_country_is_kept_but_null_code_dropped(spark):
+    from quarry.plans import covid
+    df = spark.createDataFrame([(None, "XXX"), ("World", "OWID"), ("Chile", None), ("Peru", "PER")],
+                               "country string, code string")
+    assert rows(covid.clean(df)) == [("Peru", "PER"), (None, "XXX")]

@@ -106,9 +106,10 @@ def exact_quantiles_multi(df: DataFrame, columns: Sequence[str], probs: Sequence
     holds more than ``fetch_limit`` rows, one aggregate draws an equi-depth grid
     inside every open gap of every column (``percentile_approx``), and a second
     counts rows below / at each grid value; each rank then either lands exactly on
-    a grid value or in a sub-gap roughly ``accuracy`` times smaller. Gaps at or
-    under ``fetch_limit`` are fetched in one tagged scan and indexed. All columns
-    share the same passes, so 10^12 rows need a handful of scans in total.
+    a grid value or in a sub-gap about ``grid`` times smaller. Gaps at or under
+    ``fetch_limit`` are fetched in one tagged scan and indexed. All columns share
+    the same passes: 10^12 rows need three levels (two scans each) plus the
+    count and the fetch, whatever the number of columns.
     """
     cols = list(columns)
     vals = df.select(*[F.col(_q(c)).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])

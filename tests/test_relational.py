@@ -184,3 +184,22 @@ def test_ols_engines_agree_and_regression_job(spark):
     m = metrics.first()
     assert m["r2"] > 0.99 and 40 < m["n"] < 120
     assert {r["feature"] for r in coefs.collect()} == {"f1", "f2", "intercept"}
+
+
+def test_salting_spreads_a_hot_key_over_partitions(spark):
+    """A key holding most of the left rows lands in one join partition without
+    salting and in many with it (AQE off so partitions are not coalesced)."""
+    left = spark.createDataFrame([("hot" if i % 10 else f"k{i}", i) for i in range(2000)], "k string, a int")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k10", 3)], "k string, b int")
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        def hot_partitions(hot):
+            joined = J.full_outer_merge(left, right, ["k"], null_safe=True, hot=hot)
+            return joined.filter("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+        hot = J.collect_hot_keys([left, right], ["k"], 100)[1]
+        assert rows(hot) == [("hot", 18)]
+        assert hot_partitions(None) == 1
+        assert hot_partitions(hot) > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)

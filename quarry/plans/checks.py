@@ -181,7 +181,7 @@ def q_three_way_index_merge(spark, sf):
     return J.merge_indexes(frames, ["k1", "k2"])
 
 
-@query("index_merge_salted", ORACLE["three_way_index_merge"] if "three_way_index_merge" in ORACLE else None)
+@query("index_merge_salted", ORACLE["three_way_index_merge"])
 def q_index_merge_salted(spark, sf):
     """The three-way merge with a low skew threshold, so every key with 3+ left rows
     takes the salted path; must equal the plain merge (same oracle)."""

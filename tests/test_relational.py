@@ -203,3 +203,14 @@ def test_salting_spreads_a_hot_key_over_partitions(spark):
         assert hot_partitions(hot) > 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", prev)
+
+
+def test_upsert_merges_the_null_partition(spark, tmp_dir):
+    spark.sql(f"CREATE TABLE up_null (k string, v long, d string) USING parquet PARTITIONED BY (d) "
+              f"LOCATION '{tmp_dir}/up_null'")
+    kw = dict(keys=["k"], update_cols=["v"], partition_col="d", partition_expr=F.col("p"))
+    first = spark.createDataFrame([("a", 1, None), ("b", 2, None)], "k string, v long, p string")
+    U.upsert_into_table(spark, "up_null", first.select("k", "v", "p"), **kw)
+    second = spark.createDataFrame([("a", 5, None)], "k string, v long, p string")
+    U.upsert_into_table(spark, "up_null", second.select("k", "v", "p"), **kw)
+    assert rows(spark.table("up_null"), "k", "v") == [("a", 5), ("b", 2)]

@@ -139,3 +139,16 @@ def test_latest_summary_rounding_and_types(spark):
     r = covid.latest_summary(df.withColumn("date", F.to_date("date"))).first()
     assert (r["total_cases"], r["total_deaths"], r["total_vaccinations"], r["population"]) == (12.0, 2.0, 14, 4000000)
     assert r["cases_per_million"] == 2.9 and r["deaths_per_million"] == 0.6
+
+
+def test_epoch_units_and_date_formats(spark):
+    df = spark.createDataFrame([(1714557600,)], "s long")
+    exprs = {"s": S.epoch_to_timestamp("s", "s"),
+             "ms": S.epoch_to_timestamp(F.col("s") * 1000, "ms"),
+             "us": S.epoch_to_timestamp(F.col("s") * 1_000_000, "us"),
+             "ns": S.epoch_to_timestamp(F.col("s") * 1_000_000_000, "ns")}
+    r = df.select(*[S.timestamp_to_epoch_micros(e).alias(k) for k, e in exprs.items()]).first()
+    assert set(r) == {1714557600 * 1_000_000}
+    d = spark.createDataFrame([("01/05/2024",), ("bad",)], "t string")
+    got = [r[0] for r in d.select(S.parse_date("t", "dd/MM/yyyy")).collect()]
+    assert str(got[0]) == "2024-05-01" and got[1] is None

@@ -90,3 +90,10 @@ def test_link_helpers(spark):
     slugs = spark.createDataFrame([("banned-book-list-2021-2022",), ("2023-banned-book-list",), ("x",)], "s string")
     from quarry.functions.scalars import year_or_unknown
     assert [r[0] for r in slugs.select(year_or_unknown("s")).collect()] == ["2021-2022", "2023", "unknown"]
+
+
+def test_append_batched_to_table(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a")], "id long, name string")
+    K.replace_table(df, "io_batched", location=os.path.join(tmp_dir, "b"))
+    K.append_batched(spark.createDataFrame([(2, "b"), (3, "c")], "id long, name string"), "io_batched")
+    assert rows(spark.table("io_batched")) == [(1, "a"), (2, "b"), (3, "c")]

@@ -222,3 +222,24 @@ def test_null_country_is_kept_but_null_code_dropped(spark):
     df = spark.createDataFrame([(None, "XXX"), ("World", "OWID"), ("Chile", None), ("Peru", "PER")],
                                "country string, code string")
     assert rows(covid.clean(df)) == [("Peru", "PER"), (None, "XXX")]
+
+
+def test_header_discovery_across_file_splits(spark, tmp_dir):
+    """A big file read as many splits: positions stay ordered within the file, so
+    the first header line wins and only lines above it are dropped."""
+    p = os.path.join(tmp_dir, "big.csv")
+    body = [f"Title {i},Author {i}" for i in range(3000)]
+    with open(p, "w") as f:
+        f.write("preamble line\nmore preamble\n\nTitle,Author\n" + "\n".join(body[:1500])
+                + "\n\nTitle,Author\n" + "\n".join(body[1500:]) + "\n")
+    prev = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = PR.lines_from_files(spark, p)
+        assert lines.rdd.getNumPartitions() > 5
+        kept = PR.strip_preamble(lines, ("Title,Author",))
+        assert kept.filter("is_header").count() == 1
+        assert kept.count() == 1 + 3000 + 1  # first header, all rows, the repeated header line
+        assert kept.filter(F.col("line").startswith("preamble")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", prev)

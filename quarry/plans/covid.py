@@ -24,6 +24,7 @@ EXCLUDED_ENTITIES = (
 )
 # The countries compared in the analysis.
 FOCUS_COUNTRIES = ("Finland", "South Africa", "India", "United States", "Brazil")
+# The columns of the summary, the correlation matrix and the regression.
 SUMMARY_TOTALS = ("total_cases", "total_deaths", "total_vaccinations")
 CORR_COLUMNS = ("new_cases_per_million", "new_deaths_per_million", "stringency_index",
                 "positive_rate", "people_fully_vaccinated_per_hundred", "gdp_per_capita")

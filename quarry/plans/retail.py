@@ -1,4 +1,4 @@
-"""Retail inventory: clean -> five per-category reports (SURVEY ZEPTO).
+"""Retail inventory: clean -> five per-category reports.
 
 The two-group-bys-then-divide ratio (J8) is one conditional aggregate (A3).
 """

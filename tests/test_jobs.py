@@ -219,7 +219,7 @@ def test_uid_forms_and_blank_year(spark, tmp_dir):
 
 def test_null_country_is_kept_but_null_code_dropped(spark):
     from quarry.plans import covid
-    df = spark.createDataFrame([(None, "XXX"), ("World", "OWID"), ("Chile", None), ("Peru", "PER")],
+    df = spark.createDataFrame([(None, "XXX"), ("World", "AGG"), ("Chile", None), ("Peru", "PER")],
                                "country string, code string")
     assert rows(covid.clean(df)) == [("Peru", "PER"), (None, "XXX")]
 

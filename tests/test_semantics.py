@@ -12,7 +12,7 @@ from quarry.plans import covid
 
 
 def test_reference_excludes_aggregates(spark):
-    df = spark.createDataFrame([("World", "OWID_WRL"), ("Africa", "OWID_AFR"), ("South Africa", "ZAF")],
+    df = spark.createDataFrame([("World", "AGG_WRL"), ("Africa", "AGG_AFR"), ("South Africa", "ZAF")],
                                "country string, code string")
     out = covid.clean(df).collect()
     assert len(out) == 1 and out[0]["country"] == "South Africa"

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
+from pyspark.sql.window import Window
 
 
 def _q(name: str) -> str:
@@ -107,7 +108,8 @@ def exact_quantiles_multi(df: DataFrame, columns: Sequence[str], probs: Sequence
     inside every open gap of every column (``percentile_approx``), and a second
     counts rows below / at each grid value; each rank then either lands exactly on
     a grid value or in a sub-gap about ``grid`` times smaller. Gaps at or under
-    ``fetch_limit`` are fetched in one tagged scan and indexed. All columns share
+    ``fetch_limit`` rows are ranked in one tagged scan (a window per gap) and only
+    the wanted positions reach the driver. All columns share
     the same passes: 10^12 rows need three levels (two scans each) plus the
     count and the fetch, whatever the number of columns.
     """
@@ -139,15 +141,19 @@ def exact_quantiles_multi(df: DataFrame, columns: Sequence[str], probs: Sequence
                     cond = _in_gap(vcol[i], g[1], g[2])
                     tag = F.when(cond, F.lit(j)) if tag is None else tag.when(cond, F.lit(j))
                 tagged.append(F.struct(tag.alias("g"), vcol[i].alias("v")))
-            fetched = (vals.select(F.explode(F.array(*tagged)).alias("t"))
-                       .filter(F.col("t.g").isNotNull()).select("t.g", "t.v").collect())
-            by_gap: dict[int, list[float]] = {}
-            for r in fetched:
-                by_gap.setdefault(r["g"], []).append(r["v"])
-            for j, (i, _lo, _hi, off, _size, ranks) in enumerate(small):
-                values = sorted(by_gap.get(j, []))
-                for r in ranks:
-                    found[i][r] = values[r - off]
+            # Rank the rows of each small gap inside Spark (one window partition
+            # per gap, at most ``fetch_limit`` rows) and bring back only the
+            # wanted positions.
+            in_gaps = (vals.select(F.explode(F.array(*tagged)).alias("t"))
+                       .filter(F.col("t.g").isNotNull()).select("t.g", "t.v"))
+            ranked = in_gaps.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v")))
+            wanted = None
+            for j, (_i, _lo, _hi, off, _size, ranks) in enumerate(small):
+                term = (F.col("g") == j) & F.col("rn").isin([r - off + 1 for r in ranks])
+                wanted = term if wanted is None else wanted | term
+            for r in ranked.filter(wanted).collect():
+                i, off = small[r["g"]][0], small[r["g"]][3]
+                found[i][off + r["rn"] - 1] = r["v"]
         if not big:
             break
         grids = vals.agg(*[

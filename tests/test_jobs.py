@@ -92,14 +92,14 @@ def test_streaming_ingest_replay_and_rerun(spark, tmp_dir):
 
 
 BOOK_FILES = {
-    "pen-2021-2022.csv": "Banned list,,\nSource: PEN America,,\n\nAuthor,Title,Type of Ban,State,District,Date of Challenge/Removal\n"
+    "index-2021-2022.csv": "Banned list,,\nSource: PEN America,,\n\nAuthor,Title,Type of Ban,State,District,Date of Challenge/Removal\n"
                          "\"King, Stephen\",Carrie,Banned from Libraries,Texas,D1,July 2021\n"
                          ",Orphan,banned,Texas,D2,March 2022\n"
                          "PEN America,Note,,,,\n\n",
-    "pen-2023.csv": "Title,Author,Ban Status,State,District,Year,Origin of Challenge\n"
+    "index-2023.csv": "Title,Author,Ban Status,State,District,Year,Origin of Challenge\n"
                     "Carrie,Stephen King,banned,Florida,D3,2023.0,Administrator\n"
                     "Orphan,,banned by restriction,Florida,D4,2023,Formal Challenge\n",
-    "pen-2023-2024.csv": "Intro text\nTitle,Author,Ban Status,State,District,Year\n"
+    "index-2023-2024.csv": "Intro text\nTitle,Author,Ban Status,State,District,Year\n"
                          "Carrie,Stephen King,Banned Pending Investigation,Utah,D5,2023-2024\n"
                          "New Book,Someone,banned,Utah,D6,2024\n",
 }
@@ -120,8 +120,8 @@ def test_header_discovery_on_files(spark, tmp_dir):
     paths = _write_books(tmp_dir)
     kept = PR.strip_preamble(PR.lines_from_files(spark, paths))
     heads = {os.path.basename(r["file"]): r["line"] for r in kept.filter("is_header").collect()}
-    assert heads["pen-2021-2022.csv"].startswith("Author,Title")
-    assert heads["pen-2023-2024.csv"].startswith("Title,Author")
+    assert heads["index-2021-2022.csv"].startswith("Author,Title")
+    assert heads["index-2023-2024.csv"].startswith("Title,Author")
     assert kept.filter(F.col("line").contains("Banned list")).count() == 0
     assert kept.filter(F.trim("line") == "").count() == 0
 

@@ -195,7 +195,8 @@ def gold_weekly(master: DataFrame, as_of=None, days: int | None = 7,
 
 def run(spark: SparkSession, raw_path: str, master_table: str, gold_table: str,
         snapshot_time: datetime, as_of=None, quarantine: bool = False,
-        latest_only: bool = False, silver_dir: str | None = None) -> DataFrame:
+        latest_only: bool = False, silver_dir: str | None = None,
+        multi_line: bool = False) -> DataFrame:
     """End-to-end run for one landed batch of snapshot documents.
 
     ``latest_only``: ``raw_path`` is the landing folder and only its newest file
@@ -209,7 +210,7 @@ def run(spark: SparkSession, raw_path: str, master_table: str, gold_table: str,
     from quarry.sources.files import latest_file, read_json_documents
 
     source = latest_file(spark, raw_path, ".json") if latest_only else raw_path
-    docs = read_json_documents(spark, source, SNAPSHOT_SCHEMA)
+    docs = read_json_documents(spark, source, SNAPSHOT_SCHEMA, multi_line=multi_line)
     if quarantine:
         docs, _ = split_valid(docs, document_rules())
     else:

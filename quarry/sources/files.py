@@ -58,8 +58,12 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: dict[str, s
 
 
 def read_json_documents(spark: SparkSession, path: str | Sequence[str], schema: StructType,
-                        multi_line: bool = True) -> DataFrame:
-    """Nested JSON documents with a declared schema (no inference pass)."""
+                        multi_line: bool = False) -> DataFrame:
+    """Nested JSON documents with a declared schema (no inference pass).
+
+    Landed documents are compact one-line JSON, so files are read line by line:
+    every document of a file is read and files stay splittable. ``multi_line=True``
+    is for pretty-printed files holding a single document (one task per file)."""
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 

@@ -60,7 +60,7 @@ def merge_batch(spark: SparkSession, docs: DataFrame, master_table: str) -> None
 
 def start(spark: SparkSession, landing_dir: str, master_table: str,
           checkpoint: str | None = None, available_now: bool = True,
-          multi_line: bool = True, max_files_per_trigger: int | None = None,
+          multi_line: bool = False, max_files_per_trigger: int | None = None,
           table_location: str | None = None) -> StreamingQuery:
     """Start the ingest; returns the running query (``awaitTermination()`` it)."""
     create_table_if_missing(spark, master_table, MASTER_DDL, partition_by=("ts_date",),

@@ -243,3 +243,20 @@ def test_header_discovery_across_file_splits(spark, tmp_dir):
         assert kept.filter(F.col("line").startswith("preamble")).count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
+
+
+def test_bike_run_rejects_or_quarantines_bad_documents(spark, tmp_dir):
+    import pytest as _pytest
+
+    good = _doc([_station("g", "2024-05-06T10:00:00Z", 1, 1)])
+    bad = _doc([_station("x", "2024-05-06T10:00:00Z", 1, 1)])
+    bad["network"]["id"] = "some-other-network"
+    raw = os.path.join(tmp_dir, "raw")
+    _write_docs(raw, "station_status_2024-05-06_10-00-00.json", [good, bad])
+    spark.sql(f"CREATE TABLE bike_master_q ({', '.join(f'{n} {t}' for n, t in bike.MASTER_FIELDS)}, ts_date date) "
+              f"USING parquet PARTITIONED BY (ts_date) LOCATION '{tmp_dir}/master'")
+    args = (spark, raw, "bike_master_q", "bike_gold_q", datetime(2024, 5, 6, 10, 5))
+    with _pytest.raises(ValueError, match="network.id"):
+        bike.run(*args, as_of="2024-05-08")
+    bike.run(*args, as_of="2024-05-08", quarantine=True)
+    assert rows(spark.table("bike_master_q"), "station_id") == [("g",)]

@@ -107,9 +107,10 @@ def pivot_distinct(df: DataFrame, index: str, pivot_col: str, values: Sequence[s
     per pivot value, which a pivot over ``count(distinct)`` would do. The values
     are listed explicitly, so Spark runs no extra job to discover them."""
     src = group_non_null(df, [index, pivot_col])
-    triples = src.select(F.col(_q(index)), F.col(_q(pivot_col)), F.col(_q(target))) \
-        .filter(F.col(_q(target)).isNotNull()).distinct()
-    wide = triples.groupBy(F.col(_q(index))).pivot(pivot_col, list(values)).agg(F.count(F.lit(1)))
+    # Null targets stay in the dedup so a group whose targets are all null still
+    # appears (with 0), as a pandas ``nunique`` group does; ``count`` skips them.
+    triples = src.select(F.col(_q(index)), F.col(_q(pivot_col)), F.col(_q(target))).distinct()
+    wide = triples.groupBy(F.col(_q(index))).pivot(pivot_col, list(values)).agg(F.count(F.col(_q(target))))
     return wide.fillna(0, subset=list(values))
 
 

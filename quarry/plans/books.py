@@ -222,3 +222,17 @@ def run(spark: SparkSession, index_paths: Sequence[str], merged_csv: str,
     dim = ban_status_dimension(merged_back)
     recreate_dimension_and_fact(dim, dim_table, fact_table(merged_back), fact_table_name)
     return dashboard(merged_back.cache())
+
+
+def download_plan(pages: DataFrame, landed: DataFrame | None = None, prefix: str = "index-") -> DataFrame:
+    """S7 + S8 + T7 + S9, the ingest planning step: for every page that has the
+    download link, the CSV export link, the year taken from the page's slug and the
+    file name to land it under; pages whose file is already landed (a ``file_name``
+    column in ``landed``) are skipped. Downloading itself is outside Spark."""
+    from quarry.sources import links as L
+
+    plan = L.download_links(pages).select(
+        "page_id", "url", "href", L.export_link("href").alias("export_url"),
+        S.year_or_unknown("url").alias("year"))
+    plan = plan.withColumn("file_name", F.concat(F.lit(prefix), F.col("year"), F.lit(".csv")))
+    return L.not_yet_landed(plan, landed, "file_name") if landed is not None else plan

@@ -389,13 +389,16 @@ def q_header_discovery(spark, sf):
 
 
 _ANCHOR_SQL = L.ANCHOR_RE.replace("'", "''")
+_DECODED = "html"
+for _ent, _ch in L.HTML_ENTITIES:
+    _DECODED = f"replace({_DECODED}, '{_ent}', '{_ch.replace(chr(39), chr(39) * 2)}')"
 
 
 @query("anchor_link", f"""
 SELECT page_id, url, hrefs[list_position(texts, 'de')] AS href FROM (
   SELECT page_id, url,
-         regexp_extract_all(html, '{_ANCHOR_SQL}', 1) AS hrefs,
-         regexp_extract_all(html, '{_ANCHOR_SQL}', 2) AS texts
+         regexp_extract_all({_DECODED}, '{_ANCHOR_SQL}', 1) AS hrefs,
+         regexp_extract_all({_DECODED}, '{_ANCHOR_SQL}', 2) AS texts
   FROM pages)
 WHERE coalesce(list_position(texts, 'de'), 0) > 0
 """)

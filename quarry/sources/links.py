@@ -25,10 +25,24 @@ def anchors(html: str | Column) -> Column:
                         F.regexp_extract_all(h, F.lit(ANCHOR_RE), 2).alias("text"))
 
 
+# The character references an HTML parser decodes in attribute values
+# and text ('&amp;' last, so '&amp;lt;' stays '&lt;').
+HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+
+
+def unescape_basic(c: Column) -> Column:
+    """Decode the basic HTML character references, as a parser would."""
+    for ent, ch in HTML_ENTITIES:
+        c = F.replace(c, F.lit(ent), F.lit(ch))
+    return c
+
+
 def first_link_with_text(html: str | Column, text: str = DOWNLOAD_TEXT) -> Column:
-    """Href of the first anchor whose text equals ``text`` exactly; null if none.
-    ``array_position`` finds the first matching text (no lambda, codegen'd)."""
-    h = F.col(html) if isinstance(html, str) else html
+    """Href of the first anchor whose (decoded) text equals ``text`` exactly;
+    null if none. The page is decoded first, so text and href compare and come out
+    as a parser would give them; ``array_position`` finds the first match (no
+    lambda, codegen'd)."""
+    h = unescape_basic(F.col(html) if isinstance(html, str) else html)
     hrefs = F.regexp_extract_all(h, F.lit(ANCHOR_RE), 1)
     pos = F.array_position(F.regexp_extract_all(h, F.lit(ANCHOR_RE), 2), F.lit(text))
     return F.when(pos > 0, F.try_element_at(hrefs, pos.cast("int")))

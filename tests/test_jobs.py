@@ -260,3 +260,22 @@ def test_bike_run_rejects_or_quarantines_bad_documents(spark, tmp_dir):
         bike.run(*args, as_of="2024-05-08")
     bike.run(*args, as_of="2024-05-08", quarantine=True)
     assert rows(spark.table("bike_master_q"), "station_id") == [("g",)]
+
+
+def test_download_plan(spark):
+    pages = spark.createDataFrame([
+        (1, "https://example.org/book-bans/banned-book-list-2021-2022",
+         '<a href="https://docs.google.com/spreadsheets/d/X/edit?usp=sharing&amp;ouid=1">Download the index</a>'),
+        (2, "https://example.org/book-bans/2023-banned-book-list",
+         '<p>Download the index</p><a href="https://docs.google.com/spreadsheets/d/Y/export?format=csv">'
+         'Download the index</a>'),
+        (3, "https://example.org/book-bans/index-of-school-book-bans-2023-2024", "<p>no link</p>"),
+    ], "page_id long, url string, html string")
+    plan = {r["page_id"]: r for r in books.download_plan(pages).collect()}
+    assert set(plan) == {1, 2}
+    assert plan[1]["href"].endswith("edit?usp=sharing&ouid=1")  # entity decoded like a parser
+    assert plan[1]["export_url"] == "https://docs.google.com/spreadsheets/d/X/export?format=csv"
+    assert plan[2]["export_url"] == plan[2]["href"]  # already an export link
+    assert (plan[1]["file_name"], plan[2]["file_name"]) == ("index-2021-2022.csv", "index-2023.csv")
+    landed = spark.createDataFrame([("index-2023.csv",)], "file_name string")
+    assert [r["page_id"] for r in books.download_plan(pages, landed).collect()] == [1]

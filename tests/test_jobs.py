@@ -279,3 +279,15 @@ def test_download_plan(spark):
     assert (plan[1]["file_name"], plan[2]["file_name"]) == ("index-2021-2022.csv", "index-2023.csv")
     landed = spark.createDataFrame([("index-2023.csv",)], "file_name string")
     assert [r["page_id"] for r in books.download_plan(pages, landed).collect()] == [1]
+
+
+def test_read_indexes_keeps_quoted_newlines(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "index-2024.csv")
+    with open(p, "w") as f:
+        f.write('Some title text\n\nTitle,Author,Series Name\n"A Book","Doe, Jane","Part one\npart two"\n'
+                'Other,Someone,NA\n')
+    quoted = books.read_indexes(spark, [p])[0]
+    got = {r["Title"]: (r["Author"], r["Series Name"]) for r in quoted.collect()}
+    assert got == {"A Book": ("Doe, Jane", "Part one\npart two"), "Other": ("Someone", None)}
+    line_based = books.read_indexes(spark, [p], quoted_newlines=False)[0]
+    assert line_based.count() == 3  # the split field becomes two rows in the line-based path

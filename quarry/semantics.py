@@ -74,12 +74,10 @@ def nans_to_nulls(df: DataFrame) -> DataFrame:
 def na_to_null(c: str | Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
     """Map the pandas missing-value tokens to null on a string column (N-5).
 
-    pandas strips surrounding whitespace before matching only for the empty token,
-    so the match here is exact except that a blank cell is treated as empty.
+    The match is exact, as in pandas: ``'  '``, ``' NA'`` or ``'NA '`` stay text.
     """
     col = _col(c)
-    toks = list(tokens)
-    return F.when(col.isin(toks) | (F.trim(col) == F.lit("")), F.lit(None)).otherwise(col)
+    return F.when(col.isin(list(tokens)), F.lit(None)).otherwise(col)
 
 
 def safe_div(num: str | Column, den: str | Column) -> Column:

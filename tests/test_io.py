@@ -97,3 +97,15 @@ def test_append_batched_to_table(spark, tmp_dir):
     K.replace_table(df, "io_batched", location=os.path.join(tmp_dir, "b"))
     K.append_batched(spark.createDataFrame([(2, "b"), (3, "c")], "id long, name string"), "io_batched")
     assert rows(spark.table("io_batched")) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_csv_na_tokens_are_exact_like_pandas(spark, tmp_dir):
+    import pandas as pd
+
+    text = "a,b,c\n  ,1, NA\n,2,NA \nnan,3,-\n"
+    p = os.path.join(tmp_dir, "ws.csv")
+    _write(p, text)
+    want = pd.read_csv(p).astype(object).where(lambda d: d.notna(), None)
+    got = SRC.read_csv(spark, p)
+    assert rows(got) == sorted([tuple(r) for r in want.itertuples(index=False)],
+                               key=lambda t: tuple((x is None, str(x)) for x in t))

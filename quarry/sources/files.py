@@ -29,19 +29,30 @@ def read_csv_text(spark: SparkSession, path: str | Sequence[str], columns: Seque
     return df.select(*[na_to_null(F.col(f"`{c}`"), na_tokens).alias(c) for c in df.columns])
 
 
+# The spellings pandas reads as booleans.
+BOOL_TOKENS = ("True", "TRUE", "true", "False", "FALSE", "false")
+
+
 def infer_types(df: DataFrame) -> dict[str, str]:
     """S1 second half: pandas-like type inference over text columns in one pass:
-    a column is ``bigint`` if every non-null value parses as an integer, else
-    ``double`` if every value parses as a number, else ``string``."""
+    ``boolean`` if every non-null value is a pandas boolean spelling, else
+    ``bigint`` if every one parses as an integer, else ``double`` if every one
+    parses as a number, else ``string``. (An integer column with gaps stays a
+    nullable integer rather than becoming float as in pandas.)"""
     aggs = []
     for i, c in enumerate(df.columns):
         v = F.col(f"`{c}`")
+        aggs.append(F.count_if(v.isNotNull() & ~v.isin(*BOOL_TOKENS)).alias(f"b{i}"))
         aggs.append(F.count_if(v.isNotNull() & v.try_cast("bigint").isNull()).alias(f"i{i}"))
         aggs.append(F.count_if(v.isNotNull() & v.try_cast("double").isNull()).alias(f"d{i}"))
+        aggs.append(F.count(v).alias(f"n{i}"))
     r = df.agg(*aggs).first()
     out = {}
     for i, c in enumerate(df.columns):
-        out[c] = "bigint" if r[f"i{i}"] == 0 else "double" if r[f"d{i}"] == 0 else "string"
+        if r[f"n{i}"] > 0 and r[f"b{i}"] == 0:
+            out[c] = "boolean"
+        else:
+            out[c] = "bigint" if r[f"i{i}"] == 0 else "double" if r[f"d{i}"] == 0 else "string"
     return out
 
 

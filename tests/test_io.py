@@ -109,3 +109,12 @@ def test_csv_na_tokens_are_exact_like_pandas(spark, tmp_dir):
     got = SRC.read_csv(spark, p)
     assert rows(got) == sorted([tuple(r) for r in want.itertuples(index=False)],
                                key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_csv_type_inference_like_pandas(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "types.csv")
+    _write(p, "a,b,c,d,e,f\nTrue,1,1.5,x,1,true\nfalse,2,,y,2.0,TRUE\n,3,3,,NA,False\n")
+    df = SRC.read_csv(spark, p)
+    assert dict(df.dtypes) == {"a": "boolean", "b": "bigint", "c": "double", "d": "string", "e": "double",
+                               "f": "boolean"}
+    assert [r["a"] for r in df.orderBy("b").collect()] == [True, False, None]

@@ -118,3 +118,11 @@ def test_csv_type_inference_like_pandas(spark, tmp_dir):
     assert dict(df.dtypes) == {"a": "boolean", "b": "bigint", "c": "double", "d": "string", "e": "double",
                                "f": "boolean"}
     assert [r["a"] for r in df.orderBy("b").collect()] == [True, False, None]
+
+
+def test_anchor_text_inside_nested_tags(spark):
+    pages = spark.createDataFrame([
+        (1, "u1", '<a href="/a"><span><b>Download the index</b></span></a>'),
+        (2, "u2", '<a href="/b">Download <b>the</b> index</a><a href="/c">Download the index</a>'),
+    ], "page_id long, url string, html string")
+    assert rows(LNK.download_links(pages), "page_id", "href") == [(1, "/a"), (2, "/c")]

@@ -14,10 +14,10 @@ DOWNLOAD_TEXT = "Download the index"
 DOC_HOST = "docs.google.com"
 EXPORT_SUFFIX = "/export?format=csv"
 
-# An anchor with a double-quoted href whose content is one string, possibly wrapped
-# in a chain of single nested tags (what a parser reports as the anchor's string);
+# An anchor with a quoted href whose content is one string, possibly wrapped in a
+# chain of single nested tags (what a parser reports as the anchor's string);
 # text split around child tags does not count.
-ANCHOR_RE = r'<a\s[^>]*?href="([^"]*)"[^>]*>(?:<[a-zA-Z][^>]*>)*([^<]*)(?:</[a-zA-Z][^>]*>)*</a>'
+ANCHOR_RE = r"""<a\s[^>]*?href=["']([^"'>]*)["'][^>]*>(?:<[a-zA-Z][^>]*>)*([^<]*)(?:</[a-zA-Z][^>]*>)*</a>"""
 
 
 def anchors(html: str | Column) -> Column:

@@ -124,5 +124,6 @@ def test_anchor_text_inside_nested_tags(spark):
     pages = spark.createDataFrame([
         (1, "u1", '<a href="/a"><span><b>Download the index</b></span></a>'),
         (2, "u2", '<a href="/b">Download <b>the</b> index</a><a href="/c">Download the index</a>'),
+        (3, "u3", "<a class='x' href='/d'>Download the index</a>"),
     ], "page_id long, url string, html string")
-    assert rows(LNK.download_links(pages), "page_id", "href") == [(1, "/a"), (2, "/c")]
+    assert rows(LNK.download_links(pages), "page_id", "href") == [(1, "/a"), (2, "/c"), (3, "/d")]

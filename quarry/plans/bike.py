@@ -11,8 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, LongType, StringType,
-                               StructField, StructType)
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from quarry.functions.scalars import (coerce_numeric, fill_defaults, parse_timestamp_utc,
                                       to_bool_default_false)

@@ -8,6 +8,7 @@ A13 + J7 -> dimension; A6/A8/A10/A12/O2 on the persisted fact.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,7 +109,7 @@ def read_indexes(spark: SparkSession, paths: Sequence[str], quoted_newlines: boo
                 for f in resolved]
     # One output directory per source file (a small literal map file -> index).
     index = F.create_map(*[F.lit(x) for i, f in enumerate(resolved) for x in (f, i)])
-    out = shared_path(spark, f"book-indexes-{__import__('uuid').uuid4().hex}")
+    out = shared_path(spark, f"book-indexes-{uuid.uuid4().hex}")
     (kept.filter(F.col("file").isin(resolved)).withColumn("idx", F.element_at(index, F.col("file")))
      .repartition("idx").sortWithinPartitions("idx", "pos")
      .select("idx", "line").write.partitionBy("idx").text(out))

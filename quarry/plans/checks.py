@@ -27,7 +27,6 @@ from quarry.operators import upsert as U
 from quarry.operators import windows as W
 from quarry.plans import bike
 from quarry.plans.views import STATION_STATUS_SQL, station_status, table
-from quarry.semantics import not_in
 from quarry.sources import links as L
 from quarry.sources import preamble as PR
 

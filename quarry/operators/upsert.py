@@ -98,7 +98,18 @@ def upsert_into_table(spark: SparkSession, table: str, staging: DataFrame, keys:
     rows sorted by ``cluster_by`` inside each file (the table's clustering, so
     row-group statistics prune later key lookups). Returns the merged slice.
     """
-    batch = staging.withColumn(partition_col, partition_expr)
+    # The batch is read twice (its partition values, then the merge): keep it for
+    # the duration of the upsert instead of recomputing it from the source.
+    batch = staging.withColumn(partition_col, partition_expr).persist()
+    try:
+        return _upsert_batch(spark, table, batch, keys, update_cols, partition_col, order_desc,
+                             tiebreak, drop_from_source, version_col, cluster_by)
+    finally:
+        batch.unpersist()
+
+
+def _upsert_batch(spark, table, batch, keys, update_cols, partition_col, order_desc, tiebreak,
+                  drop_from_source, version_col, cluster_by) -> DataFrame:
     parts = [r[0] for r in batch.select(partition_col).distinct().collect()]
     target = spark.table(table)
     existing = _existing_partitions(spark, table, partition_col)

@@ -44,18 +44,13 @@ def snapshot_time_of_document() -> F.Column:
 
 
 def merge_batch(spark: SparkSession, docs: DataFrame, master_table: str) -> None:
-    """One micro-batch: flatten, type, upsert (newest snapshot wins per key). The
-    batch is read twice (its dates, then the merge), so it is persisted for the
-    duration of the batch."""
-    docs = docs.persist()
-    try:
-        staging = bike.type_silver(bike.flatten_stations(docs, carry=("snapshot_time",)))
-        upsert_into_table(spark, master_table, staging, bike.MERGE_KEYS, bike.UPDATED_COLUMNS,
-                          partition_col="ts_date", partition_expr=F.to_date("timestamp"),
-                          order_desc=("snapshot_time",), tiebreak=("extra_uid",),
-                          version_col="snapshot_time", cluster_by=("station_id",))
-    finally:
-        docs.unpersist()
+    """One micro-batch: flatten, type, upsert (newest snapshot wins per key); the
+    upsert keeps the typed batch persisted while it reads it twice."""
+    staging = bike.type_silver(bike.flatten_stations(docs, carry=("snapshot_time",)))
+    upsert_into_table(spark, master_table, staging, bike.MERGE_KEYS, bike.UPDATED_COLUMNS,
+                      partition_col="ts_date", partition_expr=F.to_date("timestamp"),
+                      order_desc=("snapshot_time",), tiebreak=("extra_uid",),
+                      version_col="snapshot_time", cluster_by=("station_id",))
 
 
 def start(spark: SparkSession, landing_dir: str, master_table: str,

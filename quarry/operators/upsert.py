@@ -84,7 +84,7 @@ def insert_ignore(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> D
 
 
 def upsert_into_table(spark: SparkSession, table: str, staging: DataFrame, keys: Sequence[str],
-                      update_cols: Sequence[str], partition_col: str, partition_expr,
+                      update_cols: Sequence[str], partition_col: str | None, partition_expr=None,
                       order_desc: Sequence[str] = (), tiebreak: Sequence[str] = (),
                       drop_from_source: Sequence[str] = (),
                       version_col: str | None = None,
@@ -97,7 +97,17 @@ def upsert_into_table(spark: SparkSession, table: str, staging: DataFrame, keys:
     half-overwritten files), then dynamic-overwrites exactly those partitions,
     rows sorted by ``cluster_by`` inside each file (the table's clustering, so
     row-group statistics prune later key lookups). Returns the merged slice.
+
+    With ``partition_col=None`` (an unpartitioned table) the whole target is
+    merged, written aside as a reliable checkpoint, and the table is replaced.
     """
+    if partition_col is None:
+        merged = merge_upsert(spark.table(table), staging, keys, update_cols, order_desc, tiebreak,
+                              drop_from_source, version_col)
+        merged = merged.select(*spark.table(table).columns).checkpoint(eager=True)
+        out = merged.sortWithinPartitions(*cluster_by) if cluster_by else merged
+        out.write.mode("overwrite").insertInto(table)
+        return merged
     # The batch is read twice (its partition values, then the merge): keep it for
     # the duration of the upsert instead of recomputing it from the source.
     batch = staging.withColumn(partition_col, partition_expr).persist()

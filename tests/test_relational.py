@@ -214,3 +214,11 @@ def test_upsert_merges_the_null_partition(spark, tmp_dir):
     second = spark.createDataFrame([("a", 5, None)], "k string, v long, p string")
     U.upsert_into_table(spark, "up_null", second.select("k", "v", "p"), **kw)
     assert rows(spark.table("up_null"), "k", "v") == [("a", 5), ("b", 2)]
+
+
+def test_upsert_into_unpartitioned_table(spark, tmp_dir):
+    spark.sql(f"CREATE TABLE up_flat (k string, v long) USING parquet LOCATION '{tmp_dir}/up_flat'")
+    spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long").write.insertInto("up_flat")
+    batch = spark.createDataFrame([("b", 20), ("c", 3)], "k string, v long")
+    U.upsert_into_table(spark, "up_flat", batch, ["k"], ["v"], partition_col=None)
+    assert rows(spark.table("up_flat")) == [("a", 1), ("b", 20), ("c", 3)]

@@ -211,13 +211,18 @@ def _double_literal(x: float | None) -> str:
 
 
 def describe_exact(df: DataFrame, columns: Sequence[str] | None = None,
-                   fetch_limit: int = 200_000) -> DataFrame:
+                   fetch_limit: int = 200_000, accuracy: int | None = None) -> DataFrame:
     """Q5: count, mean, sample std, min, 25/50/75 %, max per numeric column, exact,
     one row per column. Moments for all columns come from one aggregate, the
-    quartiles from ``exact_quantiles_multi`` (shared passes for all columns)."""
+    quartiles from ``exact_quantiles_multi`` (shared passes for all columns).
+
+    ``accuracy`` (opt-in) switches the quartiles to ``percentile_approx`` with that
+    accuracy, computed in the same single aggregate as the moments."""
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     cols = list(columns)
+    if accuracy is not None:
+        return _describe_approx(df, cols, accuracy)
     quart = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75], fetch_limit=fetch_limit)
     aggs = []
     for i, c in enumerate(cols):
@@ -236,6 +241,22 @@ def describe_exact(df: DataFrame, columns: Sequence[str] | None = None,
                            "(column_name, count, mean, std, min, p25, p50, p75, max)")
 
 
+def _describe_approx(df: DataFrame, cols: Sequence[str], accuracy: int) -> DataFrame:
+    """One-pass describe with approximate quartiles (sketch error ~ 1/accuracy)."""
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.col(_q(c)).cast("double")
+        clean = F.when(v.isNotNull() & ~F.isnan(v), v)
+        aggs += [F.count(clean).alias(f"c{i}"), F.avg(clean).alias(f"m{i}"),
+                 F.stddev_samp(clean).alias(f"s{i}"), F.min(clean).alias(f"lo{i}"),
+                 F.max(clean).alias(f"hi{i}"),
+                 F.percentile_approx(clean, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}")]
+    wide = df.agg(*aggs)
+    parts = [f"'{c}', c{i}, m{i}, s{i}, lo{i}, q{i}[0], q{i}[1], q{i}[2], hi{i}" for i, c in enumerate(cols)]
+    return wide.selectExpr(f"stack({len(cols)}, {', '.join(parts)}) as "
+                           "(column_name, count, mean, std, min, p25, p50, p75, max)")
+
+
 # --- Q6: preview ----------------------------------------------------------------------
 
 

@@ -222,3 +222,13 @@ def test_upsert_into_unpartitioned_table(spark, tmp_dir):
     batch = spark.createDataFrame([("b", 20), ("c", 3)], "k string, v long")
     U.upsert_into_table(spark, "up_flat", batch, ["k"], ["v"], partition_col=None)
     assert rows(spark.table("up_flat")) == [("a", 1), ("b", 20), ("c", 3)]
+
+
+def test_describe_approx_close_to_exact(spark):
+    df = spark.range(0, 10_001).selectExpr("cast(id as double) as x")
+    exact = Q.describe_exact(df, ["x"]).first()
+    approx = Q.describe_exact(df, ["x"], accuracy=10_000).first()
+    assert (exact["p25"], exact["p50"], exact["p75"]) == (2500.0, 5000.0, 7500.0)
+    for k in ("p25", "p50", "p75"):
+        assert abs(approx[k] - exact[k]) <= 10_001 / 10_000 + 1
+    assert approx["count"] == exact["count"] and approx["max"] == exact["max"]

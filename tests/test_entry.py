@@ -45,3 +45,21 @@ def test_query_matches_oracle(spark, name):
     assert sorted(sdf.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert rows_multiset(sdf.columns, srows, True) == rows_multiset(dcols, drows, True)
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "BENCH_SF_DIR": SF_SMOKE, "BENCH_CPUS": "2", "BENCH_REPEATS": "1",
+           "BENCH_DRIVER_MEMORY": "2g"}
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py"), "table_shape", "top1"],
+                         capture_output=True, text=True, env=env, timeout=600, cwd=root)
+    lines = [line for line in out.stdout.splitlines() if line.strip()]
+    assert len(lines) == 1, out.stdout + out.stderr[-2000:]
+    d = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(d) and d["unit"] == "sec"
+    assert set(d["queries"]) == {"table_shape", "top1"} and d["sf"] == 0.001

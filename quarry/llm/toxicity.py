@@ -19,7 +19,9 @@ from quarry.llm.labelled import Sample, held_out, labelled_sample
 EXAMPLES, FEATURES, LEAST_Z = 2048, 4096, 4.5
 #: Lengths of word starts that are features beside the words themselves.
 STEMS = (4, 5, 6)
-NEIGHBOURS, BLOCK = 32, 64
+NEIGHBOURS, BLOCK = 32, 256
+#: Searches that a task remembers.
+KNOWN = 20_000
 #: Weight of the base rate among the votes.
 PRIOR_VOTES = 0.5
 
@@ -85,14 +87,15 @@ class BlockMaxIndex:
                          for key, p in postings.items()}
 
     def search(self, query: dict[int, float], k: int, skip: int = -1) -> list[tuple[float, int]]:
-        """The ``k`` examples of highest positive cosine, ties to the earlier; ``skip`` is left out."""
+        """``k`` examples of the highest positive cosines (of those that tie at the last place the
+        first met); ``skip`` is left out."""
         if not query or not self.size:
             return []
         features = list(query)
         bounds = np.array([query[f] for f in features]) @ self.largest[features]
         best: list[tuple[float, int]] = []
         for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or (len(best) == k and bounds[b] < best[-1][0] - 1e-12):
+            if bounds[b] <= 0 or (len(best) == k and bounds[b] <= best[-1][0] + 1e-12):
                 break
             scores = np.zeros(self.block)
             for f in features:
@@ -109,14 +112,19 @@ class Model:
 
     def __init__(self, features: list[bytes], idf: np.ndarray, ids: list[int], labels: np.ndarray,
                  examples: list[dict[int, int]], totals: tuple[int, int]) -> None:
-        self.features, self.idf, self.ids, self.labels = features, idf, ids, labels
+        self.features, self.idf = features, idf
         self.vocabulary = Vocabulary(features)
+        # alike examples share blocks, so that a block's largest weights say more about it
+        order = sorted(range(len(ids)), key=lambda i: (max(((idf[f], f) for f in examples[i]), default=(0, 0)), len(examples[i]), i))
+        self.ids, self.labels = [ids[i] for i in order], labels[order]
+        labels, examples = self.labels, [examples[i] for i in order]
         n = [max(1, int((labels == c).sum())) for c in (0, 1)]
         #: An example stands for so many labelled rows of its class, relative to the base rate.
         share = np.array(totals, float) / max(1, sum(totals))
         self.rate = float(share[1]) if sum(totals) else 0.0
         self.votes = np.array([share[c] * 2 * len(labels) / (2 * n[c]) for c in (0, 1)])
         self.index = BlockMaxIndex([self.unit(c) for c in examples], len(features))
+        self.known: dict[tuple, list[tuple[float, int]]] = {}
         self.line = (0.0, 0.0)
         raw = np.array([self.raw(self.index.search(self.unit(c), NEIGHBOURS, skip=i)) for i, c in enumerate(examples)])
         self.line = fit_line(raw, labels, self.votes[labels] if len(labels) else np.zeros(0), self.rate)
@@ -137,9 +145,19 @@ class Model:
                 no += weight
         return math.log(max(yes, 1e-6) / max(no, 1e-6))
 
+    def neighbours(self, counts: dict[int, int]) -> list[tuple[float, int]]:
+        """The search, remembered for texts of equal features (a bounded number of them)."""
+        key = tuple(sorted(counts.items()))
+        near = self.known.get(key)
+        if near is None:
+            if len(self.known) >= KNOWN:
+                self.known.clear()
+            near = self.known[key] = self.index.search(self.unit(counts), NEIGHBOURS)
+        return near
+
     def score(self, text: bytes) -> tuple[float, list[tuple[float, int]], list[bytes]]:
         counts = self.vocabulary.counts(text)
-        near = self.index.search(self.unit(counts), NEIGHBOURS) if counts else []
+        near = self.neighbours(counts) if counts else []
         a, b = self.line
         p = 1 / (1 + math.exp(-max(-30.0, min(30.0, a * self.raw(near) + b))))
         return p, near, [self.features[f] for f in counts]

@@ -185,10 +185,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     y = np.array(sample.labels, dtype=np.float32)
     if len(set(sample.labels)) < 2:
         return Constant(float(y.mean()) if len(y) else 0.5)
-    x, counts = passages([t.encode() for t in sample.texts])
-    start = np.concatenate(([0], np.cumsum(counts)[:-1]))
-    rows = [lo + np.unique(np.linspace(0, n - 1, min(n, FIT_PASSAGES)).astype(int)) for lo, n in zip(start, counts)]
-    x, counts = x[np.concatenate(rows)], np.array([len(r) for r in rows])
+    bags = []
+    for text_ in sample.texts:  # one at a time: the driver holds the chosen passages only
+        x = passages([text_.encode()])[0]
+        bags.append(x[np.unique(np.linspace(0, len(x) - 1, min(len(x), FIT_PASSAGES)).astype(int))])
+    x, counts = np.concatenate(bags), np.array([len(b) for b in bags])
     share = np.array(sample.totals) / sum(sample.totals)
     weight = np.where(y == 1, share[1] / y.mean(), share[0] / (1 - y.mean())).astype(np.float32)
     model = Attention()

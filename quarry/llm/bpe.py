@@ -7,9 +7,12 @@ others are merged exactly.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
+from array import array
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +25,8 @@ from quarry.llm.lexicon import Lexicon, compile_lexicon
 
 #: The word pattern of byte-level BPE vocabularies (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words in the lexicon at most, and pieces that a task remembers at most.
-LEXICON_WORDS, MEMO_PIECES = 1 << 17, 200_000
+#: Words in the lexicon at most, and results that a Python worker remembers at most.
+LEXICON_WORDS, MEMO_PIECES = 1 << 18, 300_000
 _CUT_CHARS = 1 << 20
 
 
@@ -48,50 +51,64 @@ class Vocabulary:
         for i, piece in self.pieces.items():
             if len(piece) == 1:
                 self.bytes_id[piece[0]] = i
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        #: pair of ids -> rank and id of what it becomes, each packed into one number
+        self.merges: dict[int, int] = {}
         for rank, merge in enumerate(spec["model"]["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
-            self.merges.setdefault((ids[left], ids[right]), (rank, ids[left + right]))
+            self.merges.setdefault(ids[left] << _SHIFT | ids[right], rank << _SHIFT | ids[left + right])
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.pieces |= {i: t.encode() for t, i in self.special.items()}
 
     def merge(self, word: bytes) -> list[int]:
-        """Exact merges: always the pair of lowest rank, the leftmost of equals. A heap of pairs
-        over a linked list keeps long words near linear."""
+        """Exact merges: always the pair of lowest rank, the leftmost of equals."""
         parts = [self.bytes_id[b] for b in word]
-        merges = self.merges
-        if len(parts) < 24:
-            while len(parts) > 1:
-                (rank, made), at = min((merges.get(pair, _NO_MERGE), i)
-                                       for i, pair in enumerate(zip(parts, parts[1:])))
-                if made < 0:
-                    break
-                parts[at:at + 2] = [made]
-            return parts
+        if len(parts) >= 64:
+            return self._merge_long(parts)
+        known = self.merges.get
+        ranks = [known(a << _SHIFT | b, _NO_MERGE) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == _NO_MERGE:
+                break
+            i = ranks.index(best)
+            made = parts[i] = best & _MASK
+            del parts[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = known(parts[i - 1] << _SHIFT | made, _NO_MERGE)
+            if i < len(ranks):
+                ranks[i] = known(made << _SHIFT | parts[i + 1], _NO_MERGE)
+        return parts
+
+    def _merge_long(self, parts: list[int]) -> list[int]:
+        """The same by a heap of pairs over a linked list, near linear in the word's length."""
+        known = self.merges.get
         n = len(parts)
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*m, i) for i in range(n - 1) if (m := merges.get((parts[i], parts[i + 1])))]
+        heap = [(m, i) for i in range(n - 1) if (m := known(parts[i] << _SHIFT | parts[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            rank, made, i = heapq.heappop(heap)
+            best, i = heapq.heappop(heap)
             j = nxt[i]
-            if parts[i] < 0 or j >= n or merges.get((parts[i], parts[j])) != (rank, made):
+            if parts[i] < 0 or j >= n or known(parts[i] << _SHIFT | parts[j]) != best:
                 continue  # an earlier merge has used one side
-            parts[i], parts[j] = made, -1
+            made = parts[i] = best & _MASK
+            parts[j] = -1
             nxt[i] = nxt[j]
             if nxt[i] < n:
                 prv[nxt[i]] = i
-                if m := merges.get((made, parts[nxt[i]])):
-                    heapq.heappush(heap, (*m, i))
-            if prv[i] >= 0 and (m := merges.get((parts[prv[i]], made))):
-                heapq.heappush(heap, (*m, prv[i]))
+                if (m := known(made << _SHIFT | parts[nxt[i]])) is not None:
+                    heapq.heappush(heap, (m, i))
+            if prv[i] >= 0 and (m := known(parts[prv[i]] << _SHIFT | made)) is not None:
+                heapq.heappush(heap, (m, prv[i]))
         return [p for p in parts if p >= 0]
 
     def decode(self, ids) -> bytes:
         return b"".join([self.pieces[i] for i in ids])
 
 
-_NO_MERGE = (1 << 60, -1)
+_SHIFT = 24
+_MASK = (1 << _SHIFT) - 1
+_NO_MERGE = 1 << 60
 _WORDS = regex.compile(PATTERN)
 _CUT = regex.compile(r" (?=\S)")
 _WIDE = regex.compile(r" \s| \Z")
@@ -113,25 +130,50 @@ def pieces_of(text: str):
         lo, first = hi + 1, False
 
 
+class Memo:
+    """Remembers the results of at least the last ``MEMO_PIECES / 2`` new keys: when the younger
+    half is full it becomes the older one, from which keys that are still asked for come back."""
+
+    def __init__(self) -> None:
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def missing(self, keys: set) -> set:
+        """The keys without a result; all others are in ``young`` afterwards."""
+        absent = keys.difference(self.young)
+        if len(self.young) + len(absent) > MEMO_PIECES // 2 + len(keys):
+            self.old, self.young, absent = self.young, {}, keys
+        back = absent.intersection(self.old)
+        for k in back:
+            self.young[k] = self.old[k]
+        return absent - back
+
+
 class Encoder:
-    """Encodes texts; remembers a bounded number of pieces."""
+    """Encodes texts; remembers a bounded number of pieces and words."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon) -> None:
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.memo: dict[str, tuple[bytes, bytes]] = {}
+        #: (ids, decoded bytes) of pieces behind a space (without it), and of words
+        self.pieces, self.words = Memo(), Memo()
         marks = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
 
-    def learn(self, pieces: set[str]) -> None:
-        """Puts (ids, decoded bytes) of all given pieces into the memo."""
-        words = {p: _WORDS.findall(p) for p in pieces}
-        known = [w.encode() for w in dict.fromkeys(w for ws in words.values() for w in ws)]
-        numbers = self.lexicon.lookup(known)
-        ids = {w: self.lexicon.tokens(n).tolist() if n >= 0 else self.vocabulary.merge(w)
-               for w, n in zip(known, numbers.tolist())}
-        for piece, parts in words.items():
-            all_ids = [i for w in parts for i in ids[w.encode()]]
-            self.memo[piece] = np.array(all_ids, np.int32).tobytes(), self.vocabulary.decode(all_ids)
+    def learn(self, texts: dict[str, list[str]], into: dict[str, tuple[bytes, bytes]]) -> None:
+        """Puts (ids, decoded bytes) of all given texts into ``into``, by way of their words'."""
+        wanted = set(chain.from_iterable(texts.values()))
+        new = list(self.words.missing(wanted))
+        raw = [w.encode() for w in new]
+        words, tokens, merge, decode = self.words.young, self.lexicon.tokens, self.vocabulary.merge, self.vocabulary.decode
+        for w, r, n in zip(new, raw, self.lexicon.lookup(raw).tolist()):
+            ids = tokens(n) if n >= 0 else merge(r)
+            words[w] = array("i", ids).tobytes(), decode(ids)
+        for text, parts in texts.items():
+            if len(parts) == 1:
+                into[text] = words[parts[0]]
+            else:
+                both = [words[w] for w in parts]
+                into[text] = b"".join([x[0] for x in both]), b"".join([x[1] for x in both])
 
     def segments(self, text: str) -> list:
         """(is special, text) runs of a text."""
@@ -141,39 +183,52 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(int32 ids, decoded bytes) of each text."""
-        plan: list[list] = []
+        plan: list[list[tuple[str, str | None, list[str]]]] = []  # special, piece without space, pieces behind one
         for text in texts:
-            plan.append([])
+            runs = []
             for special, run in self.segments(text):
                 if special:
-                    plan[-1].append((run, True))
+                    runs.append((run, None, []))
                     continue
                 for first, cut in pieces_of(run):
-                    spaced = [" " + p for p in cut]
-                    if first:
-                        spaced[0] = cut[0]
-                    plan[-1].append((spaced, False))
-        wanted = {p for runs in plan for run, special in runs if not special for p in run}
-        missing = wanted.difference(self.memo)
-        if len(self.memo) + len(missing) > MEMO_PIECES:
-            self.memo, missing = {}, wanted
-        self.learn(missing)
+                    runs.append(("", cut[0], cut[1:]) if first else ("", None, cut))
+            plan.append(runs)
+        missing = self.pieces.missing({p for runs in plan for run in runs for p in run[2]})
+        self.learn({p: _WORDS.findall(" " + p) for p in missing}, self.pieces.young)
+        leads: dict[str, tuple[bytes, bytes]] = {}
+        self.learn({run[1]: _WORDS.findall(run[1]) for runs in plan for run in runs if run[1] is not None}, leads)
+        memo = self.pieces.young
         out = []
         for runs in plan:
             ids, decoded = [], []
-            for run, special in runs:
+            for special, lead, cut in runs:
                 if special:
-                    i = self.vocabulary.special[run]
-                    ids.append(np.int32(i).tobytes())
+                    i = self.vocabulary.special[special]
+                    ids.append(array("i", [i]).tobytes())
                     decoded.append(self.vocabulary.decode([i]))
-                else:
-                    got = [self.memo[p] for p in run]
-                    ids += [g[0] for g in got]
-                    decoded += [g[1] for g in got]
+                    continue
+                if lead is not None:
+                    ids.append(leads[lead][0])
+                    decoded.append(leads[lead][1])
+                got = [memo[p] for p in cut]
+                ids += [g[0] for g in got]
+                decoded += [g[1] for g in got]
             out.append((b"".join(ids), b"".join(decoded)))
         return out
 
 
+_encoders: dict[bytes, Encoder] = {}
+
+
+def worker_encoder(source: str, block: bytes) -> Encoder:
+    """The encoder of this Python worker, which keeps its memo from task to task."""
+    key = hashlib.sha256(source.encode() + block).digest()
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(Vocabulary(source), Lexicon(block))
+    return _encoders[key]
+
+
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n): how often each word of the pattern occurs in all texts.
 
@@ -181,18 +236,21 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     split into words, so the pattern runs once for each.
     """
     def count(batches):
-        seen: Counter[str] = Counter()
+        leads: Counter[str] = Counter()
+        seen: Counter[str] = Counter()  # behind a space
         for batch in slices(batches):
             for t in str_texts(batch, text):
                 for first, cut in pieces_of(t):
                     if first:
-                        seen[cut[0]] += 1
+                        leads[cut[0]] += 1
                         cut = cut[1:]
-                    seen.update([" " + p for p in cut])
-            if len(seen) > 2 * MEMO_PIECES:
-                yield _counted(seen)
-                seen = Counter()
-        yield _counted(seen)
+                    seen.update(cut)
+            if len(seen) + len(leads) > 2 * MEMO_PIECES:
+                yield _counted(leads)
+                yield _counted(Counter({" " + p: n for p, n in seen.items()}))
+                leads, seen = Counter(), Counter()
+        yield _counted(leads)
+        yield _counted(Counter({" " + p: n for p, n in seen.items()}))
 
     def split(batches):
         for batch in batches:
@@ -253,7 +311,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str =
     carried = [id_col, *keep]
 
     def run(batches):
-        encoder = Encoder(Vocabulary(sent.value[0]), Lexicon(sent.value[1]))
+        encoder = worker_encoder(*sent.value)
         for batch in slices(batches):
             done = encoder.encode(str_texts(batch, text))
             sizes = np.cumsum([0, *(len(ids) // 4 for ids, _ in done)]).astype(np.int32)

@@ -72,7 +72,7 @@ class Lexicon:
         with tempfile.NamedTemporaryFile(prefix="lexicon-") as f:  # unlinked once mapped
             f.write(block)
             f.flush()
-            data = np.memmap(f.name, dtype=np.uint8, mode="r")
+            data = np.memmap(f.name, dtype=np.uint8, mode="r").view(np.ndarray)
         head = data[:64].view(np.int64)
         at = 64
         parts = []
@@ -108,5 +108,5 @@ class Lexicon:
         accepted = (states >= 0) & (self.finals[np.maximum(states, 0)] > 0)
         return np.where(accepted, out, -1)
 
-    def tokens(self, number: int) -> np.ndarray:
-        return self.ids[self.offsets[number]:self.offsets[number + 1]]
+    def tokens(self, number: int) -> list[int]:
+        return self.ids[self.offsets[number]:self.offsets[number + 1]].tolist()

@@ -26,8 +26,14 @@ def bool_to_int(c: str | Column) -> Column:
 
 
 def coerce_numeric(c: str | Column, to: str = "double") -> Column:
-    """Numeric coercion, unparsable -> null (pandas ``errors='coerce'``)."""
-    return _col(c).cast("string").try_cast(to) if to != "string" else _col(c).cast("string")
+    """Numeric coercion, unparsable -> null (pandas ``errors='coerce'``). A number with a
+    type letter behind it (``5D``, ``12f``) is a code, not a number."""
+    text = _col(c).cast("string")
+    return text if to == "string" else F.when(~text.rlike(TYPE_LETTER), text).try_cast(to)
+
+
+#: A number as Spark's cast would read it, with a trailing type letter.
+TYPE_LETTER = r"(?i)^\s*[+-]?[0-9.][0-9.e+-]*[dfl]\s*$"
 
 
 def to_bool_default_false(c: str | Column) -> Column:
@@ -37,7 +43,7 @@ def to_bool_default_false(c: str | Column) -> Column:
     becomes false. Unlike the source pipeline, the string ``'false'`` is false (H-4).
     """
     as_text = F.lower(F.trim(_col(c).cast("string")))
-    numeric = as_text.try_cast("double")
+    numeric = F.when(as_text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?$"), as_text).try_cast("double")
     parsed = F.coalesce(as_text.try_cast("boolean"), numeric != F.lit(0.0))
     return F.coalesce(parsed, F.lit(False))
 
@@ -78,7 +84,7 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 def parse_date(c: str | Column, fmt: str | None = None) -> Column:
     """text/timestamp -> date; bad -> null."""
     col = _col(c)
-    return F.try_to_date(col.cast("string"), fmt) if fmt else F.to_date(col)
+    return F.try_to_date(col.cast("string"), fmt) if fmt else col.try_cast("date")
 
 
 def float_to_nullable_long(c: str | Column) -> Column:

@@ -152,14 +152,18 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def corr_matrix(df: DataFrame, columns: Sequence[str], listwise: bool = True) -> DataFrame:
     """Pearson correlation of every ordered column pair, in one aggregate,
     returned long as (x, y, corr). ``listwise`` first drops rows with any null in
-    the set, as ``DataFrame.dropna().corr()`` does."""
+    the set, as ``DataFrame.dropna().corr()`` does. A constant column correlates with
+    nothing, itself included: null."""
     src = df.select(*[F.col(_q(c)).cast("double").alias(c) for c in columns])
     if listwise:
         src = src.na.drop("any")
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    wide = src.agg(*[F.corr(F.col(_q(a)), F.col(_q(b))).alias(f"c{i}") for i, (a, b) in enumerate(pairs)],
-                   F.count(F.lit(1)).alias("_n"))
-    rows = [f"'{c}', '{c}', if(_n > 1, 1.0D, CAST(NULL AS DOUBLE))" for c in columns]
+    spread = [F.stddev_samp(F.col(_q(c))) for c in columns]
+    at = {c: i for i, c in enumerate(columns)}
+    wide = src.agg(*[F.try_divide(F.covar_samp(F.col(_q(a)), F.col(_q(b))), spread[at[a]] * spread[at[b]]).alias(f"c{i}")
+                     for i, (a, b) in enumerate(pairs)],
+                   *[s.alias(f"s{i}") for i, s in enumerate(spread)])
+    rows = [f"'{c}', '{c}', if(s{i} > 0, 1.0D, CAST(NULL AS DOUBLE))" for i, c in enumerate(columns)]
     for i, (a, b) in enumerate(pairs):
         rows.append(f"'{a}', '{b}', c{i}")
         rows.append(f"'{b}', '{a}', c{i}")

@@ -126,6 +126,7 @@ def ols_normal_equations(df: DataFrame, features: Sequence[str], label: str) ->
     for i in range(k):
         for j in range(i, k):
             cov[i, j] = cov[j, i] = r[f"c{i}_{j}"]
-    beta = np.linalg.solve(cov, np.array([r[f"cy{i}"] for i in range(k)]))
+    # Least squares: constant or collinear features get the solution of least norm.
+    beta = np.linalg.lstsq(cov, np.array([r[f"cy{i}"] for i in range(k)]), rcond=None)[0]
     intercept = r["my"] - float(np.dot(beta, [r[f"m{i}"] for i in range(k)]))
     return [float(b) for b in beta], float(intercept)

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from quarry.operators.windows import dedup_latest
 
 # How the catalog lists the partition of null values.
-HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _q(name: str) -> str:
@@ -122,23 +121,15 @@ def _upsert_batch(spark, table, batch, keys, update_cols, partition_col, order_d
                   drop_from_source, version_col, cluster_by) -> DataFrame:
     parts = [r[0] for r in batch.select(partition_col).distinct().collect()]
     target = spark.table(table)
-    existing = _existing_partitions(spark, table, partition_col)
-    touched = parts if existing is None else [
-        p for p in parts if (HIVE_NULL if p is None else str(p)) in existing]
-    if touched:
-        values = [p for p in touched if p is not None]
-        in_slice = F.col(partition_col).isin(values) if values else F.lit(False)
-        if any(p is None for p in touched):  # the null (default) partition
-            in_slice = in_slice | F.col(partition_col).isNull()
-        slice_ = target.filter(in_slice)
-        merged = merge_upsert(slice_, batch, keys, update_cols, order_desc, tiebreak, drop_from_source,
-                              version_col)
-        # Lineage cut: the files about to be replaced are no longer read after this.
-        merged = merged.select(*target.columns).checkpoint(eager=True)
-    else:
-        # Only new partitions: nothing to read or protect, the batch is inserted.
-        merged = merge_upsert(target.limit(0), batch, keys, update_cols, order_desc, tiebreak,
-                              drop_from_source, version_col).select(*target.columns)
+    # Partitions are chosen by their typed values, never by the escaped names of the catalog.
+    values = [p for p in parts if p is not None]
+    in_slice = F.col(partition_col).isin(values) if values else F.lit(False)
+    if None in parts:  # the null (default) partition
+        in_slice = in_slice | F.col(partition_col).isNull()
+    merged = merge_upsert(target.filter(in_slice), batch, keys, update_cols, order_desc, tiebreak, drop_from_source,
+                          version_col)
+    # Lineage cut: the files about to be replaced are no longer read after this.
+    merged = merged.select(*target.columns).checkpoint(eager=True)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
@@ -147,19 +138,3 @@ def _upsert_batch(spark, table, batch, keys, update_cols, partition_col, order_d
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     return merged
-
-
-def _existing_partitions(spark: SparkSession, table: str, partition_col: str) -> set[str] | None:
-    """Values of ``partition_col`` the table already has, from the catalog (no data
-    read); None when the table cannot list partitions."""
-    try:
-        rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    except Exception:  # noqa: BLE001 - unpartitioned or non-catalog table
-        return None
-    out = set()
-    for r in rows:
-        for part in r[0].split("/"):
-            name, _, value = part.partition("=")
-            if name == partition_col:
-                out.add(value)
-    return out

@@ -153,13 +153,13 @@ def type_silver(flat: DataFrame, snapshot_time: datetime | None = None) -> DataF
         coerce_numeric("latitude").alias("latitude"),
         coerce_numeric("longitude").alias("longitude"),
         parse_timestamp_utc("timestamp").alias("timestamp"),
-        coerce_numeric("free_bikes", "double").cast("long").alias("free_bikes"),
-        coerce_numeric("empty_slots", "double").cast("long").alias("empty_slots"),
+        coerce_numeric("free_bikes", "double").try_cast("bigint").alias("free_bikes"),
+        coerce_numeric("empty_slots", "double").try_cast("bigint").alias("empty_slots"),
         "extra_uid",
         to_bool_default_false("renting").alias("renting"),
         to_bool_default_false("returning").alias("returning"),
         to_bool_default_false("has_ebikes").alias("has_ebikes"),
-        coerce_numeric("ebikes", "double").cast("long").alias("ebikes"),
+        coerce_numeric("ebikes", "double").try_cast("bigint").alias("ebikes"),
         *([] if snapshot_time is not None else [F.col("snapshot_time").cast("timestamp")]),
     )
     typed = in_range(typed, "timestamp", F.lit("2000-01-01").cast("timestamp"),
@@ -225,6 +225,6 @@ def run(spark: SparkSession, raw_path: str, master_table: str, gold_table: str,
                       partition_col="ts_date", partition_expr=F.to_date("timestamp"),
                       order_desc=("snapshot_time",), drop_from_source=("snapshot_time",),
                       cluster_by=("station_id",))
-    gold = gold_weekly(spark.table(master_table).drop("ts_date"), as_of)
+    gold = gold_weekly(spark.table(master_table), as_of)
     replace_table(gold, gold_table)
     return spark.table(gold_table)

@@ -193,10 +193,14 @@ def top_one(df: DataFrame, key: str, statuses: Sequence[str] = BANNED_CLASS) ->
     return W.top1_pair(A.count_by(_class(df, statuses), [key], "Count"), key, "Count")
 
 
-def by_state_pivot(df: DataFrame, statuses: Sequence[str] = (*BANNED_CLASS, *CHALLENGED_CLASS)) -> DataFrame:
+def by_state_pivot(df: DataFrame, statuses: Sequence[str] | None = None) -> DataFrame:
     """J6 + A10 + A11 + T9: per state code, distinct titles per status, total and
     a summary string. Status columns are in sorted order, as a pivot lays them out.
-    (H-14: the per-state views use codes; the treemap and top-k use names.)"""
+    Without ``statuses`` every status present counts, beside the known four (a small
+    dimension). (H-14: the per-state views use codes; the treemap and top-k use names.)"""
+    if statuses is None:
+        present = {r[0] for r in df.select("Ban Status").distinct().collect() if r[0] is not None}
+        statuses = [*{*BANNED_CLASS, *CHALLENGED_CLASS, *present}]
     coded = df.withColumn("State", J.lookup_or_keep("State", STATE_CODES))
     statuses = sorted(statuses)
     wide = A.pivot_distinct(coded, "State", "Ban Status", statuses, "Title")

@@ -89,7 +89,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not configured:
-        configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="quarry-ckpt-")  # one machine: its disk is shared
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -85,7 +85,8 @@ def append_batched(df: DataFrame, table: str | None = None, jdbc_url: str | None
         (df.write.mode("append").option("batchsize", batch_size)
          .jdbc(jdbc_url, table, properties=properties or {}))
     else:
-        df.write.mode("append").insertInto(table)
+        target = df.sparkSession.table(table).columns  # insertInto goes by position
+        df.select(*target).write.mode("append").insertInto(table)
 
 
 def clear_dataset(spark: SparkSession, df_schema_source: DataFrame, path: str) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from quarry.functions.scalars import TYPE_LETTER
 from quarry.semantics import NA_TOKENS, na_to_null
 
 
@@ -44,7 +45,7 @@ def infer_types(df: DataFrame) -> dict[str, str]:
         v = F.col(f"`{c}`")
         aggs.append(F.count_if(v.isNotNull() & ~v.isin(*BOOL_TOKENS)).alias(f"b{i}"))
         aggs.append(F.count_if(v.isNotNull() & v.try_cast("bigint").isNull()).alias(f"i{i}"))
-        aggs.append(F.count_if(v.isNotNull() & v.try_cast("double").isNull()).alias(f"d{i}"))
+        aggs.append(F.count_if(v.isNotNull() & (v.try_cast("double").isNull() | v.rlike(TYPE_LETTER))).alias(f"d{i}"))
         aggs.append(F.count(v).alias(f"n{i}"))
     r = df.agg(*aggs).first()
     out = {}

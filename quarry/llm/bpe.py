@@ -7,7 +7,6 @@ others are merged exactly.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import json
 from array import array
@@ -25,8 +24,8 @@ from quarry.llm.lexicon import Lexicon, compile_lexicon
 
 #: The word pattern of byte-level BPE vocabularies (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words in the lexicon at most, and results that a Python worker remembers at most.
-LEXICON_WORDS, MEMO_PIECES = 1 << 18, 300_000
+#: Words in the lexicon at most, and results that a task remembers at most.
+LEXICON_WORDS, MEMO_PIECES = 1 << 18, 100_000
 _CUT_CHARS = 1 << 20
 
 
@@ -217,18 +216,6 @@ class Encoder:
         return out
 
 
-_encoders: dict[bytes, Encoder] = {}
-
-
-def worker_encoder(source: str, block: bytes) -> Encoder:
-    """The encoder of this Python worker, which keeps its memo from task to task."""
-    key = hashlib.sha256(source.encode() + block).digest()
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(Vocabulary(source), Lexicon(block))
-    return _encoders[key]
-
-
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n): how often each word of the pattern occurs in all texts.
 
@@ -311,7 +298,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str =
     carried = [id_col, *keep]
 
     def run(batches):
-        encoder = worker_encoder(*sent.value)
+        encoder = Encoder(Vocabulary(sent.value[0]), Lexicon(sent.value[1]))
         for batch in slices(batches):
             done = encoder.encode(str_texts(batch, text))
             sizes = np.cumsum([0, *(len(ids) // 4 for ids, _ in done)]).astype(np.int32)

@@ -130,9 +130,15 @@ def ship_code(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand on the executors."""
+    """``df.mapInArrow`` with this package at hand on the executors; a Python worker gives unused
+    Arrow memory back after each task."""
     ship_code(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(task, schema)
 
 
 def column_type(df: DataFrame, name: str) -> str:

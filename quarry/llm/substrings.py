@@ -26,7 +26,7 @@ from quarry.llm.wordhash import hashed_words, run_hashes
 
 WINDOW, GRAM = 20, 6
 #: Reference words of an automaton, and words that one task streams through it.
-SHARD_WORDS, STREAM_WORDS = 40_000, 400_000
+SHARD_WORDS, STREAM_WORDS = 25_000, 200_000
 
 
 def marks(words: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:

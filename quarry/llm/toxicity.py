@@ -21,7 +21,7 @@ EXAMPLES, FEATURES, LEAST_Z = 2048, 4096, 4.5
 STEMS = (4, 5, 6)
 NEIGHBOURS, BLOCK = 32, 256
 #: Searches that a task remembers.
-KNOWN = 20_000
+KNOWN = 2_000
 #: Weight of the base rate among the votes.
 PRIOR_VOTES = 0.5
 

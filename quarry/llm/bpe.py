@@ -15,18 +15,20 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import checkpointed, column_type, map_arrow, slices, str_texts
+from quarry.llm.common import byte_class, checkpointed, column_type, map_arrow, slices
 from quarry.llm.lexicon import Lexicon, compile_lexicon
 
 #: The word pattern of byte-level BPE vocabularies (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words in the lexicon at most, and results that a task remembers at most.
 LEXICON_WORDS, MEMO_PIECES = 1 << 18, 100_000
-_CUT_CHARS = 1 << 20
+#: Bytes of texts that are encoded at a time, and characters of a piece or word that is remembered.
+BLOCK_BYTES, _SHORT = 4 << 20, 64
 
 
 def byte_chars() -> dict[str, int]:
@@ -55,31 +57,73 @@ class Vocabulary:
         for rank, merge in enumerate(spec["model"]["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             self.merges.setdefault(ids[left] << _SHIFT | ids[right], rank << _SHIFT | ids[left + right])
+        keys = np.fromiter(self.merges, np.int64, len(self.merges))
+        order = np.argsort(keys)
+        self.pair_keys = keys[order]
+        self.pair_made = np.fromiter(self.merges.values(), np.int64, len(keys))[order]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.pieces |= {i: t.encode() for t, i in self.special.items()}
 
-    def merge(self, word: bytes) -> list[int]:
-        """Exact merges: always the pair of lowest rank, the leftmost of equals."""
-        parts = [self.bytes_id[b] for b in word]
-        if len(parts) >= 64:
-            return self._merge_long(parts)
-        known = self.merges.get
-        ranks = [known(a << _SHIFT | b, _NO_MERGE) for a, b in zip(parts, parts[1:])]
-        while ranks:
-            best = min(ranks)
-            if best == _NO_MERGE:
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Exact merges of each word, as int32 ids: always the pair of lowest rank, the leftmost of
+        equals. Words of alike length go through their merges in step."""
+        out: list[bytes] = [b""] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        for i in np.flatnonzero(sizes > _WIDTHS[-1]).tolist():
+            out[i] = array("i", self._merge_long([self.bytes_id[b] for b in words[i]])).tobytes()
+        for low, width in zip((0, *_WIDTHS), _WIDTHS):
+            rows = np.flatnonzero((sizes > low) & (sizes <= width))
+            for at in range(0, len(rows), _MERGE_ROWS):
+                part = rows[at:at + _MERGE_ROWS]
+                ids, counts = self._merge_rows([words[i] for i in part.tolist()], sizes[part], width)
+                data, ends = ids.tobytes(), np.cumsum(counts * 4).tolist()
+                for i, lo, hi in zip(part.tolist(), [0, *ends], ends):
+                    out[i] = data[lo:hi]
+        return out
+
+    def _known(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Packed rank and id of the pairs that merge, ``_NO_MERGE`` for others."""
+        key = left.astype(np.int64) << _SHIFT | right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_made[at], _NO_MERGE)
+
+    def _merge_rows(self, words: list[bytes], sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, how many each has). Each place of a word knows the next and the
+        previous one that is left, and the rank of the pair it begins."""
+        n, places = len(words), np.arange(width)
+        inside = places < sizes[:, None]
+        parts = np.full((n, width), -1, np.int32)
+        parts[inside] = np.array(self.bytes_id, np.int32)[np.frombuffer(b"".join(words), np.uint8)]
+        ranks = np.full((n, width), _NO_MERGE, np.int64)
+        pairs = inside[:, 1:]
+        if len(self.pair_keys):
+            ranks[:, :-1][pairs] = self._known(parts[:, :-1][pairs], parts[:, 1:][pairs])
+        nxt = np.tile(places.astype(np.int32) + 1, (n, 1))
+        prv = nxt - 2
+        live = np.arange(n)
+        while True:
+            i = ranks[live].argmin(axis=1)
+            best = ranks[live, i]
+            some = best < _NO_MERGE
+            live, i, best = live[some], i[some], best[some]
+            if not len(live):
                 break
-            i = ranks.index(best)
-            made = parts[i] = best & _MASK
-            del parts[i + 1], ranks[i]
-            if i:
-                ranks[i - 1] = known(parts[i - 1] << _SHIFT | made, _NO_MERGE)
-            if i < len(ranks):
-                ranks[i] = known(made << _SHIFT | parts[i + 1], _NO_MERGE)
-        return parts
+            j = nxt[live, i]
+            made = (best & _MASK).astype(np.int32)
+            parts[live, i], parts[live, j], ranks[live, j] = made, -1, _NO_MERGE
+            after, before = nxt[live, j], prv[live, i]
+            nxt[live, i] = after
+            ranks[live, i] = _NO_MERGE
+            on = np.flatnonzero(after < sizes[live])
+            prv[live[on], after[on]] = i[on]
+            ranks[live[on], i[on]] = self._known(made[on], parts[live[on], after[on]])
+            on = np.flatnonzero(before >= 0)
+            ranks[live[on], before[on]] = self._known(parts[live[on], before[on]], made[on])
+        left = parts >= 0
+        return parts[left], left.sum(axis=1)
 
     def _merge_long(self, parts: list[int]) -> list[int]:
-        """The same by a heap of pairs over a linked list, near linear in the word's length."""
+        """Merges of one long word by a heap of pairs over a linked list, near linear in the word's length."""
         known = self.merges.get
         n = len(parts)
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -101,32 +145,71 @@ class Vocabulary:
                 heapq.heappush(heap, (m, prv[i]))
         return [p for p in parts if p >= 0]
 
-    def decode(self, ids) -> bytes:
-        return b"".join([self.pieces[i] for i in ids])
-
 
 _SHIFT = 24
 _MASK = (1 << _SHIFT) - 1
 _NO_MERGE = 1 << 60
+#: Longest words, in bytes, that go through their merges in step, and how many at a time.
+_WIDTHS, _MERGE_ROWS = (8, 16, 32, 64), 8192
 _WORDS = regex.compile(PATTERN)
-_CUT = regex.compile(r" (?=\S)")
-_WIDE = regex.compile(r" \s| \Z")
-
-
-def pieces_of(text: str):
-    """Lists of pieces of a text: the first as it stands, all others follow a space that they
-    don't hold. Long texts come in several lists, cut at such a space."""
-    lo, first = 0, True
-    while True:
-        hi = len(text)
-        if hi - lo > _CUT_CHARS and (m := _CUT.search(text, lo + _CUT_CHARS)):
-            hi = m.start()
-        part = text[lo:hi] if (lo or hi < len(text)) else text
-        cut = _CUT.split(part) if _WIDE.search(part) else part.split(" ")
-        yield first, cut
-        if hi == len(text):
-            return
-        lo, first = hi + 1, False
+
+
+#: White space beyond one byte, and the first bytes of its characters.
+_FAR_SPACES = np.array([c for c in range(0x80, 0x3001) if regex.match(r"\s", chr(c))])
+_FAR_LEAD = byte_class({chr(c).encode()[0] for c in _FAR_SPACES})
+_NEAR_SPACE = byte_class({c for c in range(0x80) if regex.match(r"\s", chr(c))})
+
+
+def blocks(batches, name: str, size: int = BLOCK_BYTES):
+    """(batch, texts) with the rows cut so that the texts have about ``size`` bytes; null as empty."""
+    for batch in batches:
+        texts = pc.fill_null(batch.column(name), "").cast(pa.large_string())
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        lo = 0
+        while lo < len(texts):
+            passed = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, passed + size, "right")))
+            yield batch.slice(lo, hi - lo), texts.slice(lo, hi - lo)
+            lo = hi
+
+
+def distinct_pieces(texts: pa.LargeStringArray) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """(distinct pieces, each piece's number among them in order of the texts, each text's first
+    piece and the count of all). A piece begins where its text does, and at each space that a
+    non-space follows; the texts' bytes are not copied for it."""
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    base, size = bounds[0], bounds[-1] - bounds[0]
+    bounds = bounds - base
+    if not size:
+        return texts.slice(0, 0), pa.array([], pa.int32()), np.zeros(len(texts) + 1, np.int64)
+    raw = np.frombuffer(data, np.uint8)[base:base + size]
+    at = np.flatnonzero(raw[:-1] == 0x20)
+    at = at[~_NEAR_SPACE[raw[at + 1]]]
+    far = np.flatnonzero(_FAR_LEAD[raw[at + 1]])
+    if len(far):
+        a, b, c = (raw[np.minimum(at[far] + k, size - 1)].astype(np.int64) & 0x3F for k in (1, 2, 3))
+        two = raw[at[far] + 1] < 0xE0
+        code = np.where(two, (a & 0x1F) << 6 | b, (a & 0x0F) << 12 | b << 6 | c)
+        at = np.delete(at, far[np.isin(code, _FAR_SPACES)])
+    begins = np.zeros(size, bool)
+    begins[at] = True
+    some = bounds[:-1] < bounds[1:]
+    begins[bounds[1:][some] - 1] = False  # what follows belongs to the next text
+    begins[bounds[:-1][some]] = True
+    starts = np.flatnonzero(begins)
+    edges = np.append(starts, size) + base
+    pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(edges), data).dictionary_encode()
+    return pieces.dictionary, pieces.indices, np.searchsorted(starts, bounds)
+
+
+def joined(values: pa.Array, order: pa.Array) -> tuple[pa.Buffer, np.ndarray]:
+    """The bytes of ``values`` in the given order, and where each begins, with the end of all."""
+    taken = values.take(order)
+    _, offsets, data = taken.buffers()
+    if not len(taken):
+        return pa.py_buffer(b""), np.zeros(1, np.int64)
+    return data or pa.py_buffer(b""), np.frombuffer(offsets, np.int64)[taken.offset:taken.offset + len(taken) + 1]
 
 
 class Memo:
@@ -149,95 +232,94 @@ class Memo:
 
 
 class Encoder:
-    """Encodes texts; remembers a bounded number of pieces and words."""
+    """Encodes blocks of texts; remembers a bounded number of pieces and words."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon) -> None:
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        #: (ids, decoded bytes) of pieces behind a space (without it), and of words
+        #: int32 ids, as bytes
         self.pieces, self.words = Memo(), Memo()
+        self.tokens = pa.array([vocabulary.pieces.get(i, b"") for i in range(max(vocabulary.pieces, default=-1) + 1)],
+                               pa.large_binary())
         marks = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
 
-    def learn(self, texts: dict[str, list[str]], into: dict[str, tuple[bytes, bytes]]) -> None:
-        """Puts (ids, decoded bytes) of all given texts into ``into``, by way of their words'."""
-        wanted = set(chain.from_iterable(texts.values()))
-        new = list(self.words.missing(wanted))
-        raw = [w.encode() for w in new]
-        words, tokens, merge, decode = self.words.young, self.lexicon.tokens, self.vocabulary.merge, self.vocabulary.decode
-        for w, r, n in zip(new, raw, self.lexicon.lookup(raw).tolist()):
-            ids = tokens(n) if n >= 0 else merge(r)
-            words[w] = array("i", ids).tobytes(), decode(ids)
-        for text, parts in texts.items():
-            if len(parts) == 1:
-                into[text] = words[parts[0]]
-            else:
-                both = [words[w] for w in parts]
-                into[text] = b"".join([x[0] for x in both]), b"".join([x[1] for x in both])
-
-    def segments(self, text: str) -> list:
-        """(is special, text) runs of a text."""
-        if self.special is None or not any(s in text for s in self.vocabulary.special):
-            return [(False, text)]
-        return [(i % 2 == 1, t) for i, t in enumerate(self.special.split(text)) if t]
-
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """(int32 ids, decoded bytes) of each text."""
-        plan: list[list[tuple[str, str | None, list[str]]]] = []  # special, piece without space, pieces behind one
-        for text in texts:
-            runs = []
-            for special, run in self.segments(text):
-                if special:
-                    runs.append((run, None, []))
-                    continue
-                for first, cut in pieces_of(run):
-                    runs.append(("", cut[0], cut[1:]) if first else ("", None, cut))
-            plan.append(runs)
-        missing = self.pieces.missing({p for runs in plan for run in runs for p in run[2]})
-        self.learn({p: _WORDS.findall(" " + p) for p in missing}, self.pieces.young)
-        leads: dict[str, tuple[bytes, bytes]] = {}
-        self.learn({run[1]: _WORDS.findall(run[1]) for runs in plan for run in runs if run[1] is not None}, leads)
-        memo = self.pieces.young
-        out = []
-        for runs in plan:
-            ids, decoded = [], []
-            for special, lead, cut in runs:
-                if special:
-                    i = self.vocabulary.special[special]
-                    ids.append(array("i", [i]).tobytes())
-                    decoded.append(self.vocabulary.decode([i]))
-                    continue
-                if lead is not None:
-                    ids.append(leads[lead][0])
-                    decoded.append(leads[lead][1])
-                got = [memo[p] for p in cut]
-                ids += [g[0] for g in got]
-                decoded += [g[1] for g in got]
-            out.append((b"".join(ids), b"".join(decoded)))
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words: the lexicon's, or exactly merged ones."""
+        raw = [w.encode() for w in words]
+        numbers = self.lexicon.lookup(raw).tolist()
+        merged = iter(self.vocabulary.merge([r for r, n in zip(raw, numbers) if n < 0]))
+        token_bytes = self.lexicon.token_bytes
+        return [token_bytes(n) if n >= 0 else next(merged) for n in numbers]
+
+    def piece_ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces. Long pieces and words are forgotten at once."""
+        new = list(self.pieces.missing(set(pieces)))
+        flat: list[str] = []
+        sizes = []
+        for p in new:
+            parts = _WORDS.findall(p)
+            flat += parts
+            sizes.append(len(parts))
+        ask = list(self.words.missing(set(flat)))
+        words, memo = self.words.young, self.pieces.young
+        words.update(zip(ask, self.word_ids(ask)))
+        ids = [words[w] for w in flat]
+        at = 0
+        for p, n in zip(new, sizes):
+            memo[p] = ids[at] if n == 1 else b"".join(ids[at:at + n])
+            at += n
+        out = [memo[p] for p in pieces]
+        for p in new:
+            if len(p) > _SHORT:
+                del memo[p]
+        for w in ask:
+            if len(w) > _SHORT:
+                del words[w]
         return out
 
+    def plain(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each text's begin and the count of all), special tokens apart."""
+        pieces, order, first = distinct_pieces(texts)
+        data, at = joined(pa.array(self.piece_ids(pieces.to_pylist()), pa.large_binary()), order)
+        return np.frombuffer(data, np.int32, at[-1] // 4), at[first] // 4
+
+    def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each text's begin and the count of all)."""
+        if not any(pc.any(pc.match_substring(texts, s)).as_py() for s in self.vocabulary.special):
+            return self.plain(texts)
+        owners, runs = [], []
+        for i, text in enumerate(texts.to_pylist()):
+            cut = self.special.split(text)
+            owners += [i] * len(cut)
+            runs += [(k % 2 == 1, t) for k, t in enumerate(cut)]
+        ids, at = self.plain(pa.array(["" if special else t for special, t in runs], pa.large_string()))
+        parts = [np.array([self.vocabulary.special[t]], np.int32) if special else ids[a:b]
+                 for (special, t), a, b in zip(runs, at[:-1], at[1:])]
+        counts = np.bincount(owners, [len(p) for p in parts], len(texts)).astype(np.int64)
+        return np.concatenate(parts), np.concatenate(([0], np.cumsum(counts)))
+
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> pa.StringArray:
+        """The text of each run of ids, from the bytes that stand behind each id."""
+        data, at = joined(self.tokens, pa.array(ids, pa.int32()))
+        raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1,
+                                               [None, pa.py_buffer(np.ascontiguousarray(at[bounds])), data])
+        try:
+            return raw.cast(pa.large_string()).cast(pa.string())
+        except pa.ArrowInvalid:  # not UTF-8
+            return pa.array([t.decode("utf-8", "replace") for t in raw.to_pylist()], pa.string())
+
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n): how often each word of the pattern occurs in all texts.
 
-    Pieces are counted first (in the task, then by a grouped sum), and only distinct pieces are
+    Pieces are counted first (in each block, then by a grouped sum), and only distinct pieces are
     split into words, so the pattern runs once for each.
     """
     def count(batches):
-        leads: Counter[str] = Counter()
-        seen: Counter[str] = Counter()  # behind a space
-        for batch in slices(batches):
-            for t in str_texts(batch, text):
-                for first, cut in pieces_of(t):
-                    if first:
-                        leads[cut[0]] += 1
-                        cut = cut[1:]
-                    seen.update(cut)
-            if len(seen) + len(leads) > 2 * MEMO_PIECES:
-                yield _counted(leads)
-                yield _counted(Counter({" " + p: n for p, n in seen.items()}))
-                leads, seen = Counter(), Counter()
-        yield _counted(leads)
-        yield _counted(Counter({" " + p: n for p, n in seen.items()}))
+        for _, texts in blocks(batches, text):
+            pieces, order, _ = distinct_pieces(texts)
+            n = np.bincount(order.to_numpy(), minlength=len(pieces))
+            yield pa.RecordBatch.from_arrays([pieces.cast(pa.string()), pa.array(n, pa.int64())], names=["word", "n"])
 
     def split(batches):
         for batch in batches:
@@ -278,7 +360,7 @@ def frequent_words(counts: DataFrame, most: int = LEXICON_WORDS) -> list[str]:
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", most: int = LEXICON_WORDS) -> bytes:
     """The compiled automaton of the frequent words of all texts."""
     words = [w.encode() for w in frequent_words(word_counts(docs, text), most)]
-    return compile_lexicon({w: vocabulary.merge(w) for w in words})
+    return compile_lexicon({w: np.frombuffer(ids, np.int32).tolist() for w, ids in zip(words, vocabulary.merge(words))})
 
 
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text",
@@ -299,12 +381,11 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str =
 
     def run(batches):
         encoder = Encoder(Vocabulary(sent.value[0]), Lexicon(sent.value[1]))
-        for batch in slices(batches):
-            done = encoder.encode(str_texts(batch, text))
-            sizes = np.cumsum([0, *(len(ids) // 4 for ids, _ in done)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(sizes, np.frombuffer(b"".join(i for i, _ in done), np.int32))
-            decoded = pa.array([d.decode("utf-8", "replace") for _, d in done], pa.string())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carried], ids, decoded], names=names)
+        for batch, texts in blocks(batches, text):
+            ids, bounds = encoder.encode(texts)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in carried], pa.ListArray.from_arrays(bounds.astype(np.int32), ids),
+                 encoder.decode(ids, bounds)], names=names)
 
     names = [*carried, "token_ids", "decoded"]
     kinds = ", ".join(f"`{c}` {column_type(docs, c)}" for c in carried)

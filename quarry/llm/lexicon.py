@@ -108,5 +108,6 @@ class Lexicon:
         accepted = (states >= 0) & (self.finals[np.maximum(states, 0)] > 0)
         return np.where(accepted, out, -1)
 
-    def tokens(self, number: int) -> list[int]:
-        return self.ids[self.offsets[number]:self.offsets[number + 1]].tolist()
+    def token_bytes(self, number: int) -> bytes:
+        """A word's int32 ids, as bytes."""
+        return self.ids[self.offsets[number]:self.offsets[number + 1]].tobytes()

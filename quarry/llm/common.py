@@ -3,6 +3,7 @@ checkpoint folder, and size-checked broadcasts."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -129,14 +130,36 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+#: Bytes of an Arrow batch that Spark sends to Python, unless the session sets its own limit.
+BATCH_BYTES = 4 << 20
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+_libc = ctypes.CDLL(None)
+
+
+def give_back() -> None:
+    """Returns a Python worker's free memory to the machine: workers outlive their tasks, and
+    would keep it while the workers of the next stage fill up."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
+def to_python(spark: SparkSession) -> None:
+    """What a session needs before rows go to Python: this package, and batches bounded by bytes,
+    as Spark's own bound is a number of rows of any size."""
+    ship_code(spark)
+    if spark.conf.get(_LIMIT, None) is None:
+        spark.conf.set(_LIMIT, str(BATCH_BYTES))
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand on the executors; a Python worker gives unused
-    Arrow memory back after each task."""
-    ship_code(df.sparkSession)
+    """``df.mapInArrow`` with this package at hand on the executors, in batches of bounded size;
+    a Python worker gives unused memory back after each task."""
+    to_python(df.sparkSession)
 
     def task(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return df.mapInArrow(task, schema)
 

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.automaton import SuffixAutomaton
-from quarry.llm.common import (NOT_SPACE, byte_texts, checkpointed, column_type, drop_written, hinted, map_arrow,
-                               ship_code, slices, written)
+from quarry.llm.common import (NOT_SPACE, byte_texts, checkpointed, column_type, drop_written, give_back, hinted,
+                               map_arrow, slices, to_python, written)
 from quarry.llm.wordhash import hashed_words, run_hashes
 
 WINDOW, GRAM = 20, 6
@@ -206,10 +206,11 @@ def match_shard(rows: pd.DataFrame, window: int, by_marks: bool, salt: int) -> l
 
 
 def _matched(texts: DataFrame, window: int, by_marks: bool, salt: int) -> DataFrame:
-    ship_code(texts.sparkSession)
+    to_python(texts.sparkSession)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         out = match_shard(rows, window, by_marks, salt)
+        give_back()
         cols = list(zip(*out)) if out else [()] * 5
         return pd.DataFrame({"doc": pd.array(cols[0], "Int64"), "version": pd.array(cols[1], "Int64"),
                              "start": pd.array(cols[2], "Int32"), "stop": pd.array(cols[3], "Int32"),
@@ -271,7 +272,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     small = spans.count() * 48 + total * 16 <= 32 << 20
     carried = list(dict.fromkeys([id_col, *keep]))
     made = [prefix + c for c in ("n_words", "n_removed", "kept", "spans")]
-    rows = docs.select(*carried, F.col(text).alias("_text"), F.col(id_col).cast("long").alias("_doc"),
+    source = text if text in carried else "_text"
+    rows = docs.select(*carried, *([] if text in carried else [F.col(text).alias(source)]), F.col(id_col).cast("long").alias("_doc"),
                        F.xxhash64(text).alias("_version"))
     spans = spans.withColumnsRenamed({"doc": "_doc", "version": "_version", "spans": "_spans"})
     joined = rows.join(F.broadcast(spans) if small else spans, ["_doc", "_version"], "left")
@@ -280,7 +282,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     def run(batches):
         for batch in slices(batches):
             out = []
-            for doc, raw, parts in zip(batch.column("_doc").to_pylist(), byte_texts(batch, "_text"),
+            for doc, raw, parts in zip(batch.column("_doc").to_pylist(), byte_texts(batch, source),
                                        batch.column("_spans").to_pylist()):
                 words = raw.split()
                 if doc is None:

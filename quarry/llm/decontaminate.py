@@ -1,5 +1,6 @@
 """Benchmark decontamination: rare n-gram seeds join training passages to test items, and
-Smith-Waterman alignment scores exact, edited and paraphrased copies."""
+Smith-Waterman alignment scores exact, edited and paraphrased copies. The seeds miss no passage
+that the alignment accepts."""
 
 from __future__ import annotations
 
@@ -11,16 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import WORD_BYTE, byte_texts, column_type, lower_ascii, map_arrow, slices
-from quarry.llm.wordhash import hashed_words, run_hashes
+from quarry.llm.wordhash import hashed_words, mix
 
-#: Words of a seed; of so many consecutive n-grams of an item at least one, the rarest, is a seed.
-GRAM, SPAN = 3, 3
 #: Alignment: a matching word, a changed word, a word left out or put in.
 MATCH, CHANGE, GAP = 1.0, -0.5, -0.5
 #: A passage is a copy from this share of the best possible score on.
 LEAST = 0.4
 #: Bytes of test items that are broadcast at once.
 ITEM_BYTES = 32 << 20
+#: Words of a text that are aligned at once, besides an overlap as long as a copy can be.
+ALIGNED = 1 << 16
 _FILTER_BITS = 22
 
 
@@ -55,83 +56,126 @@ def align(passage: np.ndarray, item: np.ndarray) -> tuple[float, int, int]:
     return best
 
 
+def pair_hashes(words: np.ndarray, gap: int) -> np.ndarray:
+    """Hashes of all pairs of words that are ``gap`` apart; at 0, of the words themselves."""
+    if len(words) <= gap:
+        return np.zeros(0, np.uint64)
+    return mix(words[:len(words) - gap] * np.uint64(0xD6E8FEB86659FD93) + words[gap:]) if gap else mix(words)
+
+
+def needed(sizes: np.ndarray, least: float) -> np.ndarray:
+    """The least score of a copy of items of so many words: a share of them, and all of one or two."""
+    return np.where(sizes < 3, sizes, np.maximum(sizes * least, 1 + 1e-6)) * MATCH
+
+
 class Grams:
-    """Distinct n-grams of a block of items, found in texts by hash."""
+    """Pairs of words of a block of items, found in texts by hash.
+
+    A pair is a word and the next one, or the next but one. Let an alignment of ``m`` equal words
+    score at least ``need``, so it has at most ``2 * (m - need)`` edits. Two consecutive equal words
+    of it that are adjacent on both sides have none between them, those at most two apart on both
+    sides one, all others two or more. So twice the number of the first and the number of the
+    second, pairs all of them, make at least ``2 * need - 2``. This holds for any order of edits.
+    """
 
-    def __init__(self, items: list[np.ndarray]) -> None:
+    def __init__(self, items: list[np.ndarray], least: float = LEAST) -> None:
         self.items = items
-        places: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.sizes: set[int] = set()
-        self.of_item: list[list[int]] = []
-        hashes_of: list[list[int]] = []
+        sizes = np.array([len(words) for words in items], np.int64)
+        self.need = needed(sizes, least)
+        #: Words of the longest passage that an item can be aligned with.
+        self.span = (sizes + 2 * (sizes - self.need)).astype(np.int64) + 1
+        hashes, item, offset, tight = [np.zeros(0, np.uint64)], [], [], []
         for i, words in enumerate(items):
-            size = min(GRAM, len(words))  # shorter items are one gram each
-            grams = run_hashes(words, size).tolist() if size else []
-            if grams:
-                self.sizes.add(size)
-            for at, h in enumerate(grams):
-                places[h].append((i, at))
-            hashes_of.append(grams)
-        self.hashes = np.array(sorted(places), np.uint64)
-        number = {h: k for k, h in enumerate(self.hashes.tolist())}
-        self.places = [places[h] for h in self.hashes.tolist()]
-        self.of_item = [[number[h] for h in hs] for hs in hashes_of]
-        self.use(np.ones(len(self.hashes), bool))
-
-    def use(self, chosen: np.ndarray) -> None:
-        """From now on only the chosen n-grams are found."""
-        self.numbers = np.flatnonzero(chosen)
+            for gap in (0,) if len(words) == 1 else (1, 2):  # an item of one word is that word
+                found = pair_hashes(words, gap)
+                hashes.append(found)
+                item += [i] * len(found)
+                offset += range(len(found))
+                tight += [gap < 2] * len(found)
+        self.hashes, number = np.unique(np.concatenate(hashes), return_inverse=True)
+        self.gaps = sorted({g for n in sizes.tolist() if n for g in ((0,) if n == 1 else (1, 2))})
+        #: Of each place of a pair: the pair, the item, the offset, and whether its words are adjacent.
+        self.places = tuple(np.array(x, np.int64) for x in (number, item, offset, tight))
+        self.use(np.ones(len(number), bool), np.zeros(len(items)))
+
+    def use(self, kept: np.ndarray, left_out: np.ndarray) -> None:
+        """From now on only the kept places are found; ``left_out`` counts the offsets of each item
+        without any."""
+        gram, item, _, tight = (x[kept] for x in self.places)
+        order = np.argsort(gram, kind="stable")
+        self.numbers, self.first, self.many = np.unique(gram[order], return_index=True, return_counts=True)
+        self.item, self.tight = item[order], tight[order]
+        self.bound = np.maximum(2 * self.need - 2 - 2 * left_out, 1) - 1e-9
         self.wanted = self.hashes[self.numbers]
         self.bits = np.zeros(1 << _FILTER_BITS, bool)
         self.bits[self.wanted >> np.uint64(64 - _FILTER_BITS)] = True
 
-    def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places in the text, numbers of the n-grams there)."""
-        at, which = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for size in sorted(self.sizes) if len(self.wanted) else ():
-            grams = run_hashes(words, size)
+    def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places in the text, which of the found pairs are there, whether as adjacent words)."""
+        at, which, tight = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for gap in self.gaps if len(self.wanted) else ():
+            grams = pair_hashes(words, gap)
             some = np.flatnonzero(self.bits[grams >> np.uint64(64 - _FILTER_BITS)])
             found = np.minimum(np.searchsorted(self.wanted, grams[some]), len(self.wanted) - 1)
             same = self.wanted[found] == grams[some]
             at.append(some[same])
-            which.append(self.numbers[found[same]])
-        return np.concatenate(at), np.concatenate(which)
-
-    def seeds(self, counts: np.ndarray) -> np.ndarray:
-        """Which n-grams are seeds: the rarest of every ``SPAN`` consecutive ones of an item."""
-        chosen = np.zeros(len(self.hashes), bool)
-        for grams in self.of_item:
-            for lo in range(max(1, len(grams) - SPAN + 1)):
-                part = grams[lo:lo + SPAN]
-                if part:
-                    chosen[min(part, key=lambda g: (counts[g], g))] = True
-        return chosen
-
-    def leaks(self, words: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
+            which.append(found[same])
+            tight.append(np.full(int(same.sum()), gap < 2, np.int64))
+        return np.concatenate(at), np.concatenate(which), np.concatenate(tight)
+
+    def seeds(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which places of pairs are seeds, and how many offsets of each item are none: those whose
+        pairs are the most common, as many as leave half of what an alignment needs."""
+        gram, item, offset, _ = self.places
+        kept, left_out = np.ones(len(gram), bool), np.zeros(len(self.items))
+        ends = np.searchsorted(item, np.arange(len(self.items) + 1))
+        for i, words in enumerate(self.items):
+            spare = int((self.need[i] - 1) / 2)
+            if spare > 0:
+                here = slice(ends[i], ends[i + 1])
+                uses = np.bincount(offset[here], counts[gram[here]], len(words))
+                common = np.argsort(-uses, kind="stable")[:spare]
+                kept[here] &= ~np.isin(offset[here], common)
+                left_out[i] = spare
+        return kept, left_out
+
+    def passages(self, words: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+        """The parts of the text, by item, that hold enough seeds for an alignment."""
+        at, which, tight = self.hits(words)
+        many = self.many[which]
+        before = np.cumsum(many) - many
+        place = np.repeat(self.first[which] - before, many) + np.arange(int(many.sum()))
+        item, weight = self.item[place], 1 + (self.tight[place] & np.repeat(tight, many))
+        # a word of the text begins one pair of an alignment at most
+        width = len(words) + int(self.span.max(initial=0)) + 1
+        key, where = np.unique(item * width + np.repeat(at, many), return_inverse=True)
+        most = np.zeros(len(key), np.int64)
+        np.maximum.at(most, where, weight)
+        total = np.concatenate(([0], np.cumsum(most)))
+        item = key // width
+        inside = total[np.searchsorted(key, key + self.span[item])] - total[:-1]
+        enough = inside >= self.bound[item]
+        out: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for i, begin in zip(item[enough].tolist(), (key % width)[enough].tolist()):
+            lo, hi = max(0, begin - int(self.span[i])), begin + int(self.span[i])
+            if out[i] and lo <= out[i][-1][1]:
+                lo = out[i].pop()[0]
+            out[i].append((lo, hi))
+        return out
+
+    def leaks(self, words: np.ndarray) -> list[tuple[int, float, int, int]]:
         """(item, score, first word, end word) of the best passage of each leaked item."""
-        at, which = self.hits(words)
-        begins: dict[int, set[int]] = defaultdict(set)
-        for place, gram in zip(at.tolist(), which.tolist()):
-            for item, offset in self.places[gram]:
-                begins[item].add(place - offset)
         out = []
-        for item, where in begins.items():
-            size = len(self.items[item])
-            slack = size // 2 + 2
-            best = (0.0, 0, 0)
-            reach = None
-            for begin in sorted(where):
-                if reach is not None and begin <= reach[1] - size - slack:
-                    continue  # the last passage covers this one
-                reach = max(0, begin - slack), begin + 2 * size + 2 * slack
-                score, first, end = align(words[reach[0]:reach[1]], self.items[item])
+        for i, parts in self.passages(words).items():
+            size, span, best = len(self.items[i]), int(self.span[i]), (0.0, 0, 0)
+            for lo, hi in ((a, min(a + ALIGNED + span, hi)) for lo, hi in parts for a in range(lo, hi, ALIGNED)):
+                score, first, end = align(words[lo:hi], self.items[i])
                 if score > best[0]:
-                    best = score, first + reach[0], end + reach[0]
+                    best = score, first + lo, end + lo
                 if best[0] >= size * MATCH:
                     break
-            share = best[0] / (size * MATCH)
-            if share >= least:
-                out.append((item, share, best[1], best[2]))
+            if best[0] >= self.need[i] - 1e-9:
+                out.append((i, best[0] / (size * MATCH), best[1], best[2]))
         return sorted(out)
 
 
@@ -146,9 +190,9 @@ def _item_blocks(benchmark: DataFrame, id_col: str, text: str):
                [hashed_words(lower_ascii(r["text"].encode()), WORD_BYTE)[0] for r in block])
 
 
-def _seeded(docs: DataFrame, items: list[np.ndarray], text: str) -> Grams:
-    """The items' n-grams with the seeds chosen by their counts in all documents."""
-    grams = Grams(items)
+def _seeded(docs: DataFrame, items: list[np.ndarray], text: str, least: float) -> Grams:
+    """The items' pairs with the seeds chosen by their counts in all documents."""
+    grams = Grams(items, least)
     sent = docs.sparkSession.sparkContext.broadcast(grams)
 
     def count(batches):
@@ -161,9 +205,9 @@ def _seeded(docs: DataFrame, items: list[np.ndarray], text: str) -> Grams:
 
     counts = np.zeros(len(grams.hashes), np.int64)
     found = map_arrow(docs.select(text), count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    for r in found.collect():  # at most the n-grams of one block of items
+    for r in found.collect():  # at most the pairs of one block of items
         counts[r["gram"]] = r["n"]
-    grams.use(grams.seeds(counts))
+    grams.use(*grams.seeds(counts))
     return grams
 
 
@@ -174,8 +218,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", it
     (from 0; ``end_word`` not included).
 
     Texts have A-Z lower-cased; words are runs of letters, digits and non-ASCII characters. All
-    whole texts are searched. Items without words and null texts match nothing; items shorter than
-    a seed are one seed. Null ids come out as null; repeated rows and items are judged each.
+    whole texts are searched, and scores are those of the full alignment. Items without words and null texts match nothing; items of
+    one or two words match whole. Null ids come out as null; repeated rows and items are judged each.
     Documents without leaks give no row; an empty benchmark gives none at all.
     """
     spark = docs.sparkSession
@@ -183,13 +227,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", it
     schema = f"{id_col} {kind}, {item_col} long, score double, first_word long, end_word long"
     out = spark.createDataFrame([], schema)
     for ids, items in _item_blocks(benchmark, item_col, text):
-        sent = spark.sparkContext.broadcast((ids, _seeded(docs, items, text)))
+        sent = spark.sparkContext.broadcast((ids, _seeded(docs, items, text, least)))
 
         def run(batches, sent=sent):
             names, grams = sent.value
             for batch in slices(batches):
                 found = [(row, *leak) for row, t in enumerate(byte_texts(batch, text))
-                         for leak in grams.leaks(hashed_words(lower_ascii(t), WORD_BYTE)[0], least)]
+                         for leak in grams.leaks(hashed_words(lower_ascii(t), WORD_BYTE)[0])]
                 rows = pa.array([f[0] for f in found], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(id_col).take(rows), pa.array([names[f[1]] for f in found], pa.int64()),
@@ -207,11 +251,11 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id",
     spark = docs.sparkSession
     out = docs
     for _, items in _item_blocks(benchmark, item_col, text):
-        sent = spark.sparkContext.broadcast(_seeded(docs, items, text))
+        sent = spark.sparkContext.broadcast(_seeded(docs, items, text, least))
 
         def run(batches, sent=sent):
             for batch in slices(batches):
-                clean = [not sent.value.leaks(hashed_words(lower_ascii(t), WORD_BYTE)[0], least)
+                clean = [not sent.value.leaks(hashed_words(lower_ascii(t), WORD_BYTE)[0])
                          for t in byte_texts(batch, text)]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 

@@ -235,6 +235,31 @@ def test_blocks_of_items_find_the_same(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench).collect()} == want
 
 
+@pytest.mark.parametrize("step", [2, 3, 4, 5])
+def test_evenly_edited_copies_are_found_as_by_the_full_table(spark, step):
+    """Every ``step``-th word replaced, or (2) a word put in after each one."""
+    rng = random.Random(step)
+    items = [[f"w{rng.randrange(300)}" for _ in range(rng.randrange(8, 50))] for _ in range(12)]
+    docs, want, copies = [], {}, 0
+    for d in range(48):
+        words = [f"w{rng.randrange(300)}" for _ in range(rng.randrange(0, 90))]
+        item = items[d % 12]
+        copy = [w for x in item for w in (x, f"new{rng.randrange(10**9)}")] if step == 2 else [
+            f"new{k}" if k % step == step - 1 else w for k, w in enumerate(item)]
+        at = rng.randrange(len(words) + 1)
+        words[at:at] = copy if d < 36 else item
+        docs.append((d, " ".join(words)))
+        for i, text in enumerate(items):
+            share = align_model(words, text) / len(text)
+            if share >= decontaminate.LEAST:
+                want[d, i] = share
+                copies += d < 36 and i == d % 12
+    assert copies == 36
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.item_id): round(r.score, 9) for r in found} == {k: round(v, 9) for k, v in want.items()}
+
+
 def test_exact_benchmark_copies_of_the_corpus(spark):
     docs = [(r.doc_id, r.text) for r in read(spark, SMALL, "documents").collect()]
     items = [(r.item_id, r.text) for r in read(spark, SMALL, "benchmark").collect()]

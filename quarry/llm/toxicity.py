@@ -1,4 +1,4 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index,
+"""Toxicity by nearest labelled examples: exact cosine of label-weighted TF-IDF over a block-max inverted index,
 similarity-weighted votes, and calibrated scores with their evidence."""
 
 from __future__ import annotations
@@ -11,17 +11,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import byte_texts, column_type, map_arrow, slices, to_words
+from quarry.llm.common import SLICE_ROWS, byte_texts, column_type, map_arrow, slices, to_words
 from quarry.llm.labelled import Sample, held_out, labelled_sample
 
-#: Bounds of the fit: examples of each class, features, and how far beyond chance a feature's
-#: association with the label must be (standard errors).
-EXAMPLES, FEATURES, LEAST_Z = 2048, 4096, 4.5
+#: Bound of the fit: examples of each class. All their words and word starts are features.
+EXAMPLES = 2048
+#: How far beyond chance a feature's association with the label must be to be told as a term (standard errors).
+LEAST_Z = 4.5
 #: Lengths of word starts that are features beside the words themselves.
 STEMS = (4, 5, 6)
 NEIGHBOURS, BLOCK = 32, 256
-#: Searches that a task remembers.
-KNOWN = 2_000
+#: Searches and words that a task remembers.
+KNOWN, KNOWN_WORDS = 2_000, 100_000
+#: A feature is common from one in so many examples on.
+COMMON = 12
 #: Weight of the base rate among the votes.
 PRIOR_VOTES = 0.5
 
@@ -32,90 +35,126 @@ def features_of(word: bytes) -> set[bytes]:
 
 
 class Vocabulary:
-    """Selected features, found in a text by a check of each distinct word's start."""
+    """All features of the examples, found in a text word by word."""
 
     def __init__(self, features: list[bytes]) -> None:
         self.index = {f: i for i, f in enumerate(features)}
-        self.starts = {f.rstrip(b"*")[:STEMS[0]] for f in features}
-
-    def counts(self, text: bytes) -> dict[int, int]:
-        out: Counter[int] = Counter()
-        starts, first = self.starts, STEMS[0]
-        for word, n in Counter(to_words(text)).items():
-            if word[:first] in starts:
-                for f in features_of(word):
-                    i = self.index.get(f)
-                    if i is not None:
-                        out[i] += n
+        self.known: dict[bytes, list[int]] = {}
+
+    def numbers(self, word: bytes) -> list[int]:
+        out = self.known.get(word)
+        if out is None:
+            if len(self.known) >= KNOWN_WORDS:
+                self.known.clear()
+            index = self.index
+            out = self.known[word] = [index[f] for f in features_of(word) if f in index]
         return out
 
+    def counts(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(features in ascending order, how often each is there)."""
+        found: list[int] = []
+        for word in to_words(text):
+            found += self.numbers(word)
+        return np.unique(np.array(found, np.int64), return_counts=True)
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "known": {}}
 
-def select_features(texts: list[bytes], labels: np.ndarray, most: int = FEATURES, least_z: float = LEAST_Z) -> list[bytes]:
-    """Features whose document frequency differs between the classes beyond chance."""
+
+def features_in(texts: list[bytes], labels: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """All features of the texts, and by how many standard errors the share of texts with it
+    differs between the classes; without texts of both classes none."""
     n1, n0 = int(labels.sum()), int(len(labels) - labels.sum())
     if not n1 or not n0:
-        return []
+        return [], np.zeros(0)
     with_label = (Counter(), Counter())
     for text, label in zip(texts, labels):
         with_label[label].update({f for w in set(to_words(text)) for f in features_of(w)})
-    scored = []
-    for f in with_label[0].keys() | with_label[1].keys():
-        a, b = with_label[1][f], with_label[0][f]
-        if a + b >= 5:
-            p = (a + b) / (n1 + n0)
-            z = (a / n1 - b / n0) / math.sqrt(max(p * (1 - p), 1e-9) * (1 / n1 + 1 / n0))
-            if abs(z) >= least_z:
-                scored.append((-abs(z), f))
-    return [f for _, f in sorted(scored)[:most]]
+    features = sorted(with_label[0].keys() | with_label[1].keys())
+    b, a = (np.array([c[f] for f in features], float) for c in with_label)
+    p = (a + b) / (n1 + n0)
+    return features, np.abs(a / n1 - b / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n1 + 1 / n0))
+
+
+def arrays(vector: dict[int, float] | tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """A vector as (features, weights)."""
+    if isinstance(vector, tuple):
+        return vector
+    return np.array(list(vector), np.int64), np.array(list(vector.values()), float)
 
 
 class BlockMaxIndex:
-    """Postings of unit vectors in blocks of examples, with each feature's largest weight in
-    each block. A search visits blocks by falling upper bound and stops when none can beat the
-    k-th best, so its result is exact."""
+    """Unit vectors by feature: postings of the rarer features, and in blocks of examples the
+    weights of the common ones with each one's largest weight in each block. A search adds up the
+    postings, and then the common features in those blocks that by their bounds can hold one of the
+    k best, so its result is exact."""
 
-    def __init__(self, vectors: list[dict[int, float]], n_features: int, block: int = BLOCK) -> None:
+    def __init__(self, vectors: list, n_features: int, block: int = BLOCK) -> None:
         self.block, self.size = block, len(vectors)
-        n_blocks = -(-len(vectors) // block)
-        self.largest = np.zeros((n_features, n_blocks))
-        postings: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for e, vector in enumerate(vectors):
-            for f, w in vector.items():
-                postings.setdefault((f, e // block), []).append((e % block, w))
-                self.largest[f, e // block] = max(self.largest[f, e // block], w)
-        self.postings = {key: (np.array([e for e, _ in p]), np.array([w for _, w in p]))
-                         for key, p in postings.items()}
-
-    def search(self, query: dict[int, float], k: int, skip: int = -1) -> list[tuple[float, int]]:
-        """``k`` examples of the highest positive cosines (of those that tie at the last place the
-        first met); ``skip`` is left out."""
-        if not query or not self.size:
-            return []
-        features = list(query)
-        bounds = np.array([query[f] for f in features]) @ self.largest[features]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or (len(best) == k and bounds[b] <= best[-1][0] + 1e-12):
-                break
-            scores = np.zeros(self.block)
-            for f in features:
-                hit = self.postings.get((f, int(b)))
-                if hit is not None:
-                    scores[hit[0]] += query[f] * hit[1]
-            found = [(float(scores[e]), int(b) * self.block + int(e)) for e in np.flatnonzero(scores > 0)]
-            best = sorted(best + [x for x in found if x[1] != skip], key=lambda x: (-x[0], x[1]))[:k]
-        return best
+        parts = [arrays(v) for v in vectors]
+        feature = np.concatenate([np.zeros(0, np.int64), *(f for f, _ in parts)]).astype(np.int64)
+        weight = np.concatenate([np.zeros(0), *(w for _, w in parts)])
+        example = np.repeat(np.arange(len(vectors)), [len(f) for f, _ in parts])
+        common = np.bincount(feature, minlength=n_features) * COMMON >= max(1, len(vectors))
+        self.column = np.where(common, np.cumsum(common) - 1, -1)
+        often = common[feature]
+        self.dense = np.zeros((int(common.sum()), -(-len(vectors) // block) * block))
+        self.dense[self.column[feature[often]], example[often]] = weight[often]
+        self.largest = self.dense.reshape(len(self.dense), -(-len(vectors) // block), block).max(axis=2, initial=0)
+        feature, weight, example = feature[~often], weight[~often], example[~often]
+        order = np.argsort(feature, kind="stable")
+        self.example, self.weight = example[order], weight[order]
+        self.first = np.searchsorted(feature[order], np.arange(n_features + 1))
+
+    def posted(self, features: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """What the postings of some features add to each example."""
+        first = self.first[features]
+        n = self.first[features + 1] - first
+        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        return np.bincount(self.example[at], self.weight[at] * np.repeat(q, n), self.dense.shape[1])
+
+    def search_all(self, queries: list, k: int, skip: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """For each query the ``k`` examples of the highest positive cosines (of those that tie at
+        the last place the first ones); ``skip`` has an example for each that is left out."""
+        if not self.size:
+            return [[] for _ in queries]
+        scores = np.zeros((len(queries), self.dense.shape[1]))
+        common = np.zeros((len(queries), len(self.dense)))
+        for i, query in enumerate(queries):
+            features, q = arrays(query)
+            column = self.column[features]
+            common[i, column[column >= 0]] = q[column >= 0]
+            scores[i] = self.posted(features[column < 0], q[column < 0])
+            if skip is not None:
+                scores[i, skip[i]] = -np.inf
+        last = np.partition(scores, -k, axis=1)[:, -k] if k <= self.size else np.zeros(len(queries))
+        bounds = scores.reshape(len(queries), self.largest.shape[1], self.block).max(axis=2) + common @ self.largest
+        for b in range(self.largest.shape[1]):
+            some = np.flatnonzero((bounds[:, b] > 0) & (bounds[:, b] >= last - 1e-12))
+            here = slice(b * self.block, (b + 1) * self.block)
+            scores[some, here] += common[some] @ self.dense[:, here]
+        out = []
+        for row in scores:
+            least = max(np.partition(row, -k)[-k] if k < len(row) else 0.0, 0.0)
+            some = np.flatnonzero((row >= least) & (row > 0))
+            out.append([(float(row[e]), int(e)) for e in some[np.lexsort((some, -row[some]))][:k]])
+        return out
+
+    def search(self, query, k: int, skip: int | None = None) -> list[tuple[float, int]]:
+        """:meth:`search_all` for one query."""
+        return self.search_all([query], k, None if skip is None else [skip])[0]
 
 
 class Model:
-    """The index, its idf weights and the calibration."""
+    """The index, the weights of features and the calibration."""
 
-    def __init__(self, features: list[bytes], idf: np.ndarray, ids: list[int], labels: np.ndarray,
-                 examples: list[dict[int, int]], totals: tuple[int, int]) -> None:
-        self.features, self.idf = features, idf
+    def __init__(self, features: list[bytes], idf: np.ndarray, z: np.ndarray, ids: list[int], labels: np.ndarray,
+                 examples: list[tuple[np.ndarray, np.ndarray]], totals: tuple[int, int]) -> None:
+        self.features, self.z, self.value = features, z, idf * z
         self.vocabulary = Vocabulary(features)
         # alike examples share blocks, so that a block's largest weights say more about it
-        order = sorted(range(len(ids)), key=lambda i: (max(((idf[f], f) for f in examples[i]), default=(0, 0)), len(examples[i]), i))
+        order = sorted(range(len(ids)), key=lambda i: (
+            (f := examples[i][0])[self.value[f].argmax()] if len(examples[i][0]) else -1, len(examples[i][0]), i))
         self.ids, self.labels = [ids[i] for i in order], labels[order]
         labels, examples = self.labels, [examples[i] for i in order]
         n = [max(1, int((labels == c).sum())) for c in (0, 1)]
@@ -126,13 +165,16 @@ class Model:
         self.index = BlockMaxIndex([self.unit(c) for c in examples], len(features))
         self.known: dict[tuple, list[tuple[float, int]]] = {}
         self.line = (0.0, 0.0)
-        raw = np.array([self.raw(self.index.search(self.unit(c), NEIGHBOURS, skip=i)) for i, c in enumerate(examples)])
+        raw = np.array([self.raw(near) for lo in range(0, len(examples), SLICE_ROWS) for near in self.index.search_all(
+            [self.unit(c) for c in examples[lo:lo + SLICE_ROWS]], NEIGHBOURS, list(range(lo, min(lo + SLICE_ROWS, len(examples)))))])
         self.line = fit_line(raw, labels, self.votes[labels] if len(labels) else np.zeros(0), self.rate)
 
-    def unit(self, counts: dict[int, int]) -> dict[int, float]:
-        weights = {f: (1 + math.log(n)) * self.idf[f] for f, n in counts.items()}
-        norm = math.sqrt(sum(w * w for w in weights.values()))
-        return {f: w / norm for f, w in weights.items()} if norm else {}
+    def unit(self, counts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The vector of a text: TF-IDF of all its features, each times its association with the label."""
+        features, n = counts
+        weights = (1 + np.log(n)) * self.value[features]
+        norm = math.sqrt(float(weights @ weights))
+        return (features, weights / norm) if norm else (features[:0], weights[:0])
 
     def raw(self, near: list[tuple[float, int]]) -> float:
         """Log odds of the votes: a neighbour at distance 1 - cosine counts cosine squared."""
@@ -145,22 +187,20 @@ class Model:
                 no += weight
         return math.log(max(yes, 1e-6) / max(no, 1e-6))
 
-    def neighbours(self, counts: dict[int, int]) -> list[tuple[float, int]]:
-        """The search, remembered for texts of equal features (a bounded number of them)."""
-        key = tuple(sorted(counts.items()))
-        near = self.known.get(key)
-        if near is None:
-            if len(self.known) >= KNOWN:
-                self.known.clear()
-            near = self.known[key] = self.index.search(self.unit(counts), NEIGHBOURS)
-        return near
-
-    def score(self, text: bytes) -> tuple[float, list[tuple[float, int]], list[bytes]]:
-        counts = self.vocabulary.counts(text)
-        near = self.neighbours(counts) if counts else []
+    def neighbours(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> list[list[tuple[float, int]]]:
+        """The searches, remembered for texts of equal features (a bounded number of them)."""
+        keys = [(f.tobytes(), n.tobytes()) for f, n in counts]
+        if len(self.known) >= KNOWN:
+            self.known.clear()
+        new = {key: c for key, c in zip(keys, counts) if key not in self.known}
+        self.known.update(zip(new, self.index.search_all([self.unit(c) for c in new.values()], NEIGHBOURS)))
+        return [self.known[key] for key in keys]
+
+    def score_all(self, texts: list[bytes]) -> list[tuple[float, list[tuple[float, int]], list[bytes]]]:
+        counts = [self.vocabulary.counts(t) for t in texts]
         a, b = self.line
-        p = 1 / (1 + math.exp(-max(-30.0, min(30.0, a * self.raw(near) + b))))
-        return p, near, [self.features[f] for f in counts]
+        return [(1 / (1 + math.exp(-max(-30.0, min(30.0, a * self.raw(near) + b)))), near,
+                 [self.features[i] for i in f[self.z[f] >= LEAST_Z]]) for (f, _), near in zip(counts, self.neighbours(counts))]
 
 
 def fit_line(raw: np.ndarray, labels: np.ndarray, weights: np.ndarray, rate: float) -> tuple[float, float]:
@@ -190,8 +230,7 @@ def document_counts(docs: DataFrame, vocabulary: Vocabulary, text: str = "text")
         for batch in slices(batches):
             for t in byte_texts(batch, text):
                 rows += 1
-                found = list(sent.value.counts(t))
-                totals[found] += 1
+                totals[sent.value.counts(t)[0]] += 1
         some = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(totals[some], rows))],
                                          names=["feature", "n"])
@@ -207,14 +246,14 @@ def document_counts(docs: DataFrame, vocabulary: Vocabulary, text: str = "text")
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = EXAMPLES, id_col: str = "doc_id",
         text: str = "text") -> Model:
-    """Examples and features from a bounded labelled sample; idf from all documents."""
+    """Examples and all their features from a bounded labelled sample; idf from all documents."""
     sample: Sample = labelled_sample(docs, labels, label, per_class, id_col, text)
     texts, y = [t.encode() for t in sample.texts], np.array(sample.labels, dtype=int)
-    features = select_features(texts, y)
+    features, z = features_in(texts, y)
     vocabulary = Vocabulary(features)
     rows, holding = document_counts(docs, vocabulary, text)
     idf = np.log((1 + rows) / (1 + holding)) + 1
-    return Model(features, idf, sample.ids, y, [vocabulary.counts(t) for t in texts], sample.totals)
+    return Model(features, idf, z, sample.ids, y, [vocabulary.counts(t) for t in texts], sample.totals)
 
 
 def _scored(docs: DataFrame, model: Model, id_col: str, text: str) -> DataFrame:
@@ -224,7 +263,7 @@ def _scored(docs: DataFrame, model: Model, id_col: str, text: str) -> DataFrame:
     def run(batches):
         m = sent.value
         for batch in slices(batches):
-            rows = [m.score(t) for t in byte_texts(batch, text)]
+            rows = m.score_all(byte_texts(batch, text))
             near = [[{"id": m.ids[e], "label": int(m.labels[e]), "cosine": c} for c, e in r[1][:5]] for r in rows]
             kind = pa.list_(pa.struct([("id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
@@ -241,8 +280,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """(id, held_out, score, predicted, neighbours, terms) for every row of ``docs``.
 
     ``score`` is the calibrated share of toxic rows among texts with such neighbours; ``predicted``
-    is 1 from 0.5 on; ``neighbours`` are the five nearest examples and ``terms`` the features
-    found. Texts are whole; null and empty texts have no neighbours and score at the rate of such
+    is 1 from 0.5 on; ``neighbours`` are the five nearest examples and ``terms`` those of
+    the features found that tell the classes apart by ``LEAST_Z``; the search uses all. Texts are whole; null and empty texts have no neighbours and score at the rate of such
     texts. Null and repeated ids keep their rows; extra columns are unused. Without labels of both
     classes no text has neighbours.
     """
@@ -258,6 +297,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text:
 
     def run(batches):
         for batch in slices(batches):
-            yield batch.filter(pa.array([sent.value.score(t)[0] < least for t in byte_texts(batch, text)], pa.bool_()))
+            yield batch.filter(pa.array([r[0] < least for r in sent.value.score_all(byte_texts(batch, text))], pa.bool_()))
 
     return map_arrow(docs, run, docs.schema)

@@ -76,6 +76,28 @@ def test_block_max_search_is_exact():
         assert {i for s, i in got if s > got[-1][0] + 1e-9} == {i for s, i in want if s > want[-1][0] + 1e-9} if got else not want
 
 
+def test_toxicity_neighbours_by_all_words(spark):
+    """A word that one example holds finds it, and words that tell nothing alone dilute the others."""
+    rng = random.Random(4)
+    said = lambda n: " ".join(f"w{rng.randrange(60)}" for _ in range(n))
+    rows = [(i, said(30) + (" vile" if i % 4 == 0 else "") + (" zonker" if i == 400 else "")) for i in range(1, 601)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert 400 in model.ids and {w.encode() for _, t in rows if _ in model.ids for w in t.split()} <= set(model.features)
+    (_, rare, _), (_, alone, terms), (_, among, _) = model.score_all([b"Zonker!", b"vile", f"vile {said(400)}".encode()])
+    assert [model.ids[e] for _, e in rare] == [400]
+    assert terms == [b"vile", b"vile*"] and among[0][0] < 0.99 and all(model.labels[e] for _, e in alone)
+    counts = [model.vocabulary.counts(t.encode()) for _, t in rows[:20]]
+    weigh = lambda c: dict(zip(c[0].tolist(), ((1 + np.log(c[1])) * model.value[c[0]]).tolist()))
+    cosine = lambda a, b: sum(x * b.get(f, 0) for f, x in a.items()) / (sum(x * x for x in a.values()) * sum(x * x for x in b.values())) ** 0.5
+    by_id = dict(rows)
+    examples = [weigh(model.vocabulary.counts(by_id[i].encode())) for i in model.ids]
+    for c, near in zip(counts, model.neighbours(counts)):
+        want = sorted((cosine(weigh(c), e) for e in examples), reverse=True)[:toxicity.NEIGHBOURS]
+        assert np.allclose([s for s, _ in near], want)
+
+
 def test_quality_edge_cases(spark):
     labels = read(spark, SMALL, "labels")
     model = quality.fit(read(spark, SMALL, "documents"), labels)

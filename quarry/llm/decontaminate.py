@@ -18,6 +18,8 @@ from quarry.llm.wordhash import hashed_words, mix
 MATCH, CHANGE, GAP = 1.0, -0.5, -0.5
 #: A passage is a copy from this share of the best possible score on.
 LEAST = 0.4
+#: A copy scores as much as so many equal words at least, or as the whole item if that is shorter.
+FEWEST = 5
 #: Bytes of test items that are broadcast at once.
 ITEM_BYTES = 32 << 20
 #: Words of a text that are aligned at once, besides an overlap as long as a copy can be.
@@ -64,8 +66,9 @@ def pair_hashes(words: np.ndarray, gap: int) -> np.ndarray:
 
 
 def needed(sizes: np.ndarray, least: float) -> np.ndarray:
-    """The least score of a copy of items of so many words: a share of them, and all of one or two."""
-    return np.where(sizes < 3, sizes, np.maximum(sizes * least, 1 + 1e-6)) * MATCH
+    """The least score of a copy of items of so many words: a share of them, but that of ``FEWEST``
+    equal words at least, so items of up to so many words must be there whole."""
+    return np.maximum(sizes * least, np.minimum(sizes, FEWEST)) * MATCH
 
 
 class Grams:
@@ -219,7 +222,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", it
 
     Texts have A-Z lower-cased; words are runs of letters, digits and non-ASCII characters. All
     whole texts are searched, and scores are those of the full alignment. Items without words and null texts match nothing; items of
-    one or two words match whole. Null ids come out as null; repeated rows and items are judged each.
+    up to ``FEWEST`` words match whole only, and longer ones need the score of that many words beside the share. Null ids come out as null; repeated rows and items are judged each.
     Documents without leaks give no row; an empty benchmark gives none at all.
     """
     spark = docs.sparkSession

@@ -282,6 +282,19 @@ def test_evenly_edited_copies_are_found_as_by_the_full_table(spark, step):
     assert {(r.doc_id, r.item_id): round(r.score, 9) for r in found} == {k: round(v, 9) for k, v in want.items()}
 
 
+def test_short_items_need_more_than_a_share(spark):
+    """Three words of a question of seven are no copy; items of up to five words must be there whole."""
+    bench = spark.createDataFrame([(1, "what is the name of this river"), (2, "one fine day in may"), (3, "big red fox")],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "we know what is the reason"), (2, "they ask what is the name of this river today"), (3, "on one fine day in june"),
+        (4, "it was one fine day in may"), (5, "a big fox"), (6, "the big red fox"), (7, "what is the name of this lake")],
+        "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert got == {(2, 1), (4, 2), (6, 3), (7, 1)}
+    assert {r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()} == {1, 3, 5}
+
+
 def test_exact_benchmark_copies_of_the_corpus(spark):
     docs = [(r.doc_id, r.text) for r in read(spark, SMALL, "documents").collect()]
     items = [(r.item_id, r.text) for r in read(spark, SMALL, "benchmark").collect()]

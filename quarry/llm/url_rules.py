@@ -104,9 +104,8 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url: str = "url", default:
     target = F.concat("host", "path", F.lit("#"), query)
     parts = parts.withColumn("target", target).withColumn(
         "tokens", F.concat(url_tokens(F.col("target")), F.array(F.lit(""))))
-    index = rule_index(parts.filter(F.col("host") != ""), rules)
-    hits = (parts.filter(F.col("host") != "")
-            .select("url", "target", F.explode("tokens").alias("token"))
+    index = rule_index(parts, rules)
+    hits = (parts.select("url", "target", F.explode("tokens").alias("token"))
             .join(index, "token")
             .filter(F.expr("target RLIKE pattern"))
             .groupBy(F.col("url").alias("hit_url"))

@@ -327,6 +327,13 @@ def test_url_rules(spark, url, host, path, rule, verdict):
     assert [tuple(r)[2:] for r in rows] == [(host, path, rule, verdict)] * 2
 
 
+def test_paths_without_a_host_are_judged(spark):
+    urls = ["file:///setup.exe", "http:///wp-login.php", "file:///com/", "://", "", None]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: (r.host, r.rule, r.verdict) for r in url_rules.judge(pages, LISTED + PATTERNS).collect()}
+    assert got == {0: ("", None, "block"), 1: ("", None, "block")} | {i: ("", None, "allow") for i in (2, 3, 4, 5)}
+
+
 def test_rules_are_filed_under_their_rarest_token(spark):
     parts = spark.createDataFrame([(["com", "en", ""],), (["com", "example", "en", ""],), (["en"],)], "tokens array<string>")
     index = {r.name: r.token for r in url_rules.rule_index(parts, LISTED + PATTERNS).collect()}

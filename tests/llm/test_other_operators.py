@@ -108,6 +108,17 @@ def test_quality_edge_cases(spark):
     assert {r.score for r in quality.score_quality(edge_docs(spark), labels.limit(0)).collect()} == {0.5}
 
 
+def test_quality_fit_learns_from_all_passages(spark, monkeypatch):
+    rows = [(i, "Some words of a text. " * (900 if i % 7 == 0 else 20)) for i in range(1, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality.Attention, "fit", lambda self, x, counts, y, weight: seen.append((len(x), counts.tolist())))
+    quality.fit(docs, labels)
+    want = [int(quality.passages([t.encode()])[1][0]) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    assert seen == [(sum(want), want)] and max(want) > 48
+
+
 def test_quality_score_does_not_depend_on_neighbours():
     model = quality.Attention()
     texts = [b"Some words here.", b"", b"x | y | z " * 200, b"!!! ### " * 50]

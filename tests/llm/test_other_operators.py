@@ -299,11 +299,12 @@ def test_short_items_need_more_than_a_share(spark):
                                   "item_id long, text string")
     docs = spark.createDataFrame([
         (1, "we know what is the reason"), (2, "they ask what is the name of this river today"), (3, "on one fine day in june"),
-        (4, "it was one fine day in may"), (5, "a big fox"), (6, "the big red fox"), (7, "what is the name of this lake")],
+        (4, "it was one fine day in may"), (5, "a big fox"), (6, "the big red fox"), (7, "what is the name of this lake"),
+        (8, "the name of this lake"), (9, "the name of this hill"), (10, "shores of this river")],
         "doc_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench).collect()}
     assert got == {(2, 1), (4, 2), (6, 3), (7, 1)}
-    assert {r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()} == {1, 3, 5}
+    assert {r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()} == {1, 3, 5, 8, 9, 10}
 
 
 def test_exact_benchmark_copies_of_the_corpus(spark):

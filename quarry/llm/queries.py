@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontaminate, language, licenses, quality, simhash, substrings, topk, toxicity, url_rules
+from quarry.llm import (alignment, bpe, centroids, decontaminate, language, licenses, mixing, quality, simhash,
+                        substrings, topk, toxicity, url_rules)
 from quarry.llm.common import read
 from quarry.llm.url_rules import Rule, host_rule
 
@@ -31,10 +32,10 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -89,6 +90,23 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.planned(read(spark, sf_dir, "documents")).select(
+        F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target",
+        (F.col("copies") * F.col("size")).alias("taken"))
+
+
 ORACLE["op7_topk"] = """
 WITH v AS (
   SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT) FOR x IN embedding] AS e
@@ -148,3 +166,63 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kep
        sha256(coalesce(kept.kept, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+def _clustering_sql(rounds: int = 5, k: int = 40, dims: int = 64, scale: int = 256) -> str:
+    """One assignment and one mean a round, as a chain of common table expressions."""
+    parts = [f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS HUGEINT) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), e) - 1 AS c, e FROM v
+  WHERE vec_id IS NOT NULL ORDER BY c LIMIT {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT v.r, c{i}.c, list_sum([(v.e[j] - c{i}.e[j]) * (v.e[j] - c{i}.e[j]) FOR j IN range(1, {dims + 1})]) AS d
+    FROM v CROSS JOIN c{i}) GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""
+c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.c, coalesce(m.e, c{i}.e) AS e FROM c{i} LEFT JOIN (
+    SELECT c, list(q ORDER BY j) AS e FROM (
+      SELECT a.c, j, CAST((sum(v.e[j]) - ((sum(v.e[j]) % count(*)) + count(*)) % count(*)) // count(*) AS HUGEINT) AS q
+      FROM v JOIN a{i} a USING (r) CROSS JOIN range(1, {dims + 1}) t(j) GROUP BY a.c, j) GROUP BY c) m USING (c))""")
+    return ",".join(parts) + f"""
+SELECT v.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c{rounds}.e, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} a USING (r) JOIN c{rounds} USING (c)
+"""
+
+
+ORACLE["op12_centroids"] = _clustering_sql()
+
+ORACLE["op13_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CASE WHEN doc_id IS NULL THEN coalesce(text, '') ELSE '' END AS drawn,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS HUGEINT) AS s,
+         [3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INTEGER) + 1] AS w
+  FROM d GROUP BY source),
+-- A source stands at its ceiling if all targets at its own ceiling / weight stay within the budget.
+f AS (
+  SELECT a.source, a.s, a.w,
+         2 * sum(CASE WHEN b.s * a.w < a.s * b.w THEN 2 * b.s * a.w ELSE 2 * a.s * b.w END) <= 3 * a.w * sum(b.s) AS capped
+  FROM s a CROSS JOIN s b GROUP BY a.source, a.s, a.w),
+t AS (
+  SELECT source, s, CASE WHEN capped THEN CAST(2 * s AS DOUBLE)
+         ELSE CAST(w * (3 * sum(s) OVER () - 2 * sum(CASE WHEN capped THEN 2 * s ELSE 0 END) OVER ()) AS DOUBLE)
+              / CAST(2 * sum(CASE WHEN capped THEN 0 ELSE w END) OVER () AS DOUBLE) END AS target
+  FROM f),
+r AS (SELECT *, CASE WHEN s > 0 THEN target / CAST(s AS DOUBLE) ELSE 0 END AS rate FROM t)
+SELECT d.doc_id, d.size, CAST(r.s AS BIGINT) AS source_size, r.target,
+       d.size * (CAST(floor(r.rate) AS BIGINT) + CASE WHEN
+         CAST(CAST('0x' || substr(md5('0:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || drawn), 1, 13) AS BIGINT) AS DOUBLE)
+           / 4503599627370496.0 < r.rate - floor(r.rate) THEN 1 ELSE 0 END) AS taken
+FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
+"""

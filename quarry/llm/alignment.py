@@ -6,9 +6,13 @@ Where a token ends inside a character, or a byte-fallback piece has no span of i
 refined with the decoded bytes of the tokens since the last coarse cut. Byte offsets where tokens
 of both end cut the tokens into groups, and all pairs within a group are links.
 
-Texts are encoded once. Documents are kept in chunks of bounded text size, each with a dictionary
-of its linked id pairs: only a chunk's distinct pairs are counted over the corpus and joined with
-those counts, never the links of single documents.
+A single space between two characters that are no white space ends a token in both tokenizers, and
+what stands between two such spaces, an atom, is encoded alike wherever it stands. So a task
+encodes each atom it meets once, many of them joined in one call, and puts the documents together.
+
+Documents are kept in chunks of bounded text size, each with a dictionary of its linked id
+pairs: only a chunk's distinct pairs are counted over the corpus and joined with those counts,
+never the links of single documents.
 """
 
 from __future__ import annotations
@@ -29,13 +33,17 @@ from pyspark.sql import functions as F
 from quarry.llm.bpe import byte_chars
 from quarry.llm.common import byte_texts, checkpointed, drop_written, map_arrow, slices, written
 
-#: Text bytes of a chunk, and bytes of a long text that are encoded together.
-CHUNK_BYTES, PART_BYTES = 8 << 20, 1 << 16
+#: Text bytes of a chunk, of a long text that are cut together, and of atoms that are encoded together.
+CHUNK_BYTES, PART_BYTES, CALL_BYTES = 8 << 20, 1 << 20, 1 << 16
 #: Links of one group that are made one by one; beyond them ids are counted first.
 GROUP_LINKS = 1 << 16
-#: Where a long text may be cut: at a space between ASCII letters or digits, which both tokenizers
-#: put in front of the next token and which no token spans.
-_CUT = regex.compile(rb"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+#: Atoms and links that a task remembers.
+KNOWN_ATOMS, KNOWN_LINKS = 750_000, 8_000_000
+#: The spaces that atoms are cut at, and atoms that may be joined: both neighbours are printable ASCII or
+#: two-byte characters from U+00C0 on, among which there is no white space.
+_BEFORE, _AFTER = rb"(?:[\x21-\x7E]|[\xC3-\xDF][\x80-\xBF])", rb"[\x21-\x7E\xC3-\xDF]"
+_CUT = regex.compile(rb"(?<=" + _BEFORE + rb") (?=" + _AFTER + rb")")
+_JOINABLE = regex.compile(rb"(?s)" + _AFTER + rb"(?:.*" + _BEFORE + rb")?")
 _SPACE = "▁"
 
 
@@ -115,86 +123,177 @@ def _loaded(kind: type, source: bytes):
     return kind(source)
 
 
-def parts(text: str, raw: bytes, size: int = PART_BYTES) -> Iterator[tuple[str, bytes]]:
-    """A long text in parts of about ``size`` bytes that leave out the space between them; a part
-    grows until there is a place to cut."""
-    if len(raw) <= size:
-        yield text, raw
-        return
+def parts(raw: bytes, size: int = PART_BYTES) -> Iterator[list[bytes]]:
+    """The atoms of a whole text, in lists from about ``size`` bytes of it."""
     lo = 0
     while True:
         cut = _CUT.search(raw, lo + size) if len(raw) - lo > size else None
-        part = raw[lo:cut.start()] if cut else raw[lo:]
-        yield part.decode("utf-8", "replace"), part
+        yield _CUT.split(raw[lo:cut.start()] if cut else raw[lo:])
         if not cut:
             return
         lo = cut.end()
 
 
-class Aligned:
-    """Tokens, groups and links of one document, part by part."""
-
-    def __init__(self) -> None:
-        self.n_a = self.n_b = self.n_groups = self.n_links = 0
-        self.digest = hashlib.sha256()
-        self.pairs: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
-
-    def add(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, n_b_ids: int, texts) -> None:
+class _Grown:
+    """A numpy array that grows at its end."""
+
+    def __init__(self, kind: type) -> None:
+        self.data, self.size = np.zeros(1024, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        if self.size + len(values) > len(self.data):
+            self.data = np.concatenate((self.data[:self.size], np.zeros(self.size + len(values), self.data.dtype)))
+        self.data[self.size:self.size + len(values)] = values
+        self.size += len(values)
+
+
+class Atoms:
+    """What a task knows of the atoms it met: counts of tokens, groups and links, the text of the
+    groups, and the links as id pairs (first id * size of the second vocabulary + second id)."""
+
+    def __init__(self, a: ByteLevel, b: Pieces, texts: tuple[np.ndarray, ...]) -> None:
+        self.a, self.b, self.id_texts = a, b, texts
+        self.index: dict[bytes, int] = {}
+        self.texts: list[bytes] = []
+        self.sound: list[bool] = []
+        self.counts = [_Grown(np.int64) for _ in range(4)]  # tokens of both, groups, links
+        self.ends = _Grown(np.int64)
+        self.ends.add(np.zeros(1, np.int64))
+        self.pairs, self.times = _Grown(np.int64), _Grown(np.int64)
+
+    def full(self) -> bool:
+        return len(self.texts) > KNOWN_ATOMS or self.pairs.size > KNOWN_LINKS
+
+    def learn(self, atoms: set[bytes]) -> None:
+        """Encodes the atoms that are not known yet."""
+        joined, size = [], 0
+        for atom in atoms:
+            if atom in self.index:
+                continue
+            if not _JOINABLE.fullmatch(atom):
+                self._encode([atom])
+                continue
+            joined.append(atom)
+            size += len(atom) + 1
+            if size >= CALL_BYTES:
+                self._encode(joined)
+                joined, size = [], 0
+        if joined:
+            self._encode(joined)
+
+    def _encode(self, atoms: list[bytes]) -> None:
+        raw = b" ".join(atoms)
+        text, spaced = raw.decode("utf-8", "replace"), b" " + raw
+        ids_a, ends_a = self.a.tokens(" " + text, np.frombuffer(spaced, np.uint8))
+        ids_b, ends_b = self.b.tokens(text)
+        edges = np.cumsum([len(x) + 1 for x in atoms])
+        spelled = all(b"".join(map(t.bytes.__getitem__, ids.tolist())) == spaced for t, ids in ((self.a, ids_a), (self.b, ids_b)))
+        if spelled and np.isin(edges, ends_a).all() and np.isin(edges, ends_b).all():
+            self._add(atoms, edges, ids_a, ids_b, ends_a, ends_b)
+        elif len(atoms) > 1:
+            for atom in atoms:
+                self._encode([atom])
+        else:
+            none = np.zeros(0, np.int64)
+            self._add(atoms, edges, none, none, none, none)
+            self.sound[-1] = False
+
+    def _add(self, atoms: list[bytes], edges: np.ndarray, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray,
+             ends_b: np.ndarray) -> None:
         cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
         group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
-        edges = np.arange(len(cuts) + 1)
-        at_a, at_b = np.searchsorted(group_a, edges), np.searchsorted(group_b, edges)
+        groups = np.arange(len(cuts) + 1)
+        at_a, at_b = np.searchsorted(group_a, groups), np.searchsorted(group_b, groups)
         of_a, of_b = np.diff(at_a), np.diff(at_b)
         # The group text: ids and their separators, in one object array in the order of the text.
-        comma_a, bar, comma_b, semicolon = texts
+        comma_a, bar, comma_b, semicolon = self.id_texts
         out = np.empty(len(a) + len(b), object)
         last_a = np.arange(len(a)) == at_a[group_a + 1] - 1
         last_b = np.arange(len(b)) == at_b[group_b + 1] - 1
         out[np.arange(len(a)) + at_b[group_a]] = np.where(last_a, bar[a], comma_a[a])
         out[np.arange(len(b)) + at_a[group_b + 1]] = np.where(last_b, semicolon[b], comma_b[b])
-        if self.n_groups:
-            self.digest.update(b";")
-        self.digest.update(b"".join(out.tolist())[:-1])
-        self.n_a, self.n_b, self.n_groups = self.n_a + len(a), self.n_b + len(b), self.n_groups + len(cuts)
         links = of_a * of_b
-        self.n_links += int(links.sum())
-        few = links <= GROUP_LINKS
-        each = np.where(few[group_a], of_b[group_a], 0)
+        # Atom by atom: the tokens, groups and links up to its end.
+        upto = np.searchsorted(cuts, edges, "right")
+        to_a, to_b = at_a[upto], at_b[upto]
+        to_links = np.append(0, np.cumsum(links))[upto]
+        for grown, to in zip(self.counts, (to_a, to_b, upto, to_links)):
+            grown.add(np.diff(to, prepend=0))
+        said, lo = out.tolist(), 0
+        for hi in (to_a + to_b).tolist():
+            self.texts.append(b"".join(said[lo:hi])[:-1])
+            lo = hi
+        pairs, times, made = _links(a, b, group_a, at_a, at_b, of_b, links, len(self.b.bytes))
+        self.ends.add(self.pairs.size + made[upto])
+        self.pairs.add(pairs)
+        self.times.add(times)
+        for atom in atoms:
+            self.index[atom] = len(self.sound)
+            self.sound.append(True)
+
+
+def _links(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, of_b: np.ndarray,
+           links: np.ndarray, n_b_ids: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, how often each is linked, pairs before each group and after the last)."""
+    few = links <= GROUP_LINKS
+    if few.all():
+        each = of_b[group_a]
         first = np.repeat(at_b[group_a] - np.cumsum(each) + each, each)
-        made = np.repeat(a, each) * n_b_ids + b[np.arange(len(first)) + first]
-        pairs, times = np.unique(made, return_counts=True)
-        self.pairs.append(pairs)
-        self.times.append(times)
-        for g in np.flatnonzero(~few):
-            (u, n), (v, m) = (np.unique(x, return_counts=True) for x in (a[at_a[g]:at_a[g + 1]], b[at_b[g]:at_b[g + 1]]))
-            self.pairs.append((u[:, None] * n_b_ids + v).ravel())
-            self.times.append((n[:, None] * m).ravel())
+        pairs = np.repeat(a, each) * n_b_ids + b[np.arange(len(first)) + first]
+        return pairs, np.ones(len(pairs), np.int64), np.append(0, np.cumsum(links))
+    found, counted = [], []
+    for g in range(len(links)):
+        (u, n), (v, m) = (np.unique(x, return_counts=True) for x in (a[at_a[g]:at_a[g + 1]], b[at_b[g]:at_b[g + 1]]))
+        found.append((u[:, None] * n_b_ids + v).ravel())
+        counted.append((n[:, None] * m).ravel())
+    return np.concatenate(found), np.concatenate(counted), np.append(0, np.cumsum([len(x) for x in found]))
+
+
+class Aligned:
+    """One document: what its atoms add up to. ``None`` from :meth:`of` where it has no tokens: an
+    empty text, or one whose joined token bytes differ from a space and the text."""
+
+    def __init__(self) -> None:
+        self.counts = np.zeros(4, np.int64)
+        self.digest = hashlib.sha256()
+        self.pairs: list[np.ndarray] = []
+        self.times: list[np.ndarray] = []
+
+    @classmethod
+    def of(cls, known: Atoms, pieces: list[list[bytes]]) -> Aligned | None:
+        out = cls()
+        for n, atoms in enumerate(pieces):
+            at = [known.index[x] for x in atoms]
+            if not all([known.sound[i] for i in at]):
+                return None
+            if n:
+                out.digest.update(b";")
+            out.digest.update(b";".join([known.texts[i] for i in at]))
+            where = np.array(at, np.int64)
+            out.counts += [g.data[where].sum() for g in known.counts]
+            first = known.ends.data[where]
+            size = known.ends.data[where + 1] - first
+            flat = np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+            pairs, times = known.pairs.data[flat], known.times.data[flat]
+            pairs, order = np.unique(pairs, return_inverse=True)
+            out.pairs.append(pairs)
+            out.times.append(np.bincount(order, times, len(pairs)).astype(np.int64))
+        return out
 
     def linked(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct linked pairs of the document and their links."""
         if len(self.pairs) == 1:
             return self.pairs[0], self.times[0]
-        if not self.pairs:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         pairs, at = np.unique(np.concatenate(self.pairs), return_inverse=True)
         return pairs, np.bincount(at, np.concatenate(self.times), len(pairs)).astype(np.int64)
 
 
-def aligned(raw: bytes, a: ByteLevel, b: Pieces, texts, size: int = PART_BYTES) -> Aligned | None:
-    """The alignment of one text; None where it has no tokens: an empty text, or one whose joined
-    token bytes differ from a space and the text."""
-    if not raw:
-        return None
-    out = Aligned()
-    for text, own in parts(raw.decode("utf-8", "replace"), raw, size if b.cuttable else len(raw)):
-        spaced = b" " + own
-        ids_a, ends_a = a.tokens(" " + text, np.frombuffer(spaced, np.uint8))
-        ids_b, ends_b = b.tokens(text)
-        if any(b"".join(map(t.bytes.__getitem__, ids.tolist())) != spaced for t, ids in ((a, ids_a), (b, ids_b))):
-            return None
-        out.add(ids_a, ids_b, ends_a, ends_b, len(b.bytes), texts)
-    return out
+def aligned(raws: list[bytes], known: Atoms, size: int = PART_BYTES) -> Iterator[Aligned | None]:
+    """The alignments of some texts."""
+    pieces = [list(parts(raw, size)) if raw and known.b.cuttable else [[raw]] for raw in raws]
+    known.learn({atom for own in pieces for atoms in own for atom in atoms if atom})
+    for raw, own in zip(raws, pieces):
+        yield Aligned.of(known, own) if raw else None
 
 
 def _id_texts(n_a: int, n_b: int) -> tuple[np.ndarray, ...]:
@@ -234,14 +333,16 @@ def chunks(docs: DataFrame, id_col: str, text: str, path_a: str, path_b: str) ->
     def run(batches):
         a, b = (_loaded(kind, source) for kind, source in zip((ByteLevel, Pieces), sent.value))
         texts = _id_texts(len(a.bytes), len(b.bytes))
-        rows, held = [], 0
+        known, rows, held = Atoms(a, b, texts), [], 0
         for batch in slices(batches):
-            for doc, raw in zip(batch.column("id").to_pylist(), byte_texts(batch, "text")):
-                got = aligned(raw, a, b, texts)
+            if known.full():
+                known = Atoms(a, b, texts)
+            raws = byte_texts(batch, "text")
+            for doc, raw, got in zip(batch.column("id").to_pylist(), raws, aligned(raws, known)):
                 if got is None:
                     rows.append((doc, (0, 0, 0, 0, ""), np.zeros(0, np.int64), np.zeros(0, np.int64)))
                 else:
-                    rows.append((doc, (got.n_a, got.n_b, got.n_groups, got.n_links, got.digest.hexdigest()), *got.linked()))
+                    rows.append((doc, (*got.counts.tolist(), got.digest.hexdigest()), *got.linked()))
                 held += len(raw) + 64
                 if held >= CHUNK_BYTES:
                     yield _chunk(rows)

@@ -102,12 +102,13 @@ def word_pieces(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
 
 #: Bytes of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` once A-Z are lower-cased.
 WORD_BYTE = ~byte_class(set(range(0x30)) | set(range(0x3A, 0x61)) | set(range(0x7B, 0x80)))
-_TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else (b if WORD_BYTE[b] else 32) for b in range(256))
+#: Lower-cases A-Z and makes a space of every byte that is in no word.
+TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else (b if WORD_BYTE[b] else 32) for b in range(256))
 
 
 def to_words(text: bytes) -> list[bytes]:
     """The words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text with A-Z lower-cased."""
-    return text.translate(_TO_WORDS).split()
+    return text.translate(TO_WORDS).split()
 
 
 _shipped: set[str] = set()

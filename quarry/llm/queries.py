@@ -109,15 +109,15 @@ def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op7_topk"] = """
 WITH v AS (
-  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT) FOR x IN embedding] AS e
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT) FOR x IN embedding] AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.r AS own, q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_sum([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)]) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.r <> c.r),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 

@@ -24,10 +24,10 @@ _LONG = (-(1 << 63), (1 << 63) - 1)
 
 
 def quantised(vectors: DataFrame, id_col: str, vector: str, scale: int = SCALE) -> DataFrame:
-    """(id, v array<double>): floor(scale * x) of each component as a double, exact whole numbers.
+    """(row, id, v array<double>): floor(scale * x) of each component as a double, exact whole numbers.
 
     Rows whose id or vector is null, or whose vector holds a null or non-finite component, take
-    no part. Of rows sharing an id the least vector counts.
+    no part. ``row`` tells rows of one id apart; it is fixed once the result is checkpointed.
     """
     def run(batches):
         for batch in batches:
@@ -41,7 +41,8 @@ def quantised(vectors: DataFrame, id_col: str, vector: str, scale: int = SCALE)
             .filter(F.col("id").isNotNull() & F.col("v").isNotNull()))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     rows = rows.filter(~F.coalesce(bad, F.lit(False)))
-    return map_arrow(rows.groupBy("id").agg(F.min("v").alias("v")), run, "id long, v array<double>")
+    made = map_arrow(rows, run, "id long, v array<double>")
+    return made.select(F.monotonically_increasing_id().alias("row"), "id", "v")
 
 
 def _matrix(vectors: list, dims: int) -> np.ndarray:
@@ -55,7 +56,7 @@ def _blocks(batches, dims: int):
     for batch in batches:
         for lo in range(0, batch.num_rows, VECTOR_BLOCK):
             part = batch.slice(lo, VECTOR_BLOCK)
-            ids = part.column("id").to_numpy(zero_copy_only=False)
+            ids = [part.column(c).to_numpy(zero_copy_only=False) for c in ("row", "id")]
             sizes = np.fromiter((len(x) for x in part.column("v")), np.int64, part.num_rows)
             flat = part.column("v").flatten().to_numpy(zero_copy_only=False)
             if len(sizes) and (sizes == dims).all():
@@ -76,9 +77,12 @@ def _lists(queries: np.ndarray, vectors: np.ndarray, width: int) -> np.ndarray:
     return np.stack([queries[:, e:e + width] @ vectors[:, e:e + width].T for e in edges])
 
 
-def _emit(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [(), (), ()]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
+_FOUND = ("query_row", "query_id", "vec_id", "score")
+
+
+def _emit(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [()] * len(_FOUND)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=list(_FOUND))
 
 
 def _clamped(x) -> int:
@@ -88,31 +92,31 @@ def _clamped(x) -> int:
 def _phase_one(vectors: DataFrame, sent, dims: int, k: int, width: int) -> DataFrame:
     """Per shard and query the exact totals of the best entries of its local lists."""
     def run(batches):
-        query_ids, queries = sent.value
-        best: list[list[tuple[int, int]]] = [[] for _ in query_ids]
-        for ids, matrix in _blocks(batches, dims):
+        asked, queries = sent.value
+        best: list[list[tuple[int, int]]] = [[] for _ in asked]
+        for (keys, ids), matrix in _blocks(batches, dims):
             parts = _lists(queries, matrix, width)
             total = parts.sum(axis=0)
-            for q, own in enumerate(query_ids):
+            for q, (own, _) in enumerate(asked):
                 top = set()
                 for part in parts[:, q, :]:
                     top.update(range(len(part)) if len(part) <= k + 1 else
                                np.argpartition(part, len(part) - k - 1)[len(part) - k - 1:].tolist())
-                found = [(_clamped(total[q, i]), int(ids[i])) for i in top if ids[i] != own]
+                found = [(_clamped(total[q, i]), int(ids[i])) for i in top if keys[i] != own]
                 best[q] = sorted(best[q] + found, key=lambda x: (-x[0], x[1]))[:k]
-        yield _emit([(int(query_ids[q]), i, s) for q, b in enumerate(best) for s, i in b])
+        yield _emit([(*asked[q], i, s) for q, b in enumerate(best) for s, i in b])
 
-    return map_arrow(vectors, run, "query_id long, vec_id long, score long")
+    return map_arrow(vectors, run, ", ".join(f"{c} long" for c in _FOUND))
 
 
 def _phase_three(vectors: DataFrame, sent, dims: int, width: int) -> DataFrame:
     """Entries whose part reaches the broadcast share in some list, with totals resolved."""
     def run(batches):
-        query_ids, queries, cutoffs = sent.value
-        for ids, matrix in _blocks(batches, dims):
+        asked, queries, cutoffs = sent.value
+        for (keys, ids), matrix in _blocks(batches, dims):
             parts = _lists(queries, matrix, width)
             rows = []
-            for q, own in enumerate(query_ids):
+            for q, (own, query_id) in enumerate(asked):
                 cutoff = cutoffs[q]
                 if cutoff is None or cutoff <= _LONG[0] or cutoff >= _LONG[1]:
                     some = range(len(ids))
@@ -120,11 +124,11 @@ def _phase_three(vectors: DataFrame, sent, dims: int, width: int) -> DataFrame:
                     some = np.flatnonzero((parts[:, q, :] * len(parts) >= cutoff).any(axis=0))
                 for i in some:
                     total = _clamped(parts[:, q, i].sum())
-                    if ids[i] != own and (cutoff is None or total >= cutoff):
-                        rows.append((int(own), int(ids[i]), total))
+                    if keys[i] != own and (cutoff is None or total >= cutoff):
+                        rows.append((own, query_id, int(ids[i]), total))
             yield _emit(rows)
 
-    return map_arrow(vectors, run, "query_id long, vec_id long, score long")
+    return map_arrow(vectors, run, ", ".join(f"{c} long" for c in _FOUND))
 
 
 def top_k(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding", every: int = 100, k: int = 10,
@@ -142,17 +146,17 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding",
     asked = rows.filter(F.col("id") % every == 0)
     n_blocks = -(-asked.count() // QUERY_BLOCK)
     out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     for b in range(n_blocks):
-        block = asked.filter(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == b).collect()
+        block = asked.filter(F.pmod(F.xxhash64("row"), F.lit(n_blocks)) == b).collect()
         if not block:
             continue
-        ids = [r["id"] for r in block]
+        ids = [(r["row"], r["id"]) for r in block]
         matrix = _matrix([r["v"] for r in block], dims)
         first = _phase_one(rows, spark.sparkContext.broadcast((ids, matrix)), dims, k, width)
         cut = dict(first.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") == k)
-                   .select("query_id", "score").collect())
-        sent = spark.sparkContext.broadcast((ids, matrix, [cut.get(i) for i in ids]))
+                   .select("query_row", "score").collect())
+        sent = spark.sparkContext.broadcast((ids, matrix, [cut.get(row) for row, _ in ids]))
         found = (_phase_three(rows, sent, dims, width)
                  .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
                  .select("query_id", "rank", "vec_id", "score"))

@@ -4,15 +4,16 @@ similarity-weighted votes, and calibrated scores with their evidence."""
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SLICE_ROWS, byte_texts, column_type, map_arrow, slices, to_words
+from quarry.llm.common import SLICE_ROWS, TO_WORDS, byte_class, byte_texts, column_type, map_arrow, slices, word_bounds
 from quarry.llm.labelled import Sample, held_out, labelled_sample
+from quarry.llm.wordhash import mix, text_pieces, word_hashes
 
 #: Bound of the fit: examples of each class. All their words and word starts are features.
 EXAMPLES = 2048
@@ -21,59 +22,76 @@ LEAST_Z = 4.5
 #: Lengths of word starts that are features beside the words themselves.
 STEMS = (4, 5, 6)
 NEIGHBOURS, BLOCK = 32, 256
-#: Searches and words that a task remembers.
-KNOWN, KNOWN_WORDS = 2_000, 100_000
+#: Searches that a task remembers.
+KNOWN = 2_000
+#: Bytes of words once all others are spaces.
+_IN_WORD = ~byte_class(b" ")
 #: A feature is common from one in so many examples on.
 COMMON = 12
 #: Weight of the base rate among the votes.
 PRIOR_VOTES = 0.5
 
 
-def features_of(word: bytes) -> set[bytes]:
-    """A word and its starts (marked ``*``)."""
-    return {word} | {word[:n] + b"*" for n in STEMS if len(word) >= n}
+def word_features(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(starts, ends, hashes) of the features of a lower-cased text, piece by piece: its words, and
+    per length their starts, which are other features than words of the same letters."""
+    text = text.translate(TO_WORDS)
+    for lo, raw in text_pieces(text, _IN_WORD):
+        starts, ends = word_bounds(raw, _IN_WORD)
+        yield starts + lo, ends + lo, word_hashes(raw, starts, ends)
+        for n in STEMS:
+            long = starts[ends - starts >= n]
+            yield long + lo, long + lo + n, mix(word_hashes(raw, long, long + n) + np.uint64(n))
+
+
+def feature_hashes(text: bytes) -> np.ndarray:
+    """The hashes of all features of a text, one for each place."""
+    found = [h for _, _, h in word_features(text)]
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
 class Vocabulary:
-    """All features of the examples, found in a text word by word."""
-
-    def __init__(self, features: list[bytes]) -> None:
-        self.index = {f: i for i, f in enumerate(features)}
-        self.known: dict[bytes, list[int]] = {}
-
-    def numbers(self, word: bytes) -> list[int]:
-        out = self.known.get(word)
-        if out is None:
-            if len(self.known) >= KNOWN_WORDS:
-                self.known.clear()
-            index = self.index
-            out = self.known[word] = [index[f] for f in features_of(word) if f in index]
-        return out
+    """All features of the examples by their hashes, in ascending order; a feature's number is its
+    place among them."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = hashes
 
     def counts(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """(features in ascending order, how often each is there)."""
-        found: list[int] = []
-        for word in to_words(text):
-            found += self.numbers(word)
-        return np.unique(np.array(found, np.int64), return_counts=True)
+        found, n = np.unique(feature_hashes(text), return_counts=True)
+        if not len(found) or not len(self.hashes):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
+        known = self.hashes[at] == found
+        return at[known], n[known]
 
-    def __getstate__(self) -> dict:
-        return {**self.__dict__, "known": {}}
 
-
-def features_in(texts: list[bytes], labels: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """All features of the texts, and by how many standard errors the share of texts with it
-    differs between the classes; without texts of both classes none."""
+def features_in(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all features of the texts, and by how many standard errors the share of texts
+    with a feature differs between the classes; without texts of both classes none."""
     n1, n0 = int(labels.sum()), int(len(labels) - labels.sum())
     if not n1 or not n0:
-        return [], np.zeros(0)
-    with_label = (Counter(), Counter())
-    for text, label in zip(texts, labels):
-        with_label[label].update({f for w in set(to_words(text)) for f in features_of(w)})
-    features = sorted(with_label[0].keys() | with_label[1].keys())
-    b, a = (np.array([c[f] for f in features], float) for c in with_label)
+        return np.zeros(0, np.uint64), np.zeros(0)
+    own = [np.unique(feature_hashes(t)) for t in texts]
+    hashes, at = np.unique(np.concatenate(own), return_inverse=True)
+    yes = np.repeat(labels, [len(x) for x in own])
+    a = np.bincount(at, yes, len(hashes))
+    b = np.bincount(at, minlength=len(hashes)) - a
     p = (a + b) / (n1 + n0)
-    return features, np.abs(a / n1 - b / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n1 + 1 / n0))
+    return hashes, np.abs(a / n1 - b / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n1 + 1 / n0))
+
+
+def spelled(texts: list[bytes], wanted: np.ndarray) -> dict[int, bytes]:
+    """hash -> text of the wanted features (sorted hashes), starts with a ``*``."""
+    out: dict[int, bytes] = {}
+    for text in texts:
+        low = text.translate(TO_WORDS)
+        for k, (starts, ends, hashes) in enumerate(word_features(text)):
+            at = np.minimum(np.searchsorted(wanted, hashes), max(len(wanted) - 1, 0))
+            for i in np.flatnonzero(wanted[at] == hashes) if len(wanted) else ():
+                out.setdefault(int(hashes[i]), low[starts[i]:ends[i]] + b"*" * (k % (len(STEMS) + 1) > 0))
+    return out
 
 
 def arrays(vector: dict[int, float] | tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -148,10 +166,10 @@ class BlockMaxIndex:
 class Model:
     """The index, the weights of features and the calibration."""
 
-    def __init__(self, features: list[bytes], idf: np.ndarray, z: np.ndarray, ids: list[int], labels: np.ndarray,
-                 examples: list[tuple[np.ndarray, np.ndarray]], totals: tuple[int, int]) -> None:
-        self.features, self.z, self.value = features, z, idf * z
-        self.vocabulary = Vocabulary(features)
+    def __init__(self, vocabulary: Vocabulary, terms: dict[int, bytes], idf: np.ndarray, z: np.ndarray, ids: list[int],
+                 labels: np.ndarray, examples: list[tuple[np.ndarray, np.ndarray]], totals: tuple[int, int]) -> None:
+        self.vocabulary, self.terms, self.value = vocabulary, terms, idf * z
+        self.telling = z >= LEAST_Z
         # alike examples share blocks, so that a block's largest weights say more about it
         order = sorted(range(len(ids)), key=lambda i: (
             (f := examples[i][0])[self.value[f].argmax()] if len(examples[i][0]) else -1, len(examples[i][0]), i))
@@ -162,7 +180,7 @@ class Model:
         share = np.array(totals, float) / max(1, sum(totals))
         self.rate = float(share[1]) if sum(totals) else 0.0
         self.votes = np.array([share[c] * 2 * len(labels) / (2 * n[c]) for c in (0, 1)])
-        self.index = BlockMaxIndex([self.unit(c) for c in examples], len(features))
+        self.index = BlockMaxIndex([self.unit(c) for c in examples], len(idf))
         self.known: dict[tuple, list[tuple[float, int]]] = {}
         self.line = (0.0, 0.0)
         raw = np.array([self.raw(near) for lo in range(0, len(examples), SLICE_ROWS) for near in self.index.search_all(
@@ -200,7 +218,7 @@ class Model:
         counts = [self.vocabulary.counts(t) for t in texts]
         a, b = self.line
         return [(1 / (1 + math.exp(-max(-30.0, min(30.0, a * self.raw(near) + b)))), near,
-                 [self.features[i] for i in f[self.z[f] >= LEAST_Z]]) for (f, _), near in zip(counts, self.neighbours(counts))]
+                 sorted(self.terms[i] for i in f[self.telling[f]].tolist())) for (f, _), near in zip(counts, self.neighbours(counts))]
 
 
 def fit_line(raw: np.ndarray, labels: np.ndarray, weights: np.ndarray, rate: float) -> tuple[float, float]:
@@ -222,7 +240,7 @@ def fit_line(raw: np.ndarray, labels: np.ndarray, weights: np.ndarray, rate: flo
 
 def document_counts(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> tuple[int, np.ndarray]:
     """How many of all documents there are, and how many hold each feature."""
-    n_features = len(vocabulary.index)
+    n_features = len(vocabulary.hashes)
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches):
@@ -235,13 +253,13 @@ def document_counts(docs: DataFrame, vocabulary: Vocabulary, text: str = "text")
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(totals[some], rows))],
                                          names=["feature", "n"])
 
-    out, rows = np.zeros(n_features), 0
-    for r in map_arrow(docs.select(text), count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect():
-        if r["feature"] < 0:
-            rows = r["n"]
-        else:
-            out[r["feature"]] = r["n"]
-    return rows, out
+    counted = map_arrow(docs.select(text), count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    table = counted.toArrow()  # a row a feature of the bounded sample
+    sent.destroy()
+    feature, n = (table.column(c).to_numpy() for c in ("feature", "n"))
+    out = np.zeros(n_features)
+    out[feature[feature >= 0]] = n[feature >= 0]
+    return int(n[feature < 0].sum()), out
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = EXAMPLES, id_col: str = "doc_id",
@@ -249,11 +267,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     """Examples and all their features from a bounded labelled sample; idf from all documents."""
     sample: Sample = labelled_sample(docs, labels, label, per_class, id_col, text)
     texts, y = [t.encode() for t in sample.texts], np.array(sample.labels, dtype=int)
-    features, z = features_in(texts, y)
-    vocabulary = Vocabulary(features)
+    hashes, z = features_in(texts, y)
+    vocabulary = Vocabulary(hashes)
     rows, holding = document_counts(docs, vocabulary, text)
     idf = np.log((1 + rows) / (1 + holding)) + 1
-    return Model(features, idf, z, sample.ids, y, [vocabulary.counts(t) for t in texts], sample.totals)
+    told = spelled(texts, hashes[z >= LEAST_Z])
+    terms = {int(i): told[int(hashes[i])] for i in np.flatnonzero(z >= LEAST_Z)}
+    return Model(vocabulary, terms, idf, z, sample.ids, y, [vocabulary.counts(t) for t in texts], sample.totals)
 
 
 def _scored(docs: DataFrame, model: Model, id_col: str, text: str) -> DataFrame:

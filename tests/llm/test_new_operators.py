@@ -57,7 +57,7 @@ def alignment_model(docs):
 
 ODD_TEXTS = [None, "", " ", "  ", "a", " a", "naïve café", "日本語 テキスト", "x😀y 👩‍👩‍👧 z", "a▁b", "<|endoftext|> <s> <0x41>", "tab\tline\n\n end ",
              "\x00 odd   text", "ａ① é", "  double  spaces   run" + " " * 70, "ᚠᛇᚻ ქართული \U0001F9FF", "I'm we'll 1234567 !!!??",
-             "same words same words", "same words same words", "​ ﻿x", "́", "🏳️‍🌈" * 3]
+             "same words same words", "same words same words", "​ ﻿x", "́", "🏳️‍🌈" * 3, "a \u00a0 b\u3000c d\u2028e", "x ▁y z", "end ", " \n lead", "it 's a 'll", "ß \u0085 x", "a b ▁", "é é \x85"]
 
 
 def test_alignment_equals_bookkeeping(spark):
@@ -76,25 +76,41 @@ def test_alignment_of_the_table(spark):
     assert sorted(str(tuple(r)) for r in QUERIES["op11_alignment"](spark, SMOKE).collect()) == alignment_model(docs)
 
 
-def test_parts_of_a_long_text_encode_as_the_whole():
+def known_atoms():
     a, b = (k(open(p, "rb").read()) for k, p in ((alignment.ByteLevel, A_PATH), (alignment.Pieces, B_PATH)))
-    texts = alignment._id_texts(len(a.bytes), len(b.bytes))
-    assert b.cuttable
-    raw = ("Some words, 日本 and  spaces\n" * 50 + "x" * 300 + " y" * 90).encode()
-    whole, cut = alignment.aligned(raw, a, b, texts), alignment.aligned(raw, a, b, texts, 40)
-    assert len(list(alignment.parts(raw.decode(), raw, 40))) >= 30
-    assert (whole.digest.hexdigest(), whole.n_links) == (cut.digest.hexdigest(), cut.n_links)
-    assert [x.tolist() for x in whole.linked()] == [x.tolist() for x in cut.linked()]
+    return alignment.Atoms(a, b, alignment._id_texts(len(a.bytes), len(b.bytes)))
+
+
+def test_atoms_encode_as_the_whole():
+    known = known_atoms()
+    assert known.b.cuttable
+    raw = ("Some words, 日本 and  spaces\n" * 50 + "x" * 300 + " y" * 90 + " ß é  end ").encode()
+    known.b.cuttable = False
+    whole, = alignment.aligned([raw], known)
+    known.b.cuttable = True
+    assert len(list(alignment.parts(raw, 40))) >= 30
+    for size in (40, 1 << 20):
+        cut, = alignment.aligned([raw], known, size)
+        assert whole.digest.hexdigest() == cut.digest.hexdigest() and whole.counts.tolist() == cut.counts.tolist()
+        assert [x.tolist() for x in whole.linked()] == [x.tolist() for x in cut.linked()]
 
 
 def test_large_groups_count_ids_first(monkeypatch):
     def counted(limit):
         monkeypatch.setattr(alignment, "GROUP_LINKS", limit)
-        out = alignment.Aligned()
-        ids, texts = np.array([1, 2, 1, 1, 3]), alignment._id_texts(5, 5)
-        out.add(ids, np.array([4, 4, 2]), np.array([1, 2, 3, 5, 6]), np.array([4, 5, 6]), 10, texts)
-        return [x.tolist() for x in out.linked()], out.n_links
-    assert counted(0) == counted(100) and counted(0)[1] == 4 * 2 + 1
+        known = known_atoms()
+        known._add([b"abc", b"de"], np.array([4, 7]), np.array([1, 2, 1, 1, 3]), np.array([4, 4, 2]),
+                   np.array([1, 2, 3, 4, 7]), np.array([2, 4, 7]))
+        out = alignment.Aligned.of(known, [[b"abc", b"de"]])
+        return [x.tolist() for x in out.linked()], out.counts.tolist()
+    assert counted(0) == counted(100) and counted(0)[1] == [5, 3, 3, 2 + 2 + 1]
+
+
+def test_the_memo_is_bounded(spark, monkeypatch):
+    docs = [(i, f"word{i} and {i} others") for i in range(600)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(alignment, "KNOWN_ATOMS", 100)
+    assert sorted(str(tuple(r)) for r in alignment.align(table, A_PATH, B_PATH).collect()) == alignment_model(docs)
 
 
 # --- centroids ---

@@ -1,11 +1,11 @@
 """Joins and lookups: J1-J8.
 
 Scale rules applied here:
-* broadcast only what has a proven bound (a literal map, a collected hot-key list
-  of at most ``max_keys`` rows); every other join strategy is left to Spark's
-  size-checked broadcast threshold or a sort-merge join;
-* many-to-many full outer merges salt hot keys, because AQE's skew-join split
-  does not apply to FULL OUTER joins.
+* broadcast only what has a counted bound (a literal map, a list of hot keys whose
+  rows were counted); every other join strategy is left to Spark's size-checked
+  broadcast threshold or a sort-merge join;
+* many-to-many full outer merges cut hot keys into a grid of tiles, because AQE's
+  skew-join split does not apply to FULL OUTER joins.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import ensure_checkpoint_dir
+
 
 def _q(name: str) -> str:
     return f"`{name}`"
@@ -46,16 +48,50 @@ def _left_rows(upto: int) -> Column:
     return F.when(present, prod).otherwise(F.lit(0))
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], upto: int, min_rows: int,
-             max_keys: int = 1000, max_salts: int = 4096) -> DataFrame:
-    """The heaviest keys of the left side of join step ``upto`` (at most
-    ``max_keys``, each with >= ``min_rows`` left rows) with a salt count each.
-    Bounded by ``max_keys`` rows, hence safe to broadcast."""
-    left = _left_rows(upto)
-    return (counts.select(*keys, left.alias("__n")).filter(F.col("__n") >= min_rows)
-            .orderBy(F.col("__n").desc()).limit(max_keys)
-            .select(*keys, F.least(F.ceil(F.col("__n") / F.lit(min_rows)), F.lit(max_salts))
-                    .cast("int").alias("__s")))
+#: Hot keys that are broadcast; more of them are joined by a shuffle, which Spark splits where skewed.
+BROADCAST_KEYS = 100_000
+
+
+def hot_keys(counts: DataFrame, keys: Sequence[str], upto: int, most: int) -> DataFrame:
+    """The keys for which step ``upto`` of the merge makes more than ``most`` rows, each with its
+    grid: ``tiles_l`` x ``tiles_r`` tiles that make about ``most`` rows each, and whether ``both``
+    sides have the key. All of them, however many; a key on one side alone is dealt as well."""
+    n, m = _left_rows(upto), F.coalesce(F.col(f"n{upto}"), F.lit(0))
+    side = F.lit(float(most) ** 0.5)
+    table = counts.select(*keys, n.alias("__n"), m.alias("__m"))
+    n, m = F.col("__n"), F.col("__m")
+    made = F.when((n > 0) & (m > 0), n.cast("double") * m).otherwise(F.greatest(n, m).cast("double"))
+    whole = F.ceil(made / F.lit(most))
+    narrow_l, narrow_r = n <= side, m <= side
+    tiles_l = F.when(m == 0, whole).when(n == 0, F.lit(1)).when(narrow_l, F.lit(1)).when(narrow_r, whole).otherwise(F.ceil(n / side))
+    tiles_r = F.when(n == 0, whole).when(m == 0, F.lit(1)).when(narrow_l, whole).when(narrow_r, F.lit(1)).otherwise(F.ceil(m / side))
+    # No more tiles along a side than it has rows.
+    return table.filter(made > most).select(
+        *keys, F.least(tiles_l, F.greatest(n, F.lit(1))).cast("long").alias("tiles_l"),
+        F.least(tiles_r, F.greatest(m, F.lit(1))).cast("long").alias("tiles_r"), ((n > 0) & (m > 0)).alias("both"))
+
+
+def _dealt(side: DataFrame, hot: DataFrame, keys: Sequence[str], named: dict[str, str], own: str, other: str,
+           null_safe: bool) -> DataFrame:
+    """``side`` with a tile (``own`` and ``other`` coordinate) per row. Rows of a hot key are dealt
+    over the tiles of their side in turn, whatever they hold, and copied to those of the other side
+    if it has the key. Their tiles are checkpointed: they follow from the order of the rows,
+    which a task that runs again may not repeat."""
+    h = hot.withColumnsRenamed({k: f"{k}__h" for k in keys})
+    cond = None
+    for k in keys:
+        term = _eq(side[_q(named[k])], h[_q(f"{k}__h")], null_safe)
+        cond = term if cond is None else cond & term
+    found = side.join(h, cond, "left").drop(*[f"{k}__h" for k in keys])
+    grid = ["tiles_l", "tiles_r", "both"]
+    cold = (found.filter(F.col("both").isNull()).drop(*grid)
+            .withColumns({own: F.lit(0).cast("long"), other: F.lit(0).cast("long"), f"{own}__both": F.lit(False)}))
+    along, across = ("tiles_l", "tiles_r") if own == "__l" else ("tiles_r", "tiles_l")
+    heavy = (found.filter(F.col("both").isNotNull())
+             .withColumn(own, F.pmod(F.monotonically_increasing_id(), F.col(along))).checkpoint(eager=True))
+    copies = F.when(F.col("both"), F.sequence(F.lit(0).cast("long"), F.col(across) - 1)).otherwise(F.array(F.lit(0).cast("long")))
+    heavy = (heavy.withColumn(other, F.explode(copies)).withColumn(f"{own}__both", F.col("both")).drop(*grid))
+    return cold.unionByName(heavy)
 
 
 def full_outer_merge(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -63,76 +99,59 @@ def full_outer_merge(left: DataFrame, right: DataFrame, keys: Sequence[str],
     """Full outer equi-join on ``keys`` that keeps one copy of each key column
     (``coalesce(left.k, right.k)``); many-to-many matches yield every pair.
 
-    With ``hot`` (keys + salt count ``__s``, see ``hot_keys``), left rows of a hot
-    key spread over its salts by a hash of the row's content, and right rows of
-    that key are copied to every salt, so every pair still meets exactly once.
-    A hot key has left rows, so each right row of it matches in at least one salt;
-    its copies in salts that hold no left row come out unmatched and are dropped.
-    The result equals the unsalted join, while one key no longer lands in one task.
+    With ``hot`` (see ``hot_keys``), the pairs of a hot key form a grid: left rows are dealt
+    over its rows of tiles, right rows over its columns, each copied along the other side, so
+    every pair meets in exactly one tile and no task holds more than a few tiles. All rows of a
+    key that both sides have match, so copies in tiles without a partner are dropped.
+    The result equals the plain join.
     """
     lk = {k: f"{k}__l" for k in keys}
     rk = {k: f"{k}__r" for k in keys}
     a = left.withColumnsRenamed(lk)
     b = right.withColumnsRenamed(rk)
+    if hot is not None:
+        a = _dealt(a, hot, keys, lk, "__l", "__r", null_safe)
+        b = _dealt(b, hot, keys, rk, "__r", "__l", null_safe).withColumnsRenamed({"__l": "__l2", "__r": "__r2"})
     cond = None
     for k in keys:
         term = _eq(a[_q(lk[k])], b[_q(rk[k])], null_safe)
         cond = term if cond is None else cond & term
     if hot is not None:
-        h = F.broadcast(hot.withColumnsRenamed({k: f"{k}__h" for k in keys}))
-        hcond_a = None
-        hcond_b = None
-        for k in keys:
-            ta = _eq(a[_q(lk[k])], h[_q(f"{k}__h")], null_safe)
-            tb = _eq(b[_q(rk[k])], h[_q(f"{k}__h")], null_safe)
-            hcond_a = ta if hcond_a is None else hcond_a & ta
-            hcond_b = tb if hcond_b is None else hcond_b & tb
-        row_hash = F.xxhash64(*[F.col(_q(c)) for c in a.columns])
-        a = (a.join(h, hcond_a, "left")
-             .withColumn("__salt_l", F.when(F.col("__s").isNull(), F.lit(0))
-                         .otherwise(F.pmod(row_hash, F.col("__s").cast("long")).cast("int")))
-             .drop(*[f"{k}__h" for k in keys], "__s"))
-        b = (b.join(h, hcond_b, "left")
-             .withColumn("__hot_r", F.col("__s").isNotNull())
-             .withColumn("__salt_r", F.explode(
-                 F.when(F.col("__s").isNull(), F.array(F.lit(0)))
-                 .otherwise(F.sequence(F.lit(0), F.col("__s") - 1))))
-             .drop(*[f"{k}__h" for k in keys], "__s"))
-        cond = cond & (a["__salt_l"] == b["__salt_r"])
+        cond = cond & (a["__l"] == b["__l2"]) & (a["__r"] == b["__r2"])
     joined = a.join(b, cond, "full")
     if hot is not None:
-        joined = joined.filter(~(F.coalesce(F.col("__hot_r"), F.lit(False)) & F.col("__salt_l").isNull()))
+        alone_l = F.col("__l__both") & F.col("__l2").isNull()
+        alone_r = F.col("__r__both") & F.col("__l").isNull()
+        joined = joined.filter(~F.coalesce(alone_l, F.lit(False)) & ~F.coalesce(alone_r, F.lit(False)))
+    dealt = ("__l", "__r", "__l2", "__r2", "__l__both", "__r__both")
     rest = [c for c in joined.columns
-            if c not in lk.values() and c not in rk.values()
-            and c not in ("__salt_l", "__salt_r", "__hot_r")]
+            if c not in lk.values() and c not in rk.values() and c not in dealt]
     return joined.select(
         *[F.coalesce(F.col(_q(lk[k])), F.col(_q(rk[k]))).alias(k) for k in keys],
         *[F.col(_q(c)) for c in rest])
 
 
-def collect_hot_keys(frames: Sequence[DataFrame], keys: Sequence[str], skew_rows: int,
-                     max_keys: int = 1000, max_salts: int = 4096) -> dict[int, DataFrame | None]:
-    """For each join step of a left-deep merge, the hot keys of its left side with
-    their salt counts, or None when no key reaches ``skew_rows``.
+def hot_key_tables(frames: Sequence[DataFrame], keys: Sequence[str], most: int) -> dict[int, DataFrame | None]:
+    """For each join step of a left-deep merge the hot keys with their grids, or None where no key
+    makes more than ``most`` rows.
 
-    One job: a key-only aggregate over all inputs, then at most ``max_keys`` rows
-    reach the driver. The hot lists are rebuilt as small DataFrames, so their
-    broadcast is bounded by ``max_keys`` rows.
+    One key-only aggregate over all inputs; the heavy keys stay a (checkpointed) table of at
+    most input rows / sqrt(``most``) rows, of which only the number per step reaches the driver.
     """
-    spark = frames[0].sparkSession
+    ensure_checkpoint_dir(frames[0].sparkSession)
     counts = key_counts(frames, keys)
-    steps = list(range(1, len(frames)))
-    lefts = [_left_rows(st).alias(f"__l{st}") for st in steps]
-    heaviest = F.greatest(*[F.col(f"__l{st}") for st in steps]) if len(steps) > 1 else F.col("__l1")
-    heavy = (counts.select(*keys, *lefts).filter(heaviest >= skew_rows)
-             .orderBy(heaviest.desc()).limit(max_keys).collect())
-    key_fields = [frames[0].schema[k] for k in keys]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields) + ", __s int"
+    steps = range(1, len(frames))
+    made = None
+    for st in steps:
+        n, m = _left_rows(st), F.coalesce(F.col(f"n{st}"), F.lit(0))
+        hot = F.greatest(n.cast("double") * m, n.cast("double"), m.cast("double")) > most
+        made = hot if made is None else made | hot
+    heavy = counts.filter(made).checkpoint(eager=True)
     out: dict[int, DataFrame | None] = {}
     for st in steps:
-        rows_ = [(*[r[k] for k in keys], min(-(-r[f"__l{st}"] // skew_rows), max_salts))
-                 for r in heavy if r[f"__l{st}"] >= skew_rows]
-        out[st] = spark.createDataFrame(rows_, schema) if rows_ else None
+        hot = hot_keys(heavy, keys, st, most)
+        n = hot.count()
+        out[st] = None if n == 0 else F.broadcast(hot) if n <= BROADCAST_KEYS else hot
     return out
 
 
@@ -143,8 +162,9 @@ def merge_indexes(frames: Sequence[DataFrame], keys: Sequence[str], null_safe: b
     earliest frame's non-null value wins (``coalesce(f0.c, f1.c, ...)``).
 
     With ``skew_rows``, per-key counts of every input are computed once (a
-    key-only aggregate) and each join step salts the keys whose left side
-    reaches ``skew_rows`` rows; steps without hot keys stay plain joins.
+    key-only aggregate) and each join step cuts the keys that make more than
+    ``skew_rows`` rows into tiles, whichever side they are heavy on and however
+    many there are; steps without such keys stay plain joins.
     """
     tagged = []
     owners: dict[str, list[int]] = {}
@@ -154,7 +174,7 @@ def merge_indexes(frames: Sequence[DataFrame], keys: Sequence[str], null_safe: b
             owners.setdefault(c, []).append(i)
         tagged.append(f.select(*[F.col(_q(k)) for k in keys],
                                *[F.col(_q(c)).alias(f"{c}__{i}") for c in others]))
-    hot = (collect_hot_keys(frames, keys, skew_rows)
+    hot = (hot_key_tables(frames, keys, skew_rows)
            if (skew_rows and null_safe and len(frames) > 1) else {})
     out = tagged[0]
     for step, t in enumerate(tagged[1:], start=1):

@@ -1,8 +1,8 @@
 """Keyed upserts on plain Parquet tables.
 
 Parquet tables accept no ``MERGE INTO``, so the merge is a full outer join of
-the target slice with the deduplicated batch, written back with dynamic
-partition overwrite (only the partitions the batch touches are rewritten).
+the target's rows with the deduplicated batch. Only the files that hold a key of
+the batch are read and rewritten; all others stay as they are.
 """
 
 from __future__ import annotations
@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.windows import dedup_latest
-
-# How the catalog lists the partition of null values.
+from quarry.sinks import swap
 
 
 def _q(name: str) -> str:
@@ -87,54 +86,68 @@ def upsert_into_table(spark: SparkSession, table: str, staging: DataFrame, keys:
                       order_desc: Sequence[str] = (), tiebreak: Sequence[str] = (),
                       drop_from_source: Sequence[str] = (),
                       version_col: str | None = None,
-                      cluster_by: Sequence[str] = ()) -> DataFrame:
-    """K11 against a catalog table partitioned by ``partition_col``.
-
-    Reads only the target partitions the batch touches (their list is small: one
-    value per day in the batch), merges, cuts the lineage with a reliable
-    checkpoint in the shared checkpoint folder (so a lost executor cannot re-read
-    half-overwritten files), then dynamic-overwrites exactly those partitions,
-    rows sorted by ``cluster_by`` inside each file (the table's clustering, so
-    row-group statistics prune later key lookups). Returns the merged slice.
-
-    With ``partition_col=None`` (an unpartitioned table) the whole target is
-    merged, written aside as a reliable checkpoint, and the table is replaced.
+                      cluster_by: Sequence[str] = (),
+                      batch_id: tuple[str, int] | None = None) -> dict[str, int | bool]:
+    """K11 against a Parquet catalog table, partitioned by ``partition_col`` or not at all.
+
+    Reads the key columns of the partitions the batch touches (their list is small: one
+    value per day in the batch), within the batch's key ranges, and finds the files that
+    hold one of its keys. Those files alone are merged; the result is written aside, rows
+    sorted by ``cluster_by`` inside each file (so that ranges stay narrow), and swapped in
+    file by file (``sinks.swap``): a run that is cut off is finished by the next one.
+
+    ``batch_id`` (stream, number) enters the batch in the table's ledger together with its
+    rows; a batch that the ledger already has is left out, so a replay inserts nothing,
+    not even rows with null keys. Returns what was done: ``files_rewritten`` and
+    ``files_kept`` of the touched partitions, and whether the batch was ``skipped``.
     """
-    if partition_col is None:
-        merged = merge_upsert(spark.table(table), staging, keys, update_cols, order_desc, tiebreak,
-                              drop_from_source, version_col)
-        merged = merged.select(*spark.table(table).columns).checkpoint(eager=True)
-        out = merged.sortWithinPartitions(*cluster_by) if cluster_by else merged
-        out.write.mode("overwrite").insertInto(table)
-        return merged
-    # The batch is read twice (its partition values, then the merge): keep it for
-    # the duration of the upsert instead of recomputing it from the source.
-    batch = staging.withColumn(partition_col, partition_expr).persist()
+    swap.recover(spark, table)
+    if batch_id:
+        last = swap.applied(spark, table, batch_id[0])
+        if last is not None and batch_id[1] <= last:
+            return {"files_rewritten": 0, "files_kept": 0, "skipped": True}
+    # The batch is read several times (partition values, key ranges, keys, merge): keep it
+    # for the duration of the upsert instead of recomputing it from the source.
+    batch = (staging if partition_col is None else staging.withColumn(partition_col, partition_expr)).persist()
     try:
-        return _upsert_batch(spark, table, batch, keys, update_cols, partition_col, order_desc,
-                             tiebreak, drop_from_source, version_col, cluster_by)
+        target = spark.table(table)
+        held = target.filter(_touched(batch, partition_col))
+        hits = _files_with_keys(held, batch, keys)
+        old = held.filter(F.col("_metadata.file_path").isin(hits)) if hits else target.filter(F.lit(False))
+        merged = merge_upsert(old.select(*[F.col(_q(c)) for c in target.columns]), batch, keys, update_cols,
+                              order_desc, tiebreak, drop_from_source, version_col)
+        out = merged.select(*[F.col(_q(c)).cast(target.schema[c].dataType) for c in target.columns])
+        order = [*([partition_col] if partition_col else []), *cluster_by]
+        writer = (out.sortWithinPartitions(*order) if cluster_by else out).write
+        staged = swap.staging(spark, table)
+        (writer.partitionBy(partition_col) if partition_col else writer).parquet(staged)
+        report = {"files_rewritten": len(hits), "files_kept": len(held.inputFiles()) - len(hits), "skipped": False}
+        swap.swap(spark, table, staged, hits, batch_id)
+        return report
     finally:
         batch.unpersist()
 
 
-def _upsert_batch(spark, table, batch, keys, update_cols, partition_col, order_desc, tiebreak,
-                  drop_from_source, version_col, cluster_by) -> DataFrame:
+def _touched(batch: DataFrame, partition_col: str | None):
+    """The partitions of the batch, by their typed values, never by the escaped names of the catalog."""
+    if partition_col is None:
+        return F.lit(True)
     parts = [r[0] for r in batch.select(partition_col).distinct().collect()]
-    target = spark.table(table)
-    # Partitions are chosen by their typed values, never by the escaped names of the catalog.
     values = [p for p in parts if p is not None]
-    in_slice = F.col(partition_col).isin(values) if values else F.lit(False)
-    if None in parts:  # the null (default) partition
-        in_slice = in_slice | F.col(partition_col).isNull()
-    merged = merge_upsert(target.filter(in_slice), batch, keys, update_cols, order_desc, tiebreak, drop_from_source,
-                          version_col)
-    # Lineage cut: the files about to be replaced are no longer read after this.
-    merged = merged.select(*target.columns).checkpoint(eager=True)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out = merged.sortWithinPartitions(partition_col, *cluster_by) if cluster_by else merged
-        out.write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    return merged
+    inside = F.col(_q(partition_col)).isin(values) if values else F.lit(False)
+    return inside | F.col(_q(partition_col)).isNull() if None in parts else inside
+
+
+def _files_with_keys(held: DataFrame, batch: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The files of ``held`` that hold a key of the batch. The key ranges reach the scan, which
+    leaves out row groups by their statistics; only key columns are read."""
+    bounds = batch.agg(*[f(_q(k)).alias(f"{n}{i}") for i, k in enumerate(keys) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    near = held
+    for i, k in enumerate(keys):
+        if bounds[f"lo{i}"] is None:
+            return []
+        near = near.filter(F.col(_q(k)).between(F.lit(bounds[f"lo{i}"]), F.lit(bounds[f"hi{i}"])))
+    asked = batch.select(*[F.col(_q(k)) for k in keys]).distinct()
+    found = (near.select(F.col("_metadata.file_path").alias("__file"), *[F.col(_q(k)) for k in keys])
+             .join(asked, list(keys), "left_semi"))
+    return [r[0] for r in found.select("__file").distinct().collect()]  # files of the touched partitions

@@ -16,6 +16,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from quarry.functions.scalars import (coerce_numeric, fill_defaults, parse_timestamp_utc,
                                       to_bool_default_false)
 from quarry.operators.aggregates import weekly_utilization
+from quarry.operators.documents import Either, Flag, Many, Num, Rec, Text, assert_documents, judged, read_documents
 from quarry.operators.filters import in_range, rolling_days
 from quarry.operators.quality import Rule
 from quarry.operators.upsert import merge_upsert
@@ -67,6 +68,20 @@ COUNTRY_RE = r"^US$"
 NETWORK_ID_RE = r"^citi-bike-nyc$"
 NETWORK_NAME_RE = r"Citi Bike"
 
+# What a landed snapshot must look like. ``format`` keywords are not enforced,
+# as in the source.
+EXTRA_SHAPE = Rec({"ebikes": Num(least=0), "has_ebikes": Flag(), "last_updated": Num(least=MIN_EPOCH),
+                   "uid": Either((Num(least=1), Text(UID_HEX36), Text(UID_DIGITS)))})
+STATION_SHAPE = Rec(
+    {"empty_slots": Num(least=0), "free_bikes": Num(least=0), "id": Text(shortest=1), "latitude": Num(*LAT_RANGE),
+     "longitude": Num(*LON_RANGE), "name": Text(shortest=1)},
+    optional={"extra": EXTRA_SHAPE, "timestamp": Text()})
+LOCATION_SHAPE = Rec({"city": Text(CITY_RE), "country": Text(COUNTRY_RE), "latitude": Num(*LAT_RANGE),
+                      "longitude": Num(*LON_RANGE)})
+SNAPSHOT_SHAPE = Rec({"network": Rec(
+    {"company": Many(Text(), fewest=1), "href": Text(), "id": Text(NETWORK_ID_RE), "location": LOCATION_SHAPE,
+     "name": Text(NETWORK_NAME_RE), "stations": Many(STATION_SHAPE, fewest=1)})})
+
 # Null defaults of the silver layer (H-7: missing counts become 0).
 SILVER_DEFAULTS = {"free_bikes": 0, "empty_slots": 0, "ebikes": 0, "latitude": 0.0, "longitude": 0.0}
 
@@ -170,6 +185,23 @@ def type_silver(flat: DataFrame, snapshot_time: datetime | None = None) -> DataF
     return typed.withColumn("snapshot_time", F.lit(snapshot_time).cast("timestamp"))
 
 
+def gate(docs: DataFrame, quarantine: bool = False) -> DataFrame:
+    """Q1: the typed snapshots of ``read_documents`` rows that fit ``SNAPSHOT_SHAPE``, network,
+    location and every station. A document that doesn't fails the batch; with ``quarantine`` it
+    is left out as a whole (:func:`rejected` lists those)."""
+    tagged = judged(docs, SNAPSHOT_SHAPE)
+    if quarantine:
+        tagged = tagged.filter(F.size("violations") == 0)
+    else:
+        assert_documents(tagged, SNAPSHOT_SHAPE)
+    return tagged.select(F.from_json("value", SNAPSHOT_SCHEMA).alias("d")).select("d.*")
+
+
+def rejected(docs: DataFrame) -> DataFrame:
+    """Q1: (value, violations) of the documents that the gate leaves out."""
+    return judged(docs, SNAPSHOT_SHAPE).filter(F.size("violations") > 0).select("value", "violations")
+
+
 def silver_from_documents(docs: DataFrame, snapshot_time: datetime) -> DataFrame:
     return type_silver(flatten_stations(docs), snapshot_time)
 
@@ -202,18 +234,13 @@ def run(spark: SparkSession, raw_path: str, master_table: str, gold_table: str,
     is processed (S3). ``silver_dir``: the typed snapshot is also written as the
     'latest' dataset (K2) and appended to a run-stamped history (K3).
     """
-    from quarry.operators.quality import assert_valid, split_valid
     from quarry.operators.upsert import upsert_into_table
     from quarry.sinks.tables import (append_history, create_table_if_missing, replace_table,
                                      write_latest_parquet)
-    from quarry.sources.files import latest_file, read_json_documents
+    from quarry.sources.files import latest_file
 
     source = latest_file(spark, raw_path, ".json") if latest_only else raw_path
-    docs = read_json_documents(spark, source, SNAPSHOT_SCHEMA, multi_line=multi_line)
-    if quarantine:
-        docs, _ = split_valid(docs, document_rules())
-    else:
-        assert_valid(docs, document_rules())
+    docs = gate(read_documents(spark, source, multi_line), quarantine)
     staging = silver_from_documents(docs, snapshot_time)
     if silver_dir:
         write_latest_parquet(staging, f"{silver_dir}/latest")

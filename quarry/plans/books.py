@@ -22,6 +22,7 @@ from quarry.operators import projections as P
 from quarry.operators import quality as Q
 from quarry.operators import windows as W
 from quarry.sources import preamble as PR
+from quarry.sources.records import records
 
 KEYS = ("Title", "Author")
 
@@ -80,40 +81,31 @@ def q(c: str) -> str:
 
 # --- per-index cleaning ------------------------------------------------------------------
 
-def read_indexes(spark: SparkSession, paths: Sequence[str], quoted_newlines: bool = True) -> list[DataFrame]:
+def read_indexes(spark: SparkSession, paths: Sequence[str], quoted_newlines: bool = True,
+                 split_bytes: int | None = None) -> list[DataFrame]:
     """S4 for each yearly file: header discovery, preamble and blank lines dropped,
     parsed under its own header (only that file's columns). One frame per path.
 
-    ``quoted_newlines=True`` (the source's behaviour): the kept lines of each file
-    are written back in order under the shared checkpoint folder (one task per
-    file) and parsed by the multi-line CSV reader, so quoted fields spanning lines
-    survive. ``False``: lines are parsed one by one (``from_csv``), which keeps
-    huge files splittable end to end.
+    Files stay splittable end to end. ``quoted_newlines=True`` (the source's behaviour)
+    puts quoted fields that span lines together, also across splits; ``False`` saves that
+    step where it is known that no field does.
     """
     from quarry.session import shared_path
-    from quarry.sources.files import read_csv_text
 
-    kept = PR.strip_preamble(PR.lines_from_files(spark, list(paths)))
-    layouts = PR.csv_layouts(kept) if not quoted_newlines else None
-    files = ([r["file"] for r in kept.filter("is_header").select("file").distinct().collect()]
-             if quoted_newlines else list(layouts))
-    resolved = []
+    kept = PR.strip_preamble(PR.lines_from_files(spark, list(paths), split_bytes))
+    # Written once, read by every step that follows (header lines, one frame per file).
+    landed = shared_path(spark, f"book-records-{uuid.uuid4().hex}")
+    (records(kept) if quoted_newlines else kept).write.parquet(landed)
+    layouts = PR.csv_layouts(spark.read.parquet(landed))
+    out = []
     for p in paths:
         name = p.rstrip("/").split("/")[-1]
-        hits = [f for f in files if f.endswith("/" + name) or f == p]
+        hits = [f for f in layouts if f.endswith("/" + name) or f == p]
         if not hits:
             raise ValueError(f"no header line found in {p}")
-        resolved.append(hits[0])
-    if not quoted_newlines:
-        return [layouts[f][1].filter(F.col("file") == f).select(*[F.col(q(c)) for c in layouts[f][0]])
-                for f in resolved]
-    # One output directory per source file (a small literal map file -> index).
-    index = F.create_map(*[F.lit(x) for i, f in enumerate(resolved) for x in (f, i)])
-    out = shared_path(spark, f"book-indexes-{uuid.uuid4().hex}")
-    (kept.filter(F.col("file").isin(resolved)).withColumn("idx", F.element_at(index, F.col("file")))
-     .repartition("idx").sortWithinPartitions("idx", "pos")
-     .select("idx", "line").write.partitionBy("idx").text(out))
-    return [read_csv_text(spark, f"{out}/idx={i}", multi_line=True) for i in range(len(resolved))]
+        names, rows = layouts[hits[0]]
+        out.append(rows.filter(F.col("file") == hits[0]).select(*[F.col(q(c)) for c in names]))
+    return out
 
 
 def clean_index(df: DataFrame) -> DataFrame:
@@ -244,7 +236,8 @@ def run(spark: SparkSession, index_paths: Sequence[str], merged_csv: str,
 
     merged_back = read_csv_text(spark, merged_csv)
     dim = ban_status_dimension(merged_back)
-    recreate_dimension_and_fact(dim, dim_table, fact_table(merged_back), fact_table_name)
+    recreate_dimension_and_fact(dim, dim_table, fact_table(merged_back), fact_table_name,
+                                foreign_key=("ban_status", "status"), primary_key=["id"])
     return dashboard(merged_back.cache())
 
 

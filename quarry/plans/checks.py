@@ -25,6 +25,7 @@ from quarry.operators import quality as Q
 from quarry.operators import stats as M
 from quarry.operators import upsert as U
 from quarry.operators import windows as W
+from quarry.operators.documents import judged, read_documents, rule_counts, rule_names
 from quarry.plans import bike
 from quarry.plans.views import STATION_STATUS_SQL, station_status, table
 from quarry.sources import links as L
@@ -126,6 +127,52 @@ def q_upsert_merge(spark, sf):
                           drop_from_source=["snapshot_time"])
 
 
+_BATCHES = ("event_type <> 'error'", "event_type = 'error' AND network_id = 'net-3'",
+            "event_type = 'error' AND network_id <> 'net-3'")
+
+
+def _batches_sql(batches, last: str) -> str:
+    """The master after all batches: a key's row comes from its first batch, the six mutable columns
+    from the batch that is ``last``; rows with a null station are inserted once a batch."""
+    parts = " UNION ALL ".join(f"""SELECT *, {i} AS b FROM (
+          SELECT *, row_number() OVER (PARTITION BY station_id, "timestamp" ORDER BY snapshot_time DESC, extra_uid DESC) AS rn
+          FROM status WHERE {when}) WHERE rn = 1""" for i, when in enumerate(batches))
+    cols = ", ".join(f'CASE WHEN f.station_id IS NULL THEN f."{c}" ELSE l."{c}" END AS "{c}"' if c in bike.UPDATED_COLUMNS
+                     else f'f."{c}" AS "{c}"' for c in bike.MASTER_COLUMNS)
+    return f"""
+d AS ({parts}),
+r AS (SELECT *, row_number() OVER (PARTITION BY station_id, "timestamp" ORDER BY b) AS up,
+             row_number() OVER (PARTITION BY station_id, "timestamp" ORDER BY {last}) AS down FROM d),
+m AS (SELECT {cols}, CASE WHEN f.station_id IS NULL THEN f.snapshot_time ELSE l.snapshot_time END AS snapshot_time
+      FROM r f LEFT JOIN r l ON l.station_id = f.station_id AND l."timestamp" = f."timestamp" AND l.down = 1
+      WHERE f.up = 1 OR f.station_id IS NULL)
+"""
+
+
+@query("upsert_files", _STATUS + "," + _batches_sql(_BATCHES, "b DESC") + f"""
+SELECT {_MASTER_COLS}, CAST("timestamp" AS DATE) AS ts_date, true AS kept_files FROM m
+""")
+def q_upsert_files(spark, sf):
+    """K11 by file: a load clustered by network, then two batches into its partitions, of which the
+    first touches one network's files only."""
+    from quarry.sinks.tables import create_table_if_missing
+
+    status = station_status(table(spark, sf, "events"))
+    status = status.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    name, base = f"upsert_master_{uuid.uuid4().hex[:12]}", _scratch(spark, "upsert_files")
+    ddl = ", ".join(f"{n} {t}" for n, t in bike.MASTER_FIELDS) + ", ts_date date"
+    create_table_if_missing(spark, name, ddl, partition_by=("ts_date",), location=base)
+    how = dict(order_desc=["snapshot_time"], tiebreak=["extra_uid"])
+    first = W.dedup_latest(status.filter(_BATCHES[0]), list(bike.MERGE_KEYS), **how)
+    (first.withColumn("ts_date", F.to_date("timestamp")).repartition(16, "network_id")
+     .select(*bike.MASTER_COLUMNS, "ts_date").write.insertInto(name))
+    reports = [U.upsert_into_table(spark, name, status.filter(b).drop("event_type"), bike.MERGE_KEYS, bike.UPDATED_COLUMNS,
+                                   "ts_date", F.to_date("timestamp"), drop_from_source=["snapshot_time"],
+                                   cluster_by=["station_id"], **how) for b in _BATCHES[1:]]
+    return spark.table(name).withColumns({"timestamp": F.col("timestamp").cast("timestamp_ntz"),
+                                          "kept_files": F.lit(reports[0]["files_kept"] > 0)})
+
+
 @query("insert_ignore", """
 SELECT DISTINCT o_custkey, 'customer ' || CAST(o_custkey AS VARCHAR) AS label
 FROM orders n
@@ -387,22 +434,62 @@ def q_header_discovery(spark, sf):
     return PR.strip_preamble(lines, HEADER_PATTERNS)
 
 
-_ANCHOR_SQL = L.ANCHOR_RE.replace("'", "''")
-_DECODED = "html"
-for _ent, _ch in L.HTML_ENTITIES:
-    _DECODED = f"replace({_DECODED}, '{_ent}', '{_ch.replace(chr(39), chr(39) * 2)}')"
+def _quoted_csv(docs: DataFrame, path: str, files: int = 4) -> None:
+    """Lands documents as CSV files, each with a preamble (holding a stray quote), a header and the
+    documents' texts as quoted fields that span lines."""
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"\r", " ")
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    rows = docs.select(F.pmod("doc_id", F.lit(files)).alias("f"), F.col("doc_id").alias("at"), F.lit(0).alias("k"),
+                       F.concat_ws(",", F.col("doc_id").cast("string"), quoted, F.lit('5" pipe'), "lang").alias("value"))
+    head = (docs.sparkSession.range(files).select(F.col("id").alias("f"), F.lit(None).cast("long").alias("at"), F.posexplode(F.array(
+        F.lit('Index of "texts, not parsed'), F.lit(""), F.lit("doc_id,body,size,lang"))).alias("k", "value")))
+    (head.unionByName(rows).repartition(files, "f").sortWithinPartitions("f", F.col("at").asc_nulls_first(), "k")
+     .select("f", "value").write.partitionBy("f").text(path))
+
+
+@query("quoted_records", r"""
+WITH d AS (
+  SELECT doc_id, lang, string_split(regexp_replace(coalesce(text, ''), '\r', ' ', 'g'), chr(10)) AS ls FROM documents),
+k AS (
+  SELECT doc_id, lang, [ls[i] FOR i IN range(1, len(ls) + 1)
+                        IF i = 1 OR i = len(ls) OR regexp_matches(ls[i], '\S')] AS kept FROM d)
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, len(kept) AS n_lines, md5(array_to_string(kept, chr(10))) AS body_md5,
+       '5" pipe' AS size, lang
+FROM k
+""")
+def q_quoted_records(spark, sf):
+    """Files of many splits, records across lines and splits, parsed without a task per file."""
+    from quarry.sources.records import records
+
+    base = _scratch(spark, "quoted_records")
+    _quoted_csv(table(spark, sf, "documents"), base)
+    kept = PR.strip_preamble(PR.lines_from_files(spark, base, split_bytes=1 << 18), ["doc_id,body"])
+    rows = PR.parse_csv_lines(records(kept))
+    body = F.coalesce("body", F.lit(""))
+    return rows.select("doc_id", F.size(F.split(body, "\n", -1)).cast("long").alias("n_lines"),
+                       F.md5(body).alias("body_md5"), "size", "lang")
+
+
+# Ways to write a plain anchor, and what becomes of its href; pages take them in turn.
+_ANCHOR = '<a href="([^"]*)">'
+_SPELLINGS = ['<a href="$1">', "<A HREF='$1'>", "<a href=$1>", '<a\n href = "$1" >', '<!-- <a href="/no">de</a> --><a href="$1">',
+              '<a data-href="/no" href="$1"><b>', '<a href="&#x2F;.&#47;$1">', "<a title='>' href=\"it's$1\">",
+              '<script>"<a href=\'/no\'>de</a>"</script><a href="$1">']
 
 
 @query("anchor_link", f"""
-SELECT page_id, url, hrefs[list_position(texts, 'de')] AS href FROM (
-  SELECT page_id, url,
-         regexp_extract_all({_DECODED}, '{_ANCHOR_SQL}', 1) AS hrefs,
-         regexp_extract_all({_DECODED}, '{_ANCHOR_SQL}', 2) AS texts
-  FROM pages)
-WHERE coalesce(list_position(texts, 'de'), 0) > 0
+WITH p AS (SELECT page_id, url, page_id % {len(_SPELLINGS)} AS k, string_split(html, '<a href="')[2:] AS parts FROM pages),
+a AS (SELECT page_id, url, k, [x FOR x IN parts IF starts_with(substr(x, strpos(x, '"') + 1), '>de</a>')] AS hits FROM p)
+SELECT page_id, url, CASE k WHEN 6 THEN '/./' WHEN 7 THEN 'it''s' ELSE '' END
+                     || substr(hits[1], 1, strpos(hits[1], '"') - 1) AS href
+FROM a WHERE len(hits) > 0
 """)
 def q_anchor_link(spark, sf):
-    return L.download_links(table(spark, sf, "pages"), text="de")
+    pages = table(spark, sf, "pages")
+    html = F.col("html")
+    for k, spelling in enumerate(_SPELLINGS):
+        html = F.when(F.col("page_id") % len(_SPELLINGS) == k, F.regexp_replace("html", _ANCHOR, spelling)).otherwise(html)
+    return L.download_links(pages.withColumn("html", html), text="de")
 
 
 @query("url_rewrite", """
@@ -1105,6 +1192,63 @@ def q_stream_ingest(spark, sf):
                             "snapshot_time": F.col("snapshot_time").cast("timestamp_ntz")})
 
 
+_LANDED = ("event_type IN ('view', 'click', 'signup')", "event_type NOT IN ('view', 'click', 'signup')")
+
+
+@query("stream_two_batches", _STATUS + "," + _batches_sql(_LANDED, "snapshot_time DESC, b DESC") + f"""
+SELECT {_MASTER_COLS}, snapshot_time, CAST("timestamp" AS DATE) AS ts_date FROM m
+""")
+def q_stream_two_batches(spark, sf):
+    """ST1: two landings, two runs of the stream, then both batches once more, as after a failure:
+    the ledger leaves them out."""
+    from quarry.streaming import snapshot_ingest as ST
+
+    base, name = _scratch(spark, "stream_two_batches"), f"stream_master_{uuid.uuid4().hex[:12]}"
+    status = station_status(table(spark, sf, "events"))
+    for landed in _LANDED:
+        docs = ST.documents_from_status(status.filter(landed))
+        docs.write.mode("append").text(f"{base}/landing")
+        q = ST.start(spark, f"{base}/landing", name, checkpoint=f"{base}/checkpoint", table_location=f"{base}/master")
+        q.awaitTermination()
+    again = (spark.read.schema(ST.STREAM_SCHEMA).json(f"{base}/landing")
+             .select("network", ST.snapshot_time_of_document().alias("snapshot_time")))
+    assert all(ST.merge_batch(spark, again, name, (q.id, n))["skipped"] for n in (0, 1))
+    return spark.table(name).withColumns({"timestamp": F.col("timestamp").cast("timestamp_ntz"),
+                                          "snapshot_time": F.col("snapshot_time").cast("timestamp_ntz")})
+
+
+@query("dimension_fact_swap", """
+SELECT 'after the refused pair' AS state, c_custkey, c_mktsegment, 'first ' || c_mktsegment AS description FROM customer
+UNION ALL
+SELECT 'after the second pair', c_custkey, c_mktsegment, 'second ' || c_mktsegment FROM customer WHERE c_acctbal >= 0
+""")
+def q_dimension_fact_swap(spark, sf):
+    """K8: a pair, one that breaks the foreign key and changes nothing, and a second sound one."""
+    from quarry.sinks.tables import recreate_dimension_and_fact
+
+    cust = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    names = [f"swap_{t}_{uuid.uuid4().hex[:12]}" for t in ("segment", "customer")]
+
+    def pair(label, dim, fact):
+        dim = A.distinct_values(dim, "c_mktsegment").withColumn(
+            "description", F.concat(F.lit(label + " "), F.col("c_mktsegment")))
+        recreate_dimension_and_fact(dim, names[0], fact, names[1], foreign_key=("c_mktsegment", "c_mktsegment"),
+                                    primary_key=["c_custkey"], not_null=["c_mktsegment"], max_length={"c_mktsegment": 12})
+
+    def held(state):
+        kept = spark.table(names[1]).join(spark.table(names[0]), "c_mktsegment")
+        return kept.select(F.lit(state).alias("state"), "c_custkey", "c_mktsegment", "description")
+    pair("first", cust, cust)
+    try:
+        pair("refused", cust.filter("c_mktsegment <> 'BUILDING'"), cust)
+        raise AssertionError("the broken pair was taken")
+    except ValueError:
+        path = _scratch(spark, "dimension_fact_swap")
+        held("after the refused pair").write.parquet(path)
+    pair("second", cust, cust.filter("c_acctbal >= 0"))
+    return spark.read.parquet(path).unionByName(held("after the second pair"))
+
+
 @query("table_sinks", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 'replace' AS batch FROM orders
 UNION ALL
@@ -1160,6 +1304,96 @@ def q_silver_validation(spark, sf):
     return counts.unionByName(tail)
 
 
+# A sound second station and network of every landed document, and faults: (text, its replacement,
+# the rule that the change breaks, if any). A document's fault follows from its event's value.
+_PROBE = ('{"empty_slots":12,"extra":{"uid":"77","ebikes":13,"has_ebikes":true,"last_updated":1700000001},"free_bikes":11,'
+          '"id":"probe","latitude":40.75,"longitude":-73.95,"name":"probe","timestamp":"2024-05-01T10:00:00Z"}')
+_NETWORK = ('{"network":{"company":["op"],"href":"http://x","id":"citi-bike-nyc","location":{"city":"New York, NY","country":"US",'
+            '"latitude":40.71,"longitude":-74.01},"name":"Citi Bike","stations":[')
+_ST, _LOC = "network.stations[]", "network.location"
+_FAULTS = [
+    ("", "", None),
+    ('"empty_slots":12,"extra":{"uid":"77","ebikes":13', '"empty_slots":-1,"extra":{"uid":"77","ebikes":13', f"{_ST}.empty_slots least"),
+    ('"empty_slots":12,"extra":{"uid":"77","ebikes":13', '"empty_slots":"12","extra":{"uid":"77","ebikes":13', f"{_ST}.empty_slots type"),
+    ('"free_bikes":11,"id":"probe"', '"free_bikes":-5,"id":"probe"', f"{_ST}.free_bikes least"),
+    ('"free_bikes":11,"id":"probe"', '"id":"probe"', f"{_ST}.free_bikes required"),
+    ('"id":"probe"', '"id":""', f"{_ST}.id shortest"),
+    ('"id":"probe"', '"id":7', f"{_ST}.id type"),
+    ('"latitude":40.75,"longitude":-73.95', '"latitude":99.0,"longitude":-73.95', f"{_ST}.latitude most"),
+    ('"latitude":40.75,"longitude":-73.95', '"latitude":4,"longitude":-73.95', f"{_ST}.latitude least"),
+    ('"longitude":-73.95', '"longitude":-73.6', f"{_ST}.longitude most"),
+    ('"longitude":-73.95', '"longitude":"-73.95"', f"{_ST}.longitude type"),
+    ('"name":"probe"', '"name":null', f"{_ST}.name type"),
+    ('"2024-05-01T10:00:00Z"', "5", f"{_ST}.timestamp type"),
+    ('"ebikes":13', '"ebikes":-1', f"{_ST}.extra.ebikes least"),
+    ('"has_ebikes":true,"last_updated":1700000001', '"has_ebikes":1,"last_updated":1700000001', f"{_ST}.extra.has_ebikes type"),
+    ("1700000001", "999999999", f"{_ST}.extra.last_updated least"),
+    ('"uid":"77","ebikes":13', '"uid":"x7","ebikes":13', f"{_ST}.extra.uid fits"),
+    ('"uid":"77","ebikes":13', '"uid":0,"ebikes":13', f"{_ST}.extra.uid fits"),
+    ('"uid":"77","ebikes":13', '"uid":5,"ebikes":13', None),
+    ('"uid":"77","ebikes":13', '"ebikes":13', f"{_ST}.extra.uid required"),
+    ("New York, NY", "Boston", f"{_LOC}.city pattern"),
+    ('"country":"US"', '"country":"USA"', f"{_LOC}.country pattern"),
+    ('"latitude":40.71,"longitude":-74.01}', '"latitude":30,"longitude":-74.01}', f"{_LOC}.latitude least"),
+    ('"longitude":-74.01}', '"longitude":true}', f"{_LOC}.longitude type"),
+    ("citi-bike-nyc", "citi-bike", "network.id pattern"),
+    ("Citi Bike", "Bike", "network.name pattern"),
+    ('"href":"http://x",', "", "network.href required"),
+    ('["op"]', "[]", "network.company fewest"),
+    ('["op"]', "[5]", "network.company[] type"),
+    ('"latitude":40.75,"longitude":-73.95', '"latitude":4.075e1,"longitude":-73.95', None),
+    ('"free_bikes":11,"id":"probe"', '"free_bikes":11.5,"id":"probe"', None),
+    # From here on nothing below is judged.
+    ('"stations":[', '"station":[', "network.stations required"),
+    ('{"network":', '{"net":', "network required"),
+    ('{"network":', '{network:', "json"),
+]
+_FAULT_SQL = f"CAST(floor(value) AS BIGINT) % {len(_FAULTS)}"
+
+
+def _snapshot_rules_sql() -> str:
+    broken = [f"SELECT event_id, '{rule}' AS rule FROM e WHERE k = {i}" for i, (_, _, rule) in enumerate(_FAULTS) if rule]
+    own = {f"{_ST}.id required": "station_id IS NULL", f"{_ST}.latitude most": "latitude > 40.9",
+           f"{_ST}.longitude least": "longitude < -74.3", f"{_ST}.empty_slots required": "empty_slots IS NULL",
+           f"{_ST}.extra.ebikes required": "ebikes IS NULL", f"{_ST}.extra.has_ebikes required": "has_ebikes IS NULL"}
+    broken += [f"SELECT event_id, '{rule}' AS rule FROM e WHERE {when} AND k < {len(_FAULTS) - 3}" for rule, when in own.items()]
+    names = ", ".join(f"('{n}')" for n in ["json", *rule_names(bike.SNAPSHOT_SHAPE)])
+    return f"""
+{_STATUS},
+e AS (SELECT s.*, e.event_id, {_FAULT_SQL.replace("value", "e.value")} AS k
+      FROM status s JOIN events e ON CAST(e.event_id AS VARCHAR) = s.extra_uid),
+b AS ({" UNION ALL ".join(broken)}),
+n(rule) AS (VALUES {names})
+SELECT n.rule, count(b.event_id) AS violations, count(DISTINCT b.event_id) AS documents
+FROM n LEFT JOIN b ON n.rule = b.rule GROUP BY n.rule
+"""
+
+
+def _snapshots_with_faults(events: DataFrame) -> DataFrame:
+    status = station_status(events)
+    station = F.to_json(F.struct(
+        "empty_slots", F.struct(F.col("extra_uid").alias("uid"), "ebikes", "has_ebikes",
+                                F.lit(1700000000).alias("last_updated")).alias("extra"),
+        "free_bikes", F.col("station_id").alias("id"), "latitude", "longitude", F.lit("st").alias("name"),
+        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp")))
+    text = F.concat(F.lit(_NETWORK), station, F.lit("," + _PROBE + "]}}"))
+    fault = events.select(F.col("event_id").cast("string").alias("extra_uid"), F.expr(_FAULT_SQL).alias("fault"))
+    whole = status.join(fault, "extra_uid").select("fault", text.alias("text"))
+    value = F.col("text")
+    for i, (old, new, _) in enumerate(_FAULTS):
+        if old:
+            value = F.when(F.col("fault") == i, F.replace("text", F.lit(old), F.lit(new))).otherwise(value)
+    return whole.select(value.alias("value"))
+
+
+@query("snapshot_rules", _snapshot_rules_sql())
+def q_snapshot_rules(spark, sf):
+    """Q1: every rule of the snapshot shape over landed documents of two stations each."""
+    base = _scratch(spark, "snapshot_rules")
+    _snapshots_with_faults(table(spark, sf, "events")).write.text(base)
+    return rule_counts(judged(read_documents(spark, base), bike.SNAPSHOT_SHAPE), bike.SNAPSHOT_SHAPE)
+
+
 # --- BOOK: whole index job (clean each index, merge, normalise) ---------------------------
 
 _BOOK_WINDOWS = [(None, "1997-01-01"), ("1997-01-01", "1999-01-01"), ("1999-01-01", None)]

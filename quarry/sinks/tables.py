@@ -7,6 +7,7 @@ files behind.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -70,11 +71,52 @@ def create_table_if_missing(spark: SparkSession, table: str, schema_ddl: str,
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema_ddl}) USING parquet{part}{loc}")
 
 
-def recreate_dimension_and_fact(dimension: DataFrame, dim_table: str,
-                                fact: DataFrame, fact_table: str) -> None:
-    """K8: replace dimension first, then the fact that references it."""
-    replace_table(dimension, dim_table)
-    replace_table(fact, fact_table)
+def recreate_dimension_and_fact(dimension: DataFrame, dim_table: str, fact: DataFrame, fact_table: str,
+                                foreign_key: tuple[str, str] | None = None, primary_key: Sequence[str] = (),
+                                not_null: Sequence[str] = (), max_length: dict[str, int] | None = None,
+                                folder: str | None = None) -> None:
+    """K8: replaces a dimension and the fact that references it, both or neither.
+
+    Both are written aside, under ``folder`` (the shared folder by default), and the
+    constraints are checked on what was written (Q7): a violation raises and the old pair
+    stays. Then the old fact goes out of the way first and the old dimension second,
+    the new dimension and the new fact take their names, and the old pair is dropped.
+    A failure in between puts the old pair back.
+    """
+    from quarry.operators.quality import constraint_violations
+    from quarry.session import shared_path
+
+    spark, tag = dimension.sparkSession, uuid.uuid4().hex[:12]
+    base = folder or shared_path(spark, "tables")
+    paths = {t: f"{base}/{t.replace('.', '_')}-{tag}" for t in (dim_table, fact_table)}
+    dimension.write.parquet(paths[dim_table])
+    fact.write.parquet(paths[fact_table])
+    new_dim, new_fact = (spark.read.parquet(paths[t]) for t in (dim_table, fact_table))
+    if foreign_key or primary_key or not_null or max_length:
+        report = constraint_violations(
+            new_fact, primary_key=primary_key, not_null=not_null, max_length=max_length,
+            foreign_keys=[(foreign_key[0], new_dim, foreign_key[1])] if foreign_key else [])
+        bad = report.filter("violations > 0").collect()  # one row a constraint
+        if bad:
+            raise ValueError("constraints violated: " + ", ".join(
+                f"{r['check']}({r['column_name']})={r['violations']}" for r in bad))
+    aside, made = {}, []
+    try:
+        for t in (fact_table, dim_table):
+            if spark.catalog.tableExists(t):
+                spark.sql(f"ALTER TABLE {t} RENAME TO {t}__old_{tag}")
+                aside[t] = f"{t}__old_{tag}"
+        for t in (dim_table, fact_table):
+            spark.catalog.createTable(t, path=paths[t], source="parquet")
+            made.append(t)
+    except Exception:
+        for t in made:
+            spark.sql(f"DROP TABLE {t}")
+        for t, old in reversed(aside.items()):
+            spark.sql(f"ALTER TABLE {old} RENAME TO {t}")
+        raise
+    for old in aside.values():
+        spark.sql(f"DROP TABLE {old}")
 
 
 def append_batched(df: DataFrame, table: str | None = None, jdbc_url: str | None = None,

@@ -19,14 +19,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.filters import non_blank
+from quarry.sources.records import parse_records
 
 # The two header spellings of the yearly book indexes, in priority order.
 BOOK_HEADERS = ("Author,Title", "Title,Author")
 
 
-def lines_from_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def lines_from_files(spark: SparkSession, path: str | Sequence[str],
+                     split_bytes: int | None = None) -> DataFrame:
     """Lines of text files with a per-file order key ``pos`` (block start, then the
-    position inside the split). Files stay splittable."""
+    position inside the split). Files stay splittable; ``split_bytes`` reads them in
+    splits of that size (through a session of its own) instead of the session's."""
+    if split_bytes:
+        own = spark.newSession()
+        for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.shuffle.partitions"):
+            own.conf.set(key, spark.conf.get(key))
+        own.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+        own.conf.set("spark.sql.files.openCostInBytes", "0")
+        spark = own
     df = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("__blk"),
@@ -70,10 +80,9 @@ def strip_preamble(lines: DataFrame, patterns: Sequence[str] = BOOK_HEADERS) ->
 def csv_layouts(kept: DataFrame) -> dict[str, tuple[list[str], DataFrame]]:
     """Per file: its column names and its parsed rows ``(file, pos, <columns>)``.
 
-    Header lines are one per file, so only (file, header) pairs reach the driver
-    to build each layout's schema; data lines are parsed with ``from_csv`` on the
-    executors. A line spanning a quoted newline is not supported in this
-    line-based path.
+    ``kept`` holds records, or lines where no field spans lines. Header lines are one per
+    file, so only (file, header) pairs reach the driver to build each layout's schema; data
+    is parsed on the executors.
     """
     heads = kept.filter("is_header").select("file", "line").collect()
     by_header: dict[str, list[str]] = {}
@@ -83,10 +92,7 @@ def csv_layouts(kept: DataFrame) -> dict[str, tuple[list[str], DataFrame]]:
     out: dict[str, tuple[list[str], DataFrame]] = {}
     for header, files in by_header.items():
         names = next(iter(_split_header(header)))
-        ddl = ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in names)
-        rows = (data.filter(F.col("file").isin(files))
-                .select("file", "pos", F.from_csv(F.col("line"), F.lit(ddl)).alias("r"))
-                .select("file", "pos", "r.*"))
+        rows = parse_records(data.filter(F.col("file").isin(files)), names)
         for f in files:
             out[f] = (names, rows)
     return out

@@ -6,14 +6,19 @@ upsert into a date-partitioned master table, one micro-batch at a time.
 * The file source's checkpoint remembers which files were processed (S9), so a
   rerun with no new files does nothing.
 * Each micro-batch is merged with ``version_col='snapshot_time'`` kept on the
-  master, so replaying a batch after a failure, or landing files out of order,
-  leaves the same table (idempotent, late data needs no watermark).
+  master, so landing files out of order leaves the same table (late data needs no
+  watermark).
+* The batch's number is entered in the table's ledger together with its rows, so a
+  batch that is replayed after a failure is left out as a whole: rows with null
+  station ids, which match nothing, are not inserted twice either.
 * ``trigger(availableNow=True)`` processes what is there and stops, which is how
   a scheduled weekly run uses it; a continuous trigger works unchanged.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -43,14 +48,21 @@ def snapshot_time_of_document() -> F.Column:
                       F.col("_metadata.file_modification_time"))
 
 
-def merge_batch(spark: SparkSession, docs: DataFrame, master_table: str) -> None:
-    """One micro-batch: flatten, type, upsert (newest snapshot wins per key); the
-    upsert keeps the typed batch persisted while it reads it twice."""
+def merge_batch(spark: SparkSession, docs: DataFrame, master_table: str,
+                batch_id: tuple[str, int] | None = None) -> dict:
+    """One micro-batch: flatten, type, upsert (newest snapshot wins per key), unless the
+    table's ledger has it; the upsert keeps the typed batch persisted while it reads it."""
     staging = bike.type_silver(bike.flatten_stations(docs, carry=("snapshot_time",)))
-    upsert_into_table(spark, master_table, staging, bike.MERGE_KEYS, bike.UPDATED_COLUMNS,
+    return upsert_into_table(spark, master_table, staging, bike.MERGE_KEYS, bike.UPDATED_COLUMNS,
                       partition_col="ts_date", partition_expr=F.to_date("timestamp"),
                       order_desc=("snapshot_time",), tiebreak=("extra_uid",),
-                      version_col="snapshot_time", cluster_by=("station_id",))
+                      version_col="snapshot_time", cluster_by=("station_id",), batch_id=batch_id)
+
+
+def stream_name(batch: DataFrame, checkpoint: str) -> str:
+    """The running query's own id, which its checkpoint keeps over restarts."""
+    name = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return name or hashlib.sha256(checkpoint.encode()).hexdigest()
 
 
 def start(spark: SparkSession, landing_dir: str, master_table: str,
@@ -64,9 +76,11 @@ def start(spark: SparkSession, landing_dir: str, master_table: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     docs = reader.json(landing_dir).select("network", snapshot_time_of_document().alias("snapshot_time"))
+    kept = checkpoint or shared_path(spark, f"stream-{master_table}")
     writer = (docs.writeStream
-              .foreachBatch(lambda batch, _epoch: merge_batch(spark, batch, master_table))
-              .option("checkpointLocation", checkpoint or shared_path(spark, f"stream-{master_table}")))
+              .foreachBatch(lambda batch, number: merge_batch(spark, batch, master_table,
+                                                              (stream_name(batch, kept), number)))
+              .option("checkpointLocation", kept))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 

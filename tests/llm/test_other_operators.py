@@ -168,6 +168,34 @@ def test_language_edge_cases(spark):
     assert language.identify(pages.limit(0), docs).count() == 0
 
 
+# --- markup ---
+
+def test_visible_text_equals_the_lazy_pattern():
+    import re
+
+    lazy = re.compile(rb"(?is)<(script|style|noscript|nav|aside|footer)\b.*?</\1\s*>|<!--.*?-->"
+                      rb"|<div class=[\"']ad[\"'].*?</div>|<[^>]*>|&[a-z0-9#]{1,10};")
+    html = re.compile(rb"""(?is)<html\b[^>]*?\slang\s*=\s*["']?\s*([a-z]{2,8})""")
+    rng = random.Random(6)
+    bits = [b"<script ", b"</script >", b"<STYLE>", b"</style>", b"<!--", b"-->", b'<div class="ad">', b"</div>", b"<p", b">", b"<", b"x y",
+            b"&amp;", b"&", b"<html ", b" lang = 'de'", b" lang=FR", b"</nav\n>", b"<nav>", b"\n", b"<footer", b"=", b"</"]
+    for _ in range(3000):
+        page = b"".join(rng.choice(bits) for _ in range(rng.randrange(25)))
+        assert language.visible(page) == lazy.sub(b" ", page), page
+        found = html.search(page)
+        assert language.declared_language(page) == (found[1].lower().decode() if found else None), page
+
+
+@pytest.mark.parametrize("bit", [b"<script ", b"<!--", b"<html ", b"<div class='ad'", b"<", b"&", b"<a <script"])
+def test_broken_markup_is_read_once(bit):
+    import time
+
+    begin = time.perf_counter()
+    language.visible(bit * (2_000_000 // len(bit)))
+    language.declared_language(bit * (2_000_000 // len(bit)))
+    assert time.perf_counter() - begin < 20
+
+
 # --- top-k ---
 
 def topk_model(rows, k=10, every=100):

@@ -71,6 +71,21 @@ def test_license_expressions(text, labels, permissive):
     assert (value.labels, value.permissive) == (labels, permissive)
 
 
+@pytest.mark.parametrize("text, labels, permissive, n", [
+    ("SPDX-License-Identifier: MIT\nand more", "mit", True, 1),
+    ("SPDX License Identifier: MIT", "mit", True, 1),
+    ("spdx-license-identifier : Apache-2.0", "apache-2", True, 1),
+    ("# SPDX-License-Identifier:\n#   GPL-3.0-only", "gpl-3", False, 1),
+    ("SPDX-License-Identifier: (MIT OR\n Apache-2.0) rest", "apache-2,mit", True, 1),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH\n Classpath-exception-2.0", "gpl-2", True, 1),
+    ("SPDX-License-Identifier: MIT and\nSPDX-License-Identifier: GPL-3.0", "gpl-3,mit", False, 2),
+    ("é SPDX-License-Identifier: ISC é SPDX-License-Identifier: CC0-1.0", "cc0,isc", True, 2),
+    ("SPDX-License-Identifier", "", None, 0), ("SPDX-License-Identifier: \n\n", "", None, 0)])
+def test_tags_of_the_automaton(text, labels, permissive, n):
+    found = licenses.Scanner().scan(text.encode())
+    assert (found[5], found[7], found[8]) == (labels, permissive, n)
+
+
 def test_no_license_expression():
     assert licenses.evaluate("") is None and licenses.evaluate("*/") is None
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import bpe, decontaminate, simhash, substrings, toxicity
-from quarry.llm.common import read
+from quarry.llm.common import drop_written, read
 from quarry.llm.queries import tokenizer_path
 from quarry.session import ensure_checkpoint_dir
 
@@ -57,16 +57,20 @@ STAGES = [
     ("bpe", encode_tokens),
 ]
 
-#: SQL expresses neither the classifier nor XXH64 with a seed; tests hold run() against brute force.
+#: SQL expresses neither the classifier nor XXH64 with a seed; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written to the shared folder and read again."""
+    """All stages over the documents, each written to the shared folder and read again; only the
+    last one's table stays there."""
     docs = read(spark, sf_dir, "documents")
-    base = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    base, before = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}", None
     for i, (_, stage) in enumerate(STAGES):
         path = f"{base}/{i}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            drop_written(spark, before)
+        before = path
     return docs

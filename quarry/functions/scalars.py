@@ -88,9 +88,10 @@ def parse_date(c: str | Column, fmt: str | None = None) -> Column:
 
 
 def float_to_nullable_long(c: str | Column) -> Column:
-    """Float -> nullable integer, truncating toward zero like ``int()``; NaN -> null."""
+    """Float -> nullable integer, truncating toward zero like ``int()``; NaN, infinities and
+    numbers beyond the range of a long -> null."""
     col = _col(c)
-    return F.when(F.isnan(col), F.lit(None)).otherwise(col).cast("long")
+    return F.when(F.isnan(col), F.lit(None)).otherwise(col).try_cast("long")
 
 
 def round_columns(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:

@@ -64,6 +64,52 @@ def weekly_utilization(status: DataFrame, threshold: float = 0.8,
                  F.avg("empty_slots").alias("avg_empty_slots")))
 
 
+def utilization_states(status: DataFrame, ts: str = "timestamp") -> DataFrame:
+    """A5 as mergeable states: sums and counts per (station, network, day). States of the days of a
+    week add up to what ``weekly_utilization`` computes from the rows (see ``utilization_of``)."""
+    return (status.groupBy("station_id", "network_id", F.to_date(ts).alias("day"))
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("empty_slots") == 0).alias("n_full"),
+                 F.count_if(F.col("free_bikes") == 0).alias("n_empty"),
+                 F.sum("free_bikes").alias("sum_free"), F.count("free_bikes").alias("n_free"),
+                 F.sum("empty_slots").alias("sum_slots"), F.count("empty_slots").alias("n_slots")))
+
+
+def utilization_of(states: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """A5 from states: the same rows and columns as ``weekly_utilization``."""
+    total = lambda c: F.sum(c)
+    mean = lambda s, n: F.try_divide(F.sum(s).cast("double"), F.sum(n))
+    return (states.groupBy("station_id", "network_id", week_start_monday("day").alias("week_start"))
+            .agg((total("n_full") / total("n") > F.lit(threshold)).alias("is_frequently_full"),
+                 (total("n_empty") / total("n") > F.lit(threshold)).alias("is_frequently_empty"),
+                 mean("sum_free", "n_free").alias("avg_free_bikes"), mean("sum_slots", "n_slots").alias("avg_empty_slots")))
+
+
+def distinct_count_sets(df: DataFrame, sets: Mapping[str, Sequence[str]], target: str,
+                        name: str = "n_distinct") -> DataFrame:
+    """A6, A7, A10 and A12 together: (set, <all keys>, ``name``), the distinct non-null ``target`` values
+    per key set (null keys dropped; the empty set is the whole frame).
+
+    One scan and one shuffle of the data: rows are made distinct per (set, its keys, target) by
+    one aggregate over grouping sets, which Spark combines in the tasks first; the count
+    that follows only sees distinct combinations.
+    """
+    keys = list(dict.fromkeys(k for own in sets.values() for k in own))
+    grouped = [[F.col(_q(k)) for k in own] + [F.col(_q(target))] for own in sets.values()]
+    columns = [F.col(_q(k)) for k in [*keys, target]]
+    rows = df.select(*columns).filter(F.col(_q(target)).isNotNull())
+    distinct = rows.groupingSets(grouped, *columns).agg(F.grouping_id().alias("__gid"))
+    out = None
+    bit = {k: 1 << (len(keys) - i) for i, k in enumerate(keys)}  # the target is the lowest bit
+    which, sound = F.lit(None).cast("string"), F.lit(True)
+    for label, own in sets.items():
+        gid = sum(b for k, b in bit.items() if k not in own)
+        which = F.when(F.col("__gid") == gid, F.lit(label)).otherwise(which)
+        for k in own:
+            sound = sound & ((F.col("__gid") != gid) | F.col(_q(k)).isNotNull())
+    out = distinct.filter(sound).withColumn("set", which)
+    return (out.groupBy("set", *[F.col(_q(k)) for k in keys]).agg(F.count(F.lit(1)).alias(name)))
+
+
 def distinct_count_by(df: DataFrame, keys: Sequence[str], target: str,
                       name: str = "n_distinct", approx: bool = False) -> DataFrame:
     """``nunique`` of ``target`` per key set (null keys dropped, nulls not counted).

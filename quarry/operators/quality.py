@@ -194,7 +194,9 @@ def exact_quantiles_multi(df: DataFrame, columns: Sequence[str], probs: Sequence
         for p in probs:
             pos = p * (n[i] - 1)
             lo_r, hi_r = math.floor(pos), math.ceil(pos)
-            res.append(found[i][lo_r] + (found[i][hi_r] - found[i][lo_r]) * (pos - lo_r))
+            # equal ranks need no interpolation, which infinities would make NaN
+            res.append(found[i][lo_r] if lo_r == hi_r else
+                       found[i][lo_r] + (found[i][hi_r] - found[i][lo_r]) * (pos - lo_r))
         out[name] = res
     return out
 

@@ -7,9 +7,10 @@ solver is the alternative).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -29,6 +30,42 @@ def split_flag(df: DataFrame, key_cols: Sequence[str], test_fraction: float = 0.
     return df.withColumn(name, h < F.lit(int(test_fraction * 1_000_000)))
 
 
+def split_exact(df: DataFrame, key_cols: Sequence[str], test_fraction: float = 0.2, seed: int = 42,
+                name: str = "is_test", mark: Column | None = None) -> DataFrame:
+    """M1: exactly ``ceil(test_fraction * rows)`` test rows, those of the smallest marks.
+
+    A row's ``mark`` is a 64-bit number, by default a seeded hash of its key, so the split depends
+    neither on partitioning nor on retries. The last test mark is found by counting rows
+    per 16 bits of it, at most four passes over the marks and 65,536 counts each; of the
+    rows that share it, as many as are still needed are taken in order of their key.
+    """
+    shifted = (mark if mark is not None else F.xxhash64(F.lit(seed), *[F.col(_q(c)) for c in key_cols])).cast("long")
+    # Unsigned order: the sign bit turned.
+    marked = df.withColumn("__mark", shifted.bitwiseXOR(F.lit(-1 << 63)))
+    wanted = math.ceil(test_fraction * df.count())
+    if not wanted:
+        return df.withColumn(name, F.lit(False))
+    prefix, missing = 0, wanted
+    for shift in (48, 32, 16, 0):
+        part = F.shiftrightunsigned("__mark", shift)
+        inside = marked if shift == 48 else marked.filter(F.shiftrightunsigned("__mark", shift + 16) == prefix)
+        # 65,536 counts at most
+        counts = {r["b"]: r["n"] for r in inside.groupBy(part.bitwiseAND(F.lit(0xFFFF)).alias("b")).agg(F.count("*").alias("n")).collect()}
+        for bucket in sorted(counts):
+            if missing <= counts[bucket]:
+                break
+            missing -= counts[bucket]
+        prefix = (prefix << 16) | bucket
+    last = prefix - (1 << 64) if prefix >= 1 << 63 else prefix
+    # The two halves compare as unsigned numbers.
+    low = (F.shiftrightunsigned("__mark", 32) < (prefix >> 32)) | (
+        (F.shiftrightunsigned("__mark", 32) == (prefix >> 32)) & (F.col("__mark").bitwiseAND(F.lit(0xFFFFFFFF)) < (prefix & 0xFFFFFFFF)))
+    clear = marked.filter(F.col("__mark") != last).withColumn(name, low)
+    ties = marked.filter(F.col("__mark") == last)
+    place = F.row_number().over(Window.partitionBy("__mark").orderBy(*[F.col(_q(c)) for c in key_cols]))
+    return clear.unionByName(ties.withColumn(name, place <= missing)).drop("__mark")
+
+
 class OlsModel:
     """A fitted linear model: ``intercept + sum(coef_i * x_i)``. Prediction is a
     plain column expression, so scoring stays inside whole-stage codegen."""

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quarry.session import ensure_checkpoint_dir
+
 
 def _q(name: str) -> str:
     return f"`{name}`"
@@ -66,6 +68,26 @@ def top_n(df: DataFrame, n: int, by: str, tiebreak: Sequence[str] = (),
     return top
 
 
+def rank_frame(df: DataFrame, order: Sequence[Column], rank_col: str = "Rank") -> DataFrame:
+    """The 1-based place of every row of a whole sorted frame.
+
+    Rows are dealt in ranges of the order and numbered range by range; a range's first
+    number is the rows of all earlier ranges, one count a range. No window spans more than a
+    range. The dealt rows are checkpointed, as their ranges come from a sample. Rows that
+    ``order`` doesn't tell apart come in any order: end it with a key.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    dealt = df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()).checkpoint(eager=True)
+    offsets, upto = [], 0
+    for r in dealt.groupBy("__range").count().orderBy("__range").collect():  # one row a range
+        offsets.append((r["__range"], upto))
+        upto += r["count"]
+    before = df.sparkSession.createDataFrame(offsets, "__range int, __before long")
+    own = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    return (dealt.join(F.broadcast(before), "__range")
+            .withColumn(rank_col, F.col("__before") + own).drop("__range", "__before"))
+
+
 def top1_pair(df: DataFrame, key: str, by: str) -> DataFrame:
     """O3: the single best (key, value) pair."""
     return top_n(df, 1, by, [key]).select(key, by)

@@ -15,11 +15,13 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from quarry.functions.scalars import (coerce_numeric, fill_defaults, parse_timestamp_utc,
                                       to_bool_default_false)
-from quarry.operators.aggregates import weekly_utilization
+from quarry.operators.aggregates import utilization_states, weekly_utilization
 from quarry.operators.documents import Either, Flag, Many, Num, Rec, Text, assert_documents, judged, read_documents
 from quarry.operators.filters import in_range, rolling_days
 from quarry.operators.quality import Rule
 from quarry.operators.upsert import merge_upsert
+from quarry.sinks import swap
+from quarry.sinks.tables import create_table_if_missing
 
 # Read every leaf that may hold a number, text or boolean as text: a JSON number
 # under a string field becomes its text, a JSON 1 under a boolean field would
@@ -224,6 +226,20 @@ def gold_weekly(master: DataFrame, as_of=None, days: int | None = 7,
     return weekly_utilization(src, threshold)
 
 
+def refresh_states(spark: SparkSession, master_table: str, states_table: str, days: DataFrame,
+                   location: str | None = None) -> None:
+    """A5: recomputes the daily states of the ``days`` (one date column) that a batch touched, from
+    those partitions of the master alone; all other days stay."""
+    touched = [r[0] for r in days.distinct().collect()]  # one value a day of the batch
+    states = utilization_states(spark.table(master_table).filter(F.col("ts_date").isin(touched)))
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in states.schema.fields if f.name != "day") + ", day date"
+    create_table_if_missing(spark, states_table, ddl, partition_by=("day",), location=location)
+    (states.select(*spark.table(states_table).columns).repartition("day").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(swap.location(spark, states_table)))
+    spark.sql(f"MSCK REPAIR TABLE {states_table} ADD PARTITIONS")
+    spark.catalog.refreshTable(states_table)
+
+
 def run(spark: SparkSession, raw_path: str, master_table: str, gold_table: str,
         snapshot_time: datetime, as_of=None, quarantine: bool = False,
         latest_only: bool = False, silver_dir: str | None = None,
@@ -235,8 +251,7 @@ def run(spark: SparkSession, raw_path: str, master_table: str, gold_table: str,
     'latest' dataset (K2) and appended to a run-stamped history (K3).
     """
     from quarry.operators.upsert import upsert_into_table
-    from quarry.sinks.tables import (append_history, create_table_if_missing, replace_table,
-                                     write_latest_parquet)
+    from quarry.sinks.tables import append_history, replace_table, write_latest_parquet
     from quarry.sources.files import latest_file
 
     source = latest_file(spark, raw_path, ".json") if latest_only else raw_path

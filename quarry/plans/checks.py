@@ -173,6 +173,36 @@ def q_upsert_files(spark, sf):
                                           "kept_files": F.lit(reports[0]["files_kept"] > 0)})
 
 
+@query("gold_from_states", _STATUS + "," + _batches_sql(_BATCHES, "b DESC") + """
+SELECT station_id, network_id, CAST(date_trunc('week', "timestamp") AS DATE) AS week_start,
+       count(*) FILTER (WHERE empty_slots = 0) / count(*) > 0.8 AS is_frequently_full,
+       count(*) FILTER (WHERE free_bikes = 0) / count(*) > 0.8 AS is_frequently_empty,
+       round(avg(free_bikes), 6) AS avg_free_bikes, round(avg(empty_slots), 6) AS avg_empty_slots
+FROM m GROUP BY 1, 2, 3
+""")
+def q_gold_from_states(spark, sf):
+    """A5 kept up to date over three batches: after each, the daily states of its days alone are
+    computed anew; the gold rows are those of a full recomputation."""
+    from quarry.sinks.tables import create_table_if_missing
+
+    status = station_status(table(spark, sf, "events"))
+    status = status.withColumn("timestamp", F.col("timestamp").cast("timestamp")).drop("event_type")
+    kinds = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("extra_uid"), "event_type")
+    status = status.join(kinds, "extra_uid")
+    tag, base = uuid.uuid4().hex[:12], _scratch(spark, "gold_from_states")
+    ddl = ", ".join(f"{n} {t}" for n, t in bike.MASTER_FIELDS) + ", ts_date date"
+    create_table_if_missing(spark, f"gold_master_{tag}", ddl, partition_by=("ts_date",), location=f"{base}/master")
+    for when in _BATCHES:
+        batch = status.filter(when).drop("event_type")
+        U.upsert_into_table(spark, f"gold_master_{tag}", batch, bike.MERGE_KEYS, bike.UPDATED_COLUMNS, "ts_date",
+                            F.to_date("timestamp"), order_desc=["snapshot_time"], tiebreak=["extra_uid"],
+                            drop_from_source=["snapshot_time"], cluster_by=["station_id"])
+        bike.refresh_states(spark, f"gold_master_{tag}", f"gold_states_{tag}", batch.select(F.to_date("timestamp")),
+                            location=f"{base}/states")
+    gold = A.utilization_of(spark.table(f"gold_states_{tag}"))
+    return gold.withColumns({"avg_free_bikes": r6("avg_free_bikes"), "avg_empty_slots": r6("avg_empty_slots")})
+
+
 @query("insert_ignore", """
 SELECT DISTINCT o_custkey, 'customer ' || CAST(o_custkey AS VARCHAR) AS label
 FROM orders n
@@ -282,6 +312,13 @@ def q_array_explode(spark, sf):
         .withColumn("pos", F.col("pos").cast("long"))
 
 
+@query("explode_children", """
+SELECT vec_id, label, unnest(embedding) AS value FROM embeddings
+""")
+def q_explode_children(spark, sf):
+    return S.explode_children(table(spark, sf, "embeddings"), "embedding", "value", ["vec_id", "label"])
+
+
 # --- quality -----------------------------------------------------------------------------
 
 def _customer_rules():
@@ -760,6 +797,49 @@ def q_select_preview(spark, sf):
     return W.sort_desc(p, "p_retailprice", ["p_partkey"]).limit(10)
 
 
+@query("preview_head", """
+SELECT * FROM part ORDER BY p_brand, p_partkey LIMIT 5
+""")
+def q_preview_head(spark, sf):
+    return Q.preview(table(spark, sf, "part"), 5, ["p_brand", "p_partkey"])
+
+
+@query("rank_all_lines", """
+SELECT l_orderkey, l_linenumber, l_extendedprice,
+       row_number() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS "Rank"
+FROM lineitem
+""")
+def q_rank_all_lines(spark, sf):
+    """W2 over a whole frame: ranges of the order, numbered range by range."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    order = [F.col("l_extendedprice").desc(), *[F.col(c).asc() for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]]
+    return W.rank_frame(lines, order).drop("l_partkey", "l_suppkey")
+
+
+_SETS = {"whole": [], "by_status": ["o_orderstatus"], "by_status_priority": ["o_orderstatus", "o_orderpriority"],
+         "by_priority": ["o_orderpriority"], "by_year": ["year"], "by_year_status": ["year", "o_orderstatus"]}
+
+
+def _sets_sql() -> str:
+    keys = ["o_orderstatus", "o_orderpriority", "year"]
+    return """WITH o AS (SELECT nullif(o_orderstatus, 'P') AS o_orderstatus, nullif(o_orderpriority, '5-LOW') AS o_orderpriority,
+      CAST(year(o_orderdate) AS INTEGER) AS year, nullif(o_custkey % 100, 7) AS cust FROM orders)
+""" + "\nUNION ALL ".join(
+        f"SELECT '{label}' AS \"set\", " + ", ".join(k if k in own else f"NULL AS {k}" for k in keys)
+        + ", count(DISTINCT cust) AS n FROM o" + "".join(f" {'WHERE' if i == 0 else 'AND'} {k} IS NOT NULL" for i, k in enumerate(own))
+        + (f" GROUP BY {', '.join(own)} HAVING count(DISTINCT cust) > 0" if own else "") for label, own in _SETS.items())
+
+
+@query("distinct_sets", _sets_sql())
+def q_distinct_sets(spark, sf):
+    """Distinct counts of six key sets from one scan and one shuffle of the rows."""
+    o = table(spark, sf, "orders").select(
+        F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("o_orderstatus"),
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("o_orderpriority"),
+        F.year("o_orderdate").alias("year"), F.nullif(F.col("o_custkey") % 100, F.lit(7)).alias("cust"))
+    return A.distinct_count_sets(o, _SETS, "cust", "n").select("set", "o_orderstatus", "o_orderpriority", "year", "n")
+
+
 # --- aggregates, top-k, pivot, rollup ----------------------------------------------------
 
 @query("avg_by_category", """
@@ -1082,6 +1162,29 @@ def q_ols_metrics(spark, sf):
     return met.select(F.round("rmse", 4).alias("rmse"), r6("r2").alias("r2"), F.col("n").cast("long").alias("n"))
 
 
+@query("split_and_score", """
+WITH d AS (
+  SELECT l_quantity AS x, l_extendedprice AS y,
+         CAST('0x' || substr(md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey)), 1, 15) AS BIGINT) AS mark,
+         l_orderkey, l_linenumber, l_partkey FROM lineitem),
+t AS (SELECT *, row_number() OVER (ORDER BY mark, l_orderkey, l_linenumber, l_partkey)
+             <= ceil(0.2 * (SELECT count(*) FROM lineitem)) AS is_test FROM d),
+m AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM t WHERE NOT is_test),
+s AS (SELECT y, a + b * x AS p FROM t, m WHERE is_test)
+SELECT round(sqrt(avg((y - p) * (y - p))), 4) AS rmse, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2,
+       count(*) AS n FROM s
+""")
+def q_split_and_score(spark, sf):
+    """M1 (exactly a fifth, rounded up), M2, M3 and M4 through the library."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    li = table(spark, sf, "lineitem").select(*keys, "l_quantity", "l_extendedprice")
+    mark = F.conv(F.substring(F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys])), 1, 15), 16, 10).cast("long")
+    data = M.split_exact(li, keys, 0.2, mark=mark)
+    model = M.fit_ols(data.filter("NOT is_test"), ["l_quantity"], "l_extendedprice")
+    met = M.regression_metrics(M.score(model, data.filter("is_test"), ["l_quantity"], "l_extendedprice"))
+    return met.select(F.round("rmse", 4).alias("rmse"), r6("r2").alias("r2"), F.col("n").cast("long").alias("n"))
+
+
 OLS_FEATURES = ("l_quantity", "l_discount", "l_tax")
 
 
@@ -1192,6 +1295,26 @@ def q_stream_ingest(spark, sf):
                             "snapshot_time": F.col("snapshot_time").cast("timestamp_ntz")})
 
 
+@query("latest_replaced", """
+SELECT 'replaced' AS state, n_nationkey, n_name FROM nation WHERE n_regionkey >= 2
+UNION ALL SELECT 'cleared', count(*) FILTER (WHERE false), NULL FROM nation
+""")
+def q_latest_replaced(spark, sf):
+    """The latest dataset is what was written last, then empty with its schema."""
+    from quarry.sinks.tables import clear_dataset, write_latest_parquet
+
+    path, nation = f"{_scratch(spark, 'latest_replaced')}/latest", table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    write_latest_parquet(nation, path)
+    write_latest_parquet(nation.filter("n_regionkey >= 2"), path)
+    replaced = spark.read.parquet(path).select(F.lit("replaced").alias("state"), F.col("n_nationkey").cast("long"), "n_name")
+    replaced = replaced.checkpoint(eager=True)  # before the files go
+    clear_dataset(spark, nation, path)
+    left = spark.read.parquet(path)
+    assert left.schema == nation.schema
+    return replaced.unionByName(left.agg(F.lit("cleared").alias("state"), F.count("*").alias("n_nationkey"),
+                                         F.max("n_name").alias("n_name")))
+
+
 _LANDED = ("event_type IN ('view', 'click', 'signup')", "event_type NOT IN ('view', 'click', 'signup')")
 
 

@@ -12,10 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.scalars import parse_date
 from quarry.operators import aggregates as A
 from quarry.operators import filters as FL
 from quarry.operators import stats as M
 from quarry.semantics import round_half_even, safe_div
+from quarry.sinks.tables import write_csv
+from quarry.sources.files import read_csv
 
 # Aggregate entities that are not countries.
 EXCLUDED_ENTITIES = (
@@ -69,11 +72,26 @@ def correlations(df: DataFrame, columns: Sequence[str] = CORR_COLUMNS) -> DataFr
 def regression(spark: SparkSession, df: DataFrame, features: Sequence[str] = REG_FEATURES,
                target: str = REG_TARGET, key_cols: Sequence[str] = ("country", "date"),
                scale: float = 10.0) -> tuple[DataFrame, DataFrame]:
-    """F12 + P6 + M1-M5: listwise deletion, target x10 (per thousand), hashed 80/20
+    """F12 + P6 + M1-M5: listwise deletion, target x10 (per thousand), exact 80/20
     split, OLS fit, test metrics and the coefficient table."""
     data = FL.drop_any_null(df.select(*key_cols, *features, target), [*features, target])
     data = data.withColumn("label", F.col(target) * F.lit(scale))
-    data = M.split_flag(data, key_cols)
+    data = M.split_exact(data, key_cols)
     model = M.fit_ols(data.filter(~F.col("is_test")), features, "label")
     metrics = M.regression_metrics(M.score(model, data.filter("is_test"), features, "label"))
     return metrics, M.coefficient_table(spark, model, features)
+
+
+def run(spark: SparkSession, raw_csv: str, clean_csv: str,
+        measures: Sequence[str] = ("new_cases_smoothed", "people_fully_vaccinated_per_hundred")) -> dict[str, DataFrame]:
+    """S1 -> F1/F3 -> K1, then the analysis of the cleaned table: the focus countries' summary, one
+    series a measure and the correlations; the regression over all countries."""
+    write_csv(clean(read_csv(spark, raw_csv)), clean_csv)
+    df = read_csv(spark, clean_csv)
+    df = df.withColumn("date", parse_date("date"))
+    focus = FL.include_values(df, "country", FOCUS_COUNTRIES)
+    out = {"summary": latest_summary(focus), "correlations": correlations(focus)}
+    out |= {f"series_{m}": series(focus, m) for m in measures if m in df.columns}
+    if all(c in df.columns for c in (*REG_FEATURES, REG_TARGET)):
+        out["metrics"], out["coefficients"] = regression(spark, df)
+    return out

@@ -5,13 +5,17 @@ The two-group-bys-then-divide ratio (J8) is one conditional aggregate (A3).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.functions.scalars import bool_to_int
 from quarry.operators import aggregates as A
 from quarry.operators import filters as FL
 from quarry.operators import projections as P
 from quarry.operators import windows as W
+from quarry.operators.quality import null_profile
+from quarry.sinks.tables import write_csv
+from quarry.sources.files import read_csv
 
 # Raw -> cleaned column names.
 RENAMES = {
@@ -24,9 +28,23 @@ RENAMES = {
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    """P4 + C1: rename, out-of-stock flag boolean -> int."""
+    """P4 + C1: rename, out-of-stock flag boolean -> int. A missing flag raises when the rows are
+    read, as the source's cast does."""
     df = P.rename_columns(raw, RENAMES)
-    return df.withColumn("out_of_stock", bool_to_int("out_of_stock")) if "out_of_stock" in df.columns else df
+    if "out_of_stock" not in df.columns:
+        return df
+    flag = bool_to_int("out_of_stock")
+    return df.withColumn("out_of_stock", F.when(flag.isNull(), F.raise_error(
+        F.lit("out_of_stock is missing")).cast("int")).otherwise(flag))
+
+
+def run(spark: SparkSession, raw_path: str, clean_csv: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """S1 -> Q2 -> P4/C1 -> K1: the missing values per raw column, and the reports on the cleaned
+    table that was written."""
+    raw = read_csv(spark, raw_path)
+    missing = null_profile(raw)
+    write_csv(clean(raw), clean_csv)
+    return missing, reports(read_csv(spark, clean_csv))
 
 
 def avg_discount(df: DataFrame, category: str = "Category") -> DataFrame:

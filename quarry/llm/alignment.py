@@ -7,8 +7,9 @@ refined with the decoded bytes of the tokens since the last coarse cut. Byte off
 of both end cut the tokens into groups, and all pairs within a group are links.
 
 A single space between two characters that are no white space ends a token in both tokenizers, and
-what stands between two such spaces, an atom, is encoded alike wherever it stands. So a task
-encodes each atom it meets once, many of them joined in one call, and puts the documents together.
+what stands between two such spaces, an atom, is encoded alike wherever it stands. So a
+worker encodes each atom it meets once, many of them joined in one call, and puts the documents
+together.
 
 Documents are kept in chunks of bounded text size, each with a dictionary of its linked id
 pairs: only a chunk's distinct pairs are counted over the corpus and joined with those counts,
@@ -21,6 +22,7 @@ import hashlib
 import os
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
@@ -37,8 +39,8 @@ from quarry.llm.common import byte_texts, checkpointed, drop_written, map_arrow,
 CHUNK_BYTES, PART_BYTES, CALL_BYTES = 8 << 20, 1 << 20, 1 << 16
 #: Links of one group that are made one by one; beyond them ids are counted first.
 GROUP_LINKS = 1 << 16
-#: Atoms and links that a task remembers.
-KNOWN_ATOMS, KNOWN_LINKS = 750_000, 8_000_000
+#: Atoms and links that a Python worker remembers; beyond them it keeps the more frequent half.
+KNOWN_ATOMS, KNOWN_LINKS = 500_000, 8_000_000
 #: The spaces that atoms are cut at, and atoms that may be joined: both neighbours are printable ASCII or
 #: two-byte characters from U+00C0 on, among which there is no white space.
 _BEFORE, _AFTER = rb"(?:[\x21-\x7E]|[\xC3-\xDF][\x80-\xBF])", rb"[\x21-\x7E\xC3-\xDF]"
@@ -118,11 +120,6 @@ def refined(ends: np.ndarray, coarse: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return np.where(coarse, ends, upto + since)
 
 
-@lru_cache(maxsize=4)
-def _loaded(kind: type, source: bytes):
-    return kind(source)
-
-
 def parts(raw: bytes, size: int = PART_BYTES) -> Iterator[list[bytes]]:
     """The atoms of a whole text, in lists from about ``size`` bytes of it."""
     lo = 0
@@ -153,16 +150,40 @@ class Atoms:
 
     def __init__(self, a: ByteLevel, b: Pieces, texts: tuple[np.ndarray, ...]) -> None:
         self.a, self.b, self.id_texts = a, b, texts
+        self.forget()
+
+    def forget(self) -> None:
         self.index: dict[bytes, int] = {}
         self.texts: list[bytes] = []
-        self.sound: list[bool] = []
+        self.unsound: set[int] = set()
+        self.used = _Grown(np.int64)
         self.counts = [_Grown(np.int64) for _ in range(4)]  # tokens of both, groups, links
         self.ends = _Grown(np.int64)
         self.ends.add(np.zeros(1, np.int64))
         self.pairs, self.times = _Grown(np.int64), _Grown(np.int64)
 
-    def full(self) -> bool:
-        return len(self.texts) > KNOWN_ATOMS or self.pairs.size > KNOWN_LINKS
+    def bound(self) -> None:
+        """Keeps the more frequent half at most where too much is known."""
+        n = len(self.texts)
+        if n <= KNOWN_ATOMS and self.pairs.size <= KNOWN_LINKS:
+            return
+        used, first = self.used.data[:n], self.ends.data[:n]
+        size = self.ends.data[1:n + 1] - first
+        keep = np.argsort(-used, kind="stable")[:KNOWN_ATOMS // 2]
+        keep = np.sort(keep[(used[keep] > 1) & (np.cumsum(size[keep]) <= KNOWN_LINKS // 2)])
+        names, old = list(self.index), (self.texts, self.unsound, self.counts, self.pairs, self.times)
+        flat = np.repeat(first[keep] - np.cumsum(size[keep]) + size[keep], size[keep]) + np.arange(int(size[keep].sum()))
+        ends, used = np.cumsum(size[keep]), used[keep] // 2
+        self.forget()
+        self.index = {names[i]: at for at, i in enumerate(keep.tolist())}
+        self.texts = [old[0][i] for i in keep.tolist()]
+        self.unsound = {at for at, i in enumerate(keep.tolist()) if i in old[1]} if old[1] else set()
+        for grown, was in zip(self.counts, old[2]):
+            grown.add(was.data[keep])
+        self.ends.add(ends)
+        self.pairs.add(old[3].data[flat])
+        self.times.add(old[4].data[flat])
+        self.used.add(used)
 
     def learn(self, atoms: set[bytes]) -> None:
         """Encodes the atoms that are not known yet."""
@@ -196,7 +217,7 @@ class Atoms:
         else:
             none = np.zeros(0, np.int64)
             self._add(atoms, edges, none, none, none, none)
-            self.sound[-1] = False
+            self.unsound.add(len(self.texts) - 1)
 
     def _add(self, atoms: list[bytes], edges: np.ndarray, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray,
              ends_b: np.ndarray) -> None:
@@ -227,9 +248,9 @@ class Atoms:
         self.ends.add(self.pairs.size + made[upto])
         self.pairs.add(pairs)
         self.times.add(times)
-        for atom in atoms:
-            self.index[atom] = len(self.sound)
-            self.sound.append(True)
+        self.used.add(np.zeros(len(atoms), np.int64))
+        for at, atom in enumerate(atoms, len(self.texts) - len(atoms)):
+            self.index[atom] = at
 
 
 def _links(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, of_b: np.ndarray,
@@ -249,51 +270,39 @@ def _links(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, at_a: np.ndarray,
     return np.concatenate(found), np.concatenate(counted), np.append(0, np.cumsum([len(x) for x in found]))
 
 
+@dataclass(frozen=True)
 class Aligned:
-    """One document: what its atoms add up to. ``None`` from :meth:`of` where it has no tokens: an
-    empty text, or one whose joined token bytes differ from a space and the text."""
-
-    def __init__(self) -> None:
-        self.counts = np.zeros(4, np.int64)
-        self.digest = hashlib.sha256()
-        self.pairs: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
-
-    @classmethod
-    def of(cls, known: Atoms, pieces: list[list[bytes]]) -> Aligned | None:
-        out = cls()
-        for n, atoms in enumerate(pieces):
-            at = [known.index[x] for x in atoms]
-            if not all([known.sound[i] for i in at]):
-                return None
-            if n:
-                out.digest.update(b";")
-            out.digest.update(b";".join([known.texts[i] for i in at]))
-            where = np.array(at, np.int64)
-            out.counts += [g.data[where].sum() for g in known.counts]
-            first = known.ends.data[where]
-            size = known.ends.data[where + 1] - first
-            flat = np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-            pairs, times = known.pairs.data[flat], known.times.data[flat]
-            pairs, order = np.unique(pairs, return_inverse=True)
-            out.pairs.append(pairs)
-            out.times.append(np.bincount(order, times, len(pairs)).astype(np.int64))
-        return out
-
-    def linked(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct linked pairs of the document and their links."""
-        if len(self.pairs) == 1:
-            return self.pairs[0], self.times[0]
-        pairs, at = np.unique(np.concatenate(self.pairs), return_inverse=True)
-        return pairs, np.bincount(at, np.concatenate(self.times), len(pairs)).astype(np.int64)
-
-
-def aligned(raws: list[bytes], known: Atoms, size: int = PART_BYTES) -> Iterator[Aligned | None]:
-    """The alignments of some texts."""
-    pieces = [list(parts(raw, size)) if raw and known.b.cuttable else [[raw]] for raw in raws]
-    known.learn({atom for own in pieces for atoms in own for atom in atoms if atom})
-    for raw, own in zip(raws, pieces):
-        yield Aligned.of(known, own) if raw else None
+    """One document: tokens of both, groups and links, the hash of its groups, its distinct linked
+    pairs and how often each is linked."""
+
+    counts: tuple[int, int, int, int]
+    digest: str
+    pairs: np.ndarray
+    times: np.ndarray
+
+
+def aligned(raws: list[bytes], known: Atoms, size: int = PART_BYTES) -> list[Aligned | None]:
+    """The alignments of some texts, put together from their atoms; None where a text has no tokens:
+    an empty one, or one whose joined token bytes differ from a space and the text."""
+    pieces = [[x for part in parts(raw, size) for x in part] if known.b.cuttable else [raw] for raw in raws]
+    known.learn({atom for atoms in pieces for atom in atoms if atom})
+    places = [[known.index[x] for x in atoms] if raw else [] for raw, atoms in zip(raws, pieces)]
+    if known.unsound:
+        places = [[] if known.unsound.intersection(at) else at for at in places]
+    where = np.fromiter(chain.from_iterable(places), np.int64)
+    known.used.data[:known.used.size] += np.bincount(where, minlength=known.used.size)
+    owner = np.repeat(np.arange(len(raws)), [len(at) for at in places])
+    counts = [np.bincount(owner, g.data[where], len(raws)).astype(np.int64).tolist() for g in known.counts]
+    first = known.ends.data[where]
+    n = known.ends.data[where + 1] - first
+    flat = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+    span = len(known.a.bytes) * len(known.b.bytes)  # document and pair in one number
+    keys, order = np.unique(np.repeat(owner, n) * span + known.pairs.data[flat], return_inverse=True)
+    times = np.bincount(order, known.times.data[flat], len(keys)).astype(np.int64)
+    at = np.searchsorted(keys, np.arange(len(raws) + 1) * span)
+    return [Aligned(tuple(c[i] for c in counts), hashlib.sha256(b";".join([known.texts[x] for x in own])).hexdigest(),
+                    keys[at[i]:at[i + 1]] - i * span, times[at[i]:at[i + 1]]) if own else None
+            for i, own in enumerate(places)]
 
 
 def _id_texts(n_a: int, n_b: int) -> tuple[np.ndarray, ...]:
@@ -301,6 +310,13 @@ def _id_texts(n_a: int, n_b: int) -> tuple[np.ndarray, ...]:
     return made(n_a, b","), made(n_a, b"|"), made(n_b, b","), made(n_b, b";")
 
 
+@lru_cache(maxsize=1)
+def _known(source_a: bytes, source_b: bytes) -> Atoms:
+    """The atoms that this Python worker has met, in whatever tasks."""
+    a, b = ByteLevel(source_a), Pieces(source_b)
+    return Atoms(a, b, _id_texts(len(a.bytes), len(b.bytes)))
+
+
 _CHUNK = pa.schema([("chunk", pa.string()), ("pairs", pa.list_(pa.int64())), ("held", pa.list_(pa.int32())),
                     ("doc_id", pa.list_(pa.int64())), ("n_a", pa.list_(pa.int64())), ("n_b", pa.list_(pa.int64())),
                     ("n_groups", pa.list_(pa.int64())), ("n_links", pa.list_(pa.int64())),
@@ -331,18 +347,15 @@ def chunks(docs: DataFrame, id_col: str, text: str, path_a: str, path_b: str) ->
         sent = spark.sparkContext.broadcast((f.read(), g.read()))
 
     def run(batches):
-        a, b = (_loaded(kind, source) for kind, source in zip((ByteLevel, Pieces), sent.value))
-        texts = _id_texts(len(a.bytes), len(b.bytes))
-        known, rows, held = Atoms(a, b, texts), [], 0
+        known, rows, held = _known(*sent.value), [], 0
         for batch in slices(batches):
-            if known.full():
-                known = Atoms(a, b, texts)
+            known.bound()
             raws = byte_texts(batch, "text")
             for doc, raw, got in zip(batch.column("id").to_pylist(), raws, aligned(raws, known)):
                 if got is None:
                     rows.append((doc, (0, 0, 0, 0, ""), np.zeros(0, np.int64), np.zeros(0, np.int64)))
                 else:
-                    rows.append((doc, (*got.counts.tolist(), got.digest.hexdigest()), *got.linked()))
+                    rows.append((doc, (*got.counts, got.digest), got.pairs, got.times))
                 held += len(raw) + 64
                 if held >= CHUNK_BYTES:
                     yield _chunk(rows)

@@ -27,6 +27,9 @@ from quarry.llm.wordhash import hashed_words, run_hashes
 WINDOW, GRAM = 20, 6
 #: Reference words of an automaton, and words that one task streams through it.
 SHARD_WORDS, STREAM_WORDS = 25_000, 200_000
+#: Marks that are broadcast at most, and bytes of a broadcast in Spark's own form (a row's words,
+#: its place in the hash table, and eight bytes a field of nested rows).
+HOT, BROADCAST_BYTES = 4_096, 96 << 20
 
 
 def marks(words: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
@@ -62,14 +65,18 @@ def _marked(docs: DataFrame, window: int) -> DataFrame:
 def _stretches(found: DataFrame, gap: int, before: int, after: int) -> DataFrame:
     """(doc, first, lo, hi, start, stop) of neighbouring places of ``found`` (mark, doc, place)
     whose mark occurs again, with the mark's first document. ``lo``..``hi`` are the places and
-    start..stop the words around them. A mark is counted in the tasks before the shuffle, and the
-    join back is one that Spark splits where a mark is hot."""
-    again = (found.groupBy("mark").agg(F.count("*").alias("n"), F.min("doc").alias("first"))
-             .filter("n > 1").select("mark", "first"))
+    start..stop the words around them. A mark is counted in the tasks before the shuffle. Marks
+    that hold more than a 4,096th of all places, hence fewer than ``HOT`` of them, are broadcast to
+    their places, which so need no shuffle by the mark; all others are joined by one."""
+    again = found.groupBy("mark").agg(F.count("*").alias("n"), F.min("doc").alias("first")).filter("n > 1")
+    hot = F.col("n") > max(1, found.count() // HOT)
+    often = F.broadcast(again.filter(hot).select("mark", "first"))
+    rest = found.join(often.select("mark"), "mark", "left_anti").join(again.filter(~hot).select("mark", "first"), "mark")
+    known = found.join(often, "mark").unionByName(rest)
     order = Window.partitionBy("doc").orderBy("place")
     breaks = (F.lag("first").over(order).isNull() | (F.lag("first").over(order) != F.col("first"))
               | (F.col("place") - F.lag("place").over(order) > gap))
-    return (found.join(again, "mark").select("doc", "place", "first").distinct()
+    return (known.select("doc", "place", "first").distinct()
             .withColumn("fresh", breaks.cast("int"))
             .withColumn("run", F.sum("fresh").over(order))
             .groupBy("doc", "run", "first").agg(F.min("place").alias("lo"), F.max("place").alias("hi"))
@@ -97,7 +104,7 @@ def _texts(docs: DataFrame, dealt: DataFrame) -> DataFrame:
     by_doc = checkpointed(dealt.groupBy("doc").agg(
         F.collect_list(F.struct("first", "lo", "hi", "start", "stop", "shard", "tasks")).cast(kind).alias("parts")))
     parts = by_doc.agg(F.sum(F.size("parts"))).first()[0] or 0
-    hint = F.broadcast(by_doc) if by_doc.count() * 32 + parts * 40 <= 32 << 20 else by_doc
+    hint = F.broadcast(by_doc) if by_doc.count() * 64 + parts * 80 <= BROADCAST_BYTES else by_doc
     schema = ("shard int, task int, reference boolean, doc long, version long, first long, lo int, hi int, "
               "start int, words string")
 
@@ -269,7 +276,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """
     spans = checkpointed(repeated_spans(docs, id_col, text, window))
     total = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
-    small = spans.count() * 48 + total * 16 <= 32 << 20
+    small = spans.count() * 72 + total * 32 <= BROADCAST_BYTES
     carried = list(dict.fromkeys([id_col, *keep]))
     made = [prefix + c for c in ("n_words", "n_removed", "kept", "spans")]
     source = text if text in carried else "_text"

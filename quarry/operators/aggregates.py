@@ -87,7 +87,7 @@ def utilization_of(states: DataFrame, threshold: float = 0.8) -> DataFrame:
 def distinct_count_sets(df: DataFrame, sets: Mapping[str, Sequence[str]], target: str,
                         name: str = "n_distinct") -> DataFrame:
     """A6, A7, A10 and A12 together: (set, <all keys>, ``name``), the distinct non-null ``target`` values
-    per key set (null keys dropped; the empty set is the whole frame).
+    per key set (null keys dropped; the empty set is the whole frame, without a row if that is empty).
 
     One scan and one shuffle of the data: rows are made distinct per (set, its keys, target) by
     one aggregate over grouping sets, which Spark combines in the tasks first; the count
@@ -96,8 +96,7 @@ def distinct_count_sets(df: DataFrame, sets: Mapping[str, Sequence[str]], target
     keys = list(dict.fromkeys(k for own in sets.values() for k in own))
     grouped = [[F.col(_q(k)) for k in own] + [F.col(_q(target))] for own in sets.values()]
     columns = [F.col(_q(k)) for k in [*keys, target]]
-    rows = df.select(*columns).filter(F.col(_q(target)).isNotNull())
-    distinct = rows.groupingSets(grouped, *columns).agg(F.grouping_id().alias("__gid"))
+    distinct = df.select(*columns).groupingSets(grouped, *columns).agg(F.grouping_id().alias("__gid"))
     out = None
     bit = {k: 1 << (len(keys) - i) for i, k in enumerate(keys)}  # the target is the lowest bit
     which, sound = F.lit(None).cast("string"), F.lit(True)
@@ -107,7 +106,7 @@ def distinct_count_sets(df: DataFrame, sets: Mapping[str, Sequence[str]], target
         for k in own:
             sound = sound & ((F.col("__gid") != gid) | F.col(_q(k)).isNotNull())
     out = distinct.filter(sound).withColumn("set", which)
-    return (out.groupBy("set", *[F.col(_q(k)) for k in keys]).agg(F.count(F.lit(1)).alias(name)))
+    return out.groupBy("set", *[F.col(_q(k)) for k in keys]).agg(F.count(F.col(_q(target))).alias(name))
 
 
 def distinct_count_by(df: DataFrame, keys: Sequence[str], target: str,

@@ -827,7 +827,7 @@ def _sets_sql() -> str:
 """ + "\nUNION ALL ".join(
         f"SELECT '{label}' AS \"set\", " + ", ".join(k if k in own else f"NULL AS {k}" for k in keys)
         + ", count(DISTINCT cust) AS n FROM o" + "".join(f" {'WHERE' if i == 0 else 'AND'} {k} IS NOT NULL" for i, k in enumerate(own))
-        + (f" GROUP BY {', '.join(own)} HAVING count(DISTINCT cust) > 0" if own else "") for label, own in _SETS.items())
+        + (f" GROUP BY {', '.join(own)}" if own else "") for label, own in _SETS.items())
 
 
 @query("distinct_sets", _sets_sql())

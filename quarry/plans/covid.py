@@ -90,7 +90,9 @@ def run(spark: SparkSession, raw_csv: str, clean_csv: str,
     df = read_csv(spark, clean_csv)
     df = df.withColumn("date", parse_date("date"))
     focus = FL.include_values(df, "country", FOCUS_COUNTRIES)
-    out = {"summary": latest_summary(focus), "correlations": correlations(focus)}
+    out = {"summary": latest_summary(focus)}
+    if sum(c in df.columns for c in CORR_COLUMNS) > 1:
+        out["correlations"] = correlations(focus)
     out |= {f"series_{m}": series(focus, m) for m in measures if m in df.columns}
     if all(c in df.columns for c in (*REG_FEATURES, REG_TARGET)):
         out["metrics"], out["coefficients"] = regression(spark, df)

@@ -36,7 +36,7 @@ def test_split_breaks_ties_by_key(spark):
     out = M.split_exact(df, ["id"], 0.25, mark=F.col("same"))
     assert rows(out.filter("is_test"), "id") == sorted([(i,) for i in range(10)], key=str)
     # Marks are signed numbers, smallest first.
-    out = M.split_exact(df, ["id"], 0.35, mark=F.col("sign") * F.lit(1 << 62))
+    out = M.split_exact(df, ["id"], 0.4, mark=F.col("sign") * F.lit(1 << 62))
     assert {r.sign for r in out.filter("is_test").collect()} == {-1, 0} and out.filter("is_test AND sign < 0").count() == 14
 
 

@@ -36,11 +36,11 @@ from quarry.llm.bpe import byte_chars
 from quarry.llm.common import byte_texts, checkpointed, drop_written, map_arrow, slices, written
 
 #: Text bytes of a chunk, of a long text that are cut together, and of atoms that are encoded together.
-CHUNK_BYTES, PART_BYTES, CALL_BYTES = 8 << 20, 1 << 20, 1 << 16
+CHUNK_BYTES, PART_BYTES, CALL_BYTES = 4 << 20, 1 << 20, 1 << 16
 #: Links of one group that are made one by one; beyond them ids are counted first.
 GROUP_LINKS = 1 << 16
 #: Atoms and links that a Python worker remembers; beyond them it keeps the more frequent half.
-KNOWN_ATOMS, KNOWN_LINKS = 500_000, 8_000_000
+KNOWN_ATOMS, KNOWN_LINKS = 300_000, 6_000_000
 #: The spaces that atoms are cut at, and atoms that may be joined: both neighbours are printable ASCII or
 #: two-byte characters from U+00C0 on, among which there is no white space.
 _BEFORE, _AFTER = rb"(?:[\x21-\x7E]|[\xC3-\xDF][\x80-\xBF])", rb"[\x21-\x7E\xC3-\xDF]"
@@ -74,7 +74,7 @@ class ByteLevel:
         """(ids, byte end of each token) of a text given as string and as UTF-8 bytes."""
         found = self.tokenizer.encode(text, add_special_tokens=False)
         ids = np.array(found.ids, np.int64)
-        ends = np.fromiter((e for _, e in found.offsets), np.int64, len(ids))
+        ends = np.array([e for _, e in found.offsets], np.int64)
         if len(text) != len(raw):  # characters to bytes
             begins = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
             ends = begins[ends]
@@ -102,11 +102,10 @@ class Pieces:
     def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(ids, byte end of each token) of a space and the text."""
         found = self.model.encode(text, return_type="proto").pieces
-        n = len(found)
-        flat = np.fromiter(chain.from_iterable((p.id, p.begin, p.end) for p in found), np.int64, 3 * n).reshape(n, 3)
-        ids, begins, ends = flat.T
-        # Byte-fallback pieces of one character share its span, which only the last of them has.
-        coarse = ~(self.fallback[ids] & (begins == ends))
+        ids, ends = (np.array(x, np.int64) for x in ([p.id for p in found], [p.end for p in found]))
+        # Spans follow each other; byte-fallback pieces of one character share its span, which only
+        # the last of them has.
+        coarse = ~(self.fallback[ids] & (np.diff(ends, prepend=0) == 0))
         return ids, refined(ends + 1, coarse, self.sizes[ids])
 
 
@@ -188,9 +187,7 @@ class Atoms:
     def learn(self, atoms: set[bytes]) -> None:
         """Encodes the atoms that are not known yet."""
         joined, size = [], 0
-        for atom in atoms:
-            if atom in self.index:
-                continue
+        for atom in atoms.difference(self.index):
             if not _JOINABLE.fullmatch(atom):
                 self._encode([atom])
                 continue
@@ -285,8 +282,8 @@ def aligned(raws: list[bytes], known: Atoms, size: int = PART_BYTES) -> list[Ali
     """The alignments of some texts, put together from their atoms; None where a text has no tokens:
     an empty one, or one whose joined token bytes differ from a space and the text."""
     pieces = [[x for part in parts(raw, size) for x in part] if known.b.cuttable else [raw] for raw in raws]
-    known.learn({atom for atoms in pieces for atom in atoms if atom})
-    places = [[known.index[x] for x in atoms] if raw else [] for raw, atoms in zip(raws, pieces)]
+    known.learn(set().union(*pieces) - {b""})
+    places = [list(map(known.index.__getitem__, atoms)) if raw else [] for raw, atoms in zip(raws, pieces)]
     if known.unsound:
         places = [[] if known.unsound.intersection(at) else at for at in places]
     where = np.fromiter(chain.from_iterable(places), np.int64)
@@ -300,7 +297,7 @@ def aligned(raws: list[bytes], known: Atoms, size: int = PART_BYTES) -> list[Ali
     keys, order = np.unique(np.repeat(owner, n) * span + known.pairs.data[flat], return_inverse=True)
     times = np.bincount(order, known.times.data[flat], len(keys)).astype(np.int64)
     at = np.searchsorted(keys, np.arange(len(raws) + 1) * span)
-    return [Aligned(tuple(c[i] for c in counts), hashlib.sha256(b";".join([known.texts[x] for x in own])).hexdigest(),
+    return [Aligned(tuple(c[i] for c in counts), hashlib.sha256(b";".join(map(known.texts.__getitem__, own))).hexdigest(),
                     keys[at[i]:at[i + 1]] - i * span, times[at[i]:at[i + 1]]) if own else None
             for i, own in enumerate(places)]
 

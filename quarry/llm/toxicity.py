@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import SLICE_ROWS, TO_WORDS, byte_class, byte_texts, column_type, map_arrow, slices, word_bounds
 from quarry.llm.labelled import Sample, held_out, labelled_sample
-from quarry.llm.wordhash import mix, text_pieces, word_hashes
+from quarry.llm.wordhash import byte_sums, mix, range_hashes, text_pieces
 
 #: Bound of the fit: examples of each class. All their words and word starts are features.
 EXAMPLES = 2048
@@ -28,6 +28,8 @@ KNOWN = 2_000
 _IN_WORD = ~byte_class(b" ")
 #: A feature is common from one in so many examples on.
 COMMON = 12
+#: How far single precision may be off on cosines (a sum of some hundred products of at most 1).
+_ROUGH = 1e-4
 #: Weight of the base rate among the votes.
 PRIOR_VOTES = 0.5
 
@@ -38,10 +40,12 @@ def word_features(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
     text = text.translate(TO_WORDS)
     for lo, raw in text_pieces(text, _IN_WORD):
         starts, ends = word_bounds(raw, _IN_WORD)
-        yield starts + lo, ends + lo, word_hashes(raw, starts, ends)
-        for n in STEMS:
-            long = starts[ends - starts >= n]
-            yield long + lo, long + lo + n, mix(word_hashes(raw, long, long + n) + np.uint64(n))
+        sums = byte_sums(raw)
+        yield starts + lo, ends + lo, range_hashes(*sums, starts, ends)
+        long, size = starts, ends - starts
+        for n in STEMS:  # ascending
+            long, size = long[size >= n], size[size >= n]
+            yield long + lo, long + lo + n, mix(range_hashes(*sums, long, long + n) + np.uint64(n))
 
 
 def feature_hashes(text: bytes) -> np.ndarray:
@@ -50,6 +54,19 @@ def feature_hashes(text: bytes) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
+def _together(texts: list[bytes], size: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, bytes]]:
+    """(starts, numbers, joined text) of runs of texts of about ``size`` bytes together."""
+    lo = 0
+    while lo < len(texts):
+        hi, held = lo + 1, len(texts[lo])
+        while hi < len(texts) and held + len(texts[hi]) <= size:
+            held += len(texts[hi])
+            hi += 1
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts[lo:hi - 1])])
+        yield begins, np.arange(lo, hi), b" ".join(texts[lo:hi])
+        lo = hi
+
+
 class Vocabulary:
     """All features of the examples by their hashes, in ascending order; a feature's number is its
     place among them."""
@@ -58,13 +75,23 @@ class Vocabulary:
         self.hashes = hashes
 
     def counts(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """(features in ascending order, how often each is there)."""
-        found, n = np.unique(feature_hashes(text), return_counts=True)
-        if not len(found) or not len(self.hashes):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
-        known = self.hashes[at] == found
-        return at[known], n[known]
+        """:meth:`counts_all` for one text."""
+        return self.counts_all([text])[0]
+
+    def counts_all(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(features in ascending order, how often each is there) of each text. Short texts are hashed
+        together, long ones piece by piece."""
+        size = max(len(self.hashes), 1)
+        keys = [np.zeros(0, np.int64)]
+        for begins, owners, joined in _together(texts):
+            for starts, _, hashes in word_features(joined):
+                at = np.minimum(np.searchsorted(self.hashes, hashes), size - 1)
+                known = np.flatnonzero(self.hashes[at] == hashes) if len(self.hashes) else at[:0]
+                own = owners[np.searchsorted(begins, starts[known], "right") - 1]
+                keys.append(own * size + at[known])
+        found, n = np.unique(np.concatenate(keys), return_counts=True)
+        cut = np.searchsorted(found, np.arange(len(texts) + 1) * size)
+        return [(found[a:b] - i * size, n[a:b]) for i, (a, b) in enumerate(zip(cut, cut[1:]))]
 
 
 def features_in(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,6 +146,7 @@ class BlockMaxIndex:
         self.dense = np.zeros((int(common.sum()), -(-len(vectors) // block) * block))
         self.dense[self.column[feature[often]], example[often]] = weight[often]
         self.largest = self.dense.reshape(len(self.dense), -(-len(vectors) // block), block).max(axis=2, initial=0)
+        self.rough = self.dense.astype(np.float32)
         feature, weight, example = feature[~often], weight[~often], example[~often]
         order = np.argsort(feature, kind="stable")
         self.example, self.weight = example[order], weight[order]
@@ -147,15 +175,24 @@ class BlockMaxIndex:
                 scores[i, skip[i]] = -np.inf
         last = np.partition(scores, -k, axis=1)[:, -k] if k <= self.size else np.zeros(len(queries))
         bounds = scores.reshape(len(queries), self.largest.shape[1], self.block).max(axis=2) + common @ self.largest
+        # In single precision first; whatever may be among the best is then computed exactly.
+        rough, quick = scores.astype(np.float32), common.astype(np.float32)
         for b in range(self.largest.shape[1]):
             some = np.flatnonzero((bounds[:, b] > 0) & (bounds[:, b] >= last - 1e-12))
             here = slice(b * self.block, (b + 1) * self.block)
-            scores[some, here] += common[some] @ self.dense[:, here]
+            if len(some) == len(rough):
+                rough[:, here] += quick @ self.rough[:, here]
+            elif len(some):
+                rough[some, here] += quick[some] @ self.rough[:, here]
+        places = np.partition(rough, -k, axis=1)[:, -k] if k < rough.shape[1] else np.zeros(len(rough), np.float32)
         out = []
-        for row in scores:
-            least = max(np.partition(row, -k)[-k] if k < len(row) else 0.0, 0.0)
-            some = np.flatnonzero((row >= least) & (row > 0))
-            out.append([(float(row[e]), int(e)) for e in some[np.lexsort((some, -row[some]))][:k]])
+        for row, near, least, own in zip(scores, rough, places, common):
+            some = np.flatnonzero(near >= max(float(least), 0.0) - _ROUGH)
+            some = some[np.isfinite(row[some])]
+            there = np.flatnonzero(own)
+            exact = row[some] + own[there] @ self.dense[np.ix_(there, some)]
+            some, exact = some[exact > 0], exact[exact > 0]
+            out.append([(float(exact[i]), int(some[i])) for i in np.lexsort((some, -exact))[:k]])
         return out
 
     def search(self, query, k: int, skip: int | None = None) -> list[tuple[float, int]]:
@@ -215,7 +252,7 @@ class Model:
         return [self.known[key] for key in keys]
 
     def score_all(self, texts: list[bytes]) -> list[tuple[float, list[tuple[float, int]], list[bytes]]]:
-        counts = [self.vocabulary.counts(t) for t in texts]
+        counts = self.vocabulary.counts_all(texts)
         a, b = self.line
         return [(1 / (1 + math.exp(-max(-30.0, min(30.0, a * self.raw(near) + b)))), near,
                  sorted(self.terms[i] for i in f[self.telling[f]].tolist())) for (f, _), near in zip(counts, self.neighbours(counts))]
@@ -246,9 +283,9 @@ def document_counts(docs: DataFrame, vocabulary: Vocabulary, text: str = "text")
     def count(batches):
         totals, rows = np.zeros(n_features, np.int64), 0
         for batch in slices(batches):
-            for t in byte_texts(batch, text):
+            for found, _ in sent.value.counts_all(byte_texts(batch, text)):
                 rows += 1
-                totals[sent.value.counts(t)[0]] += 1
+                totals[found] += 1
         some = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(totals[some], rows))],
                                          names=["feature", "n"])
@@ -273,7 +310,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     idf = np.log((1 + rows) / (1 + holding)) + 1
     told = spelled(texts, hashes[z >= LEAST_Z])
     terms = {int(i): told[int(hashes[i])] for i in np.flatnonzero(z >= LEAST_Z)}
-    return Model(vocabulary, terms, idf, z, sample.ids, y, [vocabulary.counts(t) for t in texts], sample.totals)
+    return Model(vocabulary, terms, idf, z, sample.ids, y, vocabulary.counts_all(texts), sample.totals)
 
 
 def _scored(docs: DataFrame, model: Model, id_col: str, text: str) -> DataFrame:

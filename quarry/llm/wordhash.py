@@ -29,16 +29,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, which depends on its bytes alone."""
-    if not len(starts):
-        return np.zeros(0, _U)
+def byte_sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What :func:`range_hashes` needs of a text's bytes, computed once for all of its ranges."""
     power, inverse = _power_tables(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, _U)
     np.cumsum((raw.astype(_U) + _U(1)) * power[:len(raw)], out=sums[1:])
+    return sums, inverse
+
+
+def range_hashes(sums: np.ndarray, inverse: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each range of bytes, which depends on its bytes alone."""
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(_U))
 
 
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, which depends on its bytes alone."""
+    return range_hashes(*byte_sums(raw), starts, ends) if len(starts) else np.zeros(0, _U)
+
+
 def run_hashes(words: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     """Hashes of all runs of ``length`` consecutive words."""
     n = len(words) - length + 1

@@ -118,6 +118,8 @@ def upsert_into_table(spark: SparkSession, table: str, staging: DataFrame, keys:
                               order_desc, tiebreak, drop_from_source, version_col)
         out = merged.select(*[F.col(_q(c)).cast(target.schema[c].dataType) for c in target.columns])
         order = [*([partition_col] if partition_col else []), *cluster_by]
+        if partition_col:  # few files a partition: small ones share a task, large ones are split
+            out = out.hint("rebalance", F.col(_q(partition_col)))
         writer = (out.sortWithinPartitions(*order) if cluster_by else out).write
         staged = swap.staging(spark, table)
         (writer.partitionBy(partition_col) if partition_col else writer).parquet(staged)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SLICE_ROWS, TO_WORDS, byte_class, byte_texts, column_type, map_arrow, slices, word_bounds
+from quarry.llm.common import SLICE_ROWS, TO_WORDS, byte_class, byte_texts, column_type, give_back, map_arrow, slices, word_bounds
 from quarry.llm.labelled import Sample, held_out, labelled_sample
 from quarry.llm.wordhash import byte_sums, mix, range_hashes, text_pieces
 
@@ -310,7 +310,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     idf = np.log((1 + rows) / (1 + holding)) + 1
     told = spelled(texts, hashes[z >= LEAST_Z])
     terms = {int(i): told[int(hashes[i])] for i in np.flatnonzero(z >= LEAST_Z)}
-    return Model(vocabulary, terms, idf, z, sample.ids, y, vocabulary.counts_all(texts), sample.totals)
+    counts = vocabulary.counts_all(texts)
+    ids, totals = sample.ids, sample.totals
+    del sample, texts, told
+    model = Model(vocabulary, terms, idf, z, ids, y, counts, totals)
+    del counts
+    give_back()  # the driver goes on with other stages
+    return model
 
 
 def _scored(docs: DataFrame, model: Model, id_col: str, text: str) -> DataFrame:
@@ -351,6 +357,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``least``, all columns as they are."""
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col=id_col, text=text))
+    give_back()
 
     def run(batches):
         for batch in slices(batches):

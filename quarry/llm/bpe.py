@@ -28,7 +28,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Words in the lexicon at most, and results that a task remembers at most.
 LEXICON_WORDS, MEMO_PIECES = 1 << 18, 100_000
 #: Bytes of texts that are encoded at a time, and characters of a piece or word that is remembered.
-BLOCK_BYTES, _SHORT = 4 << 20, 64
+BLOCK_BYTES, _SHORT = 2 << 20, 64
 
 
 def byte_chars() -> dict[str, int]:

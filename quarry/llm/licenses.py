@@ -4,6 +4,7 @@ evaluation of licence expressions with AND, OR and WITH."""
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from quarry.llm.common import WORD_BYTE, byte_texts, column_type, lower_ascii, map_arrow, slices, to_words, word_bounds
 
-#: Phrase -> label (fixed values). Words are those of :func:`to_words`.
+#: Phrase -> label, unless a caller names others. Words are those of :func:`to_words`.
 BASE_PHRASES = {
     "the mit license": "mit",
     "apache license version 2": "apache-2",
@@ -140,11 +141,12 @@ def evaluate(text: str | bytes, start: int = 0) -> Expression | None:
 class Scanner:
     """Aho-Corasick automaton over all phrases and the tag, with word borders."""
 
-    def __init__(self) -> None:
+    def __init__(self, base: Mapping[str, str] = BASE_PHRASES) -> None:
         import ahocorasick
 
+        self.base = base
         self.automaton = ahocorasick.Automaton()
-        for phrase, label in {**NOTICE_PHRASES, **BASE_PHRASES, TAG: ""}.items():
+        for phrase, label in {**NOTICE_PHRASES, **base, TAG: ""}.items():
             self.automaton.add_word(f" {phrase} ", (phrase, label))
         self.automaton.make_automaton()
 
@@ -164,7 +166,7 @@ class Scanner:
                 continue
             found.add(label)
             weight = max(weight, 0.6)
-            if phrase in BASE_PHRASES:
+            if phrase in self.base:
                 base.add(label)
                 weight = 0.9
                 starts.append(end - len(phrase) - 1)
@@ -192,10 +194,12 @@ _SCHEMA = ("n_words long, n_base long, first_word long, last_word long, base_lab
            "score double, permissive boolean, n_expressions long")
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
+                  base: Mapping[str, str] = BASE_PHRASES) -> DataFrame:
     """One row per row of ``docs``: its id (null kept), word and phrase counts, labels and a score.
 
-    ``n_base`` counts all places of the base phrases, overlapping ones included; ``first_word``
+    ``base`` has the base phrases, lower-case words joined by one space, and their labels.
+    ``n_base`` counts all places of these phrases, overlapping ones included; ``first_word``
     and ``last_word`` are the smallest and largest of their starts (words from 0), else null.
     ``labels`` adds notice phrases and the identifiers of tagged expressions. ``score`` is the
     strongest evidence: 1.0 an evaluated expression, 0.9 a base phrase, 0.6 another notice, 0.0
@@ -204,7 +208,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     read; memory is bounded by one text. Repeated rows are judged each; other columns are unused.
     """
     def run(batches):
-        scanner = Scanner()
+        scanner = Scanner(base)
         for batch in slices(batches):
             rows = [scanner.scan(t) for t in byte_texts(batch, text)]
             cols = list(zip(*rows)) if rows else [()] * 9

@@ -3,6 +3,7 @@ similarity-weighted votes, and calibrated scores with their evidence."""
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -69,10 +70,28 @@ def _together(texts: list[bytes], size: int = 1 << 20) -> Iterator[tuple[np.ndar
 
 class Vocabulary:
     """All features of the examples by their hashes, in ascending order; a feature's number is its
-    place among them."""
+    place among them. A hash is looked up by its first bits, of which few features share any."""
 
     def __init__(self, hashes: np.ndarray) -> None:
         self.hashes = hashes
+        bits = len(hashes).bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(hashes >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, features) of the hashes that are features, in no order."""
+        bucket = (hashes >> self.shift).astype(np.int64)
+        feature, end = self.first[bucket], self.first[bucket + 1]
+        at = np.flatnonzero(feature < end)
+        feature, end, found = feature[at], end[at], []
+        while len(at):
+            hit = self.hashes[feature] == hashes[at]
+            found.append((at[hit], feature[hit]))
+            on = ~hit & (feature + 1 < end)
+            at, feature, end = at[on], feature[on] + 1, end[on]
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
+        return np.concatenate([a for a, _ in found]), np.concatenate([f for _, f in found])
 
     def counts(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """:meth:`counts_all` for one text."""
@@ -85,13 +104,12 @@ class Vocabulary:
         keys = [np.zeros(0, np.int64)]
         for begins, owners, joined in _together(texts):
             for starts, _, hashes in word_features(joined):
-                at = np.minimum(np.searchsorted(self.hashes, hashes), size - 1)
-                known = np.flatnonzero(self.hashes[at] == hashes) if len(self.hashes) else at[:0]
-                own = owners[np.searchsorted(begins, starts[known], "right") - 1]
-                keys.append(own * size + at[known])
+                known, features = self.places(hashes)
+                own = np.repeat(owners, np.diff(np.searchsorted(starts, [*begins, len(joined)])))  # starts ascend
+                keys.append(own[known] * size + features)
         found, n = np.unique(np.concatenate(keys), return_counts=True)
         cut = np.searchsorted(found, np.arange(len(texts) + 1) * size)
-        return [(found[a:b] - i * size, n[a:b]) for i, (a, b) in enumerate(zip(cut, cut[1:]))]
+        return [((found[a:b] - i * size).astype(np.int32), n[a:b].astype(np.int32)) for i, (a, b) in enumerate(zip(cut, cut[1:]))]
 
 
 def features_in(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,10 +119,11 @@ def features_in(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, np.
     if not n1 or not n0:
         return np.zeros(0, np.uint64), np.zeros(0)
     own = [np.unique(feature_hashes(t)) for t in texts]
-    hashes, at = np.unique(np.concatenate(own), return_inverse=True)
-    yes = np.repeat(labels, [len(x) for x in own])
-    a = np.bincount(at, yes, len(hashes))
-    b = np.bincount(at, minlength=len(hashes)) - a
+    hashes = np.unique(np.concatenate(own))
+    vocabulary = Vocabulary(hashes)
+    a, b = np.zeros(len(hashes)), np.zeros(len(hashes))
+    for found, label in zip(own, labels):
+        (a if label else b)[vocabulary.places(found)[1]] += 1
     p = (a + b) / (n1 + n0)
     return hashes, np.abs(a / n1 - b / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n1 + 1 / n0))
 
@@ -128,44 +147,61 @@ def arrays(vector: dict[int, float] | tuple[np.ndarray, np.ndarray]) -> tuple[np
     return np.array(list(vector), np.int64), np.array(list(vector.values()), float)
 
 
+def _runs(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(all places of some runs one after another, the runs' lengths); int32."""
+    n = end - first
+    at = np.repeat(first - (np.cumsum(n, dtype=np.int32) - n), n)
+    at += np.arange(len(at), dtype=np.int32)
+    return at, n
+
+
 class BlockMaxIndex:
     """Unit vectors by feature: postings of the rarer features, and in blocks of examples the
     weights of the common ones with each one's largest weight in each block. A search adds up the
     postings, and then the common features in those blocks that by their bounds can hold one of the
-    k best, so its result is exact."""
+    k best, so its result is exact. Blocks are kept in single precision; what may be among the best
+    is added up in double, from each example's own list of common features."""
 
     def __init__(self, vectors: list, n_features: int, block: int = BLOCK) -> None:
         self.block, self.size = block, len(vectors)
         parts = [arrays(v) for v in vectors]
-        feature = np.concatenate([np.zeros(0, np.int64), *(f for f, _ in parts)]).astype(np.int64)
+        feature = np.concatenate([np.zeros(0, np.int32), *(f for f, _ in parts)]).astype(np.int32)
         weight = np.concatenate([np.zeros(0), *(w for _, w in parts)])
-        example = np.repeat(np.arange(len(vectors)), [len(f) for f, _ in parts])
-        common = np.bincount(feature, minlength=n_features) * COMMON >= max(1, len(vectors))
-        self.column = np.where(common, np.cumsum(common) - 1, -1)
+        sizes = [len(f) for f, _ in parts]
+        del parts
+        example = np.repeat(np.arange(self.size, dtype=np.int32), sizes)
+        common = np.bincount(feature, minlength=n_features) * COMMON >= max(1, self.size)
+        self.column = np.where(common, np.cumsum(common) - 1, -1).astype(np.int32)
         often = common[feature]
-        self.dense = np.zeros((int(common.sum()), -(-len(vectors) // block) * block))
-        self.dense[self.column[feature[often]], example[often]] = weight[often]
-        self.largest = self.dense.reshape(len(self.dense), -(-len(vectors) // block), block).max(axis=2, initial=0)
-        self.rough = self.dense.astype(np.float32)
+        self.own_column, self.own_weight = self.column[feature[often]], weight[often]
+        self.own_first = np.searchsorted(example[often], np.arange(self.size + 1)).astype(np.int32)
+        self.rough = np.zeros((int(common.sum()), -(-self.size // block) * block), np.float32)
+        self.rough[self.own_column, example[often]] = self.own_weight
+        self.largest = self.rough.reshape(len(self.rough), -(-self.size // block), block).max(axis=2, initial=0)
         feature, weight, example = feature[~often], weight[~often], example[~often]
         order = np.argsort(feature, kind="stable")
-        self.example, self.weight = example[order], weight[order]
-        self.first = np.searchsorted(feature[order], np.arange(n_features + 1))
+        self.example, self.weight = example[order].astype(np.min_scalar_type(self.size)), weight[order]
+        self.first = np.searchsorted(feature[order], np.arange(n_features + 1)).astype(np.int32)
 
     def posted(self, features: np.ndarray, q: np.ndarray) -> np.ndarray:
         """What the postings of some features add to each example."""
-        first = self.first[features]
-        n = self.first[features + 1] - first
-        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-        return np.bincount(self.example[at], self.weight[at] * np.repeat(q, n), self.dense.shape[1])
+        at, n = _runs(self.first[features], self.first[features + 1])
+        weight = self.weight.take(at)
+        weight *= np.repeat(q, n)
+        return np.bincount(self.example.take(at), weight, self.rough.shape[1])
+
+    def shared(self, q: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """What the common features add to some examples; ``q`` has the query's weight of each."""
+        at, n = _runs(self.own_first[some], self.own_first[some + 1])
+        return np.bincount(np.repeat(np.arange(len(some)), n), self.own_weight.take(at) * q[self.own_column.take(at)], len(some))
 
     def search_all(self, queries: list, k: int, skip: list[int] | None = None) -> list[list[tuple[float, int]]]:
         """For each query the ``k`` examples of the highest positive cosines (of those that tie at
         the last place the first ones); ``skip`` has an example for each that is left out."""
         if not self.size:
             return [[] for _ in queries]
-        scores = np.zeros((len(queries), self.dense.shape[1]))
-        common = np.zeros((len(queries), len(self.dense)))
+        scores = np.zeros((len(queries), self.rough.shape[1]))
+        common = np.zeros((len(queries), len(self.rough)))
         for i, query in enumerate(queries):
             features, q = arrays(query)
             column = self.column[features]
@@ -174,11 +210,10 @@ class BlockMaxIndex:
             if skip is not None:
                 scores[i, skip[i]] = -np.inf
         last = np.partition(scores, -k, axis=1)[:, -k] if k <= self.size else np.zeros(len(queries))
-        bounds = scores.reshape(len(queries), self.largest.shape[1], self.block).max(axis=2) + common @ self.largest
-        # In single precision first; whatever may be among the best is then computed exactly.
         rough, quick = scores.astype(np.float32), common.astype(np.float32)
+        bounds = rough.reshape(len(queries), self.largest.shape[1], self.block).max(axis=2) + quick @ self.largest
         for b in range(self.largest.shape[1]):
-            some = np.flatnonzero((bounds[:, b] > 0) & (bounds[:, b] >= last - 1e-12))
+            some = np.flatnonzero((bounds[:, b] > 0) & (bounds[:, b] >= last - _ROUGH))
             here = slice(b * self.block, (b + 1) * self.block)
             if len(some) == len(rough):
                 rough[:, here] += quick @ self.rough[:, here]
@@ -187,12 +222,12 @@ class BlockMaxIndex:
         places = np.partition(rough, -k, axis=1)[:, -k] if k < rough.shape[1] else np.zeros(len(rough), np.float32)
         out = []
         for row, near, least, own in zip(scores, rough, places, common):
-            some = np.flatnonzero(near >= max(float(least), 0.0) - _ROUGH)
+            some = np.flatnonzero(near[:self.size] >= max(float(least), 0.0) - _ROUGH)
             some = some[np.isfinite(row[some])]
-            there = np.flatnonzero(own)
-            exact = row[some] + own[there] @ self.dense[np.ix_(there, some)]
+            exact = row[some] + self.shared(own, some)
             some, exact = some[exact > 0], exact[exact > 0]
-            out.append([(float(exact[i]), int(some[i])) for i in np.lexsort((some, -exact))[:k]])
+            best = np.lexsort((some, -exact))[:k]
+            out.append(list(zip(exact[best].tolist(), some[best].tolist())))
         return out
 
     def search(self, query, k: int, skip: int | None = None) -> list[tuple[float, int]]:
@@ -218,7 +253,7 @@ class Model:
         self.rate = float(share[1]) if sum(totals) else 0.0
         self.votes = np.array([share[c] * 2 * len(labels) / (2 * n[c]) for c in (0, 1)])
         self.index = BlockMaxIndex([self.unit(c) for c in examples], len(idf))
-        self.known: dict[tuple, list[tuple[float, int]]] = {}
+        self.known: dict[bytes, list[tuple[float, int]]] = {}
         self.line = (0.0, 0.0)
         raw = np.array([self.raw(near) for lo in range(0, len(examples), SLICE_ROWS) for near in self.index.search_all(
             [self.unit(c) for c in examples[lo:lo + SLICE_ROWS]], NEIGHBOURS, list(range(lo, min(lo + SLICE_ROWS, len(examples)))))])
@@ -244,7 +279,7 @@ class Model:
 
     def neighbours(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> list[list[tuple[float, int]]]:
         """The searches, remembered for texts of equal features (a bounded number of them)."""
-        keys = [(f.tobytes(), n.tobytes()) for f, n in counts]
+        keys = [hashlib.sha256(f.tobytes() + n.tobytes()).digest() for f, n in counts]
         if len(self.known) >= KNOWN:
             self.known.clear()
         new = {key: c for key, c in zip(keys, counts) if key not in self.known}
@@ -304,6 +339,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     """Examples and all their features from a bounded labelled sample; idf from all documents."""
     sample: Sample = labelled_sample(docs, labels, label, per_class, id_col, text)
     texts, y = [t.encode() for t in sample.texts], np.array(sample.labels, dtype=int)
+    ids, totals = sample.ids, sample.totals
+    del sample
     hashes, z = features_in(texts, y)
     vocabulary = Vocabulary(hashes)
     rows, holding = document_counts(docs, vocabulary, text)
@@ -311,8 +348,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     told = spelled(texts, hashes[z >= LEAST_Z])
     terms = {int(i): told[int(hashes[i])] for i in np.flatnonzero(z >= LEAST_Z)}
     counts = vocabulary.counts_all(texts)
-    ids, totals = sample.ids, sample.totals
-    del sample, texts, told
+    del texts, told
+    give_back()
     model = Model(vocabulary, terms, idf, z, ids, y, counts, totals)
     del counts
     give_back()  # the driver goes on with other stages

@@ -97,6 +97,16 @@ def _in_gap(v, lo, hi):
     return cond
 
 
+def _place_among(v, edges: Sequence[float]):
+    """(at: how many of the ascending ``edges`` are no larger than ``v``, there: whether ``v`` is the
+    last of them) by binary steps; null for values that don't count."""
+    known = F.array(*[F.lit(e) for e in edges])
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(edges).bit_length()))])
+    at = F.aggregate(steps, F.lit(0), lambda p, s: F.when(F.get(known, p + s - 1) <= v, p + s).otherwise(p))
+    return F.struct(F.when(_in_gap(v, None, None), at).alias("at"),
+                    F.coalesce(F.array_contains(known, v), F.lit(False)).alias("there"))
+
+
 def exact_quantiles_multi(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                           fetch_limit: int = 200_000, grid: int = 256,
                           accuracy: int = 100_000) -> dict[str, list[float | None]]:
@@ -106,7 +116,7 @@ def exact_quantiles_multi(df: DataFrame, columns: Sequence[str], probs: Sequence
     A wanted rank lives in a *gap* (lo, hi) of known size and offset. While a gap
     holds more than ``fetch_limit`` rows, one aggregate draws an equi-depth grid
     inside every open gap of every column (``percentile_approx``), and a second
-    counts rows below / at each grid value; each rank then either lands exactly on
+    counts rows between and at its values, found by binary steps; each rank then either lands exactly on
     a grid value or in a sub-gap about ``grid`` times smaller. Gaps at or under
     ``fetch_limit`` rows are ranked in one tagged scan (a window per gap) and only
     the wanted positions reach the driver. All columns share
@@ -160,18 +170,16 @@ def exact_quantiles_multi(df: DataFrame, columns: Sequence[str], probs: Sequence
             F.percentile_approx(F.when(_in_gap(vcol[g[0]], g[1], g[2]), vcol[g[0]]), qs, accuracy).alias(f"g{j}")
             for j, g in enumerate(big)]).first()
         edges = [sorted(set(grids[f"g{j}"])) for j in range(len(big))]
-        aggs = []
-        for j, g in enumerate(big):
-            v = vcol[g[0]]
-            inside = _in_gap(v, g[1], g[2])
-            for k, e in enumerate(edges[j]):
-                aggs.append(F.count_if(inside & (v < F.lit(e))).alias(f"lt{j}_{k}"))
-                aggs.append(F.count_if(inside & (v <= F.lit(e))).alias(f"le{j}_{k}"))
-        c = vals.agg(*aggs).first()
+        # Grid values of a column's gaps together; each row is counted once, between two of them.
+        known = {i: sorted({e for j, g in enumerate(big) if g[0] == i for e in edges[j]}) for i in {g[0] for g in big}}
+        places = F.explode(F.array(*[_place_among(vcol[i], es).withField("c", F.lit(i)) for i, es in known.items()]))
+        rows = (vals.select(places.alias("t")).filter("t.at IS NOT NULL").groupBy("t.c", "t.at", "t.there").count().collect())
         for j, (i, lo, hi, off, size, ranks) in enumerate(big):
             es = edges[j]
-            lt = [off + c[f"lt{j}_{k}"] for k in range(len(es))]
-            le = [off + c[f"le{j}_{k}"] for k in range(len(es))]
+            at = [known[i].index(e) for e in es]
+            lt = [sum(r["count"] for r in rows if r["c"] == i and r["at"] <= k) for k in at]
+            le = [n_lt + sum(r["count"] for r in rows if r["c"] == i and r["at"] == k + 1 and r["there"])
+                  for n_lt, k in zip(lt, at)]
             gaps: dict[tuple, list[int]] = {}
             for r in ranks:
                 for k, e in enumerate(es):

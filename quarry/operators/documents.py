@@ -9,7 +9,7 @@ shuffled or read twice.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -93,6 +93,11 @@ def _first(*cases: tuple[Column, str]) -> Column:
     return F.array_compact(F.array(out))
 
 
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def problems(shape: Shape, value: Column, path: str = "") -> Column:
     """The rules that a value (VARIANT, there) breaks, as array<string>; a rule that several items
     of an array break is there once for each."""
@@ -121,21 +126,27 @@ def problems(shape: Shape, value: Column, path: str = "") -> Column:
     if isinstance(shape, Flag):
         return _first((kind != "BOOLEAN", f"{path} type"))
     if isinstance(shape, Many):
-        items = F.try_variant_get(value, "$", "array<variant>")
-        own = _first((items.isNull(), f"{path} type"), (F.size(items) < shape.fewest, f"{path} fewest"))
-        below = F.flatten(F.transform(items, lambda x: problems(shape.item, x, f"{path}[]")))
-        return F.concat(own, F.coalesce(below, F.array().cast(_NONE)))
-    parts, there = [], F.lit(False)
-    children = {n: F.try_variant_get(value, f"$['{n}']", "variant") for n in shape.fields()}
-    for child in children.values():
+        def judge_items(items: Column) -> Column:
+            own = _first((items.isNull(), f"{path} type"), (F.size(items) < shape.fewest, f"{path} fewest"))
+            below = F.flatten(F.transform(items, lambda x: problems(shape.item, x, f"{path}[]")))
+            return F.concat(own, F.coalesce(below, F.array().cast(_NONE)))
+
+        return _once(F.try_variant_get(value, "$", "array<variant>"), judge_items)
+    fields = {n: F.try_variant_get(value, f"$['{n}']", "variant").alias(f"f{i}") for i, n in enumerate(shape.fields())}
+    there = F.lit(False)
+    for child in fields.values():
         there = there | child.isNotNull()
     is_rec = there | F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
-    parts.append(_first((~is_rec, f"{path} type")))
-    for name, inner in shape.fields().items():
-        below, child = f"{path}.{name}" if path else name, children[name]
-        missing = _first((is_rec & child.isNull(), f"{below} required")) if name in shape.required else F.array().cast(_NONE)
-        parts.append(F.when(child.isNull(), missing).otherwise(problems(inner, child, below)))
-    return F.concat(*parts)
+
+    def judge(rec: Column) -> Column:
+        parts = [_first((~rec["is_rec"], f"{path} type"))]
+        for i, (name, inner) in enumerate(shape.fields().items()):
+            below, child = f"{path}.{name}" if path else name, rec[f"f{i}"]
+            missing = _first((rec["is_rec"] & child.isNull(), f"{below} required")) if name in shape.required else F.array().cast(_NONE)
+            parts.append(F.when(child.isNull(), missing).otherwise(problems(inner, child, below)))
+        return F.concat(*parts)
+
+    return _once(F.struct(*fields.values(), is_rec.alias("is_rec")), judge)
 
 
 def read_documents(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
@@ -154,10 +165,11 @@ def judged(docs: DataFrame, shape: Shape, doc: str = "doc", out: str = "violatio
 def rule_counts(tagged: DataFrame, shape: Shape, violations: str = "violations") -> DataFrame:
     """(rule, violations, documents) for every rule of the shape, zeros included: how often it is
     broken, and in how many documents."""
-    found = (tagged.select(F.col(violations).alias("v")).filter(F.size("v") > 0)
-             .select(F.explode(F.transform(F.array_distinct("v"), lambda r: F.struct(
+    # explode_outer, as a filter on the violations would be pushed below them and judge every document twice
+    found = (tagged.select(F.col(violations).alias("v"))
+             .select(F.explode_outer(F.transform(F.array_distinct("v"), lambda r: F.struct(
                  r.alias("rule"), F.size(F.filter("v", lambda x: x == r)).cast("long").alias("n")))).alias("e"))
-             .groupBy("e.rule").agg(F.sum("e.n").alias("n"), F.count(F.lit(1)).alias("d")))
+             .filter("e IS NOT NULL").groupBy("e.rule").agg(F.sum("e.n").alias("n"), F.count(F.lit(1)).alias("d")))
     names = tagged.sparkSession.createDataFrame([(n,) for n in ["json", *rule_names(shape)]], "rule string")
     zero = F.lit(0).cast("long")
     return (F.broadcast(names).join(found, "rule", "left")  # the shape's rules

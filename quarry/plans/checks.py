@@ -471,16 +471,19 @@ def q_header_discovery(spark, sf):
     return PR.strip_preamble(lines, HEADER_PATTERNS)
 
 
-def _quoted_csv(docs: DataFrame, path: str, files: int = 4) -> None:
+def _quoted_csv(docs: DataFrame, path: str, files: int = 4, file_bytes: int = 64 << 20) -> None:
     """Lands documents as CSV files, each with a preamble (holding a stray quote), a header and the
-    documents' texts as quoted fields that span lines."""
+    documents' texts as quoted fields that span lines; at least ``files`` of them, and so many that
+    one, which a task writes, has about ``file_bytes`` of text."""
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(files, -(-held // file_bytes))
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"\r", " ")
     quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
-    rows = docs.select(F.pmod("doc_id", F.lit(files)).alias("f"), F.col("doc_id").alias("at"), F.lit(0).alias("k"),
-                       F.concat_ws(",", F.col("doc_id").cast("string"), quoted, F.lit('5" pipe'), "lang").alias("value"))
+    rows = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(files)).alias("f"), F.col("doc_id").alias("at"), F.lit(3).alias("k"),
+                       F.concat_ws(",", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), quoted, F.lit('5" pipe'), "lang").alias("value"))
     head = (docs.sparkSession.range(files).select(F.col("id").alias("f"), F.lit(None).cast("long").alias("at"), F.posexplode(F.array(
         F.lit('Index of "texts, not parsed'), F.lit(""), F.lit("doc_id,body,size,lang"))).alias("k", "value")))
-    (head.unionByName(rows).repartition(files, "f").sortWithinPartitions("f", F.col("at").asc_nulls_first(), "k")
+    (head.unionByName(rows).repartition(files, "f").sortWithinPartitions("f", "k", "at")
      .select("f", "value").write.partitionBy("f").text(path))
 
 

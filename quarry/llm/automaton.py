@@ -11,14 +11,30 @@ class SuffixAutomaton:
         self.next: list[dict] = [{}]
         self.link, self.length, self.first = [-1], [0], [-1]
         self.size = 0
-        self._last = 0
 
     def add(self, sequence: list) -> None:
         """Adds one sequence; its places are numbered on from the last one's."""
-        self._last = 0
+        nxt, link, length, first = self.next, self.link, self.length, self.first
+        last, place = 0, self.size
         for symbol in sequence:
-            self._extend(symbol, self.size)
-            self.size += 1
+            p = last
+            q = nxt[p].get(symbol)
+            if q is not None:  # known from an earlier sequence
+                last = q if length[q] == length[p] + 1 else self._split(p, symbol, q)
+            else:
+                last = len(link)
+                nxt.append({})
+                link.append(0)
+                length.append(length[p] + 1)
+                first.append(place)
+                while q is None and p >= 0:
+                    nxt[p][symbol] = last
+                    p = link[p]
+                    q = nxt[p].get(symbol) if p >= 0 else None
+                if q is not None:
+                    link[last] = q if length[q] == length[p] + 1 else self._split(p, symbol, q)
+            place += 1
+        self.size = place
 
     def _state(self, length: int, edges: dict, link: int, first: int) -> int:
         self.next.append(edges)
@@ -37,22 +53,6 @@ class SuffixAutomaton:
         link[q] = copy
         return copy
 
-    def _extend(self, symbol, place: int) -> None:
-        nxt, link, length = self.next, self.link, self.length
-        p = self._last
-        q = nxt[p].get(symbol)
-        if q is not None:  # known from an earlier sequence
-            self._last = q if length[q] == length[p] + 1 else self._split(p, symbol, q)
-            return
-        now = self._state(length[p] + 1, {}, 0, place)
-        while p >= 0 and symbol not in nxt[p]:
-            nxt[p][symbol] = now
-            p = link[p]
-        if p >= 0:
-            q = nxt[p][symbol]
-            link[now] = q if length[q] == length[p] + 1 else self._split(p, symbol, q)
-        self._last = now
-
     def first_ends(self, sequence: list, window: int) -> list[int]:
         """For each place of ``sequence`` where a run of ``window`` symbols of the automaton ends:
         where that run's first occurrence ends; -1 elsewhere. The longest match that ends at each
@@ -61,16 +61,22 @@ class SuffixAutomaton:
         state = matched = 0
         out = []
         for symbol in sequence:
-            while state and symbol not in nxt[state]:
-                state = link[state]
-                matched = length[state]
             to = nxt[state].get(symbol)
             if to is None:
-                out.append(-1)
-                continue
-            state, matched = to, matched + 1
-            while length[link[state]] >= window:
-                state = link[state]
+                while state and symbol not in nxt[state]:
+                    state = link[state]
                 matched = length[state]
-            out.append(first[state] if matched >= window else -1)
+                to = nxt[state].get(symbol)
+                if to is None:
+                    out.append(-1)
+                    continue
+            state = to
+            matched += 1
+            if matched >= window:
+                while length[link[state]] >= window:
+                    state = link[state]
+                    matched = length[state]
+                out.append(first[state])
+            else:
+                out.append(-1)
         return out

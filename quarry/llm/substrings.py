@@ -11,11 +11,9 @@ asked again in the next round, now under its own hash, whose first document has
 
 from __future__ import annotations
 
-from bisect import bisect_right
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,30 +31,36 @@ HOT, BROADCAST_BYTES = 4_096, 96 << 20
 
 
 def marks(words: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all grams, place of the marking gram of every window)."""
+    """(hashes of all grams, place of the marking gram of every window): the first of the least
+    hash, from leasts over runs of twice the length each time."""
     grams = run_hashes(words, gram)
     span = window - gram + 1
     if len(grams) < span:
         return grams, np.zeros(0, np.int64)
-    least = np.lib.stride_tricks.sliding_window_view(grams, span).argmin(axis=1)
-    return grams, least + np.arange(len(least))
+    least, place, size = grams, np.arange(len(grams)), 1
+    while size < span:
+        step = min(size, span - size)
+        later = least[step:] < least[:-step]
+        place = np.where(later, place[step:], place[:-step])
+        least = np.where(later, least[step:], least[:-step])
+        size += step
+    return grams, place
 
 
 def _marked(docs: DataFrame, window: int) -> DataFrame:
     """(mark, doc, place): the marking grams of every document that has an id."""
     def run(batches):
         for batch in slices(batches):
-            ids = batch.column("doc").to_pylist()
-            hashes, owners, places = [], [], []
-            for doc, text in zip(ids, byte_texts(batch, "text")):
-                grams, at = marks(hashed_words(text, NOT_SPACE)[0], window)
-                at = at[np.concatenate(([True], at[1:] != at[:-1]))] if len(at) else at
-                hashes.append(grams[at])
-                places.append(at)
-                owners.append(np.full(len(at), doc, np.int64))
-            joined = [np.concatenate(x) for x in (hashes, owners, places)]
+            texts = byte_texts(batch, "text")
+            words, starts, _ = hashed_words(b" ".join(texts), NOT_SPACE)  # of all texts, hashed at once
+            begins = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
+            edges = np.searchsorted(starts, begins)
+            row = np.repeat(np.arange(len(texts)), np.diff(edges))
+            grams, at = marks(words, window)
+            at = np.unique(at[row[:len(at)] == row[window - 1:]]) if len(at) else at  # windows of one text
             yield pa.RecordBatch.from_arrays(
-                [pa.array(joined[0].view(np.int64)), pa.array(joined[1]), pa.array(joined[2].astype(np.int32))],
+                [pa.array(grams[at].view(np.int64)), batch.column("doc").take(pa.array(row[at])),
+                 pa.array((at - edges[row[at]]).astype(np.int32))],
                 names=["mark", "doc", "place"])
 
     return map_arrow(docs.filter(F.col("doc").isNotNull()).select("doc", "text"), run, "mark long, doc long, place int")
@@ -149,81 +153,100 @@ def _pieces(references: list[tuple], window: int):
         yield piece
 
 
-def match_shard(rows: pd.DataFrame, window: int, by_marks: bool, salt: int) -> list[tuple]:
+def _numbered(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(numbers of the words of all texts, where each text's begin and the count of all, a hash of
+    each numbered word)."""
+    lists = pc.split_pattern(texts.cast(pa.large_string()).combine_chunks(), " ")
+    bounds = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))).astype(np.int64)
+    words = lists.flatten().dictionary_encode()
+    hashes = [hashed_words(w, NOT_SPACE)[0] for w in
+              (b" ".join(part.to_pylist()) for part in _parts(words.dictionary.cast(pa.large_binary())))]
+    return words.indices.to_numpy(), bounds, np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+
+
+def _parts(values: pa.Array, rows: int = 1 << 16):
+    for lo in range(0, len(values), rows):
+        yield values.slice(lo, rows)
+
+
+def match_shard(rows: pa.Table, window: int, by_marks: bool, salt: int) -> pa.Table:
     """(doc, version, start, stop, hash) rows of one shard and task: spans to remove (hash null),
     and windows to ask again (stop null). All references go in by document and place, so an
-    automaton's first occurrence is the earliest."""
-    numbers: dict[str, int] = {}
-    split = lambda s: [numbers.setdefault(w, len(numbers)) for w in s.split(" ")]
-    key = ["doc", "version", "start"]
-    references = [(d, v, s, split(w)) for d, v, s, w in
-                  rows[rows["reference"]].sort_values(key)[[*key, "words"]].itertuples(index=False)]
-    streamed = [(d, v, s, f, lo, hi, w, split(w)) for d, v, s, f, lo, hi, w in
-                rows[~rows["reference"]].sort_values(key)[[*key, "first", "lo", "hi", "words"]].itertuples(index=False)]
+    automaton's first occurrence is the earliest. Places are those of all rows' words in a line."""
+    rows = rows.sort_by([(c, "ascending") for c in ("doc", "version", "start")])
+    numbers, bounds, hashes = _numbered(rows.column("words"))
+    spelled = numbers.tolist()
+    begins, ends = bounds[:-1].tolist(), bounds[1:].tolist()
+    doc, version, start, mine, lo, hi = (rows.column(c).to_numpy() for c in ("doc", "version", "start", "first", "lo", "hi"))
+    is_reference = rows.column("reference").to_numpy()
+    references = [(int(doc[i]), int(version[i]), int(start[i]), spelled[begins[i]:ends[i]])
+                  for i in np.flatnonzero(is_reference).tolist()]
+    streamed = np.flatnonzero(~is_reference)
     versions: dict[int, set] = {}
     for d, v, _, _ in references:
         versions.setdefault(d, set()).add(v)
-    earlier = [np.zeros(len(q[7]), bool) for q in streamed]  # by the window's last word
-    settled = [np.zeros(len(q[7]), bool) for q in streamed]
+    several = {d for d, v in versions.items() if len(v) > 1}
+    row = np.repeat(np.arange(len(doc)), np.diff(bounds))
+    place = start[row] + np.arange(len(row)) - bounds[row]  # in the row's document
+    one = ~np.isin(doc, list(several))
+    earlier, settled = np.zeros(len(row), bool), np.zeros(len(row), bool)  # by the window's last word
     for piece in _pieces(references, window):
         automaton, bases = SuffixAutomaton(), []
         for _, _, _, ids in piece:
             bases.append(automaton.size)
             automaton.add(ids)
-        for n, (doc, version, start, mine, _, _, _, ids) in enumerate(streamed):
-            for at, end in enumerate(automaton.first_ends(ids, window)):
-                if end < 0:
-                    continue
-                r = bisect_right(bases, end) - 1
-                first, _, its_start, _ = piece[r]
-                if first < doc:
-                    earlier[n][at] = True
-                elif first == doc:
-                    if len(versions[doc]) == 1:
-                        earlier[n][at] |= its_start + end - bases[r] < start + at
-                    settled[n][at] |= mine == doc  # else it is here for another mark's sake
-    out: list[tuple] = []
+        piece_doc, piece_start = np.array([p[0] for p in piece]), np.array([p[2] for p in piece])
+        bases = np.array(bases)
+        for i in streamed.tolist():
+            found = np.array(automaton.first_ends(spelled[begins[i]:ends[i]], window), np.int64)
+            at = np.flatnonzero(found >= 0)
+            if not len(at):
+                continue
+            found, at = found[at], at + begins[i]
+            r = np.searchsorted(bases, found, "right") - 1
+            earlier[at[piece_doc[r] < doc[i]]] = True
+            own = piece_doc[r] == doc[i]
+            if one[i]:
+                earlier[at[own & (piece_start[r] + found - bases[r] < place[at])]] = True
+            if mine[i] == doc[i]:  # else it is here for another mark's sake
+                settled[at[own]] = True
     seen: dict[tuple, dict[tuple, int]] = {}
-    for n, (doc, version, start, _, lo, hi, words, ids) in enumerate(streamed):
-        if len(versions.get(doc, ())) > 1:  # rows that share an id: each is compared with itself
-            own = seen.setdefault((doc, version), {})
-            for at in range(window - 1, len(ids)):
-                first = own.setdefault(tuple(ids[at - window + 1:at + 1]), start + at)
-                earlier[n][at] |= first < start + at
-        span = None
-        for at in np.flatnonzero(earlier[n]).tolist():
-            a, b = start + at - window + 1, start + at + 1
-            if span and a <= span[1]:
-                span[1] = b
-            else:
-                if span:
-                    out.append((doc, version, *span, None))
-                span = [a, b]
-        if span:
-            out.append((doc, version, *span, None))
-        open_ = ~(earlier[n] | settled[n])[window - 1:]
-        if open_.any():
-            hashes = hashed_words(words.encode(), NOT_SPACE)[0]
-            if by_marks:
-                at = marks(hashes, window)[1] + start
-                open_ &= (at >= lo) & (at <= hi)
-            wide = run_hashes(hashes, window, salt).view(np.int64)
-            out += [(doc, version, start + int(i), None, int(wide[i])) for i in np.flatnonzero(open_)]
-    return out
+    for i in streamed[~one[streamed]].tolist():  # rows that share an id: each is compared with itself
+        own = seen.setdefault((int(doc[i]), int(version[i])), {})
+        for at in range(begins[i] + window - 1, ends[i]):
+            first = own.setdefault(tuple(spelled[at - window + 1:at + 1]), int(place[at]))
+            earlier[at] |= first < place[at]
+    ends_at = np.flatnonzero(earlier)
+    fresh = np.ones(len(ends_at), bool)
+    fresh[1:] = (np.diff(ends_at) > window) | (np.diff(row[ends_at]) > 0)
+    a, b = ends_at[fresh], ends_at[np.append(fresh[1:], True)[:len(fresh)]]
+    spans = (doc[row[a]], version[row[a]], place[a] - window + 1, place[b] + 1, None)
+    open_ = ~(earlier | settled) & ~is_reference[row] & (np.arange(len(row)) - bounds[row] >= window - 1)
+    at = np.flatnonzero(open_) - window + 1  # first words
+    if len(at):
+        words = hashes[numbers]
+        if by_marks:
+            marked = place[marks(words, window)[1][at]]
+            at = at[(marked >= lo[row[at]]) & (marked <= hi[row[at]])]
+        wide = run_hashes(words, window, salt).view(np.int64)[at]
+    else:
+        wide = np.zeros(0, np.int64)
+    again = (doc[row[at]], version[row[at]], place[at], None, wide)
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
+    return pa.concat_tables(
+        pa.Table.from_arrays([pa.nulls(len(part[0]), k) if c is None else pa.array(c).cast(k) for c, k in zip(part, kinds)],
+                             names=["doc", "version", "start", "stop", "hash"]) for part in (spans, again))
 
 
 def _matched(texts: DataFrame, window: int, by_marks: bool, salt: int) -> DataFrame:
     to_python(texts.sparkSession)
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    def run(rows: pa.Table) -> pa.Table:
         out = match_shard(rows, window, by_marks, salt)
         give_back()
-        cols = list(zip(*out)) if out else [()] * 5
-        return pd.DataFrame({"doc": pd.array(cols[0], "Int64"), "version": pd.array(cols[1], "Int64"),
-                             "start": pd.array(cols[2], "Int32"), "stop": pd.array(cols[3], "Int32"),
-                             "hash": pd.array(cols[4], "Int64")})
+        return out
 
-    return texts.groupBy("shard", "task").applyInPandas(run, "doc long, version long, start int, stop int, hash long")
+    return texts.groupBy("shard", "task").applyInArrow(run, "doc long, version long, start int, stop int, hash long")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:

@@ -11,6 +11,7 @@ import heapq
 import json
 from array import array
 from collections import Counter
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -26,9 +27,9 @@ from quarry.llm.lexicon import Lexicon, compile_lexicon
 #: The word pattern of byte-level BPE vocabularies (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words in the lexicon at most, and results that a task remembers at most.
-LEXICON_WORDS, MEMO_PIECES = 1 << 18, 100_000
-#: Bytes of texts that are encoded at a time, and characters of a piece or word that is remembered.
-BLOCK_BYTES, _SHORT = 2 << 20, 64
+LEXICON_WORDS, MEMO_PIECES = 1 << 18, 40_000
+#: Bytes of texts that are counted and encoded at a time, and characters of a piece or word that is remembered.
+BLOCK_BYTES, ENCODE_BYTES, _SHORT = 2 << 20, 1 << 20, 64
 
 
 def byte_chars() -> dict[str, int]:
@@ -40,29 +41,40 @@ def byte_chars() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Merges, id <-> bytes and special tokens of a byte-level BPE tokenizer file (JSON text)."""
+    """Merges, id <-> bytes and special tokens of a byte-level BPE tokenizer file (JSON text). Read
+    once and sent as arrays, so that a worker needs neither the file's text nor what it parses to."""
 
     def __init__(self, source: str) -> None:
         spec = json.loads(source)
         chars = byte_chars()
         ids = spec["model"]["vocab"]
         as_bytes = lambda token: bytes(chars[c] for c in token)
-        self.pieces: dict[int, bytes] = {i: as_bytes(t) for t, i in ids.items()}
+        pieces = {i: as_bytes(t) for t, i in ids.items()}
         self.bytes_id = [0] * 256
-        for i, piece in self.pieces.items():
+        for i, piece in pieces.items():
             if len(piece) == 1:
                 self.bytes_id[piece[0]] = i
-        #: pair of ids -> rank and id of what it becomes, each packed into one number
-        self.merges: dict[int, int] = {}
+        merges: dict[int, int] = {}
         for rank, merge in enumerate(spec["model"]["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
-            self.merges.setdefault(ids[left] << _SHIFT | ids[right], rank << _SHIFT | ids[left + right])
-        keys = np.fromiter(self.merges, np.int64, len(self.merges))
+            merges.setdefault(ids[left] << _SHIFT | ids[right], rank << _SHIFT | ids[left + right])
+        keys = np.fromiter(merges, np.int64, len(merges))
         order = np.argsort(keys)
+        #: pairs of ids in order, and rank and id of what each becomes, each packed into one number
         self.pair_keys = keys[order]
-        self.pair_made = np.fromiter(self.merges.values(), np.int64, len(keys))[order]
+        self.pair_made = np.fromiter(merges.values(), np.int64, len(keys))[order]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.pieces |= {i: t.encode() for t, i in self.special.items()}
+        pieces |= {i: t.encode() for t, i in self.special.items()}
+        #: the bytes behind each id
+        self.tokens = pa.array([pieces.get(i, b"") for i in range(max(pieces, default=-1) + 1)], pa.large_binary())
+
+    @cached_property
+    def merges(self) -> dict[int, int]:
+        """Pair of ids -> rank and id of what it becomes; made where a long word first asks for it."""
+        return dict(zip(self.pair_keys.tolist(), self.pair_made.tolist()))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k != "merges"}
 
     def merge(self, words: list[bytes]) -> list[bytes]:
         """Exact merges of each word, as int32 ids: always the pair of lowest rank, the leftmost of
@@ -238,8 +250,6 @@ class Encoder:
         self.vocabulary, self.lexicon = vocabulary, lexicon
         #: int32 ids, as bytes
         self.pieces, self.words = Memo(), Memo()
-        self.tokens = pa.array([vocabulary.pieces.get(i, b"") for i in range(max(vocabulary.pieces, default=-1) + 1)],
-                               pa.large_binary())
         marks = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
 
@@ -300,7 +310,7 @@ class Encoder:
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> pa.StringArray:
         """The text of each run of ids, from the bytes that stand behind each id."""
-        data, at = joined(self.tokens, pa.array(ids, pa.int32()))
+        data, at = joined(self.vocabulary.tokens, pa.array(ids, pa.int32()))
         raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1,
                                                [None, pa.py_buffer(np.ascontiguousarray(at[bounds])), data])
         try:
@@ -374,14 +384,13 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str =
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
-        source = f.read()
-    vocabulary = Vocabulary(source)
-    sent = spark.sparkContext.broadcast((source, build_lexicon(docs, vocabulary, text, most)))
+        vocabulary = Vocabulary(f.read())
+    sent = spark.sparkContext.broadcast((vocabulary, build_lexicon(docs, vocabulary, text, most)))
     carried = [id_col, *keep]
 
     def run(batches):
-        encoder = Encoder(Vocabulary(sent.value[0]), Lexicon(sent.value[1]))
-        for batch, texts in blocks(batches, text):
+        encoder = Encoder(sent.value[0], Lexicon(sent.value[1]))
+        for batch, texts in blocks(batches, text, ENCODE_BYTES):
             ids, bounds = encoder.encode(texts)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in carried], pa.ListArray.from_arrays(bounds.astype(np.int32), ids),

@@ -159,7 +159,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", max_bi
     first = first.select(F.col("one.id").alias("id"), F.col("one.version").alias("version"))
     chosen = checkpointed(first.join(copies, first["id"].eqNullSafe(copies["id"]) & (first["version"] == copies["version"]))
                           .select(first["id"].alias("_kept_id"), first["version"].alias("_kept_version"), "n"))
-    chosen = hinted(chosen.withColumnRenamed("n", "_kept_n"), 32)
+    chosen = hinted(chosen.withColumnRenamed("n", "_kept_n"), 128)  # of a row in a broadcast table, with its key
     found = docs.withColumn("_version", F.xxhash64(text)).join(
         chosen, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_version") == F.col("_kept_version")))
     single = found.filter("_kept_n = 1")

@@ -14,7 +14,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.automaton import SuffixAutomaton
@@ -25,9 +25,12 @@ from quarry.llm.wordhash import hashed_words, run_hashes
 WINDOW, GRAM = 20, 6
 #: Reference words of an automaton, and words that one task streams through it.
 SHARD_WORDS, STREAM_WORDS = 25_000, 200_000
-#: Marks that are broadcast at most, and bytes of a broadcast in Spark's own form (a row's words,
-#: its place in the hash table, and eight bytes a field of nested rows).
-HOT, BROADCAST_BYTES = 4_096, 96 << 20
+#: Marks that are broadcast at most, and bytes of a broadcast in Spark's own form. The driver holds
+#: one several times over: as collected, as a hash table that doubles as it grows, and as sent.
+HOT, BROADCAST_BYTES = 4_096, 40 << 20
+#: What a document takes there beside each of its stretches, and beside each number of its spans. All
+#: are flat arrays: a nested row takes eight bytes a field and sixteen more.
+PART_ROW, PART, SPAN_ROW, NUMBER = 80, 24, 112, 4
 
 
 def marks(words: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
@@ -98,34 +101,49 @@ def _dealt(stretches: DataFrame) -> DataFrame:
     shards = max(1, -(-words // SHARD_WORDS))
     rows = stretches.withColumn("shard", F.pmod(F.xxhash64("first"), F.lit(shards)).cast("int"))
     tasks = rows.groupBy("shard").agg(F.ceil(F.sum(size) / STREAM_WORDS).cast("int").alias("tasks"))
-    return rows.join(hinted(checkpointed(tasks), 16), "shard")
+    return rows.join(hinted(checkpointed(tasks), 48), "shard")
 
 
-def _texts(docs: DataFrame, dealt: DataFrame) -> DataFrame:
-    """The words of all stretches: a row for the task that streams it, and rows for all tasks of
-    the shard if it belongs to the reference."""
-    kind = "array<struct<first:long,lo:int,hi:int,start:int,stop:int,shard:int,tasks:int>>"
-    by_doc = checkpointed(dealt.groupBy("doc").agg(
-        F.collect_list(F.struct("first", "lo", "hi", "start", "stop", "shard", "tasks")).cast(kind).alias("parts")))
-    parts = by_doc.agg(F.sum(F.size("parts"))).first()[0] or 0
-    hint = F.broadcast(by_doc) if by_doc.count() * 64 + parts * 80 <= BROADCAST_BYTES else by_doc
+def _flat(column: str, *fields: str) -> Column:
+    """An array of structs as one array of the fields' numbers, struct by struct."""
+    return F.flatten(F.transform(column, lambda x: F.array(*[x[f].cast("int") for f in fields])))
+
+
+def _bounded(df: DataFrame, numbers: str, row: int, number: int) -> DataFrame:
+    """``df`` (checkpointed) marked for a broadcast if its rows and the numbers in that array column
+    take at most ``BROADCAST_BYTES``, else unchanged: both sides are shuffled then."""
+    rows, n = df.agg(F.count("*"), F.sum(F.size(numbers).cast("long"))).first()
+    return F.broadcast(df) if rows * row + (n or 0) * number <= BROADCAST_BYTES else df
+
+
+def _parts_by_doc(dealt: DataFrame) -> DataFrame:
+    """(doc, firsts, numbers) of each document's stretches: their first documents, and lo, hi, shard
+    and tasks of each in a line."""
+    parts = dealt.groupBy("doc").agg(F.collect_list(F.struct("first", "lo", "hi", "shard", "tasks")).alias("parts"))
+    return parts.select("doc", F.col("parts.first").alias("firsts"), _flat("parts", "lo", "hi", "shard", "tasks").alias("numbers"))
+
+
+def _texts(docs: DataFrame, dealt: DataFrame, before: int, after: int) -> DataFrame:
+    """The words of all stretches, ``before`` and ``after`` their places: a row for the task that
+    streams it, and rows for all tasks of the shard if it belongs to the reference."""
+    hint = _bounded(checkpointed(_parts_by_doc(dealt)), "firsts", PART_ROW, PART)
     schema = ("shard int, task int, reference boolean, doc long, version long, first long, lo int, hi int, "
               "start int, words string")
 
     def run(batches):
         for batch in slices(batches):
             rows = []
-            for doc, version, text, parts in zip(batch.column("doc").to_pylist(), batch.column("version").to_pylist(),
-                                                 batch.column("text").to_pylist(), batch.column("parts").to_pylist()):
+            for doc, version, text, firsts, numbers in zip(*(batch.column(c).to_pylist() for c in
+                                                             ("doc", "version", "text", "firsts", "numbers"))):
                 words = (text or "").encode().split()
-                for p in parts:
-                    if p["start"] >= len(words):
+                for first, lo, hi, shard, tasks in zip(firsts, *(numbers[i::4] for i in range(4))):
+                    start = max(lo - before, 0)
+                    if start >= len(words):
                         continue
-                    said = b" ".join(words[p["start"]:p["stop"]]).decode()
-                    row = (doc, version, p["first"], p["lo"], p["hi"], p["start"], said)
-                    rows.append((p["shard"], doc % p["tasks"], False, *row))
-                    if doc == p["first"]:
-                        rows += [(p["shard"], t, True, *row) for t in range(p["tasks"])]
+                    row = (doc, version, first, lo, hi, start, b" ".join(words[start:hi + after]).decode())
+                    rows.append((shard, doc % tasks, False, *row))
+                    if doc == first:
+                        rows += [(shard, t, True, *row) for t in range(tasks)]
             cols = list(zip(*rows)) if rows else [()] * 10
             kinds = [pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(),
                      pa.int32(), pa.string()]
@@ -262,16 +280,18 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     full = rows.withColumn("version", F.xxhash64("text"))
     found, path = written(_marked(rows, window), "marks")
     # marks of neighbouring windows are at most a window apart
-    stretches = checkpointed(_stretches(found, window, window - GRAM, window))
+    around = (window - GRAM, window)
+    stretches = checkpointed(_stretches(found, window, *around))
     drop_written(spark, path)
     spans, round_ = None, 0
     while not stretches.isEmpty():
-        matched = checkpointed(_matched(_texts(full, _dealt(stretches)), window, round_ == 0, round_))
+        matched = checkpointed(_matched(_texts(full, _dealt(stretches), *around), window, round_ == 0, round_))
         now = matched.filter("stop is not null").select("doc", "version", "start", "stop")
         spans = now if spans is None else spans.unionByName(now)
         again = matched.filter("hash is not null").select(F.col("hash").alias("mark"), "doc",
                                                           F.col("start").alias("place")).distinct()
-        stretches = checkpointed(_stretches(again, 1, 0, window))
+        around = (0, window)
+        stretches = checkpointed(_stretches(again, 1, *around))
         round_ += 1
     if spans is None:
         spans = spark.createDataFrame([], "doc long, version long, start int, stop int")
@@ -297,16 +317,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     have identical results; rows that share an id but not the text don't touch each other. Null
     and empty texts have no words. Whole texts are read.
     """
-    spans = checkpointed(repeated_spans(docs, id_col, text, window))
-    total = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
-    small = spans.count() * 72 + total * 32 <= BROADCAST_BYTES
+    found = repeated_spans(docs, id_col, text, window)
+    spans = checkpointed(found.select(F.col("doc").alias("_doc"), F.col("version").alias("_version"),
+                                      _flat("spans", "start", "stop").alias("_spans")))
     carried = list(dict.fromkeys([id_col, *keep]))
     made = [prefix + c for c in ("n_words", "n_removed", "kept", "spans")]
     source = text if text in carried else "_text"
     rows = docs.select(*carried, *([] if text in carried else [F.col(text).alias(source)]), F.col(id_col).cast("long").alias("_doc"),
                        F.xxhash64(text).alias("_version"))
-    spans = spans.withColumnsRenamed({"doc": "_doc", "version": "_version", "spans": "_spans"})
-    joined = rows.join(F.broadcast(spans) if small else spans, ["_doc", "_version"], "left")
+    joined = rows.join(_bounded(spans, "_spans", SPAN_ROW, NUMBER), ["_doc", "_version"], "left")
     kinds = ", ".join(f"`{c}` {column_type(docs, c)}" for c in carried)
 
     def run(batches):
@@ -318,7 +337,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                 if doc is None:
                     pairs = own_repeats(words, window)
                 else:
-                    pairs = [(p["start"], p["stop"]) for p in parts or []]
+                    pairs = list(zip(parts[0::2], parts[1::2])) if parts else []
                 n, merged = len(words), []
                 for a, b in sorted(pairs):
                     if merged and a <= merged[-1][1]:

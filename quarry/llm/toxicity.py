@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -162,9 +162,9 @@ class BlockMaxIndex:
     k best, so its result is exact. Blocks are kept in single precision; what may be among the best
     is added up in double, from each example's own list of common features."""
 
-    def __init__(self, vectors: list, n_features: int, block: int = BLOCK) -> None:
-        self.block, self.size = block, len(vectors)
+    def __init__(self, vectors: Iterable, n_features: int, block: int = BLOCK) -> None:
         parts = [arrays(v) for v in vectors]
+        self.block, self.size = block, len(parts)
         feature = np.concatenate([np.zeros(0, np.int32), *(f for f, _ in parts)]).astype(np.int32)
         weight = np.concatenate([np.zeros(0), *(w for _, w in parts)])
         sizes = [len(f) for f, _ in parts]
@@ -252,7 +252,7 @@ class Model:
         share = np.array(totals, float) / max(1, sum(totals))
         self.rate = float(share[1]) if sum(totals) else 0.0
         self.votes = np.array([share[c] * 2 * len(labels) / (2 * n[c]) for c in (0, 1)])
-        self.index = BlockMaxIndex([self.unit(c) for c in examples], len(idf))
+        self.index = BlockMaxIndex((self.unit(c) for c in examples), len(idf))  # which keeps none of the vectors
         self.known: dict[bytes, list[tuple[float, int]]] = {}
         self.line = (0.0, 0.0)
         raw = np.array([self.raw(near) for lo in range(0, len(examples), SLICE_ROWS) for near in self.index.search_all(
